@@ -434,12 +434,14 @@ def _whole_span(changes):
 
 @query
 def ods_change_stream(spark, sf):
+    """Landing the parsed log by table, so that later jobs read only the tables they need."""
     changes = _log(spark, sf, "order_info", "transport_task")
     return _replay(
         spark, "ods_change_stream", _raw_slices(changes, 2),
         lambda raw: parse_changes(raw).select(
             "database", "table", "type", "ts", "offset", *_data("id", "status")
         ),
+        lambda out: file_sink(out, partition_by=["table"]),
     )
 
 
@@ -451,7 +453,7 @@ def stream_fact_sink(spark, sf):
     def start():
         return run_stream(
             "stream_fact_sink", read_files(spark, f"{root}/in"),
-            lambda raw: _fact_lines(facts.truck_task(parse_changes(raw))),
+            lambda raw: _fact_lines(facts.truck_task(parse_changes(raw, ["transport_task"]))),
             file_sink(f"{root}/out", "text"), f"{root}/checkpoint", available_now=True,
         )
 

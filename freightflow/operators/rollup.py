@@ -7,13 +7,17 @@ from ..functions.time import DATE, DATETIME
 STAMPS = ("stt", "edt", "cur_date")
 
 
-def window_rollup(facts, keys=(), count=None, sums=None, firsts=(),
+def window_rollup(facts, keys=(), count=None, sums=None, firsts=(), dependent=False,
                   window="5 seconds", delay="5 seconds"):
     """Aggregate per key and window of `ts`, stamped with start, end and date of the window.
 
     `count` names a row count, `sums` maps output names to expressions and `firsts` are
     attributes taken from the earliest row. Rows without `ts` are left out. Streams emit a
     window once the watermark, `delay` behind the latest `ts`, has passed its end.
+
+    `dependent` says that the attributes seldom differ within a key, as a name does within
+    its id. A batch then aggregates with them as further keys first, which hashing does,
+    while a struct minimum has to sort its input; only the few combinations are sorted.
     """
     rows = facts.withColumn("et", F.timestamp_millis("ts")).withWatermark("et", delay)
     by = [F.window("et", window).alias("w"), *keys]
@@ -25,12 +29,10 @@ def window_rollup(facts, keys=(), count=None, sums=None, firsts=(),
 
     if not firsts:
         out = rows.groupBy(*by).agg(*aggs)
-    elif facts.isStreaming:
+    elif facts.isStreaming or not dependent:
         first = F.min(F.struct("ts", *firsts)).alias("first")
         out = rows.groupBy(*by).agg(*aggs, first)
     else:
-        # Hash-aggregate with the attributes as keys first: a struct minimum needs sorted
-        # input, and this way only the few distinct combinations are sorted.
         fine = rows.groupBy(*by, *firsts).agg(*aggs, F.min("ts").alias("ts"))
         again = [F.sum(n).alias(n) for n in measures]
         first = F.min(F.struct("ts", *firsts)).alias("first")

@@ -6,7 +6,7 @@ Each builder takes parsed changes, as a batch or as a stream, and gives the colu
 
 from pyspark.sql import functions as F
 
-from ..functions import as_long, datetime_to_ms
+from ..functions import datetime_to_ms
 from ..operators.clean import of_table
 from ..operators.dedupe import first_per_key
 from ..operators.lookup import join_region, lookup_join
@@ -23,16 +23,19 @@ from ..schemas import (
 )
 
 
-def _field(name):
-    return F.col("data")[name]
-
-
 def _fields(*names):
-    return [_field(n).alias(n) for n in names]
+    return [F.col("data")[n].alias(n) for n in names]
+
 
+def _timed(rows, text, *columns):
+    """`columns` and `ts`, the time that column `text` spells; rows without one are dropped.
 
-def _ms(name):
-    return datetime_to_ms(_field(name))
+    The time comes from a generator. A filter on a plain expression would be pushed down with
+    a copy of the parser in it, and once more for the window's own filter.
+    """
+    return rows.select(
+        *columns, F.explode(F.array(datetime_to_ms(text))).alias("ts")
+    ).where("ts IS NOT NULL")
 
 
 # ---------------------------------------------------------------- one table
@@ -40,31 +43,30 @@ def _ms(name):
 
 def order_status(changes):
     """Orders that reached one of the three counted states."""
-    rows = of_table(changes, "order_info").where(
-        _field("status").isin(PICKED_UP, IN_TRANSIT, OUT_FOR_DELIVERY)
-    )
-    return rows.select(
-        _ms("update_time").alias("ts"),
-        *_fields("status", "order_no", "update_time", "create_time"),
-    ).where("ts IS NOT NULL")
+    names = ("status", "order_no", "update_time", "create_time")
+    rows = of_table(changes, "order_info").select(*_fields(*names))
+    counted = rows.where(F.col("status").isin(PICKED_UP, IN_TRANSIT, OUT_FOR_DELIVERY))
+    return _timed(counted, "update_time", *names).select("ts", *names)
 
 
 def truck_task(changes):
     """Finished transport tasks with their duration in milliseconds."""
-    rows = of_table(changes, "transport_task").where(_field("status") == TRANSPORT_FINISHED)
     names = [n for n in FACTS["dwd_transport_truck_task"].names if n not in ("ts", "diff_time")]
-    return rows.select(
-        *_fields(*names),
-        _ms("update_time").alias("ts"),
-        (_ms("actual_end_time") - _ms("actual_start_time")).alias("diff_time"),
-    ).where("ts IS NOT NULL AND diff_time IS NOT NULL")
+    rows = of_table(changes, "transport_task").select(*_fields(*names, "status", "update_time"))
+    start, end = datetime_to_ms("actual_start_time"), datetime_to_ms("actual_end_time")
+    finished = rows.where(F.col("status") == TRANSPORT_FINISHED)
+    return (
+        _timed(finished, "update_time", *names)
+        .select(*names, "ts", F.explode(F.array(end - start)).alias("diff_time"))
+        .where("diff_time IS NOT NULL")
+    )
 
 
 def _express(changes, table, status, time_column, columns, organ, regions):
-    rows = of_table(changes, table).where(_field("status") == status)
-    facts = rows.select(
-        *_fields(*columns, time_column), _ms(time_column).alias("ts")
-    ).where("ts IS NOT NULL")
+    rows = of_table(changes, table).select(
+        *_fields(*columns, time_column), F.col("data")["status"].alias("_status")
+    )
+    facts = _timed(rows.where(F.col("_status") == status), time_column, *columns, time_column)
     known = lookup_join(
         facts, organ, "org_id", {"region_id": "region_id", "org_name": "org_name"}
     )
@@ -98,16 +100,12 @@ def express_sorting(changes, organ, regions, columns=("id", "org_id", "status",
 
 def cargo_inserts(changes):
     """Inserted cargos; `arrived` and `offset` order copies of one cargo."""
-    return (
-        of_table(changes, "order_cargo", inserts_only=True)
-        .select(
-            *_fields("order_id", "cargo_type", "create_time"),
-            _ms("create_time").alias("ts"),
-            F.col("ts").alias("arrived"),
-            "offset",
-        )
-        .where("ts IS NOT NULL AND order_id IS NOT NULL")
-    )
+    names = ("order_id", "cargo_type", "create_time")
+    rows = of_table(changes, "order_cargo", inserts_only=True)
+    rows = rows.select(*_fields(*names), F.col("ts").alias("arrived"), "offset")
+    return _timed(
+        rows.where("order_id IS NOT NULL"), "create_time", *names, "arrived", "offset"
+    ).select(*names, "ts", "arrived", "offset")
 
 
 def order_inserts(changes, *columns):
@@ -121,13 +119,10 @@ def order_inserts(changes, *columns):
 
 def bound_inserts(changes):
     """Inserted arrivals of orders at organisations."""
-    return (
-        of_table(changes, "order_org_bound", inserts_only=True)
-        .select(
-            *_fields("order_id", "org_id", "status", "sort_time"), _ms("create_time").alias("ts")
-        )
-        .where("ts IS NOT NULL AND order_id IS NOT NULL")
-    )
+    names = ("order_id", "org_id", "status", "sort_time")
+    rows = of_table(changes, "order_org_bound", inserts_only=True)
+    rows = rows.select(*_fields(*names, "create_time")).where("order_id IS NOT NULL")
+    return _timed(rows, "create_time", *names)
 
 
 CARGO_ORDER = ("amount", "cargo_num", "sender_city_id", "sender_province_id")
@@ -274,7 +269,7 @@ def transport_task_detail(changes, within="7 days", salts=4):
         .select(
             *_fields("order_id", "transport_task_id"),
             F.timestamp_millis("ts").alias("detail_et"),
-            F.pmod(F.hash(_field("id"), F.col("ts")), F.lit(salts)).alias("salt"),
+            F.pmod(F.hash(F.col("data")["id"], "ts"), F.lit(salts)).alias("salt"),
         )
         .withWatermark("detail_et", within)
     )

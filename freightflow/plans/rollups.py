@@ -51,6 +51,7 @@ def _transport(facts, keys=(), firsts=(), in_seconds=True):
             "trans_time": whole_div(duration, 1000) if in_seconds else duration,
         },
         firsts=firsts,
+        dependent=True,
     )
 
 
@@ -96,7 +97,7 @@ def trade_order_city(facts, regions):
     )
     out = window_rollup(
         named, ["city_id"], count="order_count", sums={"total_amount": as_double("amount")},
-        firsts=["province_id"],
+        firsts=["province_id"], dependent=True,
     )
     out = lookup_join(out, regions, "city_id", {"city_name": "name"})
     out = lookup_join(out, regions, "province_id", {"province_name": "name"})
@@ -116,7 +117,8 @@ def trade_order_org(facts, organ):
 def express(facts, kind):
     """Parcels by organisation; `kind` is pickup, sorting or deliver."""
     out = window_rollup(
-        facts, ["org_id"], count="count", firsts=["org_name", *REGION_ATTRIBUTES]
+        facts, ["org_id"], count="count", firsts=["org_name", *REGION_ATTRIBUTES],
+        dependent=True,
     )
     return _shape(out, f"dws_express_{kind}_view_window")
 

@@ -6,9 +6,14 @@ from ..functions import json_row
 from ..operators.dedupe import latest_per_key
 
 
-def file_sink(path, fmt="parquet"):
+def file_sink(path, fmt="parquet", partition_by=()):
     """Append to files, each row exactly once."""
-    return lambda writer: writer.outputMode("append").format(fmt).option("path", path)
+
+    def finish(writer):
+        writer = writer.outputMode("append").format(fmt).option("path", path)
+        return writer.partitionBy(*partition_by) if partition_by else writer
+
+    return finish
 
 
 def kafka_rows(df, key=None):
