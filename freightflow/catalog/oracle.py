@@ -345,7 +345,7 @@ ORACLE = {
                {_clock(f"{ORDER_AT} * 1000 % 200000")} AS clock_s,
                {ORDER_AT} % 200000 AS clock_seconds,
                {ORDER_AT} % 200000 * 1000 AS clock_ms,
-               CAST(NULL AS BIGINT) AS not_a_clock
+               true AS day_is_no_clock
         FROM orders""",
     "dim_config_feed": f"""
         WITH images AS ({CONFIG_IMAGES}),

@@ -7,6 +7,7 @@ from .. import functions as fn
 from ..functions.time import DATETIME
 from ..operators import (
     apply_changes,
+    broadcast_if_small,
     clean,
     count_types,
     join_region,
@@ -140,7 +141,7 @@ def fn_time(spark, sf):
         fn.number_to_clock(F.col("ts") % 200_000).alias("clock_s"),
         fn.clock_to_number(clock).alias("clock_seconds"),
         fn.clock_to_number(clock, "milliseconds").alias("clock_ms"),
-        fn.clock_to_number(day).alias("not_a_clock"),
+        fn.clock_to_number(day).isNull().alias("day_is_no_clock"),
     )
 
 
@@ -199,7 +200,7 @@ def dim_apply_changes(spark, sf):
         return key_changes(projected).select(*columns, F.col("image")["type"].alias("type"))
 
     loaded = last(feed.where("type = 'bootstrap-insert'")).select(*names)
-    return apply_changes(loaded, last(feed.where("type <> 'bootstrap-insert'")), "id")
+    return apply_changes(loaded, last(feed.where("type <> 'bootstrap-insert'")), "id", False)
 
 
 @query
@@ -232,7 +233,7 @@ def upsert_latest_by_key(spark, sf):
 @query
 def dic_lookup_table(spark, sf):
     """SQL join with the nested dictionary, per cargo."""
-    dic_lookup(fx.base_dic(spark, sf), view="dim_dic")
+    broadcast_if_small(dic_lookup(fx.base_dic(spark, sf))).createOrReplaceTempView("dim_dic")
     facts.cargo_inserts(fx.changelog(spark, sf, ["order_cargo"])).createOrReplaceTempView("cargo")
     return spark.sql(
         "SELECT order_id, cargo_type, d.info.dic_name AS dic_name "
@@ -419,6 +420,13 @@ def _fact_lines(rows):
     return rows.select(fn.json_row(rows.columns).alias("value"))
 
 
+def _stored(spark, name, df):
+    """The fact table between two layers."""
+    path = f"{work_folder(spark, name)}/facts"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _with_sentinel(spark, slices):
     """The last arrival also has a row of the far future, which closes all other windows."""
     lines = [_fact_lines(s) for s in slices]
@@ -489,7 +497,8 @@ def stream_split(spark, sf):
 @query
 def stream_dws_trade_order_city(spark, sf):
     regions = fx.base_region_info(spark, sf)
-    slices = time_slices(dwd_trade_order_cargo(spark, sf), 2)
+    stored = _stored(spark, "dwd_trade_order_cargo", dwd_trade_order_cargo(spark, sf))
+    slices = time_slices(stored, 2)
     out = _replay(
         spark, "stream_dws_trade_order_city", _with_sentinel(spark, slices),
         lambda raw: rollups.trade_order_city(
@@ -503,7 +512,8 @@ def stream_dws_trade_order_city(spark, sf):
 @query
 def stream_restart(spark, sf):
     """Sorting rollup over three runs that resume one another."""
-    slices = time_slices(dwd_express_sorting(spark, sf), 3)
+    stored = _stored(spark, "dwd_express_sorting", dwd_express_sorting(spark, sf))
+    slices = time_slices(stored, 3)
     return _replay(
         spark, "stream_restart", _with_sentinel(spark, slices),
         lambda raw: rollups.express(parse_facts(raw, FACTS["dwd_express_sorting"]), "sorting"),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from .dedupe import latest_per_key
-from .lookup import broadcast_if_small
+from .lookup import broadcast_if_small, is_small
 
 CHANGE_ORDER = ("ts", "offset")
 
@@ -22,13 +22,29 @@ def keep_current_epoch(projected, epochs):
     )
 
 
-def apply_changes(snapshot, last_changes, key):
+def apply_changes(snapshot, last_changes, key, few=None):
     """The snapshot after the last change of every key: a delete removes, all else replaces.
 
-    Both inputs hold each key at most once; `last_changes` also has a `type`. The snapshot is
-    not shuffled while the changed keys fit a broadcast.
+    Both inputs hold each key at most once; `last_changes` also has a `type`. A `few` changes
+    are broadcast, so that the snapshot is not shuffled; many meet it in one full outer join.
+    When `few` is not given the changed keys are measured, which reads `last_changes` once
+    more: persist it then.
     """
-    touched = broadcast_if_small(last_changes.select(key))
-    kept = snapshot.join(touched, key, "left_anti")
-    put = last_changes.where(F.col("type") != "delete").select(*snapshot.columns)
-    return kept.unionByName(put)
+    columns = snapshot.columns
+    if few is None:
+        few = is_small(last_changes.select(key))
+    if few:
+        touched = F.broadcast(last_changes.select(key))
+        kept = snapshot.join(touched, key, "left_anti")
+        return kept.unionByName(last_changes.where("type <> 'delete'").select(*columns))
+    changed = last_changes.select(
+        F.col(key).alias("_key"),
+        (F.col("type") == "delete").alias("_gone"),
+        F.struct(*columns).alias("_new"),
+    )
+    merged = snapshot.join(changed, F.col(key) == F.col("_key"), "full")
+    rows = merged.where("_gone IS NULL OR NOT _gone")
+    return rows.select(
+        *[F.when(F.col("_key").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
+          for c in columns]
+    )

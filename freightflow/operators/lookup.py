@@ -16,13 +16,18 @@ def measured_bytes(df):
     return df.agg(F.sum(width)).first()[0] or 0
 
 
+def is_small(df, limit=BROADCAST_LIMIT):
+    return measured_bytes(df) <= limit
+
+
 def broadcast_if_small(df, limit=BROADCAST_LIMIT):
     """`df` with a broadcast hint when its measured size is below `limit`.
 
-    For inputs whose size Catalyst cannot know. Above the limit the plan is left alone, and
-    adaptive execution joins by sorting and splits skewed keys.
+    For inputs whose size Catalyst cannot know, such as the result of an aggregate. Above the
+    limit the plan is left alone, and adaptive execution joins by sorting and splits skewed
+    keys.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    return F.broadcast(df) if is_small(df, limit) else df
 
 
 def lookup_join(df, dim, key, columns, dim_key="id"):
@@ -38,12 +43,12 @@ def lookup_join(df, dim, key, columns, dim_key="id"):
     return df.join(picked, F.col(key) == F.col("_lookup"), "left").drop("_lookup")
 
 
-def flatten_regions(regions, levels=5):
+def flatten_regions(regions, levels=5, small=None):
     """City and province of every region: (region_id, city_id, city_name, province_id, ...).
 
     Walks `levels` steps up the tree, which must end at the country root or at a missing
     parent by then; a deeper tree or a cycle raises an error. The self-joins share one
-    broadcast of the tree.
+    broadcast of the tree, unless it is not `small`, which is measured when not given.
     """
 
     def own(code, c):
@@ -57,7 +62,9 @@ def flatten_regions(regions, levels=5):
         own("Province", "id").alias("province_id"),
         own("Province", "name").alias("province_name"),
     )
-    up = broadcast_if_small(node.select([F.col(c).alias(f"up_{c}") for c in node.columns]))
+    up = node.select([F.col(c).alias(f"up_{c}") for c in node.columns])
+    if is_small(regions) if small is None else small:
+        up = F.broadcast(up)
     found = node
     for _ in range(levels - 1):
         found = found.join(up, F.col("parent_id") == F.col("up_id"), "left").select(
@@ -75,7 +82,8 @@ def flatten_regions(regions, levels=5):
 
 def join_region(df, regions, key="region_id", levels=5):
     """Add the city and the province of `key`; null where the tree does not have them."""
-    flat = flatten_regions(regions, levels).withColumnRenamed("region_id", "_region")
-    if measured_bytes(regions) <= BROADCAST_LIMIT:
-        flat = F.broadcast(flat)
+    small = is_small(regions)
+    flat = flatten_regions(regions, levels, small).withColumnRenamed("region_id", "_region")
+    # One row per region, so the flat tree is as bounded as the tree.
+    flat = F.broadcast(flat) if small else flat
     return df.join(flat, F.col(key) == F.col("_region"), "left").drop("_region")
