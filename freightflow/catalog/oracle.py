@@ -514,6 +514,12 @@ ORACLE = {
                CAST(ts AS VARCHAR) AS ts
         FROM ({LAST_OF_FEED})
         WHERE dim IN ('base_organ', 'truck_info') AND type <> 'delete'""",
+    "stream_upsert_latest": f"""
+        SELECT CAST(o_custkey AS VARCHAR) AS truck_id, 'T' || o_orderkey AS id
+        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+                                           ORDER BY {TASK_AT} DESC, o_orderkey DESC) AS n
+              FROM orders)
+        WHERE n = 1 AND o_orderstatus <> 'P'""",
     "stream_lookup_latest": f"""
         WITH parcels AS (
             SELECT event_id, CAST(user_id % 10 AS VARCHAR) AS org_id, {EVENT_AT} * 1000 AS ts

@@ -23,6 +23,7 @@ from ..schemas import FACTS
 from ..session import work_folder
 from ..sources import (
     DimensionStore,
+    config_epochs,
     config_feed,
     config_snapshot,
     dic_lookup,
@@ -31,8 +32,8 @@ from ..sources import (
     parse_facts,
     read_files,
     reject_reason,
+    snapshot_events,
 )
-from ..sources.config import config_epochs
 from ..streaming import (
     DimensionJob,
     batch_folders,
@@ -42,6 +43,7 @@ from ..streaming import (
     replay,
     run_stream,
     upsert_rows,
+    upsert_sink,
 )
 from ..streaming.replay import time_slices
 
@@ -611,8 +613,8 @@ def _phases(feed):
 @query
 def stream_dim_apply_changes(spark, sf):
     root = work_folder(spark, "stream_dim_apply_changes")
-    config = config_snapshot(fx.dimension_config(spark))
-    job = DimensionJob(DimensionStore(spark, f"{root}/store"), lambda: config)
+    events = snapshot_events(fx.dimension_config(spark))
+    job = DimensionJob(DimensionStore(spark, f"{root}/store"), lambda: events)
     feed = fx.dimension_changes(spark, sf, ["base_organ", "truck_info"])
 
     def start():
@@ -633,6 +635,29 @@ def stream_dim_apply_changes(spark, sf):
     )
 
 
+@query
+def stream_upsert_latest(spark, sf):
+    """The newest state of every truck's transports, deleted when its last one has no end."""
+    root = work_folder(spark, "stream_upsert_latest")
+    store, schema = DimensionStore(spark, f"{root}/store"), "truck_id string, id string"
+
+    def rows(raw):
+        tasks = clean(parse_changes(raw, ["transport_task"]))
+        gone = F.when(F.col("data")["actual_end_time"].isNull(), "delete").otherwise("update")
+        return tasks.select(*_data("truck_id", "id"), "ts", "offset", gone.alias("type"))
+
+    sink = upsert_sink(store, "last_task", schema, "truck_id", ("ts", "offset"))
+
+    def start():
+        return run_stream(
+            "stream_upsert_latest", read_files(spark, f"{root}/in"), rows, sink,
+            f"{root}/checkpoint", available_now=True,
+        )
+
+    replay(_raw_slices(_log(spark, sf, "transport_task"), 2), f"{root}/in", start)
+    return store.read("last_task", schema)
+
+
 @query
 def stream_lookup_latest(spark, sf):
     """Pickups joined with the organisation names of their time of arrival."""

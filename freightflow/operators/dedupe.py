@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 
-def first_per_key(df, key, order):
+def first_per_key(df, keys, order):
     """The row of each key that comes first by `order`; ties fall to the other columns."""
-    rest = [c for c in df.columns if c != key and c not in order]
-    picked = df.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("first"))
-    return picked.select(key, "first.*").select(*df.columns)
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("first"))
+    return picked.select(*keys, "first.*").select(*df.columns)
 
 
 def latest_per_key(df, keys, order):

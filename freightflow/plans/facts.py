@@ -95,6 +95,18 @@ def express_sorting(changes, organ, regions, columns=("id", "org_id", "status",
     )
 
 
+def once_per_state(facts, keys, within="1 day"):
+    """Optionally, count a row only the first time that it reaches a state.
+
+    Without it every later change of a finished row is a fact again. `keys` are its id and
+    its status. On a stream repeats are found `within` that time of the first.
+    """
+    if not facts.isStreaming:
+        return first_per_key(facts, keys, ("ts",))
+    timed = facts.withColumn("_et", F.timestamp_millis("ts")).withWatermark("_et", within)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_et")
+
+
 # ---------------------------------------------------------------- two tables
 
 
@@ -129,12 +141,19 @@ CARGO_ORDER = ("amount", "cargo_num", "sender_city_id", "sender_province_id")
 ORG_ORDER = ("amount", "cargo_num")
 
 
-def _once(df, key, clock, within):
-    """One row per key: the first by arrival, or on a stream the first seen within `within`."""
+def _once(df, key, clock, within, salts):
+    """One row per key: the first by arrival, or on a stream the first seen within `within`.
+
+    A stream drops the copies in two steps, first within `salts` parts of each key, so that
+    the copies of one key do not all go to one task.
+    """
     if not df.isStreaming:
-        return first_per_key(df, key, ("arrived", "offset"))
+        return first_per_key(df, [key], ("arrived", "offset"))
     timed = df.withColumn(clock, F.timestamp_millis("arrived")).withWatermark(clock, within)
-    return timed.dropDuplicatesWithinWatermark([key])
+    if salts > 1:
+        part = F.pmod(F.hash("offset", "arrived"), F.lit(salts))
+        timed = timed.withColumn("_part", part).dropDuplicatesWithinWatermark([key, "_part"])
+    return timed.dropDuplicatesWithinWatermark([key]).drop("_part")
 
 
 def _near(left, right, within):
@@ -144,10 +163,10 @@ def _near(left, right, within):
     )
 
 
-def trade_order_cargo(changes, within="1 day"):
+def trade_order_cargo(changes, within="1 day", salts=4):
     """Each order with its first cargo. On a stream the two may be `within` of each other."""
-    cargo = _once(cargo_inserts(changes), "order_id", "cargo_et", within)
-    orders = _once(order_inserts(changes, *CARGO_ORDER), "id", "order_et", within)
+    cargo = _once(cargo_inserts(changes), "order_id", "cargo_et", within, salts)
+    orders = _once(order_inserts(changes, *CARGO_ORDER), "id", "order_et", within, salts)
     matches = F.col("order_id") == F.col("id")
     if changes.isStreaming:
         matches = matches & _near("cargo_et", "order_et", within)
@@ -182,7 +201,7 @@ def trade_order_org(changes, within="1 day", salts=4):
         .withWatermark("bound_et", within)
         .withColumn("salt", F.pmod(F.hash("org_id", "ts"), F.lit(salts)))
     )
-    orders = _once(orders, "id", "order_et", within).withColumn(
+    orders = _once(orders, "id", "order_et", within, salts).withColumn(
         "order_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     ).drop("arrived", "offset")
     return bounds.join(

@@ -24,10 +24,22 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(app="freightflow", conf=None):
-    """A session with the settings this library is tuned for; `conf` overrides them."""
+def shuffle_partitions(input_bytes):
+    """Partitions to start a shuffle with; adaptive execution merges those that stay small."""
+    return min(max(200, -(-input_bytes // (256 << 20))), 50_000)
+
+
+def build_session(app="freightflow", conf=None, input_bytes=None):
+    """A session with the settings this library is tuned for; `conf` overrides them.
+
+    Give the size of the input where it is known: 200 shuffle partitions do not hold 100 TB.
+    """
+    settings = dict(CLUSTER_CONF)
+    if input_bytes:
+        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        settings[key] = str(shuffle_partitions(input_bytes))
     builder = SparkSession.builder.appName(app)
-    for key, value in {**CLUSTER_CONF, **(conf or {})}.items():
+    for key, value in {**settings, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

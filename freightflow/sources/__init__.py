@@ -6,11 +6,18 @@ from .changelog import (
     read_kafka,
     reject_reason,
 )
-from .config import config_feed, config_snapshot, read_jdbc_config
+from .config import (
+    config_epochs,
+    config_feed,
+    config_snapshot,
+    read_jdbc_config,
+    snapshot_events,
+)
 from .dimensions import DimensionStore, dic_lookup
 
 __all__ = [
     "DimensionStore",
+    "config_epochs",
     "config_feed",
     "config_snapshot",
     "dic_lookup",
@@ -21,4 +28,5 @@ __all__ = [
     "read_jdbc_config",
     "read_kafka",
     "reject_reason",
+    "snapshot_events",
 ]

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..schemas import CONFIG_COLUMNS
+from ..schemas import CONFIG_COLUMNS, CONFIG_ROW
 
 
 def read_jdbc_config(spark, url, table="table_process", **options):
@@ -16,6 +16,15 @@ def config_snapshot(rows):
     return rows.where("sink_type = 'DIM'").select(*CONFIG_COLUMNS, F.lit("r").alias("op"))
 
 
+def snapshot_events(rows, ts_ms=0):
+    """The configuration table as the events that a feed begins with."""
+    nothing = F.lit(None).cast(CONFIG_ROW)
+    return rows.select(
+        F.lit("r").alias("op"), F.lit(ts_ms).cast("bigint").alias("ts_ms"),
+        nothing.alias("before"), F.struct(*CONFIG_COLUMNS).alias("after"),
+    )
+
+
 def config_images(events):
     """One row per configuration event: the image that counts, its `op` and its time.
 

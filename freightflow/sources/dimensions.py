@@ -3,7 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-_POINTER = "seq long, batch long, path string"
+_POINTER = "seq long, batch long, path string, since long"
 
 
 class DimensionStore:
@@ -17,33 +17,44 @@ class DimensionStore:
     def __init__(self, spark, root, slots=8):
         self.spark, self.root, self.slots = spark, root, slots
 
-    def _pointer(self, table, before=None):
-        """The newest pointer row, or the newest from before batch `before`."""
-        reader = self.spark.read.schema(_POINTER).option("ignoreMissingFiles", "true")
+    def pointers(self, before=None):
+        """The newest pointer row of every table, or the newest from before batch `before`."""
+        schema = f"{_POINTER}, table string, slot int"
+        reader = self.spark.read.schema(schema).option("ignoreMissingFiles", "true")
         try:
-            rows = reader.json(f"{self.root}/{table}/pointer")
+            rows = reader.json(f"{self.root}/pointer")
         except AnalysisException:
-            return None
+            return {}
         if before is not None:
             rows = rows.where(F.col("batch") < before)
-        return rows.select("seq", "path").orderBy(F.desc("seq")).first()
+        newest = F.max_by(F.struct("seq", "path", "since"), "seq").alias("p")
+        return {r["table"]: r["p"] for r in rows.groupBy("table").agg(newest).collect()}
 
-    def read(self, table, schema, before=None):
-        """The current snapshot; empty when the dimension does not exist."""
-        pointer = self._pointer(table, before)
+    def open(self, pointer, schema):
+        """The snapshot of a pointer row; empty without one."""
         if pointer is None:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(pointer["path"])
 
-    def write(self, table, snapshot, batch):
-        """Make `snapshot` current. Repeating a batch writes the same folders again."""
-        pointer = self._pointer(table, batch)
+    def read(self, table, schema, before=None):
+        """The current snapshot; empty when the dimension does not exist."""
+        return self.open(self.pointers(before).get(table), schema)
+
+    def replace(self, table, pointer, snapshot, batch, since=0):
+        """Make `snapshot` the one after `pointer`.
+
+        Repeating a batch with the pointer from before it writes the same folders again.
+        """
         seq = pointer["seq"] + 1 if pointer else 0
         slot = seq % self.slots
-        path = f"{self.root}/{table}/data/slot={slot}"
+        path = f"{self.root}/data/{table}/slot={slot}"
         snapshot.write.mode("overwrite").parquet(path)
-        row = self.spark.createDataFrame([(seq, batch, path)], _POINTER).coalesce(1)
-        row.write.mode("overwrite").json(f"{self.root}/{table}/pointer/slot={slot}")
+        row = self.spark.createDataFrame([(seq, batch, path, since)], _POINTER).coalesce(1)
+        row.write.mode("overwrite").json(f"{self.root}/pointer/table={table}/slot={slot}")
+
+    def write(self, table, snapshot, batch):
+        """Make `snapshot` current as of `batch`."""
+        self.replace(table, self.pointers(batch).get(table), snapshot, batch)
 
 
 def dic_lookup(dic, view=None):

@@ -1,4 +1,4 @@
-from .dimension_job import DimensionJob, lookup_latest
+from .dimension_job import DimensionJob, lookup_latest, upsert_sink
 from .replay import land, replay
 from .runner import run_sql_stream, run_stream
 from .sinks import batch_folders, fan_out, file_sink, kafka_rows, kafka_sink, upsert_rows
@@ -16,4 +16,5 @@ __all__ = [
     "run_sql_stream",
     "run_stream",
     "upsert_rows",
+    "upsert_sink",
 ]

@@ -1,25 +1,38 @@
-"""Dimension sync and lookups against the newest dimension, one micro-batch at a time."""
+"""Dimension sync, upserts and lookups of the newest dimension, one micro-batch at a time."""
 
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean
-from ..operators.dimension import apply_changes, key_changes
+from ..operators.dedupe import latest_per_key
+from ..operators.dimension import apply_changes, keep_current_epoch, key_changes
 from ..operators.lookup import lookup_join
 from ..operators.routing import project_columns, route
 from ..sources.changelog import parse_changes
+from ..sources.config import config_epochs, config_feed, config_images
 
 MAX_DIMENSIONS = 10_000
+_DROPPED = -1  # `since` of a dimension whose configuration was deleted
+
+
+def _bounded(df):
+    """Rows of a table about tables; refuses what cannot be one."""
+    rows = df.limit(MAX_DIMENSIONS + 1).collect()
+    if len(rows) > MAX_DIMENSIONS:
+        raise ValueError("more dimension tables than one job can keep")
+    return rows
 
 
 class DimensionJob:
-    """Applies the change log to a `DimensionStore`.
+    """Applies the change log to a `DimensionStore` as the configuration says.
 
-    `config` is called for every micro-batch and gives the routes in force. Each dimension
-    that a batch touches gets a new snapshot; the others are left alone.
+    `events` is called for every micro-batch and gives the configuration events so far. A
+    configured dimension is created when missing, emptied when its configuration is updated
+    and emptied for good when that is deleted. Dimensions that a batch does not touch keep
+    their snapshot.
     """
 
-    def __init__(self, store, config):
-        self.store, self.config = store, config
+    def __init__(self, store, events):
+        self.store, self.events = store, events
 
     @staticmethod
     def columns(sink_columns):
@@ -34,33 +47,62 @@ class DimensionJob:
         return writer.outputMode("append").foreachBatch(self.apply)
 
     def apply(self, raw, batch_id):
-        config = self.config()
-        routed = route(clean(parse_changes(raw)), config)
-        last = key_changes(project_columns(routed)).persist()
+        events = self.events()
+        state = config_feed(events).join(config_epochs(events), "source_table").persist()
+        routed = project_columns(route(clean(parse_changes(raw)), state.drop("since")))
+        current = keep_current_epoch(routed, state.select("source_table", "since"))
+        last = key_changes(current).persist()
         try:
-            touched = last.select("sink_table").distinct()
-            rows = touched.join(config, "sink_table").select(
-                "sink_table", "sink_columns", "sink_row_key"
-            ).limit(MAX_DIMENSIONS + 1).collect()
-            if len(rows) > MAX_DIMENSIONS:
-                raise ValueError("more dimension tables than one job can keep")
-            for row in rows:
-                self._merge(last, row, batch_id)
+            pointers = self.store.pointers(batch_id)
+            touched = {r[0] for r in _bounded(last.select("sink_table").distinct())}
+            rows = {r["sink_table"]: r for r in _bounded(state)}
+            for table, row in rows.items():
+                pointer = pointers.get(table)
+                if table in touched or not pointer or pointer["since"] != row["since"]:
+                    self._merge(last, row, pointer, batch_id)
+            left_over = {
+                t for t, p in pointers.items() if t not in rows and p["since"] != _DROPPED
+            }
+            if left_over:
+                self._drop(config_images(events), left_over, pointers, batch_id)
         finally:
             last.unpersist()
+            state.unpersist()
 
-    def _merge(self, last, row, batch_id):
-        names = self.columns(row["sink_columns"])
-        image = [F.col("image")[c].alias(c) for c in names]
+    def _merge(self, last, row, pointer, batch_id):
+        image = [F.col("image")[c].alias(c) for c in self.columns(row["sink_columns"])]
         mine = last.where(F.col("sink_table") == row["sink_table"]).select(*image)
-        table, schema = row["sink_table"], self.schema(row["sink_columns"])
-        old = self.store.read(table, schema, before=batch_id)
-        self.store.write(table, apply_changes(old, mine, row["sink_row_key"]), batch_id)
-
-    def empty(self, table, sink_columns, batch_id):
-        """Configuration change `u` or `d`: the dimension starts again without rows."""
-        schema = self.schema(sink_columns)
-        self.store.write(table, self.store.spark.createDataFrame([], schema), batch_id)
+        old = self.store.open(pointer, self.schema(row["sink_columns"]))
+        old = old.where(F.col("ts").cast("bigint") > row["since"])
+        merged = apply_changes(old, mine, row["sink_row_key"])
+        self.store.replace(row["sink_table"], pointer, merged, batch_id, row["since"])
+
+    def _drop(self, images, tables, pointers, batch_id):
+        known = images.where(F.col("sink_table").isin(*tables)).groupBy("sink_table").agg(
+            F.max_by("sink_columns", "ts_ms").alias("sink_columns")
+        )
+        for row in _bounded(known):
+            table = row["sink_table"]
+            nothing = self.store.open(None, self.schema(row["sink_columns"]))
+            self.store.replace(table, pointers[table], nothing, batch_id, _DROPPED)
+
+
+def upsert_sink(store, table, schema, key, order=("ts",)):
+    """Keep the latest row per key in a store. A row of `type` delete removes its key.
+
+    The streamed rows have the columns of `schema`, those of `order` and `type`.
+    """
+
+    def write(df, batch_id):
+        last = latest_per_key(df, [key], order).persist()
+        try:
+            pointer = store.pointers(batch_id).get(table)
+            merged = apply_changes(store.open(pointer, schema), last, key)
+            store.replace(table, pointer, merged, batch_id)
+        finally:
+            last.unpersist()
+
+    return lambda writer: writer.outputMode("append").foreachBatch(write)
 
 
 def lookup_latest(transform, store, table, schema, key, columns, path):

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -116,12 +117,32 @@ def test_store_versions_and_repeats(spark):
     assert store.read("t", schema).count() == 6
 
 
-def test_config_change_empties_a_dimension(spark):
-    store = DimensionStore(spark, work_folder(spark, "test_empty"))
-    job = DimensionJob(store, lambda: None)
-    store.write("dim_t", spark.createDataFrame([("1", "i", "2")], job.schema("id")), 0)
-    job.empty("dim_t", "id", 1)
-    assert store.read("dim_t", job.schema("id")).count() == 0
+def test_configuration_drives_the_dimension_tables(spark):
+    t = config_row("t")
+    store = DimensionStore(spark, work_folder(spark, "test_lifecycle"))
+    feed = [("c", 0, None, t)]
+    job = DimensionJob(store, lambda: spark.createDataFrame(feed, CONFIG_EVENT))
+    schema = job.schema("id,name")
+
+    def apply(batch, *changes):
+        lines = spark.createDataFrame([(json.dumps(c),) for c in changes], "value string")
+        job.apply(lines, batch)
+        return sorted(r["id"] for r in store.read("dim_t", schema).collect())
+
+    def insert(ts, id_):
+        return {"database": "tms", "table": "t", "type": "insert", "ts": ts, "offset": ts,
+                "data": {"id": id_, "name": "n"}}
+
+    assert apply(0) == [] and store.pointers()["dim_t"]["since"] == 0
+    assert apply(1, insert(5, "a"), insert(6, "b")) == ["a", "b"]
+    assert apply(1, insert(5, "a"), insert(6, "b")) == ["a", "b"]
+    feed.append(("u", 10, t, t))
+    assert apply(2) == []
+    assert apply(3, insert(9, "old"), insert(11, "c")) == ["c"]
+    feed.append(("d", 20, t, None))
+    assert apply(4, insert(21, "d")) == []
+    feed.append(("c", 30, None, t))
+    assert apply(5, insert(25, "e"), insert(31, "f")) == ["f"]
 
 
 REGIONS = [

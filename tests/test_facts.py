@@ -120,3 +120,11 @@ def test_task_details_many_to_many(spark):
 def test_other_databases_do_not_count(spark):
     changes = log(spark, order(1)).replace("tms", "other", "database")
     assert facts.order_status(changes).count() == 0
+
+
+def test_once_per_state(spark):
+    changes = log(spark, order(1), order(1, "update", update_time=T0), order(1, status="60050"))
+    rows = facts.once_per_state(facts.order_status(changes), ["order_no", "status"]).collect()
+    assert sorted((r["status"], r["update_time"]) for r in rows) == [
+        ("60030", T0), ("60050", T1),
+    ]

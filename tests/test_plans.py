@@ -107,7 +107,7 @@ def test_copies_of_a_cargo_collapse_before_the_shuffle(spark, settings):
 
 def test_rollups_aggregate_before_the_shuffle(spark):
     text = plan(QUERIES["dws_order_status"](spark, SF_DIR))
-    assert text.count("Exchange") == 1 and "partial_sum" in text
+    assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text
     assert "HashAggregate" in text and "SortAggregate" not in text
 
 
