@@ -21,6 +21,13 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def big_table(spark, sf_dir, name):
+    """A table that is spread over the cores when its files have fewer splits than that."""
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text(prefix, c):
     return F.concat(F.lit(prefix), F.col(c).cast("string"))
 
@@ -55,7 +62,7 @@ def _changes(df, name, kind, seconds, offset, data):
 
 def _order_info(spark, sf):
     nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
-    df = table(spark, sf, "orders").join(
+    df = big_table(spark, sf, "orders").join(
         nation, F.col("o_custkey") % 25 == F.col("n_nationkey"), "left"
     )
     created = _compressed("o_orderkey")
@@ -84,7 +91,7 @@ def _order_info(spark, sf):
 def _order_cargo(spark, sf):
     created = _compressed("l_orderkey")
     return _changes(
-        table(spark, sf, "lineitem"), "order_cargo", "insert", created, F.col("l_linenumber"),
+        big_table(spark, sf, "lineitem"), "order_cargo", "insert", created, F.col("l_linenumber"),
         {
             "id": F.concat_ws("-", F.col("l_orderkey").cast("string"),
                               F.col("l_linenumber").cast("string")),
@@ -98,7 +105,7 @@ def _order_cargo(spark, sf):
 def _order_org_bound(spark, sf):
     moment = _compressed("l_orderkey") + F.col("l_linenumber")
     return _changes(
-        table(spark, sf, "lineitem"), "order_org_bound", "insert", moment, F.col("l_orderkey"),
+        big_table(spark, sf, "lineitem"), "order_org_bound", "insert", moment, F.col("l_orderkey"),
         {
             "id": F.concat_ws("-", F.col("l_orderkey").cast("string"),
                               F.col("l_linenumber").cast("string")),
@@ -125,7 +132,7 @@ def _transport_task(spark, sf):
     finished = F.col("o_orderstatus") != "P"
     org = F.col("o_custkey") % 10
     return _changes(
-        table(spark, sf, "orders"), "transport_task", "update",
+        big_table(spark, sf, "orders"), "transport_task", "update",
         F.when(finished, end).otherwise(start), F.col("o_orderkey"),
         {
             "id": _text("T", "o_orderkey"),
@@ -150,7 +157,7 @@ def _transport_task_detail(spark, sf):
     moment = _compressed("l_orderkey") + F.col("l_linenumber")
     kind = F.when(F.col("l_returnflag") == "N", "insert").otherwise("update")
     return _changes(
-        table(spark, sf, "lineitem"), "transport_task_detail", kind, moment, F.col("l_orderkey"),
+        big_table(spark, sf, "lineitem"), "transport_task_detail", kind, moment, F.col("l_orderkey"),
         {
             "id": F.concat_ws("-", F.col("l_orderkey").cast("string"),
                               F.col("l_linenumber").cast("string")),
@@ -164,7 +171,7 @@ def _transport_task_detail(spark, sf):
 
 def _express(spark, sf, name, time_column, done, other, extra=()):
     """`done` and `other` are (event type, status) pairs."""
-    df = table(spark, sf, "events").where(F.col("event_type").isin(done[0], other[0]))
+    df = big_table(spark, sf, "events").where(F.col("event_type").isin(done[0], other[0]))
     moment = _compressed("event_id")
     data = {
         "id": F.col("event_id"),
@@ -378,7 +385,7 @@ def config_events(spark, sf_dir):
     here = _text("table_", "user_id")
     moved = F.concat(F.lit("table_"), (F.col("user_id") + 1).cast("string"))
     origin = F.when(F.col("event_id") % 10 == 0, moved).otherwise(here)
-    df = table(spark, sf_dir, "events").withColumn("op", op)
+    df = big_table(spark, sf_dir, "events").withColumn("op", op)
     return df.select(
         "op",
         (F.lit(EPOCH * 1000) + F.col("event_id")).alias("ts_ms"),
