@@ -75,7 +75,7 @@ ORG_FACT = f"""
 """
 
 TRUCK_FACT = f"""
-    SELECT round(o_totalprice / 1000, 2) AS distance,
+    SELECT floor(o_totalprice / 10) / 100 AS distance,
            {_t(TASK_END)} AS actual_end_time, {_t(ORDER_AT)} AS actual_start_time,
            CAST(o_custkey % 10 AS VARCHAR) AS start_org_id,
            'ORG' || (o_custkey % 10) AS start_org_name,
@@ -256,7 +256,7 @@ TASKS = f"""
            CAST(o_custkey % 10 AS VARCHAR) AS start_org_id,
            'ORG' || (o_custkey % 10) AS start_org_name,
            {_t(ORDER_AT)} AS actual_start_time, {_t(TASK_END)} AS actual_end_time,
-           CAST(round(o_totalprice / 1000, 2) AS VARCHAR) AS actual_distance,
+           CAST(floor(o_totalprice / 10) / 100 AS VARCHAR) AS actual_distance,
            {TASK_END} * 1000 AS ts
     FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 4 > 0
 """
@@ -499,14 +499,7 @@ ORACLE = {
     "stream_dws_trade_order_city": CITY_ROLLUP,
     "stream_restart": _express_rollup(SORTING_FACT),
     "stream_late_rows": LATE,
-    "stream_trade_order_cargo": f"""
-        SELECT order_id, cargo_type, create_time, ts, id, amount, cargo_num, sender_city_id,
-               sender_province_id
-        FROM (SELECT l_orderkey, CAST(l_orderkey AS VARCHAR) AS order_id,
-                     min('K' || (l_partkey % 6)) AS cargo_type,
-                     {_t(CARGO_AT)} AS create_time, {CARGO_AT} * 1000 AS ts
-              FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey)
-        JOIN ({ORDER_ROW}) ON l_orderkey = o_orderkey""",
+    "stream_trade_order_cargo": f"SELECT * EXCLUDE (o_totalprice) FROM ({CARGO_FACT})",
     "stream_trade_order_org": f"SELECT * EXCLUDE (o_totalprice) FROM ({ORG_FACT})",
     "stream_transport_task_detail": TASK_DETAIL,
     "stream_dim_apply_changes": f"""

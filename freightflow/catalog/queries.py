@@ -10,6 +10,7 @@ from ..operators import (
     broadcast_if_small,
     clean,
     count_types,
+    first_per_key,
     join_region,
     keep_current_epoch,
     key_changes,
@@ -542,25 +543,25 @@ def stream_late_rows(spark, sf):
 
 
 def _cargo_log(spark, sf):
-    """Orders, and one cargo per order that arrives once or, for every third order, twice."""
-    cargo = _log(spark, sf, "order_cargo").where("offset = 1")
-    once = cargo.withColumn("id", F.col("data")["order_id"]).groupBy("id").agg(
-        F.min("ts").alias("ts"), F.min(F.col("data")["cargo_type"]).alias("cargo_type"),
-        F.min(F.col("data")["create_time"]).alias("create_time"),
-    )
-    again = F.when(F.col("id").cast("bigint") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
-        F.array(F.lit(1))
-    )
-    copies = once.withColumn("copy", F.explode(again)).select(
+    """Orders, and the first cargo of each, which for every third order arrives twice.
+
+    A stream keeps the cargo that it sees first; only with one cargo per order is that the
+    same one in every run.
+    """
+    cargo = facts.cargo_inserts(_log(spark, sf, "order_cargo"))
+    first = first_per_key(cargo, ["order_id"], ("arrived", "offset"))
+    copies = F.when(
+        F.col("order_id").cast("bigint") % 3 == 0, F.array(F.lit(1), F.lit(2))
+    ).otherwise(F.array(F.lit(1)))
+    names = ("order_id", "cargo_type", "create_time")
+    log = first.withColumn("copy", F.explode(copies)).select(
         F.lit("tms").alias("database"), F.lit("order_cargo").alias("table"),
-        F.lit("insert").alias("type"), "ts", F.col("copy").cast("bigint").alias("offset"),
-        F.create_map(
-            F.lit("order_id"), "id", F.lit("cargo_type"), "cargo_type",
-            F.lit("create_time"), "create_time",
-        ).alias("data"),
+        F.lit("insert").alias("type"), F.col("arrived").alias("ts"),
+        F.col("copy").cast("bigint").alias("offset"),
+        F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))]).alias("data"),
         F.lit(None).cast("map<string,string>").alias("old"),
     )
-    return copies.unionByName(_log(spark, sf, "order_info"))
+    return log.unionByName(_log(spark, sf, "order_info"))
 
 
 def _odd_key(*names):

@@ -145,7 +145,7 @@ def _transport_task(spark, sf):
             "start_org_name": F.concat(F.lit("ORG"), org.cast("string")),
             "end_org_id": (F.col("o_custkey") + 1) % 10,
             "end_org_name": F.concat(F.lit("ORG"), ((F.col("o_custkey") + 1) % 10).cast("string")),
-            "actual_distance": F.round(F.col("o_totalprice") / 1000, 2),
+            "actual_distance": F.floor(F.col("o_totalprice") / 10) / 100,
             "actual_start_time": _at(start),
             "actual_end_time": F.when(finished, _at(end)),
             "update_time": _at(F.when(finished, end).otherwise(start)),
