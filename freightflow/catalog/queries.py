@@ -424,8 +424,8 @@ def _fact_lines(rows):
 
 
 def _stored(spark, name, df):
-    """The fact table between two layers."""
-    path = f"{work_folder(spark, name)}/facts"
+    """The table between two layers."""
+    path = f"{work_folder(spark, name)}/table"
     df.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -573,12 +573,15 @@ def _odd_key(*names):
 @query
 def stream_trade_order_cargo(spark, sf):
     """Cargos of odd orders arrive after their order, in a later run."""
-    changes = _cargo_log(spark, sf)
+    changes = _stored(spark, "cargo_log", _cargo_log(spark, sf))
     late = (F.col("table") == "order_cargo") & _odd_key("order_id")
     within = _whole_span(changes)
     return _replay(
         spark, "stream_trade_order_cargo", _raw_slices(changes, 2, late),
-        lambda raw: facts.trade_order_cargo(parse_changes(raw), within),
+        lambda raw: facts.trade_order_cargo(
+            parse_changes(raw, ["order_cargo"]), within,
+            order_changes=parse_changes(raw, ["order_info"]),
+        ),
     )
 
 
@@ -590,7 +593,10 @@ def stream_trade_order_org(spark, sf):
     within = _whole_span(changes)
     return _replay(
         spark, "stream_trade_order_org", _raw_slices(changes, 2, late),
-        lambda raw: facts.trade_order_org(parse_changes(raw), within),
+        lambda raw: facts.trade_order_org(
+            parse_changes(raw, ["order_org_bound"]), within,
+            order_changes=parse_changes(raw, ["order_info"]),
+        ),
     )
 
 
@@ -601,7 +607,10 @@ def stream_transport_task_detail(spark, sf):
     within = _whole_span(changes)
     return _replay(
         spark, "stream_transport_task_detail", _raw_slices(changes, 2, late),
-        lambda raw: facts.transport_task_detail(parse_changes(raw), within),
+        lambda raw: facts.transport_task_detail(
+            parse_changes(raw, ["transport_task"]), within,
+            detail_changes=parse_changes(raw, ["transport_task_detail"]),
+        ),
     )
 
 

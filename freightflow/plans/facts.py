@@ -163,10 +163,15 @@ def _near(left, right, within):
     )
 
 
-def trade_order_cargo(changes, within="1 day", salts=4):
-    """Each order with its first cargo. On a stream the two may be `within` of each other."""
+def trade_order_cargo(changes, within="1 day", salts=4, order_changes=None):
+    """Each order with its first cargo. On a stream the two may be `within` of each other.
+
+    `order_changes` hold the orders when they are parsed apart from the cargos, which spares
+    parsing everything for both.
+    """
     cargo = _once(cargo_inserts(changes), "order_id", "cargo_et", within, salts)
-    orders = _once(order_inserts(changes, *CARGO_ORDER), "id", "order_et", within, salts)
+    orders = order_inserts(changes if order_changes is None else order_changes, *CARGO_ORDER)
+    orders = _once(orders, "id", "order_et", within, salts)
     matches = F.col("order_id") == F.col("id")
     if changes.isStreaming:
         matches = matches & _near("cargo_et", "order_et", within)
@@ -175,16 +180,18 @@ def trade_order_cargo(changes, within="1 day", salts=4):
     ).select(*FACTS["dwd_trade_order_cargo"].names)
 
 
-def trade_order_org(changes, within="1 day", salts=4):
+def trade_order_org(changes, within="1 day", salts=4, order_changes=None):
     """Every arrival of an order at an organisation, with the order's amount.
 
+    `order_changes` as in `trade_order_cargo`.
+
     One order may have very many arrivals. In a batch, adaptive execution splits its join
     partition; the orders are deduplicated by (id, shard) so that the join exchanges them
     again, which the split needs. On a stream, which has no such split, the arrivals of an
     order are spread over `salts` tasks and the orders are repeated for each.
     """
     bounds = bound_inserts(changes)
-    orders = order_inserts(changes, *ORG_ORDER)
+    orders = order_inserts(changes if order_changes is None else order_changes, *ORG_ORDER)
     names = FACTS["dwd_trade_order_org"].names
     if not changes.isStreaming:
         shard = F.pmod(F.hash("id"), F.lit(1024)).alias("shard")
@@ -262,20 +269,23 @@ def transport_task_detail_updates(changes):
     return _sql(changes, DETAIL_UPDATES)
 
 
-def transport_task_detail(changes, within="7 days", salts=4):
+def transport_task_detail(changes, within="7 days", salts=4, detail_changes=None):
     """Finished tasks joined with the updates of their details, many to many.
 
+    `detail_changes` hold the details when they are parsed apart from the tasks.
+
     On a stream the change times of the two may be `within` of each other, and the details of
     a task are spread over `salts` tasks as in `trade_order_org`.
     """
     names = FACTS["dwd_transport_task_detail"].names
+    detail_changes = changes if detail_changes is None else detail_changes
     tasks = transport_task_finished(changes)
     if not changes.isStreaming:
         return changes.sparkSession.sql(
             "SELECT tt.id, shift_id, line_id, order_id, status, order_num, truck_id, "
             "start_org_id, start_org_name, actual_start_time, actual_end_time, "
             "actual_distance, ts FROM {tt} tt JOIN {td} td ON tt.id = td.transport_task_id",
-            tt=tasks, td=transport_task_detail_updates(changes),
+            tt=tasks, td=transport_task_detail_updates(detail_changes),
         )
     tasks = (
         tasks.withColumn("task_et", F.timestamp_millis("ts"))
@@ -283,7 +293,7 @@ def transport_task_detail(changes, within="7 days", salts=4):
         .withColumn("task_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
     details = (
-        of_table(changes, "transport_task_detail")
+        of_table(detail_changes, "transport_task_detail")
         .where("type = 'update'")
         .select(
             *_fields("order_id", "transport_task_id"),

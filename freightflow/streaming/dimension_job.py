@@ -1,5 +1,7 @@
 """Dimension sync, upserts and lookups of the newest dimension, one micro-batch at a time."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean
@@ -11,6 +13,7 @@ from ..sources.changelog import parse_changes
 from ..sources.config import config_epochs, config_feed, config_images
 
 MAX_DIMENSIONS = 10_000
+MERGES_AT_ONCE = 8
 _DROPPED = -1  # `since` of a dimension whose configuration was deleted
 
 
@@ -56,10 +59,15 @@ class DimensionJob:
             pointers = self.store.pointers(batch_id)
             touched = {r[0] for r in _bounded(last.select("sink_table").distinct())}
             rows = {r["sink_table"]: r for r in _bounded(state)}
-            for table, row in rows.items():
-                pointer = pointers.get(table)
-                if table in touched or not pointer or pointer["since"] != row["since"]:
-                    self._merge(last, row, pointer, batch_id)
+            stale = [
+                (row, pointers.get(table))
+                for table, row in rows.items()
+                if table in touched
+                or table not in pointers
+                or pointers[table]["since"] != row["since"]
+            ]
+            with ThreadPoolExecutor(MERGES_AT_ONCE) as pool:
+                list(pool.map(lambda s: self._merge(last, *s, batch_id), stale))
             left_over = {
                 t for t, p in pointers.items() if t not in rows and p["since"] != _DROPPED
             }
