@@ -397,18 +397,23 @@ def dws_json_rows(spark, sf):
 # ---------------------------------------------------------------- streams
 
 
+def _partitions(spark):
+    """Streams do not merge small shuffle partitions, so they start with one per core."""
+    return min(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+
+
 def _replay(spark, name, arrivals, transform, sink=None):
     """Run `transform` over raw arrivals and give what its sink wrote."""
     root = work_folder(spark, name)
     source, out = f"{root}/in", f"{root}/out"
-    partitions = min(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
 
     def start():
         return run_stream(
             name, read_files(spark, source), transform, sink(out) if sink else file_sink(out),
-            f"{root}/checkpoint", available_now=True, state_partitions=partitions,
+            f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
         )
 
     replay(arrivals, source, start)
@@ -466,6 +471,7 @@ def stream_fact_sink(spark, sf):
             "stream_fact_sink", read_files(spark, f"{root}/in"),
             lambda raw: _fact_lines(facts.truck_task(parse_changes(raw, ["transport_task"]))),
             file_sink(f"{root}/out", "text"), f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
         )
 
     replay(_raw_slices(_log(spark, sf, "transport_task"), 2), f"{root}/in", start)
@@ -487,6 +493,7 @@ def stream_split(spark, sf):
         return run_stream(
             "stream_split", read_files(spark, f"{root}/in"), parse_changes, sink,
             f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
         )
 
     replay(_raw_slices(changes, 2), f"{root}/in", start)
@@ -631,6 +638,7 @@ def stream_dim_apply_changes(spark, sf):
         return run_stream(
             "stream_dim_apply_changes", read_files(spark, f"{root}/in"), lambda raw: raw,
             job.sink, f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
         )
 
     replay(_phases(feed), f"{root}/in", start)
@@ -662,6 +670,7 @@ def stream_upsert_latest(spark, sf):
         return run_stream(
             "stream_upsert_latest", read_files(spark, f"{root}/in"), rows, sink,
             f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
         )
 
     replay(_raw_slices(_log(spark, sf, "transport_task"), 2), f"{root}/in", start)
@@ -685,6 +694,7 @@ def stream_lookup_latest(spark, sf):
         return run_stream(
             "stream_lookup_latest", read_files(spark, f"{root}/in"), lambda raw: raw, sink,
             f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
         )
 
     versions = [organ, renamed]
