@@ -22,12 +22,17 @@ def _package_archive():
     return shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
 
 
-def map_arrow(df, function, schema):
-    """`df.mapInArrow`, after this package has been sent to the executors, as --py-files does."""
-    context = df.sparkSession.sparkContext
+def send_package(spark):
+    """Send this package to the executors, as --py-files does; once for each context."""
+    context = spark.sparkContext
     if not getattr(context, "_freightflow_sent", False):
         context.addPyFile(_package_archive())
         context._freightflow_sent = True
+
+
+def map_arrow(df, function, schema):
+    """`df.mapInArrow` with this package on the executors."""
+    send_package(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

@@ -102,11 +102,10 @@ def collisions(docs, prints):
 
     Only rows whose fingerprint occurs twice are read again.
     """
-    shared = prints.groupBy("h", "n").count().where("count > 1").drop("count")
-    suspects = stored(
-        prints.join(shared, ["h", "n"], "left_semi").distinct().withColumnRenamed("doc_id", "id"),
-        "exact-suspects",
-    )
+    counted = prints.groupBy("h", "n").count()
+    shared = stored(counted.where("count > 1").drop("count"), "exact-shared")
+    repeated = stored(prints.join(small_side(shared), ["h", "n"], "left_semi"), "exact-repeated")
+    suspects = stored(repeated.distinct().withColumnRenamed("doc_id", "id"), "exact-suspects")
     data = whole_text().cast("binary")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), data.alias("data"))
     found = texts.join(
@@ -130,7 +129,10 @@ def copy_groups(docs, moduli=MODULI, piece=PIECE):
     prints = stored(fingerprints(docs, moduli, piece), "exact-prints")
     clash = stored(collisions(docs, prints), "exact-collisions")
     # A fingerprint under which texts differ is told apart by SHA-256; nearly always there is none.
-    marked = prints.join(small_side(clash.withColumn("clash", F.lit(True))), ["h", "n"], "left")
+    marked = prints.withColumn("clash", F.lit(False))
+    if not clash.isEmpty():
+        met = small_side(clash.withColumn("clash", F.lit(True)))
+        marked = stored(prints.join(met, ["h", "n"], "left"), "exact-marked")
     variant = F.when(F.col("clash"), F.col("sha")).otherwise(F.unhex(F.lit("")))
     rows = stored(
         marked.withColumn("v", variant).groupBy("h", "n", "v", "doc_id", "sha")

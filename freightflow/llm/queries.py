@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash_dedup
+from . import exact_dedup, pfair, piece_viterbi, simhash_dedup, toxicity
 
 
 def _read(spark, sf_dir, name):
@@ -22,9 +22,31 @@ def op2_simhash_dedup(spark, sf_dir):
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id", "group_size")
 
 
+def op8_pfair_mix(spark, sf_dir):
+    return pfair.mix(_read(spark, sf_dir, "documents"))
+
+
+def op9_sentencepiece(spark, sf_dir):
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = piece_viterbi.encode(_read(spark, sf_dir, "documents"), model)
+    return piece_viterbi.decode(coded, model).select(
+        "doc_id", "n_pieces", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.length("decoded").cast("long").alias("n_chars"),
+    )
+
+
+def op10_toxicity(spark, sf_dir):
+    return toxicity.scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op8_pfair_mix": op8_pfair_mix,
+    "op9_sentencepiece": op9_sentencepiece,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {
