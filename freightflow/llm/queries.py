@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, pfair, piece_viterbi, simhash_dedup, toxicity
+from . import exact_dedup, lang_id, multi_index, pfair, piece_viterbi, simhash_dedup, toxicity
 
 
 def _read(spark, sf_dir, name):
@@ -22,6 +22,14 @@ def op2_simhash_dedup(spark, sf_dir):
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id", "group_size")
 
 
+def op3_lang_id(spark, sf_dir):
+    return lang_id.identify(_read(spark, sf_dir, "documents"))
+
+
+def op4_multi_index(spark, sf_dir):
+    return multi_index.neighbours(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_pfair_mix(spark, sf_dir):
     return pfair.mix(_read(spark, sf_dir, "documents"))
 
@@ -30,8 +38,8 @@ def op9_sentencepiece(spark, sf_dir):
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    coded = piece_viterbi.encode(_read(spark, sf_dir, "documents"), model)
-    return piece_viterbi.decode(coded, model).select(
+    coded = piece_viterbi.round_trip(_read(spark, sf_dir, "documents"), model)
+    return coded.select(
         "doc_id", "n_pieces", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"),
         F.length("decoded").cast("long").alias("n_chars"),
     )
@@ -44,6 +52,8 @@ def op10_toxicity(spark, sf_dir):
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_lang_id": op3_lang_id,
+    "op4_multi_index": op4_multi_index,
     "op8_pfair_mix": op8_pfair_mix,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_toxicity": op10_toxicity,
