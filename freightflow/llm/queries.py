@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, lang_id, multi_index, pfair, piece_viterbi, simhash_dedup, toxicity
+from . import exact_dedup, lang_id, multi_index, pfair, piece_viterbi, simhash_dedup, token_shards, toxicity
 
 
 def _read(spark, sf_dir, name):
@@ -30,6 +30,15 @@ def op4_multi_index(spark, sf_dir):
     return multi_index.neighbours(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op5_token_shards(spark, sf_dir):
+    import public_tokenizers
+
+    found = token_shards.round_trip(
+        _read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op8_pfair_mix(spark, sf_dir):
     return pfair.mix(_read(spark, sf_dir, "documents"))
 
@@ -54,6 +63,7 @@ QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_lang_id": op3_lang_id,
     "op4_multi_index": op4_multi_index,
+    "op5_token_shards": op5_token_shards,
     "op8_pfair_mix": op8_pfair_mix,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_toxicity": op10_toxicity,
