@@ -2,7 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, lang_id, multi_index, pfair, piece_viterbi, simhash_dedup, token_shards, toxicity
+from . import (
+    exact_dedup,
+    lang_id,
+    multi_index,
+    pfair,
+    piece_viterbi,
+    secret_scan,
+    simhash_dedup,
+    token_shards,
+    toxicity,
+    warc_fixity,
+)
 
 
 def _read(spark, sf_dir, name):
@@ -39,6 +50,19 @@ def op5_token_shards(spark, sf_dir):
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_warc_fixity(spark, sf_dir):
+    damaged = F.col("page_id") % 101 == 7
+    found = warc_fixity.audit_pages(_read(spark, sf_dir, "pages"), damaged)
+    return found.select(
+        "page_id", F.col("length").alias("n_bytes"),
+        F.lower(F.hex("digest")).alias("record_sha256"), "corrupt",
+    )
+
+
+def op7_secret_scan(spark, sf_dir):
+    return secret_scan.digests(secret_scan.scan(_read(spark, sf_dir, "documents")))
+
+
 def op8_pfair_mix(spark, sf_dir):
     return pfair.mix(_read(spark, sf_dir, "documents"))
 
@@ -64,6 +88,8 @@ QUERIES = {
     "op3_lang_id": op3_lang_id,
     "op4_multi_index": op4_multi_index,
     "op5_token_shards": op5_token_shards,
+    "op6_warc_fixity": op6_warc_fixity,
+    "op7_secret_scan": op7_secret_scan,
     "op8_pfair_mix": op8_pfair_mix,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_toxicity": op10_toxicity,
@@ -77,4 +103,28 @@ ORACLE = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_warc_fixity": r"""
+        WITH page AS (
+            SELECT page_id, coalesce(html, '') AS body,
+                   regexp_replace(coalesce(url, ''), '[\r\n]', ' ', 'g') AS target
+            FROM pages
+        ), named AS (
+            SELECT *, sha256(body) AS digest,
+                   md5(concat_ws('|', page_id::VARCHAR, target, sha256(body))) AS k
+            FROM page
+        ), record AS (
+            SELECT page_id, body, concat_ws(chr(13) || chr(10),
+                'WARC/1.0', 'WARC-Type: resource', 'WARC-Target-URI: ' || target,
+                'WARC-Date: 2024-01-01T00:00:00Z',
+                'WARC-Record-ID: <urn:uuid:' || concat_ws('-', substr(k, 1, 8), substr(k, 9, 4),
+                    substr(k, 13, 4), substr(k, 17, 4), substr(k, 21, 12)) || '>',
+                'WARC-Page-Id: ' || page_id::VARCHAR, 'WARC-Payload-Digest: sha256:' || digest,
+                'Content-Type: text/html; charset=utf-8', 'Content-Length: ' || strlen(body)::VARCHAR,
+                '', body) AS text
+            FROM named
+        )
+        SELECT page_id, strlen(text)::BIGINT AS n_bytes, sha256(text) AS record_sha256,
+               coalesce(page_id % 101 = 7 AND body <> '', false) AS corrupt
+        FROM record
+    """,
 }
