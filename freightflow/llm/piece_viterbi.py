@@ -24,9 +24,9 @@ MARK = "▁"
 #: What a fallback byte scores below the rarest piece.
 BYTE_PENALTY = 2.0
 #: Characters of text whose words are searched together.
-BATCH_CHARACTERS = 16 << 20
+BATCH_CHARACTERS = 1 << 21
 #: Encoded words that are kept for later batches.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 class Vocabulary:
@@ -161,29 +161,29 @@ def coder(model_file):
     return Coder(model_file)
 
 
-def _slices(texts):
-    """Ranges of a batch with BATCH_CHARACTERS at most, or one text."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > BATCH_CHARACTERS:
+def _slices(column):
+    """Parts of a text column with BATCH_CHARACTERS bytes at most, or one text: (start, end)."""
+    sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in column], np.int64)
+    start, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if size and size + n > BATCH_CHARACTERS:
             yield start, i
             start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+        size += n
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def _encode_rows(model_file):
     def run(batches):
         code = coder(model_file)
         for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            for a, b in _slices(texts):
+            for a, b in _slices(batch["text"]):
                 part = batch.slice(a, b - a)
-                ids = pa.array(code.encode(texts[a:b]), pa.binary())
-                columns = [part[n] for n in part.schema.names if n != "text"]
-                names = [n for n in part.schema.names if n != "text"]
-                yield pa.RecordBatch.from_arrays([*columns, ids], [*names, "ids"])
+                ids = code.encode([t or "" for t in part["text"].to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], pa.array(ids, pa.binary())], ["doc_id", "ids"]
+                )
 
     return run
 
@@ -192,15 +192,47 @@ def _decode_rows(model_file):
     def run(batches):
         code = coder(model_file)
         for batch in batches:
-            ids = batch["ids"].to_pylist()
-            decoded = [code.decode(x) for x in ids]
-            crc = pa.array([zlib.crc32(x) for x in ids], pa.int64())
-            count = pa.array([len(x) // 4 for x in ids], pa.int64())
-            names = [n for n in batch.schema.names if n != "ids"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch[n] for n in names), count, crc, pa.array(decoded, pa.string())],
-                [*names, "n_pieces", "ids_crc32", "decoded"],
-            )
+            for a, b in _slices(batch["ids"]):
+                part = batch.slice(a, b - a)
+                ids = part["ids"].to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part["doc_id"],
+                        pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                        pa.array([code.decode(x) for x in ids], pa.string()),
+                    ],
+                    ["doc_id", "n_pieces", "ids_crc32", "decoded"],
+                )
+
+    return run
+
+
+def _round_trip_rows(model_file):
+    encoded, decoded = _encode_rows(model_file), _decode_rows(model_file)
+    return lambda batches: decoded(encoded(batches))
+
+
+def _training_rows(model_file):
+    """(doc_id, text) to (doc_id, ids as a list, n_pieces); fails if a text does not come back."""
+
+    def run(batches):
+        code = coder(model_file)
+        for batch in batches:
+            for a, b in _slices(batch["text"]):
+                part = batch.slice(a, b - a)
+                texts = [t or "" for t in part["text"].to_pylist()]
+                ids = code.encode(texts)
+                for name, text, x in zip(part["doc_id"], texts, ids, strict=True):
+                    if code.decode(x) != text:
+                        raise ValueError(f"document {name} does not decode to its text")
+                counts = np.array([len(x) // 4 for x in ids], np.int32)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], pa.ListArray.from_arrays(offsets, values), pa.array(counts, pa.int64())],
+                    ["doc_id", "ids", "n_pieces"],
+                )
 
     return run
 
@@ -219,3 +251,17 @@ def decode(coded, model_file):
     rows = coded.select("doc_id", F.coalesce("ids", F.unhex(F.lit(""))).alias("ids"))
     schema = "doc_id long, n_pieces long, ids_crc32 long, decoded string"
     return map_arrow(rows, _decode_rows(model_file), schema)
+
+
+def round_trip(docs, model_file):
+    """`decode` of `encode` in one pass, by one worker for each task."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = "doc_id long, n_pieces long, ids_crc32 long, decoded string"
+    return map_arrow(rows, _round_trip_rows(model_file), schema)
+
+
+def training_rows(docs, model_file):
+    """(doc_id, ids as an array, n_pieces) of each whole text, each decoded and compared with it."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = "doc_id long, ids array<int>, n_pieces long"
+    return map_arrow(rows, _training_rows(model_file), schema)
