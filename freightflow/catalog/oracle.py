@@ -35,7 +35,7 @@ BOUND_STATUS = "CASE l_linestatus WHEN 'F' THEN '64003' ELSE '64002' END"
 
 REGION_OF_ORGAN = """
     SELECT CAST(s_suppkey AS VARCHAR) AS org_id, s_name AS org_name,
-           'D' || s_nationkey AS region_id,
+           'H' || s_nationkey AS region_id,
            'C' || n_nationkey AS city_id, n_name AS city_name,
            'P' || r_regionkey AS province_id, r_name AS province_name
     FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
@@ -55,21 +55,26 @@ FIRST_CARGO = f"""
     SELECT * EXCLUDE (n) FROM (
         SELECT l_orderkey, CAST(l_orderkey AS VARCHAR) AS order_id,
                'K' || (l_partkey % 6) AS cargo_type, {_t(CARGO_AT)} AS create_time,
+               CAST(l_quantity AS VARCHAR) AS weight,
+               CAST(l_extendedprice AS VARCHAR) AS volume_length,
                {CARGO_AT} * 1000 AS ts,
                row_number() OVER (PARTITION BY l_orderkey
-                                  ORDER BY l_linenumber, 'K' || (l_partkey % 6)) AS n
+                                  ORDER BY l_linenumber, 'K' || (l_partkey % 6),
+                                           CAST(l_quantity AS VARCHAR),
+                                           CAST(l_extendedprice AS VARCHAR)) AS n
         FROM lineitem) WHERE n = 1
 """
 
 CARGO_FACT = f"""
-    SELECT c.order_id, c.cargo_type, c.create_time, c.ts, o.id, o.amount, o.o_totalprice,
+    SELECT c.order_id, c.cargo_type, c.weight, c.volume_length, c.create_time, c.ts, o.id, o.amount, o.o_totalprice,
            o.cargo_num, o.sender_city_id, o.sender_province_id
     FROM ({FIRST_CARGO}) c JOIN ({ORDER_ROW}) o ON c.l_orderkey = o.o_orderkey
 """
 
 ORG_FACT = f"""
     SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_suppkey AS VARCHAR) AS org_id,
-           {BOUND_STATUS} AS status, {_t(BOUND_AT)} AS sort_time, {BOUND_AT} * 1000 AS ts,
+           {BOUND_STATUS} AS status, {_t(BOUND_AT)} AS sort_time,
+           CAST(l_partkey % 97 AS VARCHAR) AS outbound_emp_id, {BOUND_AT} * 1000 AS ts,
            o.id, o.amount, o.o_totalprice, o.cargo_num
     FROM lineitem JOIN ({ORDER_ROW}) o ON l_orderkey = o.o_orderkey
 """
@@ -95,9 +100,11 @@ TRUCK_FACT_COLUMNS = """
 def _express_fact(event_type, status, time_column):
     return f"""
         SELECT CAST(event_id AS VARCHAR) AS id, org_id, '{status}' AS status,
+               CAST(event_id * 3 AS VARCHAR) AS order_id, courier_id,
                {_t(EVENT_AT)} AS {time_column}, {EVENT_AT} * 1000 AS ts, region_id, org_name,
                city_id, city_name, province_id, province_name
-        FROM (SELECT event_id, CAST(user_id % 10 AS VARCHAR) AS org_id
+        FROM (SELECT event_id, CAST(user_id % 10 AS VARCHAR) AS org_id,
+                     CAST(user_id AS VARCHAR) AS courier_id
               FROM events WHERE event_type = '{event_type}') e
         LEFT JOIN ({REGION_OF_ORGAN}) r USING (org_id)
     """
@@ -109,6 +116,7 @@ DELIVER_FACT = _express_fact("purchase", "68003", "delivered_time")
 SORTING_FACT = f"""
     SELECT l_orderkey || '-' || l_linenumber AS id, org_id, '64003' AS status,
            CAST(l_orderkey AS VARCHAR) AS order_id, {_t(BOUND_AT)} AS sort_time,
+           CAST(l_partkey % 97 AS VARCHAR) AS outbound_emp_id,
            {BOUND_AT} * 1000 AS ts, region_id, org_name, city_id, city_name, province_id,
            province_name
     FROM (SELECT *, CAST(l_suppkey AS VARCHAR) AS org_id FROM lineitem
@@ -127,6 +135,24 @@ def _express_rollup(fact):
     """
 
 
+def _renamed(fact, arrivals, arrival="ts"):
+    """A fact whose organisations have new names for rows of the second half of the time span."""
+    return f"""
+        WITH span AS (SELECT min(moment) AS low, (max(moment) - min(moment) + 2) // 2 AS step FROM ({arrivals}))
+        SELECT * EXCLUDE (low, step)
+               REPLACE (CASE WHEN least(1, ({arrival} - low) // step) = 0 THEN org_name
+                             ELSE org_name || '_v2' END AS org_name)
+        FROM ({fact}) CROSS JOIN span
+    """
+
+
+# When the change of a bound was made, from lineitem and from the fact.
+BOUND_ARRIVAL = (
+    f"(({BOUND_AT}) + CASE WHEN l_orderkey % 5 = 0 THEN 30 * 86400 ELSE 0 END) * 1000"
+)
+BOUND_ARRIVED = "ts + CASE WHEN CAST(order_id AS BIGINT) % 5 = 0 THEN 2592000000 ELSE 0 END"
+
+
 def _rows_of_change_log(tables):
     """(table, type, id text, created seconds, offset, status, fields) of business tables."""
     parts = {
@@ -138,11 +164,14 @@ def _rows_of_change_log(tables):
             FROM orders""",
         "order_cargo": f"""
             SELECT 'order_cargo', 'insert', l_orderkey || '-' || l_linenumber, {CARGO_AT},
-                   l_linenumber, NULL, {_t(CARGO_AT)}, 4
+                   l_linenumber, NULL, {_t(CARGO_AT)}, 6
             FROM lineitem""",
         "order_org_bound": f"""
-            SELECT 'order_org_bound', 'insert', l_orderkey || '-' || l_linenumber, {BOUND_AT},
-                   l_orderkey, {BOUND_STATUS}, {_t(BOUND_AT)}, 9
+            SELECT 'order_org_bound',
+                   CASE WHEN l_orderkey % 5 = 0 THEN 'bootstrap-insert' ELSE 'insert' END,
+                   l_orderkey || '-' || l_linenumber,
+                   {BOUND_AT} + CASE WHEN l_orderkey % 5 = 0 THEN 30 * 86400 ELSE 0 END,
+                   l_orderkey, {BOUND_STATUS}, {_t(BOUND_AT)}, 10
             FROM lineitem""",
         "transport_task": f"""
             SELECT 'transport_task', 'update', 'T' || o_orderkey, {TASK_AT}, o_orderkey,
@@ -157,12 +186,12 @@ def _rows_of_change_log(tables):
         "express_task_collect": f"""
             SELECT 'express_task_collect', 'update', CAST(event_id AS VARCHAR), {EVENT_AT},
                    event_id, CASE event_type WHEN 'click' THEN '63003' ELSE '63001' END,
-                   {_t(EVENT_AT)}, 8
+                   {_t(EVENT_AT)}, 10
             FROM events WHERE event_type IN ('click', 'view')""",
         "express_task_delivery": f"""
             SELECT 'express_task_delivery', 'update', CAST(event_id AS VARCHAR), {EVENT_AT},
                    event_id, CASE event_type WHEN 'purchase' THEN '68003' ELSE '68001' END,
-                   NULL, 4
+                   NULL, 6
             FROM events WHERE event_type IN ('purchase', 'signup')""",
     }
     names = '"table", type, id, sec, "offset", status, create_time, fields'
@@ -184,7 +213,7 @@ DIRTY = f"""
                    WHEN "offset" % 29 = 28 THEN 'unsupported_type'
                    WHEN "offset" % 31 = 30 THEN 'blank_field'
                    WHEN "offset" % 37 = 36 THEN 'null_value' END AS reason
-    FROM ({_rows_of_change_log(["order_info", "transport_task"])})
+    FROM ({_rows_of_change_log(ALL_TABLES)})
 """
 
 # ---------------------------------------------------------------- dimensions
@@ -201,13 +230,15 @@ DIM_ROWS = """
            'C' || n_nationkey || '|P' || n_regionkey || '|', '|City'
     FROM nation
     UNION ALL
-    SELECT 'base_region_info', 'D' || n_nationkey, n_nationkey,
-           'id,parent_id,name,dict_code,type,ts', n_name || '_D',
-           'D' || n_nationkey || '|C' || n_nationkey || '|', '|District'
-    FROM nation
+    SELECT 'base_region_info', here || n_nationkey, n_nationkey,
+           'id,parent_id,name,dict_code,type,ts', n_name || '_' || here,
+           here || n_nationkey || '|' || above || n_nationkey || '|',
+           CASE here WHEN 'D' THEN '|District' ELSE '|Street' END
+    FROM nation CROSS JOIN (VALUES ('C', 'D'), ('D', 'E'), ('E', 'F'), ('F', 'G'), ('G', 'H'))
+         AS v(above, here)
     UNION ALL
     SELECT 'base_organ', CAST(s_suppkey AS VARCHAR), s_suppkey,
-           'id,org_name,region_id,type,ts', s_name, s_suppkey || '|', '|D' || s_nationkey
+           'id,org_name,region_id,type,ts', s_name, s_suppkey || '|', '|H' || s_nationkey
     FROM supplier
     UNION ALL
     SELECT DISTINCT 'base_dic', 'K' || (p_partkey % 6), p_partkey % 6,
@@ -242,6 +273,13 @@ LAST_OF_FEED = f"""
     QUALIFY row_number() OVER (PARTITION BY dim, id ORDER BY ts DESC, "offset" DESC) = 1
 """
 
+# A dimension that was emptied or dropped keeps the changes that came afterwards.
+LIFECYCLE = f"""
+    SELECT * FROM ({DIM_FEED})
+    WHERE dim <> 'truck_model' AND (dim NOT IN ('base_organ', 'truck_info') OR phase > 0)
+    QUALIFY row_number() OVER (PARTITION BY dim, id ORDER BY ts DESC, "offset" DESC) = 1
+"""
+
 CONFIG_IMAGES = f"""
     SELECT event_id, op, 'table_' || user_id AS source_table, event_id % 4 <> 3 AS is_dim,
            'id,c' || event_id AS sink_columns
@@ -270,12 +308,14 @@ TASK_DETAIL = f"""
 
 SPLIT_CARGO = f"""
     SELECT CAST(l_orderkey AS VARCHAR) AS order_id, 'K' || (l_partkey % 6) AS cargo_type,
+           CAST(l_quantity AS VARCHAR) AS weight,
+           CAST(l_extendedprice AS VARCHAR) AS volume_length,
            {_t(CARGO_AT)} AS create_time, {CARGO_AT} * 1000 AS ts, 'order_cargo' AS branch,
            NULL AS id, NULL AS amount, NULL AS cargo_num, NULL AS sender_city_id,
            NULL AS sender_province_id
     FROM lineitem
     UNION ALL
-    SELECT NULL, NULL, NULL, NULL, 'order_info', id, amount, cargo_num, sender_city_id,
+    SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'order_info', id, amount, cargo_num, sender_city_id,
            sender_province_id
     FROM ({ORDER_ROW})
 """
@@ -319,7 +359,7 @@ ORACLE = {
         SELECT 'tms' AS "database", "table", type, sec * 1000 AS ts, "offset",
                {_t("sec")} AS et, true AS has_pt, id, status, create_time,
                CAST(fields AS BIGINT) AS fields
-        FROM ({_rows_of_change_log(["order_info", "order_org_bound"])})""",
+        FROM ({_rows_of_change_log(ALL_TABLES)})""",
     "change_type_counts": f"""
         SELECT "table", replace(type, 'bootstrap-', '') AS type, count(*) AS changes
         FROM ({_rows_of_change_log(ALL_TABLES)}) GROUP BY 1, 2""",
@@ -331,11 +371,12 @@ ORACLE = {
     "split_cargo_and_info": SPLIT_CARGO,
     "split_bound_and_info": f"""
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_suppkey AS VARCHAR) AS org_id,
-               {BOUND_STATUS} AS status, {_t(BOUND_AT)} AS sort_time, {BOUND_AT} * 1000 AS ts,
+               {BOUND_STATUS} AS status, {_t(BOUND_AT)} AS sort_time,
+               CAST(l_partkey % 97 AS VARCHAR) AS outbound_emp_id, {BOUND_AT} * 1000 AS ts,
                'order_org_bound' AS branch, NULL AS id, NULL AS amount, NULL AS cargo_num
         FROM lineitem
         UNION ALL
-        SELECT NULL, NULL, NULL, NULL, NULL, 'order_info', id, amount, cargo_num
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'order_info', id, amount, cargo_num
         FROM ({ORDER_ROW})""",
     "fn_time": f"""
         SELECT {ORDER_AT} * 1000 AS ts, substr({_t(ORDER_AT)}, 1, 10) AS day,
@@ -379,15 +420,10 @@ ORACLE = {
     "dim_table_lifecycle": f"""
         SELECT 'dim_' || dim AS sink_table, id AS row_key, cols AS "columns",
                {DIM_IMAGE} AS "values"
-        FROM (SELECT * FROM ({DIM_FEED})
-              WHERE dim <> 'truck_model'
-                AND (dim NOT IN ('base_organ', 'truck_info')
-                     OR ts > {(S + 86400) * 1000} - CASE dim WHEN 'truck_info' THEN 0 ELSE 1 END)
-              QUALIFY row_number() OVER (PARTITION BY dim, id ORDER BY ts DESC, "offset" DESC) = 1)
-        WHERE type <> 'delete'""",
+        FROM ({LIFECYCLE}) WHERE type <> 'delete'""",
     "dim_snapshot": """
         SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name || '_v2' AS org_name,
-               'D' || s_nationkey AS region_id FROM supplier""",
+               'H' || s_nationkey AS region_id FROM supplier""",
     "upsert_latest_by_key": f"""
         SELECT id AS key,
                CASE WHEN type = 'delete' THEN NULL
@@ -406,7 +442,7 @@ ORACLE = {
         UNION ALL
         SELECT level || n_nationkey, 'C' || n_nationkey, n_name, 'P' || r_regionkey, r_name
         FROM nation JOIN region ON n_regionkey = r_regionkey
-             CROSS JOIN (VALUES ('C'), ('D')) AS v(level)""",
+             CROSS JOIN (VALUES ('C'), ('D'), ('E'), ('F'), ('G'), ('H')) AS v(level)""",
     "join_region": f"""
         SELECT org_id AS id, org_name, region_id, city_id, city_name, province_id, province_name
         FROM ({REGION_OF_ORGAN})""",
@@ -493,7 +529,7 @@ ORACLE = {
         FROM ({_express_rollup(PICKUP_FACT)})""",
     "ods_change_stream": f"""
         SELECT 'tms' AS "database", "table", type, sec * 1000 AS ts, "offset", id, status
-        FROM ({_rows_of_change_log(["order_info", "transport_task"])})""",
+        FROM ({_rows_of_change_log(ALL_TABLES)})""",
     "stream_fact_sink": f"SELECT {TRUCK_FACT_COLUMNS} FROM ({TRUCK_FACT})",
     "stream_split": SPLIT_CARGO,
     "stream_dws_trade_order_city": CITY_ROLLUP,
@@ -503,10 +539,8 @@ ORACLE = {
     "stream_trade_order_org": f"SELECT * EXCLUDE (o_totalprice) FROM ({ORG_FACT})",
     "stream_transport_task_detail": TASK_DETAIL,
     "stream_dim_apply_changes": f"""
-        SELECT CASE dim WHEN 'base_organ' THEN 'organ' ELSE 'truck' END AS dim, id, label, type,
-               CAST(ts AS VARCHAR) AS ts
-        FROM ({LAST_OF_FEED})
-        WHERE dim IN ('base_organ', 'truck_info') AND type <> 'delete'""",
+        SELECT dim, id, label, type, CAST(ts AS VARCHAR) AS ts
+        FROM ({LIFECYCLE}) WHERE type <> 'delete'""",
     "stream_upsert_latest": f"""
         SELECT CAST(o_custkey AS VARCHAR) AS truck_id, 'T' || o_orderkey AS id
         FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
@@ -522,4 +556,11 @@ ORACLE = {
                CASE WHEN least(1, (ts - low) // step) = 0 THEN s_name
                     ELSE s_name || '_v2' END AS org_name
         FROM parcels CROSS JOIN span LEFT JOIN supplier ON org_id = CAST(s_suppkey AS VARCHAR)""",
+    "stream_task_detail_sink": TASK_DETAIL,
+    "stream_express_pickup": _renamed(PICKUP_FACT, f"""
+        SELECT {EVENT_AT} * 1000 AS moment FROM events WHERE event_type IN ('click', 'view')"""),
+    "stream_express_deliver": _renamed(DELIVER_FACT, f"""
+        SELECT {EVENT_AT} * 1000 AS moment FROM events WHERE event_type IN ('purchase', 'signup')"""),
+    "stream_express_sorting": _renamed(SORTING_FACT, f"SELECT {BOUND_ARRIVAL} AS moment FROM lineitem",
+                                       f"({BOUND_ARRIVED})"),
 }

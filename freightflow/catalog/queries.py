@@ -1,5 +1,8 @@
 """Registered queries: each takes a session and the folder of the tables."""
 
+from functools import reduce
+
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -7,10 +10,10 @@ from .. import functions as fn
 from ..functions.time import DATETIME
 from ..operators import (
     apply_changes,
-    broadcast_if_small,
     clean,
     count_types,
     first_per_key,
+    flatten_regions,
     join_region,
     keep_current_epoch,
     key_changes,
@@ -18,9 +21,8 @@ from ..operators import (
     route,
     window_rollup,
 )
-from ..operators.lookup import flatten_regions
 from ..plans import facts, rollups
-from ..schemas import FACTS
+from ..schemas import CARGO_COLUMNS, FACTS
 from ..session import work_folder
 from ..sources import (
     DimensionStore,
@@ -33,11 +35,11 @@ from ..sources import (
     parse_facts,
     read_files,
     reject_reason,
-    snapshot_events,
 )
 from ..streaming import (
     DimensionJob,
     batch_folders,
+    enrich_latest,
     fan_out,
     file_sink,
     lookup_latest,
@@ -59,10 +61,13 @@ _SETTINGS = {
 
 
 def query(build):
+    """Register `build`, to run in a copy of the caller's session that has the settings."""
+
     def run(spark, sf_dir):
+        own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
         for key, value in _SETTINGS.items():
-            spark.conf.set(key, value)
-        return build(spark, sf_dir)
+            own.conf.set(key, value)
+        return build(own, sf_dir)
 
     QUERIES[build.__name__.removesuffix("_query")] = run
     return run
@@ -82,7 +87,7 @@ def _rounded(df, *names):
 
 @query
 def ods_change_table(spark, sf):
-    ods = ods_table(fx.raw(fx.changelog(spark, sf, ["order_info", "order_org_bound"])))
+    ods = ods_table(fx.raw(fx.changelog(spark, sf)))
     return ods.select(
         "database", "table", "type", "ts", "offset",
         F.date_format("et", DATETIME).alias("et"),
@@ -99,14 +104,14 @@ def change_type_counts(spark, sf):
 
 @query
 def rejected_rows(spark, sf):
-    dirty = fx.dirty_raw(fx.changelog(spark, sf, ["order_info", "transport_task"]))
+    dirty = fx.dirty_raw(fx.changelog(spark, sf))
     reasons = reject_reason(dirty).where("reason IS NOT NULL")
     return reasons.groupBy("reason").agg(F.count("*").alias("rejected"))
 
 
 @query
 def dim_clean(spark, sf):
-    dirty = fx.dirty_raw(fx.changelog(spark, sf, ["order_info", "transport_task"]))
+    dirty = fx.dirty_raw(fx.changelog(spark, sf))
     return clean(parse_changes(dirty)).select("table", "type", "ts", "offset", *_data("id"))
 
 
@@ -203,14 +208,19 @@ def dim_apply_changes(spark, sf):
         return key_changes(projected).select(*columns, F.col("image")["type"].alias("type"))
 
     loaded = last(feed.where("type = 'bootstrap-insert'")).select(*names)
-    return apply_changes(loaded, last(feed.where("type <> 'bootstrap-insert'")), "id", False)
+    return apply_changes(loaded, last(feed.where("type <> 'bootstrap-insert'")), "id")
 
 
 @query
 def dim_table_lifecycle(spark, sf):
-    projected = project_columns(_routed(spark, sf))
-    current = keep_current_epoch(projected, config_epochs(fx.lifecycle_events(spark)))
-    return _flat_image(key_changes(current).where("type <> 'delete'"))
+    """All five dimensions after their configuration changed, with a log that also has other tables."""
+    events = fx.lifecycle_events(spark)
+    changes = fx.lifecycle_changes(spark, sf).unionByName(
+        fx.changelog(spark, sf, ["order_info"]), allowMissingColumns=True
+    )
+    current = keep_current_epoch(clean(changes), config_epochs(events))
+    projected = project_columns(route(current, config_feed(events)))
+    return _flat_image(key_changes(projected).where("type <> 'delete'"))
 
 
 @query
@@ -236,7 +246,7 @@ def upsert_latest_by_key(spark, sf):
 @query
 def dic_lookup_table(spark, sf):
     """SQL join with the nested dictionary, per cargo."""
-    broadcast_if_small(dic_lookup(fx.base_dic(spark, sf))).createOrReplaceTempView("dim_dic")
+    dic_lookup(fx.base_dic(spark, sf), "dim_dic")
     facts.cargo_inserts(fx.changelog(spark, sf, ["order_cargo"])).createOrReplaceTempView("cargo")
     return spark.sql(
         "SELECT order_id, cargo_type, d.info.dic_name AS dic_name "
@@ -442,16 +452,10 @@ def _with_sentinel(spark, slices):
     return [*lines[:-1], lines[-1].unionByName(far)]
 
 
-def _whole_span(changes):
-    """A time bound for join state that no pair of the input exceeds."""
-    low, high = changes.agg(F.min("ts"), F.max("ts")).first()
-    return f"{((high or 0) - (low or 0)) // 1000 + 3600} seconds"
-
-
 @query
 def ods_change_stream(spark, sf):
     """Landing the parsed log by table, so that later jobs read only the tables they need."""
-    changes = _log(spark, sf, "order_info", "transport_task")
+    changes = fx.changelog(spark, sf)
     return _replay(
         spark, "ods_change_stream", _raw_slices(changes, 2),
         lambda raw: parse_changes(raw).select(
@@ -497,8 +501,8 @@ def stream_split(spark, sf):
         )
 
     replay(_raw_slices(changes, 2), f"{root}/in", start)
-    cargo = spark.read.parquet(f"{root}/cargo").drop("batch_id")
-    orders = spark.read.parquet(f"{root}/orders").drop("batch_id")
+    cargo = spark.read.parquet(f"{root}/cargo").drop("run", "batch_id")
+    orders = spark.read.parquet(f"{root}/orders").drop("run", "batch_id")
     return cargo.withColumn("branch", F.lit("order_cargo")).unionByName(
         orders.withColumn("branch", F.lit("order_info")), allowMissingColumns=True
     )
@@ -516,7 +520,7 @@ def stream_dws_trade_order_city(spark, sf):
         ),
         batch_folders,
     )
-    return _rounded(out.drop("batch_id"), "total_amount")
+    return _rounded(out.drop("run", "batch_id"), "total_amount")
 
 
 @query
@@ -549,46 +553,32 @@ def stream_late_rows(spark, sf):
     )
 
 
-def _cargo_log(spark, sf):
-    """Orders, and the first cargo of each, which for every third order arrives twice.
-
-    A stream keeps the cargo that it sees first; only with one cargo per order is that the
-    same one in every run.
-    """
-    cargo = facts.cargo_inserts(_log(spark, sf, "order_cargo"))
-    first = first_per_key(cargo, ["order_id"], ("arrived", "offset"))
-    copies = F.when(
-        F.col("order_id").cast("bigint") % 3 == 0, F.array(F.lit(1), F.lit(2))
-    ).otherwise(F.array(F.lit(1)))
-    names = ("order_id", "cargo_type", "create_time")
-    log = first.withColumn("copy", F.explode(copies)).select(
-        F.lit("tms").alias("database"), F.lit("order_cargo").alias("table"),
-        F.lit("insert").alias("type"), F.col("arrived").alias("ts"),
-        F.col("copy").cast("bigint").alias("offset"),
-        F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))]).alias("data"),
-        F.lit(None).cast("map<string,string>").alias("old"),
-    )
-    return log.unionByName(_log(spark, sf, "order_info"))
-
-
 def _odd_key(*names):
     """Changes that arrive one slice late in the join streams."""
     key = F.coalesce(*[F.col("data")[n] for n in names])
     return F.regexp_replace(key, "[^0-9]", "").cast("bigint") % 2 == 1
 
 
+def _cargo_arrivals(changes):
+    """The whole log of orders and cargos in three arrivals. Every order's first cargo comes before
+    its others, as a stream keeps the one it sees first, and after its order if that is odd."""
+    cargo = (F.col("table") == "order_cargo")
+    rows = changes.withColumn("_order", F.coalesce(F.col("data")["order_id"], F.col("data")["id"]))
+    data = [F.col("data")[c] for c in CARGO_COLUMNS]
+    first = Window.partitionBy("table", "_order").orderBy("ts", "offset", *data)
+    late = F.when(cargo & (F.row_number().over(first) > 1), 1).otherwise(0)
+    odd = F.when(cargo & (F.col("_order").cast("bigint") % 2 == 1), 1).otherwise(0)
+    numbered = rows.withColumn("_arrival", late + odd)
+    return [numbered.where(F.col("_arrival") == i).drop("_order", "_arrival") for i in range(3)]
+
+
 @query
 def stream_trade_order_cargo(spark, sf):
     """Cargos of odd orders arrive after their order, in a later run."""
-    changes = _stored(spark, "cargo_log", _cargo_log(spark, sf))
-    late = (F.col("table") == "order_cargo") & _odd_key("order_id")
-    within = _whole_span(changes)
+    changes = _stored(spark, "cargo_log", _log(spark, sf, "order_info", "order_cargo"))
     return _replay(
-        spark, "stream_trade_order_cargo", _raw_slices(changes, 2, late),
-        lambda raw: facts.trade_order_cargo(
-            parse_changes(raw, ["order_cargo"]), within,
-            order_changes=parse_changes(raw, ["order_info"]),
-        ),
+        spark, "stream_trade_order_cargo", [fx.raw(rows) for rows in _cargo_arrivals(changes)],
+        lambda raw: facts.trade_order_cargo(parse_changes(raw, ["order_info", "order_cargo"])),
     )
 
 
@@ -597,30 +587,44 @@ def stream_trade_order_org(spark, sf):
     """Odd orders arrive after some of their bounds, in a later run."""
     changes = _log(spark, sf, "order_info", "order_org_bound")
     late = (F.col("table") == "order_info") & _odd_key("order_no")
-    within = _whole_span(changes)
     return _replay(
         spark, "stream_trade_order_org", _raw_slices(changes, 2, late),
-        lambda raw: facts.trade_order_org(
-            parse_changes(raw, ["order_org_bound"]), within,
-            order_changes=parse_changes(raw, ["order_info"]),
-        ),
+        lambda raw: facts.trade_order_org(parse_changes(raw, ["order_info", "order_org_bound"])),
     )
 
 
+def _task_details(raw, positions=False):
+    tables = ["transport_task", "transport_task_detail"]
+    return facts.transport_task_detail(parse_changes(raw, tables, positions=positions))
+
+
 @query
 def stream_transport_task_detail(spark, sf):
     changes = _log(spark, sf, "transport_task", "transport_task_detail")
     late = (F.col("table") == "transport_task") & _odd_key("id")
-    within = _whole_span(changes)
     return _replay(
-        spark, "stream_transport_task_detail", _raw_slices(changes, 2, late),
-        lambda raw: facts.transport_task_detail(
-            parse_changes(raw, ["transport_task"]), within,
-            detail_changes=parse_changes(raw, ["transport_task_detail"]),
-        ),
+        spark, "stream_transport_task_detail", _raw_slices(changes, 2, late), _task_details
     )
 
 
+@query
+def stream_task_detail_sink(spark, sf):
+    """The details written as JSON lines of thirteen columns, then read back as typed rows."""
+    changes = _log(spark, sf, "transport_task", "transport_task_detail")
+    root = work_folder(spark, "stream_task_detail_sink")
+
+    def start():
+        return run_stream(
+            "stream_task_detail_sink", read_files(spark, f"{root}/in"),
+            lambda raw: _fact_lines(_task_details(raw)), file_sink(f"{root}/out", "text"),
+            f"{root}/checkpoint", available_now=True, state_partitions=_partitions(spark),
+        )
+
+    replay(_raw_slices(changes, 2), f"{root}/in", start)
+    lines = read_files(spark, f"{root}/out", streaming=False)
+    return parse_facts(lines, FACTS["dwd_transport_task_detail"])
+
+
 def _phases(feed):
     """The dimension feed as it arrives: load, renames, deletes."""
     kinds = [["bootstrap-insert"], ["update"], ["delete"]]
@@ -629,10 +633,11 @@ def _phases(feed):
 
 @query
 def stream_dim_apply_changes(spark, sf):
+    """All five dimensions; their configuration changes after the load has come."""
     root = work_folder(spark, "stream_dim_apply_changes")
-    events = snapshot_events(fx.dimension_config(spark))
-    job = DimensionJob(DimensionStore(spark, f"{root}/store"), lambda: events)
-    feed = fx.dimension_changes(spark, sf, ["base_organ", "truck_info"])
+    events, config = fx.lifecycle_events(spark), fx.dimension_config(spark)
+    seen = {"events": events.where("op = 'r'")}
+    job = DimensionJob(DimensionStore(spark, f"{root}/store"), lambda: seen["events"])
 
     def start():
         return run_stream(
@@ -641,15 +646,18 @@ def stream_dim_apply_changes(spark, sf):
             state_partitions=_partitions(spark),
         )
 
-    replay(_phases(feed), f"{root}/in", start)
-    organ = job.store.read("dim_base_organ", job.schema("id,org_name,region_id"))
-    truck = job.store.read("dim_truck_info", job.schema("id,truck_model_id,truck_no"))
-
-    def label(df, name, column):
-        return df.select(F.lit(name).alias("dim"), "id", F.col(column).alias("label"), "type", "ts")
-
-    return label(organ, "organ", "org_name").unionByName(
-        label(truck, "truck", "truck_model_id")
+    for rows in _phases(fx.dimension_changes(spark, sf)):
+        replay([rows], f"{root}/in", start)
+        seen["events"] = events
+    return reduce(
+        lambda a, b: a.unionByName(b),
+        [
+            job.store.read(r["sink_table"], job.schema(r["sink_columns"])).select(
+                F.lit(r["source_table"]).alias("dim"), "id",
+                F.col(fx.DIMENSIONS[r["source_table"]][1]).alias("label"), "type", "ts",
+            )
+            for r in config.collect()
+        ],
     )
 
 
@@ -702,4 +710,49 @@ def stream_lookup_latest(spark, sf):
     for version, (names, rows) in enumerate(zip(versions, slices)):
         store.write("dim_base_organ", names, version)
         replay([rows], f"{root}/in", start)
-    return spark.read.parquet(f"{root}/out").drop("batch_id")
+    return spark.read.parquet(f"{root}/out").drop("run", "batch_id")
+
+
+def _enriched(spark, sf, name, table, build):
+    """Facts of a stream whose organisations are renamed between two arrivals."""
+    root = work_folder(spark, name)
+    store = DimensionStore(spark, f"{root}/store")
+    organ, regions = _organ(spark, sf)
+    renamed = organ.withColumn("org_name", F.concat("org_name", F.lit("_v2")))
+    tables = {
+        "organ": ("dim_base_organ", organ.schema.simpleString()[7:-1].replace(":", " ")),
+        "regions": ("dim_base_region_info", regions.schema.simpleString()[7:-1].replace(":", " ")),
+    }
+    store.write("dim_base_region_info", regions)
+    sink = enrich_latest(
+        lambda raw, organ, regions: build(parse_changes(raw, [table]), organ, regions),
+        store, tables, f"{root}/out",
+    )
+
+    def start():
+        return run_stream(
+            name, read_files(spark, f"{root}/in"), lambda raw: raw, sink, f"{root}/checkpoint",
+            available_now=True, state_partitions=_partitions(spark),
+        )
+
+    for names, rows in zip((organ, renamed), _raw_slices(_log(spark, sf, table), 2)):
+        store.write("dim_base_organ", names)
+        replay([rows], f"{root}/in", start)
+    return spark.read.parquet(f"{root}/out").drop("run", "batch_id")
+
+
+@query
+def stream_express_pickup(spark, sf):
+    return _enriched(spark, sf, "stream_express_pickup", "express_task_collect", facts.express_pickup)
+
+
+@query
+def stream_express_deliver(spark, sf):
+    return _enriched(
+        spark, sf, "stream_express_deliver", "express_task_delivery", facts.express_deliver
+    )
+
+
+@query
+def stream_express_sorting(spark, sf):
+    return _enriched(spark, sf, "stream_express_sorting", "order_org_bound", facts.express_sorting)

@@ -15,6 +15,7 @@ from .schemas import BUSINESS_DATABASE, CONFIG_COLUMNS, CONFIG_EVENT, CONFIG_ROW
 EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
 
 PHASE_SECONDS = 86_400  # between the three phases of the dimension feed
+LOAD_SECONDS = 30 * 86_400  # between old bounds and the initial load that brings them
 
 
 def table(spark, sf_dir, name):
@@ -97,6 +98,8 @@ def _order_cargo(spark, sf):
                               F.col("l_linenumber").cast("string")),
             "order_id": F.col("l_orderkey"),
             "cargo_type": F.concat(F.lit("K"), (F.col("l_partkey") % 6).cast("string")),
+            "weight": F.col("l_quantity"),
+            "volume_length": F.col("l_extendedprice"),
             "create_time": _at(created),
         },
     )
@@ -104,8 +107,12 @@ def _order_cargo(spark, sf):
 
 def _order_org_bound(spark, sf):
     moment = _compressed("l_orderkey") + F.col("l_linenumber")
+    # Every fifth order's bounds are loaded a month after they were made.
+    loaded = F.col("l_orderkey") % 5 == 0
+    kind = F.when(loaded, "bootstrap-insert").otherwise("insert")
+    arrived = moment + F.when(loaded, LOAD_SECONDS).otherwise(0)
     return _changes(
-        big_table(spark, sf, "lineitem"), "order_org_bound", "insert", moment, F.col("l_orderkey"),
+        big_table(spark, sf, "lineitem"), "order_org_bound", kind, arrived, F.col("l_orderkey"),
         {
             "id": F.concat_ws("-", F.col("l_orderkey").cast("string"),
                               F.col("l_linenumber").cast("string")),
@@ -114,6 +121,7 @@ def _order_org_bound(spark, sf):
             "status": F.when(F.col("l_linestatus") == "F", "64003").otherwise("64002"),
             "sort_time": _at(moment),
             "create_time": _at(moment),
+            "outbound_emp_id": F.col("l_partkey") % 97,
             "inbound_emp_id": F.lit("7"),
             "inbound_time": _at(moment),
             "is_deleted": F.lit("0"),
@@ -176,6 +184,8 @@ def _express(spark, sf, name, time_column, done, other, extra=()):
     data = {
         "id": F.col("event_id"),
         "org_id": F.col("user_id") % 10,
+        "order_id": F.col("event_id") * 3,
+        "courier_id": F.col("user_id"),
         "status": F.when(F.col("event_type") == done[0], done[1]).otherwise(other[1]),
         time_column: _at(moment),
     }
@@ -259,8 +269,9 @@ def base_region_info(spark, sf):
         level(region, _text("P", "r_regionkey"), F.lit("86"), F.col("r_name"), "Province"),
         level(nation, _text("C", "n_nationkey"), _text("P", "n_regionkey"),
               F.col("n_name"), "City"),
-        level(nation, _text("D", "n_nationkey"), _text("C", "n_nationkey"),
-              F.concat("n_name", F.lit("_D")), "District"),
+        *[level(nation, _text(here, "n_nationkey"), _text(above, "n_nationkey"),
+                F.concat("n_name", F.lit(f"_{here}")), "District" if here == "D" else "Street")
+          for above, here in zip("CDEFG", "DEFGH")],
     ])
 
 
@@ -268,7 +279,7 @@ def base_organ(spark, sf):
     return table(spark, sf, "supplier").select(
         F.col("s_suppkey").cast("string").alias("id"),
         F.col("s_name").alias("org_name"),
-        _text("D", "s_nationkey").alias("region_id"),
+        _text("H", "s_nationkey").alias("region_id"),
     )
 
 
@@ -393,17 +404,28 @@ def config_events(spark, sf_dir):
                _image(F.when(F.col("op") == "u", origin).otherwise(here), kind, columns)
                ).alias("before"),
         F.when(F.col("op") != "d", _image(here, kind, columns)).alias("after"),
+        F.col("event_id").cast("bigint").alias("seq"),
     )
 
 
 def lifecycle_events(spark):
-    """Configuration events that empty one dimension and drop another between the phases."""
+    """Configuration events, all of one moment a year after the load and ordered by their position
+    only: five tables are announced, one is emptied, one dropped, one dropped and made again."""
     config = {t: _config_row(t) for t in _KEPT}
-    start = EPOCH * 1000 - 1
-    between = start + PHASE_SECONDS * 1000
-    events = [("r", start, None, row) for row in config.values()]
-    events.append(("u", between, config["base_organ"], config["base_organ"]))
-    events.append(("d", between, config["truck_model"], None))
-    events.append(("d", between, config["truck_info"], None))
-    events.append(("c", between + 1, None, config["truck_info"]))
-    return spark.createDataFrame(events, CONFIG_EVENT)
+    later = (EPOCH + 365 * 86_400) * 1000
+    events = [("r", None, row) for row in config.values()]
+    events.append(("u", config["base_organ"], config["base_organ"]))
+    events.append(("d", config["truck_model"], None))
+    events.append(("d", config["truck_info"], None))
+    events.append(("c", None, config["truck_info"]))
+    rows = [(op, later, before, after, seq) for seq, (op, before, after) in enumerate(events)]
+    return spark.createDataFrame(rows, CONFIG_EVENT)
+
+
+def lifecycle_changes(spark, sf_dir):
+    """The dimension feed with the position in the configuration feed at which a change came: the
+    load before or after the tables were announced, all later changes after all events."""
+    feed = dimension_changes(spark, sf_dir)
+    announced = F.when(F.col("offset") % 2 == 1, len(_KEPT) - 1)
+    seen = F.when(F.col("type") == "bootstrap-insert", announced).otherwise(len(_KEPT) + 3)
+    return feed.withColumn("config_seq", seen)

@@ -48,9 +48,10 @@ def number_to_clock(number, unit="seconds"):
     seconds = _col(number).cast("bigint")
     if unit != "seconds":
         seconds = whole_div(seconds, 1000)
-    return F.format_string(
+    text = F.format_string(
         "%02d:%02d:%02d",
         whole_div(seconds, 3600),
         whole_div(seconds % 3600, 60),
         seconds % 60,
     )
+    return F.when(seconds.isNotNull(), text)

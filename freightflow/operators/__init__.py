@@ -1,13 +1,12 @@
 from .clean import clean, count_types, normalise_type
 from .dedupe import first_per_key, latest_per_key
 from .dimension import apply_changes, keep_current_epoch, key_changes
-from .lookup import broadcast_if_small, flatten_regions, join_region, lookup_join
+from .lookup import flatten_regions, join_region, lookup_join
 from .rollup import window_rollup
 from .routing import project_columns, route
 
 __all__ = [
     "apply_changes",
-    "broadcast_if_small",
     "clean",
     "count_types",
     "first_per_key",

@@ -3,48 +3,47 @@
 from pyspark.sql import functions as F
 
 from .dedupe import latest_per_key
-from .lookup import broadcast_if_small, is_small
 
 CHANGE_ORDER = ("ts", "offset")
 
 
 def key_changes(projected):
-    """The last change of every row key, by time and then by offset."""
-    return latest_per_key(projected, ["sink_table", "row_key"], CHANGE_ORDER)
+    """The last change of every row key, by time and then by offset. Null keys are left out."""
+    keyed = projected.where("row_key IS NOT NULL")
+    return latest_per_key(keyed, ["sink_table", "row_key"], CHANGE_ORDER)
 
 
-def keep_current_epoch(projected, epochs):
-    """Drop changes from before their dimension was last emptied, dropped or created."""
-    return (
-        projected.join(broadcast_if_small(epochs), "source_table")
-        .where(F.col("ts") > F.col("since"))
-        .drop("since")
-    )
+def keep_current_epoch(changes, epochs):
+    """Drop changes of dimensions that were emptied or dropped after the change had come.
+
+    `config_seq` of a change is the last configuration event seen when it came, null before the
+    first. Times play no part.
+    """
+    joined = changes.join(epochs, F.col("table") == F.col("source_table"))
+    current = F.coalesce("config_seq", F.lit(-1)) >= F.col("since")
+    return joined.where(current).drop("since", "source_table", "config_seq")
 
 
-def apply_changes(snapshot, last_changes, key, few=None):
+def apply_changes(snapshot, last_changes, key):
     """The snapshot after the last change of every key: a delete removes, all else replaces.
 
-    Both inputs hold each key at most once; `last_changes` also has a `type`. A `few` changes
-    are broadcast, so that the snapshot is not shuffled; many meet it in one full outer join.
-    When `few` is not given the changed keys are measured, which reads `last_changes` once
-    more: persist it then.
+    Both inputs hold each key at most once; `last_changes` also has a `type`. Where both have a
+    column `ts`, a change that is older than the row it meets does nothing. Null keys of changes
+    are left out, as they name no row.
     """
     columns = snapshot.columns
-    if few is None:
-        few = is_small(last_changes.select(key))
-    if few:
-        touched = F.broadcast(last_changes.select(key))
-        kept = snapshot.join(touched, key, "left_anti")
-        return kept.unionByName(last_changes.where("type <> 'delete'").select(*columns))
-    changed = last_changes.select(
+    dated = "ts" in columns and "ts" in last_changes.columns
+    changed = last_changes.where(F.col(key).isNotNull()).select(
         F.col(key).alias("_key"),
         (F.col("type") == "delete").alias("_gone"),
         F.struct(*columns).alias("_new"),
     )
     merged = snapshot.join(changed, F.col(key) == F.col("_key"), "full")
-    rows = merged.where("_gone IS NULL OR NOT _gone")
+    wins = F.col("_key").isNotNull()
+    if dated:
+        newer = F.col("_new.ts").cast("bigint") >= F.col("ts").cast("bigint")
+        wins = wins & (F.col(key).isNull() | F.coalesce(newer, F.lit(True)))
+    rows = merged.withColumn("_wins", wins).where("NOT _wins OR NOT _gone")
     return rows.select(
-        *[F.when(F.col("_key").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
-          for c in columns]
+        *[F.when(F.col("_wins"), F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c in columns]
     )

@@ -3,32 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..schemas import REGION_ATTRIBUTES, REGION_ROOT
-
-BROADCAST_LIMIT = 64 << 20
-
-
-def measured_bytes(df):
-    """Total length of the values in text form plus a fixed cost per value."""
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns),
-        F.lit(0),
-    )
-    return df.agg(F.sum(width)).first()[0] or 0
-
-
-def is_small(df, limit=BROADCAST_LIMIT):
-    return measured_bytes(df) <= limit
-
-
-def broadcast_if_small(df, limit=BROADCAST_LIMIT):
-    """`df` with a broadcast hint when its measured size is below `limit`.
-
-    For inputs whose size Catalyst cannot know, such as the result of an aggregate. Above the
-    limit the plan is left alone, and adaptive execution joins by sorting and splits skewed
-    keys.
-    """
-    return F.broadcast(df) if is_small(df, limit) else df
-
+from ..session import work_folder
 
 def lookup_join(df, dim, key, columns, dim_key="id"):
     """Add attributes of the dimension row whose `dim_key` equals `key`; null without one.
@@ -43,47 +18,48 @@ def lookup_join(df, dim, key, columns, dim_key="id"):
     return df.join(picked, F.col(key) == F.col("_lookup"), "left").drop("_lookup")
 
 
-def flatten_regions(regions, levels=5, small=None):
+def flatten_regions(regions):
     """City and province of every region: (region_id, city_id, city_name, province_id, ...).
 
-    Walks `levels` steps up the tree, which must end at the country root or at a missing
-    parent by then; a deeper tree or a cycle raises an error. The self-joins share one
-    broadcast of the tree, unless it is not `small`, which is measured when not given.
+    Every region is walked up to the country root or to a missing parent, however deep. Each round
+    joins the tables with itself and doubles the steps walked; a round is written to the work
+    folder, so the plan stays small. A cycle raises an error.
     """
 
     def own(code, c):
         return F.when(F.col("dict_code") == code, F.col(c))
 
-    node = regions.where(F.col("id") != REGION_ROOT).select(
+    spark = regions.sparkSession
+
+    def written(df):
+        path = work_folder(spark, "regions")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    parent = F.when(F.col("parent_id") != REGION_ROOT, F.col("parent_id"))
+    found = written(regions.where(F.col("id") != REGION_ROOT).select(
         "id",
-        "parent_id",
+        parent.alias("up"),
         own("City", "id").alias("city_id"),
         own("City", "name").alias("city_name"),
         own("Province", "id").alias("province_id"),
         own("Province", "name").alias("province_name"),
-    )
-    up = node.select([F.col(c).alias(f"up_{c}") for c in node.columns])
-    if is_small(regions) if small is None else small:
-        up = F.broadcast(up)
-    found = node
-    for _ in range(levels - 1):
-        found = found.join(up, F.col("parent_id") == F.col("up_id"), "left").select(
-            "id",
-            F.col("up_parent_id").alias("parent_id"),
+    ))
+    steps, size = 1, found.count()
+    while not found.where("up IS NOT NULL").isEmpty():
+        if steps > 2 * size:
+            raise ValueError("the region tree has a cycle")
+        above = found.select([F.col(c).alias(f"up_{c}") for c in found.columns])
+        joined = found.join(above, F.col("up") == F.col("up_id"), "left")
+        found = written(joined.select(
+            "id", F.col("up_up").alias("up"),
             *[F.coalesce(f"up_{c}", c).alias(c) for c in REGION_ATTRIBUTES],
-        )
-    unfinished = F.col("parent_id").isNotNull() & (F.col("parent_id") != REGION_ROOT)
-    checked = F.when(
-        unfinished,
-        F.raise_error(F.concat(F.lit("region tree deeper than the levels walked: "), "id")),
-    ).otherwise(F.col("id"))
-    return found.select(checked.alias("region_id"), *REGION_ATTRIBUTES)
+        ))
+        steps *= 2
+    return found.select(F.col("id").alias("region_id"), *REGION_ATTRIBUTES)
 
 
-def join_region(df, regions, key="region_id", levels=5):
+def join_region(df, regions, key="region_id"):
     """Add the city and the province of `key`; null where the tree does not have them."""
-    small = is_small(regions)
-    flat = flatten_regions(regions, levels, small).withColumnRenamed("region_id", "_region")
-    # One row per region, so the flat tree is as bounded as the tree.
-    flat = F.broadcast(flat) if small else flat
+    flat = flatten_regions(regions).withColumnRenamed("region_id", "_region")
     return df.join(flat, F.col(key) == F.col("_region"), "left").drop("_region")

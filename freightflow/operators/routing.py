@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ..schemas import BOOTSTRAP_PREFIX
-from .lookup import broadcast_if_small
 
 
 def route(changes, config):
@@ -12,7 +11,7 @@ def route(changes, config):
     Unconfigured tables are dropped. The row image gains `ts`, `type` and `table`.
     """
     plain = F.replace(F.col("type"), F.lit(BOOTSTRAP_PREFIX), F.lit(""))
-    routes = broadcast_if_small(config.drop("op"))
+    routes = config.drop("op")
     return (
         changes.join(routes, F.col("table") == F.col("source_table"))
         .withColumn("type", plain)

@@ -6,19 +6,23 @@ Each builder takes parsed changes, as a batch or as a stream, and gives the colu
 
 from pyspark.sql import functions as F
 
-from ..functions import datetime_to_ms
+from ..functions import as_double, datetime_to_ms
 from ..operators.clean import of_table
 from ..operators.dedupe import first_per_key
 from ..operators.lookup import join_region, lookup_join
 from ..schemas import (
-    BUSINESS_DATABASE,
+    BOUND_COLUMNS,
+    CARGO_COLUMNS,
     COLLECTED,
+    DELIVER_COLUMNS,
     DELIVERED,
     FACTS,
     IN_TRANSIT,
     OUT_FOR_DELIVERY,
     PICKED_UP,
+    PICKUP_COLUMNS,
     SORTED,
+    SORTING_COLUMNS,
     TRANSPORT_FINISHED,
 )
 
@@ -73,7 +77,7 @@ def _express(changes, table, status, time_column, columns, organ, regions):
     return join_region(known, regions)
 
 
-def express_pickup(changes, organ, regions, columns=("id", "org_id", "status")):
+def express_pickup(changes, organ, regions, columns=PICKUP_COLUMNS):
     """Collected parcels with the organisation's region; `columns` are kept from the source."""
     return _express(
         changes, "express_task_collect", COLLECTED, "actual_collected_time", columns,
@@ -81,14 +85,14 @@ def express_pickup(changes, organ, regions, columns=("id", "org_id", "status")):
     )
 
 
-def express_deliver(changes, organ, regions, columns=("id", "org_id", "status")):
+def express_deliver(changes, organ, regions, columns=DELIVER_COLUMNS):
     """Delivered parcels with the organisation's region."""
     return _express(
         changes, "express_task_delivery", DELIVERED, "delivered_time", columns, organ, regions
     )
 
 
-def express_sorting(changes, organ, regions, columns=("id", "org_id", "status", "order_id")):
+def express_sorting(changes, organ, regions, columns=SORTING_COLUMNS):
     """Sorted parcels with the organisation's region."""
     return _express(
         changes, "order_org_bound", SORTED, "sort_time", columns, organ, regions
@@ -110,14 +114,14 @@ def once_per_state(facts, keys, within="1 day"):
 # ---------------------------------------------------------------- two tables
 
 
-def cargo_inserts(changes):
-    """Inserted cargos; `arrived` and `offset` order copies of one cargo."""
-    names = ("order_id", "cargo_type", "create_time")
+def cargo_inserts(changes, columns=CARGO_COLUMNS):
+    """Inserted cargos; `arrived` and `offset` order copies of one cargo. `columns` are kept from
+    the source and must have order_id and create_time."""
     rows = of_table(changes, "order_cargo", inserts_only=True)
-    rows = rows.select(*_fields(*names), F.col("ts").alias("arrived"), "offset")
+    rows = rows.select(*_fields(*columns), F.col("ts").alias("arrived"), "offset")
     return _timed(
-        rows.where("order_id IS NOT NULL"), "create_time", *names, "arrived", "offset"
-    ).select(*names, "ts", "arrived", "offset")
+        rows.where("order_id IS NOT NULL"), "create_time", *columns, "arrived", "offset"
+    ).select(*columns, "ts", "arrived", "offset")
 
 
 def order_inserts(changes, *columns):
@@ -129,94 +133,105 @@ def order_inserts(changes, *columns):
     )
 
 
-def bound_inserts(changes):
-    """Inserted arrivals of orders at organisations."""
-    names = ("order_id", "org_id", "status", "sort_time")
+def bound_inserts(changes, columns=BOUND_COLUMNS):
+    """Inserted arrivals of orders at organisations; `arrived` is when the change was made."""
     rows = of_table(changes, "order_org_bound", inserts_only=True)
-    rows = rows.select(*_fields(*names, "create_time")).where("order_id IS NOT NULL")
-    return _timed(rows, "create_time", *names)
+    rows = rows.select(*_fields(*columns, "create_time"), F.col("ts").alias("arrived"))
+    return _timed(rows.where("order_id IS NOT NULL"), "create_time", *columns, "arrived").select(
+        *columns, "ts", "arrived"
+    )
 
 
 CARGO_ORDER = ("amount", "cargo_num", "sender_city_id", "sender_province_id")
 ORG_ORDER = ("amount", "cargo_num")
 
 
+def _watermarked(df, clock, within):
+    """The time of the change as an event-time column, the clock of both sides of every join."""
+    return df.withColumn(clock, F.timestamp_millis("arrived")).withWatermark(clock, within)
+
+
 def _once(df, key, clock, within, salts):
-    """One row per key: the first by arrival, or on a stream the first seen within `within`.
+    """One row per key: the first by arrival, on a stream the first seen, forgotten after `within`
+    if that is given.
 
     A stream drops the copies in two steps, first within `salts` parts of each key, so that
     the copies of one key do not all go to one task.
     """
     if not df.isStreaming:
         return first_per_key(df, [key], ("arrived", "offset"))
-    timed = df.withColumn(clock, F.timestamp_millis("arrived")).withWatermark(clock, within)
+    timed = _watermarked(df, clock, within) if within else df
+
+    def distinct(rows, keys):
+        return rows.dropDuplicatesWithinWatermark(keys) if within else rows.dropDuplicates(keys)
+
     if salts > 1:
         part = F.pmod(F.hash("offset", "arrived"), F.lit(salts))
-        timed = timed.withColumn("_part", part).dropDuplicatesWithinWatermark([key, "_part"])
-    return timed.dropDuplicatesWithinWatermark([key]).drop("_part")
+        timed = distinct(timed.withColumn("_part", part), [key, "_part"])
+    return distinct(timed, [key]).drop("_part")
 
 
-def _near(left, right, within):
-    """Bounds the join state of a stream."""
-    return F.expr(
-        f"{left} BETWEEN {right} - INTERVAL {within} AND {right} + INTERVAL {within}"
-    )
+def _joined(many, one, matches, clocks, within):
+    """Pairs of two streams. Without `within` both sides are remembered for good, and none is lost.
+    With it, state is bounded, and a row of `many` whose partner did not come in time is given
+    without one, so that nothing vanishes unseen."""
+    if not within:
+        return many.join(one, matches)
+    left, right = clocks
+    near = F.expr(f"{left} BETWEEN {right} - INTERVAL {within} AND {right} + INTERVAL {within}")
+    return many.join(one, matches & near, "left")
 
 
-def trade_order_cargo(changes, within="1 day", salts=4, order_changes=None):
-    """Each order with its first cargo. On a stream the two may be `within` of each other.
+def trade_order_cargo(changes, within=None, salts=4, order_changes=None, columns=CARGO_COLUMNS,
+                      order_columns=CARGO_ORDER):
+    """Each order with its first cargo.
 
-    `order_changes` hold the orders when they are parsed apart from the cargos, which spares
-    parsing everything for both.
+    On a stream, `within` bounds the state: changes of a pair that were made further apart do not
+    meet, and the cargo is given with a null id (see `_joined`). `order_changes` hold the orders
+    when they are parsed apart from the cargos.
     """
-    cargo = _once(cargo_inserts(changes), "order_id", "cargo_et", within, salts)
-    orders = order_inserts(changes if order_changes is None else order_changes, *CARGO_ORDER)
-    orders = _once(orders, "id", "order_et", within, salts)
-    matches = F.col("order_id") == F.col("id")
-    if changes.isStreaming:
-        matches = matches & _near("cargo_et", "order_et", within)
-    return cargo.drop("arrived", "offset").join(
-        orders.drop("arrived", "offset"), matches
-    ).select(*FACTS["dwd_trade_order_cargo"].names)
-
-
-def trade_order_org(changes, within="1 day", salts=4, order_changes=None):
+    cargo = _once(cargo_inserts(changes, columns), "order_id", "cargo_et", within, salts)
+    orders = order_inserts(changes if order_changes is None else order_changes, *order_columns)
+    orders = _once(orders, "id", "order_et", within, salts).drop("arrived", "offset")
+    cargo, matches = cargo.drop("arrived", "offset"), F.col("order_id") == F.col("id")
+    names = (*columns, "ts", "id", *order_columns)
+    if not changes.isStreaming:
+        return cargo.join(orders, matches).select(*names)
+    return _joined(cargo, orders, matches, ("cargo_et", "order_et"), within).select(*names)
+
+
+def trade_order_org(changes, within=None, salts=4, order_changes=None, columns=BOUND_COLUMNS,
+                    order_columns=ORG_ORDER):
     """Every arrival of an order at an organisation, with the order's amount.
 
-    `order_changes` as in `trade_order_cargo`.
+    `within` and `order_changes` as in `trade_order_cargo`.
 
     One order may have very many arrivals. In a batch, adaptive execution splits its join
     partition; the orders are deduplicated by (id, shard) so that the join exchanges them
-    again, which the split needs. On a stream, which has no such split, the arrivals of an
-    order are spread over `salts` tasks and the orders are repeated for each.
+    again, which the split needs. That second exchange of the orders is the price. On a stream,
+    which has no such split, the arrivals of an order are spread over `salts` tasks and the orders
+    are repeated for each.
     """
-    bounds = bound_inserts(changes)
-    orders = order_inserts(changes if order_changes is None else order_changes, *ORG_ORDER)
-    names = FACTS["dwd_trade_order_org"].names
+    bounds = bound_inserts(changes, columns)
+    orders = order_inserts(changes if order_changes is None else order_changes, *order_columns)
+    names = (*columns, "ts", "id", *order_columns)
     if not changes.isStreaming:
         shard = F.pmod(F.hash("id"), F.lit(1024)).alias("shard")
-        rest = ("arrived", "offset", *ORG_ORDER)
+        rest = ("arrived", "offset", *order_columns)
         orders = (
             orders.groupBy("id", shard)
             .agg(F.min(F.struct(*rest)).alias("first"))
-            .select("id", "first.*")
+            .select("id", *[F.col("first")[c].alias(c) for c in order_columns])
         )
         return bounds.join(orders, F.col("order_id") == F.col("id")).select(*names)
 
-    bounds = (
-        bounds.withColumn("bound_et", F.timestamp_millis("ts"))
-        .withWatermark("bound_et", within)
-        .withColumn("salt", F.pmod(F.hash("org_id", "ts"), F.lit(salts)))
-    )
+    bounds = _watermarked(bounds, "bound_et", within) if within else bounds
+    bounds = bounds.withColumn("salt", F.pmod(F.hash("org_id", "ts"), F.lit(salts)))
     orders = _once(orders, "id", "order_et", within, salts).withColumn(
         "order_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     ).drop("arrived", "offset")
-    return bounds.join(
-        orders,
-        (F.col("order_id") == F.col("id"))
-        & (F.col("salt") == F.col("order_salt"))
-        & _near("bound_et", "order_et", within),
-    ).select(*names)
+    matches = (F.col("order_id") == F.col("id")) & (F.col("salt") == F.col("order_salt"))
+    return _joined(bounds, orders, matches, ("bound_et", "order_et"), within).select(*names)
 
 
 def split_cargo_and_info(changes):
@@ -229,82 +244,56 @@ def split_cargo_and_info(changes):
 
 def split_bound_and_info(changes):
     """The two inputs of `trade_order_org`."""
-    return bound_inserts(changes), order_inserts(changes, *ORG_ORDER).drop("arrived", "offset")
-
-
-# ---------------------------------------------------------------- SQL job
-
-FINISHED_TASKS = """
-    SELECT data['id'] AS id, data['shift_id'] AS shift_id, data['line_id'] AS line_id,
-           data['status'] AS status, data['order_num'] AS order_num,
-           data['truck_id'] AS truck_id, data['start_org_id'] AS start_org_id,
-           data['start_org_name'] AS start_org_name,
-           data['actual_start_time'] AS actual_start_time,
-           data['actual_end_time'] AS actual_end_time,
-           data['actual_distance'] AS actual_distance, ts
-    FROM {changes}
-    WHERE `database` = :db AND `table` = 'transport_task' AND type = 'update'
-      AND try_cast(data['order_num'] AS double) > 0
-      AND data['actual_end_time'] IS NOT NULL
-"""
+    return (
+        bound_inserts(changes).drop("arrived"),
+        order_inserts(changes, *ORG_ORDER).drop("arrived", "offset"),
+    )
 
-DETAIL_UPDATES = """
-    SELECT type, data['id'] AS id, data['order_id'] AS order_id,
-           data['transport_task_id'] AS transport_task_id,
-           data['create_time'] AS create_time, data['operate_time'] AS operate_time
-    FROM {changes}
-    WHERE `database` = :db AND `table` = 'transport_task_detail' AND type = 'update'
-"""
 
+# ---------------------------------------------------------------- transport task details
 
-def _sql(changes, query):
-    return changes.sparkSession.sql(query, args={"db": BUSINESS_DATABASE}, changes=changes)
+
+def _updates(changes, table):
+    return of_table(changes, table).where("type = 'update'")
 
 
 def transport_task_finished(changes):
-    return _sql(changes, FINISHED_TASKS)
+    """Updates of transport tasks that carry orders and have ended."""
+    names = [n for n in FACTS["dwd_transport_task_detail"].names if n not in ("order_id", "ts")]
+    rows = _updates(changes, "transport_task").select(*_fields(*names), "ts")
+    return rows.where((as_double("order_num") > 0) & F.col("actual_end_time").isNotNull())
 
 
 def transport_task_detail_updates(changes):
-    return _sql(changes, DETAIL_UPDATES)
+    """Updates of the details of transport tasks."""
+    names = ("id", "order_id", "transport_task_id", "create_time", "operate_time")
+    return _updates(changes, "transport_task_detail").select("type", *_fields(*names))
 
 
-def transport_task_detail(changes, within="7 days", salts=4, detail_changes=None):
+def transport_task_detail(changes, within=None, salts=4, detail_changes=None):
     """Finished tasks joined with the updates of their details, many to many.
 
-    `detail_changes` hold the details when they are parsed apart from the tasks.
-
-    On a stream the change times of the two may be `within` of each other, and the details of
-    a task are spread over `salts` tasks as in `trade_order_org`.
+    `detail_changes` hold the details when they are parsed apart from the tasks. `within` as in
+    `trade_order_cargo`: a detail whose task did not come in time is given with a null id. On a
+    stream the details of a task are spread over `salts` tasks as in `trade_order_org`; in a batch
+    adaptive execution splits a hot task.
     """
     names = FACTS["dwd_transport_task_detail"].names
-    detail_changes = changes if detail_changes is None else detail_changes
     tasks = transport_task_finished(changes)
-    if not changes.isStreaming:
-        return changes.sparkSession.sql(
-            "SELECT tt.id, shift_id, line_id, order_id, status, order_num, truck_id, "
-            "start_org_id, start_org_name, actual_start_time, actual_end_time, "
-            "actual_distance, ts FROM {tt} tt JOIN {td} td ON tt.id = td.transport_task_id",
-            tt=tasks, td=transport_task_detail_updates(detail_changes),
-        )
-    tasks = (
-        tasks.withColumn("task_et", F.timestamp_millis("ts"))
-        .withWatermark("task_et", within)
-        .withColumn("task_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    details = _updates(
+        changes if detail_changes is None else detail_changes, "transport_task_detail"
+    ).select(
+        *_fields("order_id", "transport_task_id"), F.col("data")["id"].alias("detail_id"),
+        F.col("ts").alias("arrived"),
     )
-    details = (
-        of_table(detail_changes, "transport_task_detail")
-        .where("type = 'update'")
-        .select(
-            *_fields("order_id", "transport_task_id"),
-            F.timestamp_millis("ts").alias("detail_et"),
-            F.pmod(F.hash(F.col("data")["id"], "ts"), F.lit(salts)).alias("salt"),
-        )
-        .withWatermark("detail_et", within)
-    )
-    return tasks.join(
-        details,
-        (F.col("id") == F.col("transport_task_id"))
-        & (F.col("task_salt") == F.col("salt"))
-        & _near("detail_et", "task_et", within),
-    ).select(*names)
+    matches = F.col("id") == F.col("transport_task_id")
+    if not changes.isStreaming:
+        return details.join(tasks, matches).select(*names)
+    tasks = tasks.withColumn("task_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.hash("detail_id", "arrived"), F.lit(salts))
+    details = details.withColumn("salt", salt)
+    if within:
+        tasks = tasks.withColumn("task_et", F.timestamp_millis("ts")).withWatermark("task_et", within)
+        details = _watermarked(details, "detail_et", within)
+    matches = matches & (F.col("task_salt") == F.col("salt"))
+    return _joined(details, tasks, matches, ("detail_et", "task_et"), within).select(*names)

@@ -8,7 +8,7 @@ gives the key.
 from pyspark.sql import functions as F
 
 from ..functions import as_double, as_long, json_row, whole_div
-from ..operators.lookup import broadcast_if_small, join_region, lookup_join
+from ..operators.lookup import join_region, lookup_join
 from ..operators.rollup import STAMPS, window_rollup
 from ..schemas import (
     IN_TRANSIT,
@@ -75,7 +75,7 @@ def transport_truck(facts, truck_info, truck_model):
     keyed = lookup_join(facts, truck_info, "truck_id", {"truck_mode_id": "truck_model_id"})
     out = _transport(keyed, ["truck_mode_id"], in_seconds=False)
     out = lookup_join(
-        out, broadcast_if_small(truck_model), "truck_mode_id",
+        out, truck_model, "truck_mode_id",
         {"truck_mode_type": "model_type", "truck_mode_name": "model_name"},
     )
     return _shape(out, "dws_transport_truck_view_window")
@@ -86,7 +86,7 @@ def trade_order_cargo(facts, dic):
     out = window_rollup(
         facts, ["cargo_type"], count="order_count", sums={"total_amount": as_double("amount")}
     )
-    out = lookup_join(out, broadcast_if_small(dic), "cargo_type", {"cargo_name": "name"})
+    out = lookup_join(out, dic, "cargo_type", {"cargo_name": "name"})
     return _shape(out, "dws_trade_order_cargo_view_window")
 
 
@@ -99,7 +99,7 @@ def trade_order_city(facts, regions):
         named, ["city_id"], count="order_count", sums={"total_amount": as_double("amount")},
         firsts=["province_id"], dependent=True,
     )
-    regions = broadcast_if_small(regions.select("id", "name"))
+    regions = regions.select("id", "name")
     out = lookup_join(out, regions, "city_id", {"city_name": "name"})
     out = lookup_join(out, regions, "province_id", {"province_name": "name"})
     return _shape(out, "dws_trade_order_city_view_window")

@@ -44,6 +44,7 @@ CONFIG_EVENT = T.StructType(
         T.StructField("ts_ms", T.LongType()),
         T.StructField("before", CONFIG_ROW),
         T.StructField("after", CONFIG_ROW),
+        T.StructField("seq", T.LongType()),
     ]
 )
 
@@ -54,7 +55,14 @@ def _strings(*names):
 
 REGION_ATTRIBUTES = ("city_id", "city_name", "province_id", "province_name")
 
-_EXPRESS = _strings("id", "org_id", "status")
+#: Columns that a fact keeps from its source table: all but those it drops. A source with more
+#: columns names them in the builder's `columns`.
+PICKUP_COLUMNS = ("id", "org_id", "status", "order_id", "courier_id")
+DELIVER_COLUMNS = PICKUP_COLUMNS
+SORTING_COLUMNS = ("id", "org_id", "status", "order_id", "outbound_emp_id")
+CARGO_COLUMNS = ("order_id", "cargo_type", "weight", "volume_length", "create_time")
+BOUND_COLUMNS = ("order_id", "org_id", "status", "sort_time", "outbound_emp_id")
+
 _ENRICHED = _strings("region_id", "org_name", *REGION_ATTRIBUTES)
 _TS = [T.StructField("ts", T.LongType())]
 
@@ -63,21 +71,21 @@ FACTS = {
         _TS + _strings("status", "order_no", "update_time", "create_time")
     ),
     "dwd_express_pickup": T.StructType(
-        _EXPRESS + _strings("actual_collected_time") + _TS + _ENRICHED
+        _strings(*PICKUP_COLUMNS, "actual_collected_time") + _TS + _ENRICHED
     ),
     "dwd_express_deliver": T.StructType(
-        _EXPRESS + _strings("delivered_time") + _TS + _ENRICHED
+        _strings(*DELIVER_COLUMNS, "delivered_time") + _TS + _ENRICHED
     ),
     "dwd_express_sorting": T.StructType(
-        _EXPRESS + _strings("order_id", "sort_time") + _TS + _ENRICHED
+        _strings(*SORTING_COLUMNS, "sort_time") + _TS + _ENRICHED
     ),
     "dwd_trade_order_cargo": T.StructType(
-        _strings("order_id", "cargo_type", "create_time")
+        _strings(*CARGO_COLUMNS)
         + _TS
         + _strings("id", "amount", "cargo_num", "sender_city_id", "sender_province_id")
     ),
     "dwd_trade_order_org": T.StructType(
-        _strings("order_id", "org_id", "status", "sort_time")
+        _strings(*BOUND_COLUMNS)
         + _TS
         + _strings("id", "amount", "cargo_num")
     ),

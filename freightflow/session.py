@@ -1,6 +1,8 @@
 """Session settings and the shared work folder."""
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -46,7 +48,9 @@ def build_session(app="freightflow", conf=None, input_bytes=None):
 
 @functools.cache
 def _local_base():
-    return tempfile.mkdtemp(prefix="freightflow-")
+    base = tempfile.mkdtemp(prefix="freightflow-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
 
 
 def work_folder(spark, name):

@@ -1,4 +1,5 @@
 from .changelog import (
+    POSITION,
     ods_table,
     parse_changes,
     parse_facts,
@@ -16,6 +17,7 @@ from .config import (
 from .dimensions import DimensionStore, dic_lookup
 
 __all__ = [
+    "POSITION",
     "DimensionStore",
     "config_epochs",
     "config_feed",

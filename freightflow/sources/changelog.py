@@ -1,17 +1,17 @@
 """Reading the change log: from Kafka or files to typed envelopes."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..functions import is_blank
 from ..schemas import BUSINESS_DATABASE, CHANGE_TYPES, ENVELOPE
 
 _BAD = "_bad"
+#: Key in `data` that `parse_changes` puts the record's place in the source under.
+POSITION = "_position"
 
 
 def read_kafka(spark, servers, topic, **options):
-    """A topic as (value, offset), from its start, committed records only.
+    """A topic as (value, topic, partition, offset), from its start, committed records only.
 
     Needs the spark-sql-kafka package on the class path.
     """
@@ -26,7 +26,7 @@ def read_kafka(spark, servers, topic, **options):
         reader.options(**options)
         .load()
         .where("value IS NOT NULL")
-        .select(F.col("value").cast("string").alias("value"), "offset")
+        .select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
     )
 
 
@@ -45,35 +45,37 @@ def _parsed(schema, options=None):
     return F.inline(F.array(F.from_json("value", schema, options)))
 
 
-def _envelope(raw):
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in ENVELOPE] + [f"{_BAD} string"]
-    )
+def _envelope(raw, ts_unit="ms"):
+    """Parsed fields with `ts` in milliseconds. Numbers in quotes count as numbers."""
+    kinds = {f.name: f.dataType.simpleString() for f in ENVELOPE} | {"ts": "string", _BAD: "string"}
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in kinds.items())
     fields = _parsed(schema, {"columnNameOfCorruptRecord": _BAD})
-    if "offset" not in raw.columns:
-        return raw.select("value", fields)
-    return (
-        raw.select("value", F.col("offset").alias("_source"), fields)
-        .withColumn("offset", F.coalesce("_source", "offset"))
-        .drop("_source")
-    )
+    places = {c: f"_source_{c}" for c in ("topic", "partition", "offset") if c in raw.columns}
+    rows = raw.select("value", *[F.col(c).alias(n) for c, n in places.items()], fields)
+    if "offset" in places:
+        rows = rows.withColumn("offset", F.coalesce(places["offset"], "offset"))
+    scale = 1000 if ts_unit == "s" else 1
+    stamp = F.col("ts").try_cast("bigint") * scale
+    place = F.concat_ws(":", *[F.col(places[c]) for c in ("topic", "partition") if c in places], "offset")
+    return rows.withColumns({"ts": stamp, "_place": place}).drop(*places.values())
 
 
-def parse_changes(raw, tables=None):
+def parse_changes(raw, tables=None, ts_unit="ms", positions=False):
     """Typed change envelopes; null, malformed and unnamed records are dropped.
 
-    With `tables`, only changes of these: text without any of their names is skipped before
-    it is parsed, which spares a job that needs few tables most of the parsing.
+    `ts_unit` is the unit of `ts` in the source, ms or s; envelopes have milliseconds. With `tables`, only
+    changes of these. With `positions`, `data` also has the record's place in the source under
+    POSITION, which a builder passes on when it is named among its columns.
     """
-    rows = raw.where("value IS NOT NULL")
-    if tables:
-        named = [F.contains("value", F.lit(f'"{t}"')) for t in tables]
-        rows = rows.where(reduce(lambda a, b: a | b, named))
-    parsed = (
-        _envelope(rows)
-        .where(f"{_BAD} IS NULL AND `database` IS NOT NULL AND `table` IS NOT NULL")
-        .select(*ENVELOPE.fieldNames())
+    parsed = _envelope(raw.where("value IS NOT NULL"), ts_unit).where(
+        f"{_BAD} IS NULL AND `database` IS NOT NULL AND `table` IS NOT NULL"
     )
+    if positions:
+        own = F.create_map(F.lit(POSITION), F.col("_place"))
+        rest = F.map_filter(F.coalesce("data", F.create_map().cast("map<string,string>")),
+                            lambda k, _: k != POSITION)
+        parsed = parsed.withColumn("data", F.map_concat(rest, own))
+    parsed = parsed.select(*ENVELOPE.fieldNames())
     return parsed.where(F.col("table").isin(*tables)) if tables else parsed
 
 
@@ -95,11 +97,10 @@ def ods_table(raw, view=None, ts_unit="ms"):
 
     With `view` the result is also registered for SQL jobs.
     """
-    stamp = F.timestamp_millis if ts_unit == "ms" else F.timestamp_seconds
     df = (
-        parse_changes(raw)
+        parse_changes(raw, ts_unit=ts_unit)
         .withColumn("pt", F.current_timestamp())
-        .withColumn("et", stamp("ts"))
+        .withColumn("et", F.timestamp_millis("ts"))
         .withWatermark("et", "1 millisecond")
     )
     if view:

@@ -17,16 +17,17 @@ def config_snapshot(rows):
 
 
 def snapshot_events(rows, ts_ms=0):
-    """The configuration table as the events that a feed begins with."""
+    """The configuration table as the events that a feed begins with, at feed position 0."""
     nothing = F.lit(None).cast(CONFIG_ROW)
     return rows.select(
         F.lit("r").alias("op"), F.lit(ts_ms).cast("bigint").alias("ts_ms"),
         nothing.alias("before"), F.struct(*CONFIG_COLUMNS).alias("after"),
+        F.lit(0).cast("bigint").alias("seq"),
     )
 
 
 def config_images(events):
-    """One row per configuration event: the image that counts, its `op` and its time.
+    """One row per configuration event: the image that counts, its `op` and its feed position.
 
     A delete counts with its old image, everything else with its new one. A rename of the
     source table also deletes the route of the old name.
@@ -40,16 +41,19 @@ def config_images(events):
         F.when(renamed, F.struct(F.lit("d").alias("op"), F.col("before").alias("image"))),
     )
     return (
-        events.select("ts_ms", F.explode(effects).alias("e"))
-        .select("e.image.*", "e.op", "ts_ms")
+        events.select("seq", F.explode(effects).alias("e"))
+        .select("e.image.*", "e.op", "seq")
         .where("sink_type = 'DIM'")
     )
 
 
 def config_feed(events):
-    """The routes in force after all events: the latest one per source table, unless deleted."""
+    """The routes in force after all events: the latest one per source table, unless deleted.
+
+    Events are ordered by their position in the feed (`seq`), as several may share a time.
+    """
     rest = [c for c in CONFIG_COLUMNS if c != "source_table"]
-    latest = F.max_by(F.struct("op", *rest), F.struct("ts_ms", F.col("op") != "d"))
+    latest = F.max_by(F.struct("op", *rest), F.struct("seq", F.col("op") != "d"))
     return (
         config_images(events)
         .groupBy("source_table")
@@ -61,24 +65,18 @@ def config_feed(events):
 
 
 def config_epochs(events):
-    """Since when each source table's dimension has existed without being emptied.
+    """The feed position `since` which each source table's dimension begins at.
 
-    A dimension begins with the first event after its last delete and begins anew with every
-    `u`. Source tables whose last event is a delete are absent.
+    A `u` empties a dimension and a `d` drops it, so it begins at the last of these, or at -1 when
+    there was none: `r` and `c` only announce a table and never cut its history. Source tables
+    whose last event is a delete are absent.
     """
-    images = config_images(events)
-    is_delete = F.col("op") == "d"
-    dropped = images.groupBy("source_table").agg(
-        F.max(F.when(is_delete, F.col("ts_ms"))).alias("dropped_at")
-    )
+    restarts = F.col("op").isin("u", "d")
+    order = F.struct("seq", F.col("op") != "d")
     return (
-        images.where(~is_delete)
-        .join(dropped, "source_table")
-        .where("dropped_at IS NULL OR ts_ms > dropped_at")
+        config_images(events)
         .groupBy("source_table")
-        .agg(
-            F.greatest(
-                F.min("ts_ms"), F.max(F.when(F.col("op") == "u", F.col("ts_ms")))
-            ).alias("since")
-        )
+        .agg(F.max_by("op", order).alias("last"), F.max(F.when(restarts, F.col("seq"))).alias("at"))
+        .where("last <> 'd'")
+        .select("source_table", F.coalesce("at", F.lit(-1)).alias("since"))
     )

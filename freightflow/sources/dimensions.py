@@ -1,60 +1,143 @@
 """Dimension tables as versioned snapshots, read once per batch and joined."""
 
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-_POINTER = "seq long, batch long, path string, since long"
+_POINTER = (
+    "seq long, run string, batch long, reset long, buckets int, written double, "
+    "paths map<string,string>"
+)
+_STAMPS = "_ts long, _offset long, _gone boolean"
 
 
 class DimensionStore:
-    """One folder per dimension; every change of a dimension writes a new snapshot.
+    """Versions of dimension tables; every change of a dimension adds one.
+
+    The rows of a table are hashed into buckets by key. A change writes the buckets it touches to
+    a new folder and then a pointer that lists the folder of every bucket, so an untouched bucket
+    is never rewritten and folders never change once written. A reader keeps what it has opened;
+    versions that a newer one has replaced are removed after `keep_seconds`.
 
-    A snapshot is complete before its pointer row is written, so a reader never sees a part
-    of one. Snapshots and pointers rotate through `slots` folders: readers of an old snapshot
-    have `slots - 1` more changes before it is overwritten, and nothing grows without bound.
+    Versions are ordered by a sequence that only grows. The run (the query of a checkpoint) and
+    batch that wrote one serve to recognise a repeat, which starts from the version before it.
+    Deleted keys stay as marked rows, so that an older change that comes later cannot revive them.
     """
 
-    def __init__(self, spark, root, slots=8):
-        self.spark, self.root, self.slots = spark, root, slots
+    def __init__(self, spark, root, buckets=16, keep_seconds=86_400):
+        self.spark, self.root = spark, root
+        self.buckets, self.keep_seconds = buckets, keep_seconds
 
-    def pointers(self, before=None):
-        """The newest pointer row of every table, or the newest from before batch `before`."""
-        schema = f"{_POINTER}, table string, slot int"
-        reader = self.spark.read.schema(schema).option("ignoreMissingFiles", "true")
+    def _versions(self):
+        """All pointer rows that are still kept; a few for each table."""
+        reader = self.spark.read.schema(f"{_POINTER}, table string")
         try:
-            rows = reader.json(f"{self.root}/pointer")
-        except AnalysisException:
-            return {}
-        if before is not None:
-            rows = rows.where(F.col("batch") < before)
-        newest = F.max_by(F.struct("seq", "path", "since"), "seq").alias("p")
-        return {r["table"]: r["p"] for r in rows.groupBy("table").agg(newest).collect()}
+            return reader.option("ignoreMissingFiles", "true").json(f"{self.root}/pointer").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+
+    def pointers(self, repeat=None):
+        """The newest pointer of every table; with `repeat` (run, batch) those of it do not count."""
+        newest = {}
+        for row in self._versions():
+            if (row["run"], row["batch"]) != repeat:
+                old = newest.get(row["table"])
+                if old is None or row["seq"] > old["seq"]:
+                    newest[row["table"]] = row
+        return newest
+
+    def _open(self, paths, schema):
+        physical = f"{schema}, {_STAMPS}"
+        if not paths:
+            return self.spark.createDataFrame([], physical)
+        return self.spark.read.schema(physical).parquet(*paths)
 
     def open(self, pointer, schema):
-        """The snapshot of a pointer row; empty without one."""
-        if pointer is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(pointer["path"])
+        """The rows of a pointer; none without one."""
+        rows = self._open(sorted(pointer["paths"].values()) if pointer else [], schema)
+        return rows.where("NOT _gone").drop("_ts", "_offset", "_gone")
+
+    def read(self, table, schema):
+        """The current rows; none when the dimension does not exist."""
+        return self.open(self.pointers().get(table), schema)
 
-    def read(self, table, schema, before=None):
-        """The current snapshot; empty when the dimension does not exist."""
-        return self.open(self.pointers(before).get(table), schema)
+    def _bucket(self, key, count):
+        return F.pmod(F.xxhash64(key), F.lit(count)).cast("int")
 
-    def replace(self, table, pointer, snapshot, batch, since=0):
-        """Make `snapshot` the one after `pointer`.
+    def merge(self, table, schema, key, changes, batch=0, run="", reset=-1):
+        """Apply the last change of every key and make the result current.
 
-        Repeating a batch with the pointer from before it writes the same folders again.
+        `changes` have the columns of `schema` and `_ts`, `_offset`, `_gone`. The later of a key's
+        row and its change by (_ts, _offset) stays, the change when they are equal; so the order
+        in which batches bring changes does not matter. When `reset` is not that of the current
+        version, the table starts anew. Keys must not be null. Empty changes to a table that
+        exists with this `reset` write nothing.
         """
-        seq = pointer["seq"] + 1 if pointer else 0
-        slot = seq % self.slots
-        path = f"{self.root}/data/{table}/slot={slot}"
-        snapshot.write.mode("overwrite").parquet(path)
-        row = self.spark.createDataFrame([(seq, batch, path, since)], _POINTER).coalesce(1)
-        row.write.mode("overwrite").json(f"{self.root}/pointer/table={table}/slot={slot}")
-
-    def write(self, table, snapshot, batch):
-        """Make `snapshot` current as of `batch`."""
-        self.replace(table, self.pointers(batch).get(table), snapshot, batch)
+        versions = [v for v in self._versions() if v["table"] == table]
+        known = [v for v in versions if (v["run"], v["batch"]) != (run, batch)]
+        pointer = max(known, key=lambda v: v["seq"], default=None)
+        seq = max((v["seq"] for v in versions), default=-1) + 1
+        anew = pointer is None or pointer["reset"] != reset
+        count = self.buckets if pointer is None else pointer["buckets"]
+        rows = changes.withColumn("_bucket", self._bucket(key, count))
+        touched = sorted(r[0] for r in rows.select("_bucket").distinct().collect())
+        if not touched and not anew and len(known) == len(versions):
+            return
+        paths = {} if anew else dict(pointer["paths"])
+        if touched:
+            old = self._open([paths[str(b)] for b in touched if str(b) in paths], schema)
+            old = old.withColumn("_bucket", self._bucket(key, count))
+            both = old.withColumn("_new", F.lit(False)).unionByName(rows.withColumn("_new", F.lit(True)))
+            last = F.max_by(F.struct(*old.columns), F.struct("_ts", "_offset", "_new")).alias("last")
+            folder = f"{self.root}/data/{table}/{seq}-{uuid.uuid4().hex}"
+            merged = both.groupBy(F.col(key).alias("_key")).agg(last).select("last.*")
+            merged.repartition("_bucket").write.partitionBy("_bucket").parquet(folder)
+            paths |= {str(b): f"{folder}/_bucket={b}" for b in touched}
+        self._point(table, seq, run, batch, reset, count, paths)
+        self._expire([v for v in versions if v["seq"] < seq], paths)
+
+    def write(self, table, snapshot, batch=0, run="", reset=-1, key=None):
+        """Make `snapshot` all of the table. `key` is its first column unless given."""
+        versions = [v for v in self._versions() if v["table"] == table]
+        seq = max((v["seq"] for v in versions), default=-1) + 1
+        folder = f"{self.root}/data/{table}/{seq}-{uuid.uuid4().hex}"
+        nothing = F.lit(None).cast("long")
+        rows = snapshot.select(
+            "*", nothing.alias("_ts"), nothing.alias("_offset"), F.lit(False).alias("_gone"),
+            self._bucket(key or snapshot.columns[0], self.buckets).alias("_bucket"),
+        )
+        rows.repartition("_bucket").write.partitionBy("_bucket").parquet(folder)
+        stored = self.spark.read.schema("_gone boolean, _bucket int").parquet(folder)
+        buckets = [r[0] for r in stored.select("_bucket").distinct().collect()]
+        paths = {str(b): f"{folder}/_bucket={b}" for b in buckets}
+        self._point(table, seq, run, batch, reset, self.buckets, paths)
+        self._expire(versions, paths)
+
+    def _point(self, table, seq, run, batch, reset, buckets, paths):
+        row = (seq, run, batch, reset, buckets, time.time(), paths)
+        frame = self.spark.createDataFrame([row], _POINTER).coalesce(1)
+        frame.write.mode("overwrite").json(f"{self.root}/pointer/table={table}/version={seq}")
+
+    def _expire(self, versions, current):
+        """Remove replaced versions past their age, and folders that only these use."""
+        limit = time.time() - self.keep_seconds
+        gone = [v for v in versions if v["written"] < limit]
+        used = set(current.values())
+        used.update(p for v in versions if v["written"] >= limit for p in v["paths"].values())
+        for v in gone:
+            for path in [*set(v["paths"].values()).difference(used),
+                         f"{self.root}/pointer/table={v['table']}/version={v['seq']}"]:
+                remove(self.spark, path)
+
+
+def remove(spark, path):
+    """Delete a folder on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def dic_lookup(dic, view=None):

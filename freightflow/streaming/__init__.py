@@ -1,4 +1,4 @@
-from .dimension_job import DimensionJob, lookup_latest, upsert_sink
+from .dimension_job import DimensionJob, enrich_latest, lookup_latest, upsert_sink
 from .replay import land, replay
 from .runner import run_sql_stream, run_stream
 from .sinks import batch_folders, fan_out, file_sink, kafka_rows, kafka_sink, upsert_rows
@@ -6,6 +6,7 @@ from .sinks import batch_folders, fan_out, file_sink, kafka_rows, kafka_sink, up
 __all__ = [
     "DimensionJob",
     "batch_folders",
+    "enrich_latest",
     "fan_out",
     "file_sink",
     "kafka_rows",

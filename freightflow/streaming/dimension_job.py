@@ -6,36 +6,32 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean
 from ..operators.dedupe import latest_per_key
-from ..operators.dimension import apply_changes, keep_current_epoch, key_changes
+from ..operators.dimension import key_changes
 from ..operators.lookup import lookup_join
 from ..operators.routing import project_columns, route
 from ..sources.changelog import parse_changes
-from ..sources.config import config_epochs, config_feed, config_images
+from ..sources.config import config_epochs, config_feed
+from .sinks import batch_path, run_of
 
-MAX_DIMENSIONS = 10_000
 MERGES_AT_ONCE = 8
-_DROPPED = -1  # `since` of a dimension whose configuration was deleted
-
-
-def _bounded(df):
-    """Rows of a table about tables; refuses what cannot be one."""
-    rows = df.limit(MAX_DIMENSIONS + 1).collect()
-    if len(rows) > MAX_DIMENSIONS:
-        raise ValueError("more dimension tables than one job can keep")
-    return rows
+_DROPPED = -2  # `reset` of a dimension whose configuration was deleted
 
 
 class DimensionJob:
     """Applies the change log to a `DimensionStore` as the configuration says.
 
     `events` is called for every micro-batch and gives the configuration events so far. A
-    configured dimension is created when missing, emptied when its configuration is updated
-    and emptied for good when that is deleted. Dimensions that a batch does not touch keep
-    their snapshot.
+    configured dimension is created when missing. An update or a delete of its configuration
+    empties it once, when the job first sees it; after that the changes of the batch apply, and
+    no change is left out for its time. Dimensions that a batch does not touch keep their
+    snapshot. `rejected` counts changes without a row key, which name no row.
+
+    The rows of the configuration are collected: it has one per dimension table.
     """
 
-    def __init__(self, store, events):
-        self.store, self.events = store, events
+    def __init__(self, store, events, ts_unit="ms"):
+        self.store, self.events, self.ts_unit = store, events, ts_unit
+        self.rejected = 0
 
     @staticmethod
     def columns(sink_columns):
@@ -50,75 +46,93 @@ class DimensionJob:
         return writer.outputMode("append").foreachBatch(self.apply)
 
     def apply(self, raw, batch_id):
-        events = self.events()
+        run, events = run_of(raw), self.events()
         state = config_feed(events).join(config_epochs(events), "source_table").persist()
-        routed = project_columns(route(clean(parse_changes(raw)), state.drop("since")))
-        current = keep_current_epoch(routed, state.select("source_table", "since"))
-        last = key_changes(current).persist()
+        rows = {r["sink_table"]: r for r in state.collect()}
+        pointers = self.store.pointers((run, batch_id))
+        routed, last, touched = None, None, set()
         try:
-            pointers = self.store.pointers(batch_id)
-            touched = {r[0] for r in _bounded(last.select("sink_table").distinct())}
-            rows = {r["sink_table"]: r for r in _bounded(state)}
+            if rows:
+                sources = [r["source_table"] for r in rows.values()]
+                changes = clean(parse_changes(raw, sources, self.ts_unit))
+                routed = project_columns(route(changes, state.drop("since"))).persist()
+                without_key = F.count_if(F.col("row_key").isNull())
+                found = routed.groupBy("sink_table").agg(without_key.alias("n")).collect()
+                touched = {r["sink_table"] for r in found}
+                self.rejected += sum(r["n"] for r in found)
+                last = key_changes(routed)
             stale = [
-                (row, pointers.get(table))
-                for table, row in rows.items()
-                if table in touched
-                or table not in pointers
-                or pointers[table]["since"] != row["since"]
+                row for table, row in rows.items()
+                if table in touched or table not in pointers
+                or pointers[table]["reset"] != row["since"]
             ]
             with ThreadPoolExecutor(MERGES_AT_ONCE) as pool:
-                list(pool.map(lambda s: self._merge(last, *s, batch_id), stale))
-            left_over = {
-                t for t, p in pointers.items() if t not in rows and p["since"] != _DROPPED
-            }
-            if left_over:
-                self._drop(config_images(events), left_over, pointers, batch_id)
+                list(pool.map(lambda row: self._merge(last, row, batch_id, run), stale))
+            for table, pointer in pointers.items():
+                if table not in rows and pointer["reset"] != _DROPPED:
+                    nothing = self.store.spark.createDataFrame([], "id string")
+                    self.store.write(table, nothing, batch_id, run, _DROPPED)
         finally:
-            last.unpersist()
+            if routed is not None:
+                routed.unpersist()
             state.unpersist()
 
-    def _merge(self, last, row, pointer, batch_id):
+    def _merge(self, last, row, batch_id, run):
         image = [F.col("image")[c].alias(c) for c in self.columns(row["sink_columns"])]
-        mine = last.where(F.col("sink_table") == row["sink_table"]).select(*image)
-        old = self.store.open(pointer, self.schema(row["sink_columns"]))
-        old = old.where(F.col("ts").cast("bigint") > row["since"])
-        merged = apply_changes(old, mine, row["sink_row_key"])
-        self.store.replace(row["sink_table"], pointer, merged, batch_id, row["since"])
-
-    def _drop(self, images, tables, pointers, batch_id):
-        known = images.where(F.col("sink_table").isin(*tables)).groupBy("sink_table").agg(
-            F.max_by("sink_columns", "ts_ms").alias("sink_columns")
+        mine = last.where(F.col("sink_table") == row["sink_table"]).select(
+            *image, F.col("ts").alias("_ts"), F.col("offset").alias("_offset"),
+            (F.col("type") == "delete").alias("_gone"),
+        )
+        self.store.merge(
+            row["sink_table"], self.schema(row["sink_columns"]), row["sink_row_key"], mine,
+            batch_id, run, row["since"],
         )
-        for row in _bounded(known):
-            table = row["sink_table"]
-            nothing = self.store.open(None, self.schema(row["sink_columns"]))
-            self.store.replace(table, pointers[table], nothing, batch_id, _DROPPED)
 
 
 def upsert_sink(store, table, schema, key, order=("ts",)):
     """Keep the latest row per key in a store. A row of `type` delete removes its key.
 
-    The streamed rows have the columns of `schema`, those of `order` and `type`.
+    The streamed rows have the columns of `schema`, those of `order` (a time, and optionally a
+    position that decides between equal times) and `type`. Rows without a key are left out.
     """
 
     def write(df, batch_id):
-        last = latest_per_key(df, [key], order).persist()
+        keyed = df.where(F.col(key).isNotNull())
+        last = latest_per_key(keyed, [key], order)
+        place = F.col(order[1]) if len(order) > 1 else F.lit(None)
+        stamped = last.select(
+            "*", F.col(order[0]).cast("long").alias("_ts"), place.cast("long").alias("_offset"),
+            (F.col("type") == "delete").alias("_gone"),
+        )
+        names = store.spark.createDataFrame([], schema).columns
+        rows = stamped.select(*names, "_ts", "_offset", "_gone").persist()
         try:
-            pointer = store.pointers(batch_id).get(table)
-            merged = apply_changes(store.open(pointer, schema), last, key)
-            store.replace(table, pointer, merged, batch_id)
+            store.merge(table, schema, key, rows, batch_id, run_of(df))
         finally:
-            last.unpersist()
+            rows.unpersist()
 
     return lambda writer: writer.outputMode("append").foreachBatch(write)
 
 
-def lookup_latest(transform, store, table, schema, key, columns, path):
-    """A sink that joins every micro-batch with the dimension as it is at that moment."""
+def enrich_latest(transform, store, tables, path):
+    """A sink that hands every micro-batch to `transform` together with the dimensions as they are
+    at that moment.
+
+    `tables` maps names to (table, schema); `transform` takes the rows and a frame per name.
+    """
 
     def write(df, batch_id):
-        dim = store.read(table, schema)
-        out = lookup_join(transform(df), dim, key, columns)
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        pointers = store.pointers()
+        dims = {n: store.open(pointers.get(t), schema) for n, (t, schema) in tables.items()}
+        out = transform(df, **dims)
+        out.write.mode("overwrite").parquet(batch_path(path, df, batch_id))
 
     return lambda writer: writer.outputMode("append").foreachBatch(write)
+
+
+def lookup_latest(transform, store, table, schema, key, columns, path):
+    """`enrich_latest` with one lookup of `columns` by `key`."""
+    return enrich_latest(
+        lambda df, dim: lookup_join(transform(df), dim, key, columns),
+        store, {"dim": (table, schema)}, path,
+    )

@@ -16,15 +16,22 @@ def file_sink(path, fmt="parquet", partition_by=()):
     return finish
 
 
-def kafka_rows(df, key=None):
-    """JSON messages. Kafka delivery is at least once: `record_id` lets readers drop repeats."""
-    value = json_row(df.columns)
+def kafka_rows(df, key=None, identity=None):
+    """JSON messages. Kafka delivery is at least once: `record_id` lets readers drop repeats.
+
+    `identity` names the columns that say which source records a row came from (see
+    `sources.POSITION`); the id is their hash, so it is equal only for a message sent again. They
+    are not part of the value. Without them a message has no id.
+    """
+    names = [c for c in df.columns if c not in (identity or ())]
     picked_key = F.col(key).cast("string") if key else F.lit(None).cast("string")
-    headers = F.array(
-        F.struct(F.lit("record_id").alias("key"),
-                 F.sha2(value, 256).cast("binary").alias("value"))
-    )
-    return df.select(picked_key.alias("key"), value.alias("value"), headers.alias("headers"))
+    out = [picked_key.alias("key"), json_row(names).alias("value")]
+    if identity:
+        place = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity])
+        record_id = F.sha2(place, 256).cast("binary")
+        header = F.struct(F.lit("record_id").alias("key"), record_id.alias("value"))
+        out.append(F.array(header).alias("headers"))
+    return df.select(*out)
 
 
 def kafka_sink(servers, topic, **options):
@@ -39,12 +46,24 @@ def kafka_sink(servers, topic, **options):
     )
 
 
+def run_of(df):
+    """The streaming query that a micro-batch belongs to, the same for every restart from its
+    checkpoint and another one for a new checkpoint; `none` outside a query."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def batch_path(path, df, batch_id):
+    """The folder of a micro-batch below `path`. A new checkpoint numbers its batches from 0 again,
+    so the query is part of it."""
+    return f"{path}/run={run_of(df)}/batch_id={batch_id}"
+
+
 def batch_folders(path, fmt="parquet", shape=None):
     """Write each micro-batch to its own folder; a repeated batch replaces its folder."""
 
     def write(df, batch_id):
         out = shape(df) if shape else df
-        out.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        out.write.mode("overwrite").format(fmt).save(batch_path(path, df, batch_id))
 
     return lambda writer: writer.outputMode("append").foreachBatch(write)
 
@@ -60,7 +79,7 @@ def fan_out(branches):
         try:
             for path, transform in branches.items():
                 out = transform(df)
-                out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+                out.write.mode("overwrite").parquet(batch_path(path, df, batch_id))
         finally:
             df.unpersist()
 

@@ -8,7 +8,9 @@ from freightflow.operators import (
     clean,
     flatten_regions,
     join_region,
+    keep_current_epoch,
     key_changes,
+    latest_per_key,
     lookup_join,
     project_columns,
     route,
@@ -18,6 +20,7 @@ from freightflow.session import work_folder
 from freightflow.sources import DimensionStore, config_feed, config_snapshot
 from freightflow.sources.config import config_epochs
 from freightflow.streaming import DimensionJob
+from pyspark.sql import types as T
 
 
 def config_row(source, sink_type="DIM", columns="id,name"):
@@ -26,7 +29,7 @@ def config_row(source, sink_type="DIM", columns="id,name"):
 
 def events(spark, *rows):
     return spark.createDataFrame(
-        [(op, ts, before, after) for ts, (op, before, after) in enumerate(rows)], CONFIG_EVENT
+        [(op, 7, before, after, seq) for seq, (op, before, after) in enumerate(rows)], CONFIG_EVENT
     )
 
 
@@ -54,7 +57,19 @@ def test_config_epochs(spark):
         ("u", a, a), ("d", b, None), ("d", c, None), ("c", None, c), ("c", None, d),
     )
     rows = {r["source_table"]: r["since"] for r in config_epochs(feed).collect()}
-    assert rows == {"a": 4, "c": 7, "d": 3}
+    assert rows == {"a": 4, "c": 6, "d": -1}
+
+
+def test_only_restarts_cut_history_and_times_do_not(spark):
+    feed = events(spark, ("r", None, config_row("t")), ("u", config_row("t"), config_row("t")))
+    rows = [(*change("insert", 10 - n, id=n), seen) for n, seen in enumerate([None, 0, 1, 1])]
+    changes = spark.createDataFrame(rows, T.StructType([*ENVELOPE, T.StructField("config_seq", T.IntegerType())]))
+
+    def kept(of):
+        return sorted(r["data"]["id"] for r in keep_current_epoch(changes, config_epochs(of)).collect())
+
+    assert kept(feed) == ["2", "3"]
+    assert kept(feed.where("op = 'r'")) == ["0", "1", "2", "3"]
 
 
 def test_route_and_project(spark):
@@ -78,8 +93,7 @@ def image_rows(spark, changes):
     return last.selectExpr("image['id'] AS id", "image['name'] AS name", "type")
 
 
-@pytest.mark.parametrize("few", [True, False, None])
-def test_one_batch_equals_change_by_change(spark, few):
+def test_one_batch_equals_change_by_change(spark):
     rng = random.Random(7)
     changes = [
         change(rng.choice(["insert", "update", "delete"]), t, id=rng.randrange(6), name=t)
@@ -95,33 +109,94 @@ def test_one_batch_equals_change_by_change(spark, few):
             kept[data["id"]] = data["name"]
     shuffled = changes[:]
     rng.shuffle(shuffled)
-    out = apply_changes(start, image_rows(spark, shuffled), "id", few)
+    out = apply_changes(start, image_rows(spark, shuffled), "id")
     assert {r["id"]: r["name"] for r in out.collect()} == kept
 
 
-def test_store_versions_and_repeats(spark):
-    store = DimensionStore(spark, work_folder(spark, "test_store"), slots=2)
-    schema = "id string"
+def test_null_keys_name_no_row_and_older_changes_do_nothing(spark):
+    start = spark.createDataFrame([("a", "old", "200"), (None, "x", "1")], "id string, name string, ts string")
+    late = spark.createDataFrame(
+        [("a", "older", "100", "update"), (None, "y", "300", "insert"), ("b", "new", "100", "insert")],
+        "id string, name string, ts string, type string",
+    )
+    out = apply_changes(start, late, "id").collect()
+    assert sorted(map(tuple, out), key=str) == [("a", "old", "200"), ("b", "new", "100"), (None, "x", "1")]
+
 
-    def frame(*ids):
-        return spark.createDataFrame([(i,) for i in ids], schema)
+def test_latest_row_does_not_depend_on_the_partitioning(spark):
+    rows = [(1, 5, {"v": str(n)}, n) for n in range(20)]
+    df = spark.createDataFrame(rows, "k int, ts long, data map<string,string>, n int")
+    got = {tuple(latest_per_key(df.repartition(p), ["k"], ("ts",)).collect()[0][2:])[1] for p in (1, 2, 3, 7)}
+    assert len(got) == 1
 
-    assert store.read("t", schema).collect() == []
-    store.write("t", frame("a"), 0)
-    store.write("t", store.read("t", schema).union(frame("b")), 1)
-    again = store.read("t", schema, before=1).union(frame("b"))
-    store.write("t", again, 1)
-    assert sorted(store.read("t", schema).collect()) == [("a",), ("b",)]
-    for batch in range(2, 6):
-        store.write("t", store.read("t", schema).union(frame(str(batch))), batch)
-    assert store.read("t", schema).count() == 6
+
+SCHEMA = "id string, name string"
+
+
+def stamped(spark, *rows):
+    """(id, name, ts, gone) as changes of a store."""
+    return spark.createDataFrame(
+        [(i, n, ts, None, gone) for i, n, ts, gone in rows], f"{SCHEMA}, _ts long, _offset long, _gone boolean"
+    )
 
 
-def test_configuration_drives_the_dimension_tables(spark):
+def names(store, table="t"):
+    return {r["id"]: r["name"] for r in store.read(table, SCHEMA).collect()}
+
+
+def test_store_orders_by_time_across_batches(spark):
+    store = DimensionStore(spark, work_folder(spark, "test_store"), buckets=4)
+    assert names(store) == {}
+    store.merge("t", SCHEMA, "id", stamped(spark, ("a", "1", 200, False), ("b", "1", 200, False)), 0, "run")
+    held = store.read("t", SCHEMA)
+    store.merge("t", SCHEMA, "id", stamped(spark, ("a", "0", 100, False), ("b", None, 300, True)), 1, "run")
+    assert names(store) == {"a": "1"}
+    store.merge("t", SCHEMA, "id", stamped(spark, ("b", "2", 250, False), ("c", "1", 1, False)), 2, "run")
+    assert names(store) == {"a": "1", "c": "1"}
+    # A repeat starts from the version before it; a new checkpoint goes on from the newest one.
+    store.merge("t", SCHEMA, "id", stamped(spark, ("d", "1", 1, False)), 2, "run")
+    assert names(store) == {"a": "1", "d": "1"}
+    store.merge("t", SCHEMA, "id", stamped(spark, ("e", "1", 1, False)), 0, "other run")
+    assert names(store) == {"a": "1", "d": "1", "e": "1"}
+    for batch in range(12):
+        store.merge("t", SCHEMA, "id", stamped(spark, ("f", str(batch), batch, False)), batch, "third")
+    assert held.count() == 2 and names(store)["f"] == "11"
+    store.merge("t", SCHEMA, "id", stamped(spark), 13, "third", reset=5)
+    assert names(store) == {}
+
+
+def test_one_row_rewrites_one_bucket(spark):
+    store = DimensionStore(spark, work_folder(spark, "test_buckets"), buckets=8)
+    store.merge("t", SCHEMA, "id", stamped(spark, *[(str(i), "x", 1, False) for i in range(100)]), 0)
+    before = store.pointers()["t"]["paths"]
+    store.merge("t", SCHEMA, "id", stamped(spark, ("5", "y", 2, False)), 1)
+    after = store.pointers()["t"]["paths"]
+    assert sum(before[b] != after[b] for b in after) == 1 and len(after) == 8
+    assert names(store)["5"] == "y" and len(names(store)) == 100
+
+
+def test_replaced_versions_are_removed_by_age(spark):
+    store = DimensionStore(spark, work_folder(spark, "test_age"), buckets=2, keep_seconds=0)
+    for n in range(4):
+        store.write("t", spark.createDataFrame([("a", str(n)), ("b", "x")], SCHEMA), n)
+    store.merge("t", SCHEMA, "id", stamped(spark, ("a", "9", 1, False)), 5)
+    assert names(store) == {"a": "9", "b": "x"}
+    kept = spark.read.json(f"{store.root}/pointer").select("version").distinct().count()
+    assert kept <= 2
+
+
+def test_broken_pointers_are_no_empty_dimension(spark):
+    store = DimensionStore(spark, "nosuchscheme://x/y")
+    with pytest.raises(Exception, match="nosuchscheme"):
+        store.read("t", SCHEMA)
+
+
+@pytest.mark.parametrize("unit, scale", [("ms", 1), ("s", 1000)])
+def test_configuration_drives_the_dimension_tables(spark, unit, scale):
     t = config_row("t")
     store = DimensionStore(spark, work_folder(spark, "test_lifecycle"))
-    feed = [("c", 0, None, t)]
-    job = DimensionJob(store, lambda: spark.createDataFrame(feed, CONFIG_EVENT))
+    feed = [("c", 10**15, None, t, 0)]
+    job = DimensionJob(store, lambda: spark.createDataFrame(feed, CONFIG_EVENT), unit)
     schema = job.schema("id,name")
 
     def apply(batch, *changes):
@@ -129,20 +204,22 @@ def test_configuration_drives_the_dimension_tables(spark):
         job.apply(lines, batch)
         return sorted(r["id"] for r in store.read("dim_t", schema).collect())
 
-    def insert(ts, id_):
+    def insert(ts, id_, **more):
         return {"database": "tms", "table": "t", "type": "insert", "ts": ts, "offset": ts,
-                "data": {"id": id_, "name": "n"}}
+                "data": {"id": id_, "name": "n"}} | more
 
-    assert apply(0) == [] and store.pointers()["dim_t"]["since"] == 0
+    assert apply(0) == [] and store.pointers()["dim_t"]["reset"] == -1
     assert apply(1, insert(5, "a"), insert(6, "b")) == ["a", "b"]
     assert apply(1, insert(5, "a"), insert(6, "b")) == ["a", "b"]
-    feed.append(("u", 10, t, t))
+    assert {r["ts"] for r in store.read("dim_t", schema).collect()} == {str(5 * scale), str(6 * scale)}
+    feed.append(("u", 0, t, t, 1))
     assert apply(2) == []
-    assert apply(3, insert(9, "old"), insert(11, "c")) == ["c"]
-    feed.append(("d", 20, t, None))
+    assert apply(3, insert(9, "old"), insert(11, "c"), insert(12, None)) == ["c", "old"]
+    assert job.rejected == 1
+    feed.append(("d", 0, t, None, 2))
     assert apply(4, insert(21, "d")) == []
-    feed.append(("c", 30, None, t))
-    assert apply(5, insert(25, "e"), insert(31, "f")) == ["f"]
+    feed.append(("c", 0, None, t, 3))
+    assert apply(5, insert(3, "e"), insert(31, "f")) == ["e", "f"]
 
 
 REGIONS = [
@@ -165,14 +242,14 @@ def test_region_levels(spark):
     }
 
 
-def test_topmost_city_wins_and_depth_is_checked(spark):
-    nested = regions(spark, REGIONS + [("CC", "D", "Inner", "City"), ("E", "CC", "End", "x")])
-    flat = {r["region_id"]: r["city_id"] for r in flatten_regions(nested).collect()}
-    assert flat["E"] == "C"
-    with pytest.raises(Exception, match="deeper than the levels"):
-        flatten_regions(nested, levels=3).collect()
-    with pytest.raises(Exception, match="deeper than the levels"):
-        flatten_regions(regions(spark, [("a", "b", "", ""), ("b", "a", "", "")])).collect()
+def test_topmost_city_wins_however_deep_and_cycles_fail(spark):
+    deep = [(f"L{n}", f"L{n - 1}" if n else "D", "x", "x") for n in range(150)]
+    nested = regions(spark, REGIONS + [("CC", "D", "Inner", "City"), ("E", "CC", "End", "x")] + deep)
+    flat = {r["region_id"]: (r["city_id"], r["province_id"]) for r in flatten_regions(nested).collect()}
+    assert flat["E"] == flat["L149"] == ("C", "P")
+    with pytest.raises(ValueError, match="cycle"):
+        flatten_regions(regions(spark, [("a", "b", "", ""), ("b", "a", "", "")]))
+    assert flatten_regions(regions(spark, [])).count() == 0
 
 
 def test_lookup_keeps_rows_without_a_match(spark):

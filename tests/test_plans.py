@@ -6,10 +6,11 @@ import io
 import pytest
 from freightflow import fixtures as fx
 from freightflow.catalog import QUERIES
-from freightflow.operators import broadcast_if_small, lookup_join, window_rollup
+from freightflow.operators import lookup_join, window_rollup
 from freightflow.plans import facts
 from freightflow.schemas import ENVELOPE
 from freightflow.sources import parse_changes
+from pyspark.sql import functions as F
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -111,14 +112,28 @@ def test_rollups_aggregate_before_the_shuffle(spark):
     assert "HashAggregate" in text and "SortAggregate" not in text
 
 
-def test_large_side_is_not_broadcast(spark):
-    small = spark.range(3).selectExpr("cast(id as string) AS id", "'x' AS name").distinct()
-    df = spark.range(3).selectExpr("cast(id as string) AS k")
-    hinted = lookup_join(df, broadcast_if_small(small), "k", {"n": "name"})
-    refused = lookup_join(df, broadcast_if_small(small, limit=10), "k", {"n": "name"})
-    hint = "rightHint=(strategy=broadcast)"
-    assert hint in hinted._jdf.queryExecution().optimizedPlan().toString()
-    assert hint not in refused._jdf.queryExecution().optimizedPlan().toString()
+def test_hot_task_is_split(spark, settings):
+    details = hot_log(spark, "transport_task_detail", {
+        "id": "n", "order_id": "n", "transport_task_id": "k",
+    }).withColumn("type", F.lit("update"))
+    tasks = hot_log(spark, "transport_task", {
+        "id": "n", "order_num": "1", "actual_end_time": TIME, "status": "'67004'",
+    }).withColumn("type", F.lit("update"))
+    with settings(SPLIT_EARLY):
+        df = facts.transport_task_detail(details.unionByName(tasks))
+        assert "SortMergeJoin(skew=true)" in final_plan(df)
+        assert df.count() == 20_000
+
+
+def test_broadcasts_follow_the_size_found_at_run_time(spark, settings):
+    derived = spark.range(3_000).selectExpr("cast(id % 1000 as string) AS id", "'x' AS name").distinct()
+    df = spark.range(3_000).selectExpr("cast(id as string) AS k").repartition(4, "k")
+    adaptive = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for limit, join in (("10m", "BroadcastHashJoin"), ("1k", "SortMergeJoin")):
+        with settings({**adaptive, "spark.sql.adaptive.autoBroadcastJoinThreshold": limit}):
+            joined = lookup_join(df, derived, "k", {"n": "name"})
+            assert "hint" not in joined._jdf.queryExecution().optimizedPlan().toString().lower()
+            assert join in final_plan(joined)
 
 
 def test_json_is_parsed_once(spark):

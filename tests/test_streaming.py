@@ -3,7 +3,7 @@ import json
 from freightflow.operators import window_rollup
 from freightflow.plans import facts
 from freightflow.session import work_folder
-from freightflow.sources import parse_changes, parse_facts, read_files
+from freightflow.sources import POSITION, parse_changes, parse_facts, read_files
 from freightflow.streaming import (
     batch_folders,
     fan_out,
@@ -149,8 +149,53 @@ def test_always_on_trigger_and_sql_job(spark):
     assert sorted(spark.read.parquet(f"{root}/out").collect()) == [(1, "first"), (2, None)]
 
 
-def test_kafka_messages_carry_an_id(spark):
-    rows = kafka_rows(spark.createDataFrame([("a", 1), ("a", 1)], "k string, n long"), "k").collect()
-    assert rows[0]["value"] == '{"k":"a","n":1}' and rows[0]["key"] == "a"
-    assert rows[0]["headers"] == rows[1]["headers"]
-    assert rows[0]["headers"][0]["key"] == "record_id"
+def test_a_bound_shows_what_expired(spark):
+    """Pairs apart by more than the bound are given without a partner; without a bound they meet."""
+    def cargo(o, second):
+        return change("order_cargo", S + second * 1000, order_id=o, cargo_type="k", create_time=moment(0))
+
+    def order(o, second):
+        return change("order_info", S + second * 1000, id=o, amount="1", cargo_num="1")
+
+    batches = [
+        [cargo("1", 0), cargo("2", 0)], [order("1", 5)],
+        [order("3", 9_000), cargo("3", 9_000)], [order("2", 9_001), order("4", 20_000), cargo("5", 20_000)], [],
+    ]
+    bounded = run(spark, batches, lambda raw: facts.trade_order_cargo(parse_changes(raw), "60 seconds"))
+    got = {r["order_id"]: r["id"] for r in bounded.collect()}
+    assert got["1"] == "1" and got["3"] == "3" and got["2"] is None
+    free = run(spark, batches, lambda raw: facts.trade_order_cargo(parse_changes(raw)))
+    assert {r["order_id"]: r["id"] for r in free.collect()} == {"1": "1", "2": "2", "3": "3"}
+
+
+def test_bounds_meet_orders_by_the_time_of_the_change(spark):
+    """A bound made long before the change that brings it, and a log in seconds."""
+    bound = change("order_org_bound", S // 1000, order_id="1", org_id="a", status="1",
+                   create_time="2023-11-01 00:00:00", sort_time=moment(0))
+    order = change("order_info", str(S // 1000), id="1", amount="1", cargo_num="1") | {"offset": 1}
+    out = run(spark, [[bound, order]],
+              lambda raw: facts.trade_order_org(parse_changes(raw, ts_unit="s"), "1 minute"))
+    assert [(r["org_id"], r["id"]) for r in out.collect()] == [("a", "1")]
+
+
+def test_kafka_messages_carry_the_place_of_their_source(spark):
+    """Equal values of different records get different ids, the same record always the same."""
+    columns = "value string, topic string, partition int, offset long"
+    text = json.dumps(change("transport_task", 1, id="1", status="67004"))
+    rows = spark.createDataFrame([(text, "t", 0, 7), (text, "t", 1, 7), (text, "t", 0, 7)], columns)
+    changes = parse_changes(rows, positions=True)
+    out = changes.selectExpr("data['id'] AS k", f"data['{POSITION}'] AS {POSITION}")
+    messages = kafka_rows(out, "k", [POSITION]).collect()
+    assert {(m["value"], m["key"]) for m in messages} == {('{"k":"1"}', "1")}
+    ids = [m["headers"][0]["value"] for m in messages]
+    assert ids[0] != ids[1] and ids[0] == ids[2] and messages[0]["headers"][0]["key"] == "record_id"
+    assert kafka_rows(out).columns == ["key", "value"]
+
+
+def test_a_new_checkpoint_does_not_replace_old_batches(spark):
+    root = work_folder(spark, "test_runs")
+    for name in ("first", "second"):
+        lines(spark, [{"ts": 1, "k": name}]).write.text(f"{root}/{name}")
+        run_stream("test", read_files(spark, f"{root}/{name}"), lambda raw: parse_facts(raw, "ts long, k string"),
+                   batch_folders(f"{root}/out"), f"{root}/checkpoint-{name}", available_now=True).awaitTermination()
+    assert sorted(r["k"] for r in spark.read.parquet(f"{root}/out").collect()) == ["first", "second"]
