@@ -564,3 +564,9 @@ ORACLE = {
     "stream_express_sorting": _renamed(SORTING_FACT, f"SELECT {BOUND_ARRIVAL} AS moment FROM lineitem",
                                        f"({BOUND_ARRIVED})"),
 }
+# A stream gives what a batch gives.
+for _name in (
+    "order_status", "transport_total", "transport_org", "trade_order_cargo", "trade_order_org",
+    "express_pickup", "express_deliver",
+):
+    ORACLE[f"stream_dws_{_name}"] = ORACLE[f"dws_{_name}"]

@@ -2,7 +2,9 @@
 
 Each builder gives the columns of `schemas.ROLLUP_COLUMNS` after stt, edt and cur_date. All
 aggregate first and look attributes up afterwards, except by truck model, where the lookup
-gives the key.
+gives the key. The two halves of those with lookups are functions of their own (`*_windows`,
+`*_named`), so that a stream can aggregate and then name each micro-batch of closed windows by the
+newest dimensions (`streaming.enrich_latest`).
 """
 
 from pyspark.sql import functions as F
@@ -60,16 +62,23 @@ def transport_total(facts):
     return _shape(_transport(facts), "dws_transport_total_count_view_window")
 
 
-def transport_org(facts, organ, regions):
-    """Finished transports by start organisation; durations in seconds."""
+def transport_org_windows(facts):
     named = facts.withColumnsRenamed(
         {"start_org_id": "org_id", "start_org_name": "org_name"}
     )
-    out = _transport(named, ["org_id"], ["org_name"])
-    out = lookup_join(out, organ, "org_id", {"region_id": "region_id"})
+    return _transport(named, ["org_id"], ["org_name"])
+
+
+def transport_org_named(windows, organ, regions):
+    out = lookup_join(windows, organ, "org_id", {"region_id": "region_id"})
     return _shape(join_region(out, regions), "dws_transport_city_org_view_window")
 
 
+def transport_org(facts, organ, regions):
+    """Finished transports by start organisation; durations in seconds."""
+    return transport_org_named(transport_org_windows(facts), organ, regions)
+
+
 def transport_truck(facts, truck_info, truck_model):
     """Finished transports by truck model; durations in milliseconds."""
     keyed = lookup_join(facts, truck_info, "truck_id", {"truck_mode_id": "truck_model_id"})
@@ -81,40 +90,61 @@ def transport_truck(facts, truck_info, truck_model):
     return _shape(out, "dws_transport_truck_view_window")
 
 
-def trade_order_cargo(facts, dic):
-    """Orders by cargo type."""
-    out = window_rollup(
+def trade_order_cargo_windows(facts):
+    return window_rollup(
         facts, ["cargo_type"], count="order_count", sums={"total_amount": as_double("amount")}
     )
-    out = lookup_join(out, dic, "cargo_type", {"cargo_name": "name"})
+
+
+def trade_order_cargo_named(windows, dic):
+    out = lookup_join(windows, dic, "cargo_type", {"cargo_name": "name"})
     return _shape(out, "dws_trade_order_cargo_view_window")
 
 
-def trade_order_city(facts, regions):
-    """Orders by the sender's city."""
+def trade_order_cargo(facts, dic):
+    """Orders by cargo type."""
+    return trade_order_cargo_named(trade_order_cargo_windows(facts), dic)
+
+
+def trade_order_city_windows(facts):
     named = facts.withColumnsRenamed(
         {"sender_city_id": "city_id", "sender_province_id": "province_id"}
     )
-    out = window_rollup(
+    return window_rollup(
         named, ["city_id"], count="order_count", sums={"total_amount": as_double("amount")},
         firsts=["province_id"], dependent=True,
     )
+
+
+def trade_order_city_named(windows, regions):
     regions = regions.select("id", "name")
-    out = lookup_join(out, regions, "city_id", {"city_name": "name"})
+    out = lookup_join(windows, regions, "city_id", {"city_name": "name"})
     out = lookup_join(out, regions, "province_id", {"province_name": "name"})
     return _shape(out, "dws_trade_order_city_view_window")
 
 
-def trade_order_org(facts, organ):
-    """Orders by organisation."""
-    out = window_rollup(
+def trade_order_city(facts, regions):
+    """Orders by the sender's city."""
+    return trade_order_city_named(trade_order_city_windows(facts), regions)
+
+
+def trade_order_org_windows(facts):
+    return window_rollup(
         facts.withColumn("order_amount", as_double("amount")).drop("amount"),
         ["org_id"], count="count", sums={"amount": "order_amount"},
     )
-    out = lookup_join(out, organ, "org_id", {"org_name": "org_name"})
+
+
+def trade_order_org_named(windows, organ):
+    out = lookup_join(windows, organ, "org_id", {"org_name": "org_name"})
     return _shape(out, "dws_trade_order_org_view_window")
 
 
+def trade_order_org(facts, organ):
+    """Orders by organisation."""
+    return trade_order_org_named(trade_order_org_windows(facts), organ)
+
+
 def express(facts, kind):
     """Parcels by organisation; `kind` is pickup, sorting or deliver."""
     out = window_rollup(
