@@ -82,6 +82,46 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def _matches_sql(number, pattern, group, least):
+    """Matches of a kind in DuckDB: places are the lengths of what comes before them."""
+    pattern = pattern.replace("'", "''")
+    return f"""
+        SELECT rn, doc_id, source, {number} AS kind, g[i] AS value, length(m[i]) AS size,
+               CAST(coalesce(list_sum(list_transform(s[1:i], lambda x: length(x))), 0)
+                    + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a
+        FROM (SELECT rn, doc_id, source, m, s, g, unnest(range(1, len(m) + 1)) AS i
+              FROM (SELECT rn, doc_id, source, regexp_extract_all(t, '{pattern}', 0) AS m,
+                           regexp_split_to_array(t, '{pattern}') AS s,
+                           regexp_extract_all(t, '{pattern}', {group}) AS g FROM d))
+        WHERE length(g[i]) >= {least}"""
+
+
+_SECRETS_SQL = "WITH d AS (SELECT row_number() OVER () AS rn, doc_id, source, coalesce(text, '') AS t FROM documents),\n" + f"""
+    base AS ({" UNION ALL ".join(
+        _matches_sql(i, p, g, n) for i, (_, p, g, n, _) in enumerate(secret_scan.BASE_KINDS)
+    )}),
+    opaque AS (
+        SELECT * FROM ({_matches_sql(3, "[A-Za-z0-9+/_=-]+", 0, 20)}) o
+        WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+          AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rn = o.rn AND b.a < o.a + o.size
+                                                 AND o.a < b.a + b.size)),
+    found AS (SELECT * FROM base UNION ALL SELECT * FROM opaque),
+    owners AS (
+        SELECT value, count(DISTINCT coalesce('=' || source, '')) < {secret_scan.EXAMPLE_OWNERS} AS live
+        FROM found GROUP BY value),
+    shown AS (
+        SELECT rn, kind, a, live,
+               (['assign', 'access', 'hex', 'opaque'])[kind + 1] || ':' || a || ':' || (a + size) AS span
+        FROM found JOIN owners USING (value) WHERE kind < 3 OR live)
+    SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign,
+           count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+           sha256(coalesce(string_agg(span, ',' ORDER BY a, kind) FILTER (WHERE kind < 3), ''))
+               AS base_sha256,
+           coalesce(string_agg(span, ',' ORDER BY a, kind), '') AS spans,
+           count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example
+    FROM d LEFT JOIN shown USING (rn) GROUP BY rn, doc_id
+"""
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -127,4 +167,5 @@ ORACLE = {
                coalesce(page_id % 101 = 7 AND body <> '', false) AS corrupt
         FROM record
     """,
+    "op7_secret_scan": _SECRETS_SQL,
 }
