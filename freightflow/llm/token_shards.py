@@ -19,7 +19,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import work_folder
-from .common import map_arrow
+from .common import map_arrow, stored, whole_text
 
 END_ID = 1
 MAGIC = 0x5844494E454B4F54
@@ -27,7 +27,7 @@ FINGERPRINT_BITS = 32
 #: Bits per key of a level of the hash, and levels before the last keys are listed.
 GAMMA, LEVELS = 2, 48
 #: Bytes of text that are encoded at once, and encoded words that are kept for later batches.
-BATCH_BYTES, CACHE_WORDS, CHUNK_WORDS = 1 << 21, 300_000, 256
+BATCH_BYTES, CACHE_WORDS, CHUNK_WORDS = 1 << 21, 400_000, 256
 
 
 # ---------------------------------------------------------------- keys
@@ -261,14 +261,12 @@ class Encoder:
             for space in self.SPACES:
                 text = text.replace(space, " ")
             split.append(text.split(" "))
-        new = {w for ws in split for w in ws}.difference(self.known)
-        found = self._new_words([w for w in new if w]) | {"": b""}
-        if len(self.known) + len(found) <= CACHE_WORDS:
-            self.known |= found
-            found = self.known
-        else:
-            found |= self.known
-        get = found.__getitem__
+        words = {w for ws in split for w in ws}
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known, new = {}, words
+        self.known |= self._new_words([w for w in new if w]) | {"": b""}
+        get = self.known.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
 
@@ -278,40 +276,31 @@ def encoder(tokenizer_file, end_id):
     return Encoder(tokenizer_file, end_id)
 
 
-def _encode_rows(tokenizer_file, end_id):
-    def run(batches):
-        code = encoder(tokenizer_file, end_id)
-        for batch in batches:
-            ids, texts, size = [], [], 0
-            for t in batch["text"]:
-                texts.append(t.as_py() or "")
-                size += len(t.as_buffer()) if t.is_valid else 0
-                if size > BATCH_BYTES:
-                    ids += code.encode(texts)
-                    texts, size = [], 0
-            ids += code.encode(texts)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(ids, pa.binary())], ["doc_id", "ids"]
-            )
-
-    return run
-
+def _shard_rows(tokenizer_file, end_id, width):
+    """Sorted (doc_id, text, shard) to the rows of one file: the documents' ids, then the footer."""
 
-def _shard_rows(width):
-    """Sorted (doc_id, ids, shard) to the rows of one file: the documents' ids, then the footer."""
+    def slices(texts, size=0, start=0):
+        for i, t in enumerate(texts):
+            n = len(t.as_buffer()) if t.is_valid else 0
+            if size and size + n > BATCH_BYTES:
+                yield start, i
+                start, size = i, 0
+            size += n
+        yield start, len(texts)
 
     def run(batches):
+        code = encoder(tokenizer_file, end_id)
         doc_ids, nulls, lengths, shard = [], [], [], None
         for batch in batches:
             if not len(batch):
                 continue
-            shard = batch["shard"][0].as_py()
-            names = batch["doc_id"]
+            shard, names = batch["shard"][0].as_py(), batch["doc_id"]
             nulls.append(names.is_null().to_numpy(zero_copy_only=False))
             doc_ids.append(names.fill_null(0).to_numpy())
-            sizes = np.array([len(x.as_buffer()) for x in batch["ids"]], np.int64)
-            lengths.append(sizes // width + 1)
-            yield pa.RecordBatch.from_arrays([batch["ids"]], ["value"])
+            for a, b in slices(batch["text"]):
+                ids = code.encode([t or "" for t in batch["text"].slice(a, b - a).to_pylist()])
+                lengths.append(np.array([len(x) for x in ids], np.int64) // width + 1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["value"])
         if shard is not None:
             row = footer(shard, width, *(np.concatenate(x) for x in (doc_ids, nulls, lengths)))
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["value"])
@@ -323,17 +312,14 @@ def write(docs, tokenizer_file, path, end_id=END_ID):
     """Write the shards of `docs` (doc_id, text) to `path` and return it.
 
     Shards follow each other in ascending doc_id, null first; null texts are empty and hold their
-    end id only. Rows that repeat a doc_id are stored each, side by side. Texts are encoded before
-    they are sorted, so the shuffle moves ids.
+    end id only. Rows that repeat a doc_id are stored each, side by side in the order of their
+    texts. Texts are encoded behind the sort, because finding its bounds reads its input twice.
     """
-    code = Encoder(tokenizer_file, end_id)
-    width = np.dtype(code.kind).itemsize
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    coded = map_arrow(rows, _encode_rows(tokenizer_file, end_id), "doc_id long, ids binary")
-    # ids decide between rows of one doc_id, so that the order is the same on every run
-    ordered = coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered = ordered.select("doc_id", "ids", F.spark_partition_id().alias("shard"))
-    lines = map_arrow(ordered, _shard_rows(width), "value binary")
+    width = np.dtype(Encoder(tokenizer_file, end_id).kind).itemsize
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = ordered.select("doc_id", "text", F.spark_partition_id().alias("shard"))
+    lines = map_arrow(ordered, _shard_rows(tokenizer_file, end_id, width), "value binary")
     separator = end_id.to_bytes(width, "little").decode()
     lines.select(F.col("value").cast("string")).write.option("lineSep", separator).text(path)
     return path
@@ -358,7 +344,7 @@ def read(spark, path):
     each found through the index by its key. `start` counts the ids of all documents before it."""
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("content")
     schema = "doc_id long, shard long, shard_start long, n_tokens long, ids_crc32 long"
-    found = map_arrow(files, _read_rows, schema)
+    found = stored(map_arrow(files, _read_rows, schema), "token-places")
     # One row per shard, far fewer than there are documents.
     ends = found.groupBy("shard").agg(F.sum("n_tokens").alias("ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
