@@ -27,7 +27,7 @@ FINGERPRINT_BITS = 32
 #: Bits per key of a level of the hash, and levels before the last keys are listed.
 GAMMA, LEVELS = 2, 48
 #: Bytes of text that are encoded at once, and encoded words that are kept for later batches.
-BATCH_BYTES, CACHE_WORDS, CHUNK_WORDS = 1 << 21, 400_000, 256
+BATCH_BYTES, CACHE_WORDS, CHUNK_WORDS = 1 << 21, 600_000, 256
 
 
 # ---------------------------------------------------------------- keys
@@ -227,7 +227,10 @@ class Encoder:
         out = {}
         for at in range(0, len(words), CHUNK_WORDS):
             chunk = words[at : at + CHUNK_WORDS]
-            counts = np.array([len(self.PRETOKENS.findall(w.lower())) for w in chunk])
+            # letters only, also in lower case, are one pre-token
+            counts = np.array(
+                [1 if w.lower().isalpha() else len(self.PRETOKENS.findall(w.lower())) for w in chunk]
+            )
             ids = self._ids([" ".join(chunk)])[0]
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != counts.sum() or (len(ends) and ends[-1] != len(ids)):
@@ -241,17 +244,29 @@ class Encoder:
     def _new_words(self, words):
         """Ids of distinct words. Stops behind a letter or digit are pre-tokens of their own, and
         ASCII capitals are read as small letters, so such words are encoded once."""
-        parts = {}
+        parts, cores, others = [], set(), []
         for w in words:
-            if self.PLAIN.fullmatch(w):
+            if w.isascii() and w.isalpha():
+                core, tail = w.lower(), ""
+            elif self.PLAIN.fullmatch(w):
                 core = w.rstrip(self.STOPS)
                 core, tail = (core, w[len(core) :]) if core and core[-1].isalnum() else (w, "")
-                parts[w] = (core.lower() if core.isascii() else core, tail)
-        cores = {p for pair in parts.values() for p in pair if p}
-        coded = {p: self.known[p] for p in cores if p in self.known} | {"": b""}
-        coded |= self._together([p for p in cores if p not in coded])
-        out = {w: coded[a] + coded[b] for w, (a, b) in parts.items() if a in coded and b in coded}
-        others = [w for w in words if w not in out]
+                core = core.lower() if core.isascii() else core
+            else:
+                others.append(w)
+                continue
+            parts.append((w, core, tail))
+            cores.add(core)
+            if tail:
+                cores.add(tail)
+        coded = self._together([p for p in cores if p not in self.known])
+        coded |= {p: self.known[p] for p in cores if p in self.known}
+        out = {}
+        for w, core, tail in parts:
+            if core not in coded or (tail and tail not in coded):
+                others.append(w)
+            else:
+                out[w] = coded[core] + coded[tail] if tail else coded[core]
         return out | {w: x.tobytes() for w, x in zip(others, self._ids(others), strict=True)}
 
     def encode(self, texts):
@@ -261,7 +276,7 @@ class Encoder:
             for space in self.SPACES:
                 text = text.replace(space, " ")
             split.append(text.split(" "))
-        words = {w for ws in split for w in ws}
+        words = set().union(*split)
         new = words.difference(self.known)
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known, new = {}, words
