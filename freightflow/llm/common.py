@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import work_folder
 
-#: Rows of (long, digest) that are broadcast at most: about 64 MB in an executor.
-BROADCAST_ROWS = 500_000
+#: Rows of (long, digest) that are broadcast at most: about 12 MB in an executor.
+BROADCAST_ROWS = 100_000
 
 
 @cache

@@ -26,7 +26,7 @@ BYTE_PENALTY = 2.0
 #: Characters of text whose words are searched together.
 BATCH_CHARACTERS = 1 << 21
 #: Encoded words that are kept for later batches.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 120_000
 
 
 class Vocabulary:

@@ -112,7 +112,7 @@ def matched(symbols):
 class Grammar:
     """Symbols and features of texts for a lexicon {stem or word + '$': weight}."""
 
-    CACHE = 300_000
+    CACHE = 100_000
 
     def __init__(self, lexicon):
         self.lexicon, self.known = lexicon, {}
