@@ -7,15 +7,16 @@ from .common import stored
 
 def components(edges):
     """(vertex, root) for every vertex of `edges` (a, b: long), the root being one vertex of its
-    component. Null ends are ignored.
+    component. Null ends are ignored. `edges` is evaluated once, so it need not give the same edges
+    again when it is.
 
     Each round maps every vertex to its least neighbour and replaces the edges by those between
     the images, until none is left; the number of rounds grows with the logarithm of the longest
     chain. Vertices are compared by a hash, so that a chain in numeric order is no bad case. A
     vertex with very many edges meets one row per vertex in each join.
     """
-    both = edges.where("a <> b").select("a", "b")
-    both = stored(both.union(both.select(F.col("b"), F.col("a"))).distinct(), "links")
+    once = stored(edges.where("a <> b").select("a", "b"), "link-edges")
+    both = stored(once.union(once.select(F.col("b"), F.col("a"))).distinct(), "links")
     members = None
     while not both.isEmpty():
         least = F.min(F.struct(F.xxhash64("b").alias("k"), F.col("b").alias("v"))).alias("least")

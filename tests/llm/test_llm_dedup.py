@@ -166,3 +166,32 @@ def test_near_drop(spark, odd_docs, no_docs):
         "1", "4", "6", "8", "9", "None"
     ]
     assert simhash_dedup.keep_one(no_docs).count() == 0
+
+
+def test_components_of_edges_that_turn_when_read_again(spark):
+    def turned(batches):  # each edge in a direction that changes with every evaluation
+        import os
+
+        import numpy
+        import pyarrow as pa
+
+        for batch in batches:
+            turn = numpy.frombuffer(os.urandom(len(batch)), numpy.uint8) % 2 == 1
+            a, b = batch["a"].to_numpy(), batch["b"].to_numpy()
+            ends = [pa.array(numpy.where(turn, b, a)), pa.array(numpy.where(turn, a, b))]
+            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+    edges = spark.createDataFrame([(2 * i, 2 * i + 1) for i in range(200)], "a long, b long")
+    found = components(edges.mapInArrow(turned, "a long, b long")).collect()
+    root = {r.vertex: r.root for r in found}
+    assert len(root) == 400 and all(root[2 * i] == root[2 * i + 1] for i in range(200))
+
+
+def test_links_do_not_depend_on_the_order_of_rows(spark):
+    prints = [7 ^ (1 << i) for i in range(40)]
+    edges = [
+        sorted(tuple(r) for r in simhash_dedup.links(
+            spark.createDataFrame([(p,) for p in order], "fp long").coalesce(1)).collect())
+        for order in (prints, prints[::-1])
+    ]
+    assert edges[0] == edges[1]
