@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
+from . import shingle_sets
 from .common import map_arrow, small_side, stored
 from .components import components
 
@@ -219,20 +220,31 @@ def links(prints, block=BLOCK):
     return map_arrow(grouped, _link_lists, "a long, b long")
 
 
-def near_groups(docs, block=BLOCK):
+def near_groups(docs, block=BLOCK, words=None, similarity=None):
     """One row per document: doc_id, fp, component_id, group_size.
 
+    With `similarity`, texts link when their sets of shingles of `words` words have at least that
+    Jaccard similarity, and fp names the set. Texts without words have the same set. Else, as
+    follows.
+
     Fingerprints at three or fewer differing bits link; component_id is the smallest doc_id that
     is reachable, null only if no row reached has one. Texts without words, null included, have
     fingerprint zero and link like any other. Repeated rows count each. Other columns are not
     read.
     """
-    rows = stored(fingerprints(docs), "simhash-rows")
+    if similarity is None:
+        rows = stored(fingerprints(docs), "simhash-rows")
+    else:
+        rows = stored(shingle_sets.set_rows(docs, words), "simhash-rows")
     distinct = stored(
         rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")),
         "simhash-distinct",
     )
-    roots = components(links(distinct.select("fp"), block))
+    if similarity is None:
+        edges = links(distinct.select("fp"), block)
+    else:
+        edges = shingle_sets.links(docs, rows, words, similarity, block)
+    roots = components(edges)
     joined = distinct.join(roots, F.col("fp") == F.col("vertex"), "left")
     rooted = stored(
         joined.select("fp", "first", "n", F.coalesce("root", "fp").alias("root")), "simhash-roots"
@@ -249,14 +261,15 @@ def near_groups(docs, block=BLOCK):
     return rows.join(placed, "fp").select("doc_id", "fp", "component_id", "group_size")
 
 
-def keep_one(docs):
+def keep_one(docs, words=None, similarity=None):
     """The rows of `docs` whose doc_id is the smallest of its group, with all their columns.
 
     Rows that share a doc_id stand or fall together: they stay if one of them stays.
+    See `near_groups` for `words` and `similarity`.
     """
     stays = F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays")
     gone = stored(
-        near_groups(docs).groupBy("doc_id").agg(stays).where("NOT stays")
+        near_groups(docs, words=words, similarity=similarity).groupBy("doc_id").agg(stays).where("NOT stays")
         .select(F.col("doc_id").alias("_ff_id")),
         "simhash-gone",
     )

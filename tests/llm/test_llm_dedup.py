@@ -195,3 +195,35 @@ def test_links_do_not_depend_on_the_order_of_rows(spark):
         for order in (prints, prints[::-1])
     ]
     assert edges[0] == edges[1]
+
+
+def jaccard(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_pipeline_stage_drops_near_copies_from_similarity_point_eight(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(11)
+    docs, fits = [], {}
+    for n in range(120):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        docs.append((10 * n, " ".join(words)))
+        for k in range(1, 4):  # 1 to 6 changed words, each in up to five shingles
+            copy = list(words)
+            for at in rng.choice(200, int(rng.integers(1, 7)), replace=False):
+                copy[at] = f"x{rng.integers(10**9)}"
+            docs.append((10 * n + k, " ".join(copy)))
+    texts = dict(docs)
+    for n in range(120):  # groups by brute force
+        ids = [10 * n + k for k in range(4)]
+        pairs = [(i, j) for i in range(4) for j in range(i) if jaccard(texts[ids[i]], texts[ids[j]]) >= 0.8]
+        fits |= {ids[i]: ids[r] for i, r in enumerate(union_find(4, pairs))}
+    df = spark.createDataFrame(docs + [(5000, "a b"), (5001, "A  b"), (5002, ""), (5003, None)], "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, None).collect()}
+    low = [jaccard(texts[10 * n], texts[10 * n + k]) for n in range(120) for k in range(1, 4)]
+    assert sum(0.8 <= j < 0.95 for j in low) > 50 and sum(j < 0.8 for j in low) > 20
+    assert kept == {i for i, r in fits.items() if i == r} | {5000, 5002}
+    split = simhash_dedup.near_groups(df, block=2, words=5, similarity=0.8)
+    assert {r.doc_id for r in split.collect() if r.doc_id == r.component_id} == kept
