@@ -147,9 +147,9 @@ def mix(docs, weights=None, block=BLOCK, period=PERIOD, temperature=TEMPERATURE)
     )
 
 
-def in_mixed_order(docs, **options):
-    """All rows of `docs` with their columns, sorted by slot and place across partitions, so that
-    files written from it hold the mixture in order."""
+def placed(docs, **options):
+    """All rows of `docs` with their columns, and `_ff_slot` and `_ff_place`, sorted by these across
+    partitions."""
     places = mix(docs, **options).select(
         F.col("doc_id").alias("_ff_id"), F.col("source").alias("_ff_source"),
         F.col("slot").alias("_ff_slot"), F.col("place").alias("_ff_place"),
@@ -162,4 +162,10 @@ def in_mixed_order(docs, **options):
     ordered = joined.repartitionByRange("_ff_slot", "_ff_place").sortWithinPartitions(
         "_ff_slot", "_ff_place"
     )
-    return ordered.drop("_ff_id", "_ff_source", "_ff_slot", "_ff_place")
+    return ordered.drop("_ff_id", "_ff_source")
+
+
+def in_mixed_order(docs, **options):
+    """All rows of `docs` with their columns, sorted by slot and place across partitions, so that
+    files written from it hold the mixture in order."""
+    return placed(docs, **options).drop("_ff_slot", "_ff_place")

@@ -213,8 +213,9 @@ def _round_trip_rows(model_file):
     return lambda batches: decoded(encoded(batches))
 
 
-def _training_rows(model_file):
-    """(doc_id, text) to (doc_id, ids as a list, n_pieces); fails if a text does not come back."""
+def _training_rows(model_file, also):
+    """(doc_id, text, also ...) to (doc_id, ids as a list, n_pieces, also ...); fails if a text does
+    not come back."""
 
     def run(batches):
         code = coder(model_file)
@@ -230,8 +231,9 @@ def _training_rows(model_file):
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
                 values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.ListArray.from_arrays(offsets, values), pa.array(counts, pa.int64())],
-                    ["doc_id", "ids", "n_pieces"],
+                    [part["doc_id"], pa.ListArray.from_arrays(offsets, values), pa.array(counts, pa.int64()),
+                     *[part[n] for n in also]],
+                    ["doc_id", "ids", "n_pieces", *also],
                 )
 
     return run
@@ -260,8 +262,11 @@ def round_trip(docs, model_file):
     return map_arrow(rows, _round_trip_rows(model_file), schema)
 
 
-def training_rows(docs, model_file):
-    """(doc_id, ids as an array, n_pieces) of each whole text, each decoded and compared with it."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, ids array<int>, n_pieces long"
-    return map_arrow(rows, _training_rows(model_file), schema)
+def training_rows(docs, model_file, also=()):
+    """(doc_id, ids as an array, n_pieces) of each whole text, each decoded and compared with it.
+
+    The columns `also`, longs, follow as they are, and rows stay in their order.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
+    schema = ", ".join(["doc_id long, ids array<int>, n_pieces long", *[f"{n} long" for n in also]])
+    return map_arrow(rows, _training_rows(model_file, also), schema)

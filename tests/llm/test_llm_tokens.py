@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import sentencepiece
 from conftest_values import union_find
-from freightflow.llm import piece_viterbi, token_shards, toxicity
+from freightflow.llm import pfair, piece_viterbi, token_shards, toxicity
 from freightflow.llm.queries import QUERIES
 from freightflow.session import work_folder
 from test_llm_dedup import plain_simhash
@@ -140,3 +140,17 @@ def test_pipeline_of_an_empty_table(spark, no_docs):
     for name, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, no_docs, SF).count() == 0, name
     assert corpus_pipeline.STAGES[0][1](spark, no_docs, SF).count() == 0
+
+
+def test_rows_of_the_last_stage_keep_the_mixture(spark):
+    rows = [(i, f"some text {i}", "abc"[(i % 7) // 3]) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = corpus_pipeline.to_pieces(spark, docs, None).collect()
+    source, order = {d: s for d, _, s in rows}, [(r.slot, r.place) for r in got]
+    assert sorted(r.doc_id for r in got) == list(range(1500)) and order == sorted(set(order))
+    weight = {r.source: r.weight for r in pfair.mix(docs).collect()}
+    taken, last = dict.fromkeys(weight, 0), {s: max(r.slot for r in got if source[r.doc_id] == s) for s in weight}
+    for slot in range(min(last.values())):  # until the first source runs out
+        for s in {source[r.doc_id] for r in got if r.slot == slot}:
+            taken[s] += 1
+        assert all(abs(taken[s] - (slot + 1) * w) < 1 for s, w in weight.items())
