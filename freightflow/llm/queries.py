@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from . import (
     exact_dedup,
+    filter_audit,
     lang_id,
     multi_index,
     pfair,
@@ -82,6 +83,10 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def _matches_sql(number, pattern, group, least):
     """Matches of a kind in DuckDB: places are the lengths of what comes before them."""
     pattern = pattern.replace("'", "''")
@@ -133,6 +138,7 @@ QUERIES = {
     "op8_pfair_mix": op8_pfair_mix,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE = {
@@ -168,4 +174,54 @@ ORACLE = {
         FROM record
     """,
     "op7_secret_scan": _SECRETS_SQL,
+    "op11_filter_audit": r"""
+        WITH split AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^ \t\n\v\f\r]+') AS w
+            FROM documents
+        ), label AS (
+            SELECT doc_id, max(quality) FILTER (WHERE quality = 1) AS good,
+                   max(toxic) FILTER (WHERE toxic = 1) AS bad
+            FROM labels GROUP BY doc_id
+        ), doc AS (
+            SELECT part, coalesce(good = 1, false) AS good, coalesce(bad = 1, false) AS bad,
+                   [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+                    regexp_matches(t, '[#$%&*|]'),
+                    coalesce(split.doc_id > min(split.doc_id) OVER (PARTITION BY t), false)] AS f
+            FROM split LEFT JOIN label USING (doc_id)
+        ), sets AS (
+            SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad
+            FROM doc GROUP BY part, f
+        ), letters AS (SELECT unnest(range(1, 6)) AS i
+        ), orders AS (
+            SELECT [a.i, b.i, c.i, d.i, 15 - a.i - b.i - c.i - d.i] AS o
+            FROM letters a, letters b, letters c, letters d
+            WHERE len(list_distinct([a.i, b.i, c.i, d.i])) = 4
+        ), steps AS (
+            SELECT array_to_string(list_transform(o, lambda x: substr('ABCDE', CAST(x AS INTEGER), 1)), '') AS filter_order,
+                   CAST(s.i AS INTEGER) AS step, o[s.i] AS own, o[1:s.i - 1] AS prior
+            FROM orders, letters s
+        ), each AS (
+            SELECT part, filter_order, step, own, n, good, bad, f[own] AS has,
+                   list_bool_or(list_transform(prior, lambda x: f[x]) || [false]) AS gone,
+                   len(list_filter(f, lambda x: x)) AS fails
+            FROM sets, steps
+        ), out AS (
+            SELECT part, filter_order, step, own,
+                   sum(n) FILTER (WHERE NOT has AND NOT gone) AS kept,
+                   sum(n) FILTER (WHERE has AND NOT gone) AS removed,
+                   sum(n) FILTER (WHERE has AND gone) AS redundant,
+                   sum(n) FILTER (WHERE has AND fails = 1) AS unique_fails,
+                   sum(good) FILTER (WHERE has AND NOT gone) AS good_lost,
+                   sum(bad) FILTER (WHERE has AND NOT gone) AS toxic_lost
+            FROM each GROUP BY ALL
+        )
+        SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept,
+               coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+               coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+               coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+               coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+        FROM out
+    """,
 }
