@@ -13,6 +13,7 @@ from . import (
     simhash_dedup,
     token_shards,
     toxicity,
+    url_filter,
     warc_fixity,
 )
 
@@ -87,6 +88,10 @@ def op11_filter_audit(spark, sf_dir):
     return filter_audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op12_url_filter(spark, sf_dir):
+    return url_filter.judge(_read(spark, sf_dir, "pages"))
+
+
 def _matches_sql(number, pattern, group, least):
     """Matches of a kind in DuckDB: places are the lengths of what comes before them."""
     pattern = pattern.replace("'", "''")
@@ -139,6 +144,7 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_toxicity": op10_toxicity,
     "op11_filter_audit": op11_filter_audit,
+    "op12_url_filter": op12_url_filter,
 }
 
 ORACLE = {

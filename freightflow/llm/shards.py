@@ -67,5 +67,5 @@ def with_values(local, values, kind):
         f"`{f.name}` {f.dataType.simpleString()}" if f else f"terms array<{kind}>" for f in fields
     )
     number = np.int64 if kind in ("long", "bigint") else np.float64
-    pairs = values.select("shard", "place", "value")
-    return rows.groupBy("shard").cogroup(pairs.groupBy("shard")).applyInArrow(_replaced(number), schema)
+    pairs = values.select(F.col("shard").alias("_shard"), "place", "value")
+    return rows.groupBy("shard").cogroup(pairs.groupBy("_shard")).applyInArrow(_replaced(number), schema)
