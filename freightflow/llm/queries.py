@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from . import (
     exact_dedup,
     filter_audit,
+    hard_negatives,
     lang_id,
     multi_index,
     pfair,
@@ -92,6 +93,10 @@ def op12_url_filter(spark, sf_dir):
     return url_filter.judge(_read(spark, sf_dir, "pages"))
 
 
+def op13_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def _matches_sql(number, pattern, group, least):
     """Matches of a kind in DuckDB: places are the lengths of what comes before them."""
     pattern = pattern.replace("'", "''")
@@ -145,6 +150,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_filter_audit": op11_filter_audit,
     "op12_url_filter": op12_url_filter,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE = {
@@ -230,4 +236,28 @@ ORACLE = {
                coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
         FROM out
     """,
+    "op13_hard_negatives": """
+        WITH e AS (
+            SELECT row_number() OVER () AS rn, vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.rn AS arn, a.vec_id AS anchor_id, e.rn, e.vec_id, e.label = a.label AS same,
+                   CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+            FROM e a JOIN e ON a.rn <> e.rn WHERE a.vec_id % 100 = 0
+        ), positive AS (
+            SELECT arn, anchor_id, rn, vec_id AS positive_id, score AS positive_score
+            FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY arn ORDER BY score DESC, vec_id NULLS LAST, rn) <= 5
+        )
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+               s.vec_id AS negative_id, positive_score, s.score AS negative_score
+        FROM positive p JOIN scored s
+          ON p.arn = s.arn AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+        WINDOW w AS (PARTITION BY p.arn, p.rn ORDER BY s.score DESC, s.vec_id NULLS LAST, s.rn)
+        QUALIFY row_number() OVER w <= 5
+    """,
 }
