@@ -53,22 +53,18 @@ def traverse(first, second):
 def packs(counts, size):
     """For each cell of a matrix of counts its pack, the first block of that and their number.
 
-    Neighbouring cells of a row share a pack, which is one block, until they hold `size`; a larger cell
+    Cells that follow each other share a pack, which is one block, until they hold `size`; a larger cell
     is a pack of its own and has several blocks.
     """
     pack, block = np.zeros(counts.shape, np.int64), np.zeros(counts.shape, np.int64)
-    many, held, packs_seen, next_block = np.ones(counts.shape, np.int64), 0, -1, 0
-    for i in range(counts.shape[0]):
-        alone = True
-        for j in range(counts.shape[1]):
-            n = int(counts[i, j])
-            if alone or n > size or held + n > size:
-                packs_seen, held, alone = packs_seen + 1, 0, n > size
-                blocks = max(1, -(-n // size))
-                next_block += blocks
-            pack[i, j], many[i, j] = packs_seen, blocks
-            block[i, j] = next_block - blocks
-            held += n
+    many, held, last, next_block, alone = np.ones(counts.shape, np.int64), 0, -1, 0, True
+    for cell in np.ndindex(counts.shape):
+        n = int(counts[cell])
+        if alone or held + n > size:
+            last, held, alone, blocks = last + 1, 0, n > size, max(1, -(-n // size))
+            next_block += blocks
+        pack[cell], many[cell], block[cell] = last, blocks, next_block - blocks
+        held += n
     return pack, block, many
 
 
