@@ -166,13 +166,14 @@ def drop_copies(docs):
         "exact-verdicts",
     )
 
-    def same_row():
-        sha = F.unhex(F.sha2(whole_text().cast("binary"), 256))
-        return docs["doc_id"].cast("long").eqNullSafe(F.col("_ff_id")) & (sha == F.col("_ff_sha"))
+    def same_row(found):
+        sha = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")).cast("binary"), 256))
+        return docs["doc_id"].cast("long").eqNullSafe(found["_ff_id"]) & (sha == found["_ff_sha"])
 
-    left = docs.join(small_side(verdicts.select("_ff_id", "_ff_sha")), same_row(), "left_anti")
+    gone = verdicts.select("_ff_id", "_ff_sha")
+    left = docs.join(small_side(gone), same_row(gone), "left_anti")
     repeated = verdicts.where("kept").select("_ff_id", "_ff_sha")
     if repeated.isEmpty():
         return left
-    once = docs.join(small_side(repeated), same_row(), "left_semi")
+    once = docs.join(small_side(repeated), same_row(repeated), "left_semi")
     return left.unionByName(once.dropDuplicates(["doc_id", "text"]))

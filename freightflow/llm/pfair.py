@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_arrow, small_side, stored
 
@@ -23,6 +24,8 @@ PERIOD = 1000
 SLOTS_PER_SOURCE = 8
 #: Default target weights: the size of the source to this power.
 TEMPERATURE = 0.5
+#: Partitions of an ordered mixture times sources at most.
+BOUNDS = 1 << 20
 
 
 def quanta(weights, period):
@@ -83,18 +86,23 @@ def _number(batches):
         yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "number"])
 
 
-def numbered(docs):
-    """(doc_id, source, number): documents counted within their source, in an order that a hash of
-    doc_id decides. A hot source spans many partitions of the sort."""
-    pairs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source").distinct()
-    keyed = pairs.withColumn("k", F.xxhash64("doc_id"))
-    spread = keyed.repartitionByRange("source", "k", "doc_id")
-    ordered = spread.sortWithinPartitions("source", "k", "doc_id").select(
-        "doc_id", "source", F.spark_partition_id().alias("p")
-    )
-    local = stored(
-        map_arrow(ordered, _number, "doc_id long, source string, p int, number long"), "mix-numbers"
+def keyed(docs, *columns):
+    """source, k and t of every row, and `columns`. Within their source rows are ordered by (k, t): by a
+    hash of doc_id, and rows that share a doc_id by their place in `docs`."""
+    return docs.select(
+        F.col("source").cast("string").alias("source"),
+        F.xxhash64(F.col("doc_id").cast("long")).alias("k"),
+        F.monotonically_increasing_id().alias("t"), *columns,
     )
+
+
+def numbered(rows):
+    """(doc_id, source, k, t, number): the rows of `keyed` counted within their source. A hot source spans
+    many partitions of the sort, and so does a hot doc_id."""
+    spread = rows.repartitionByRange("source", "k", "t").sortWithinPartitions("source", "k", "t")
+    ordered = spread.select("doc_id", "source", "k", "t", F.spark_partition_id().alias("p"))
+    schema = "doc_id long, source string, k long, t long, p int, number long"
+    local = stored(map_arrow(ordered, _number, schema), "mix-numbers")
     sizes = local.groupBy("source", "p").agg(F.count("*").alias("rows"))
     before = Window.partitionBy("source").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     # One row per source and partition that it spans.
@@ -105,27 +113,33 @@ def numbered(docs):
     )
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("p") == F.col("q"))
     joined = local.join(small_side(starts), same)
-    return joined.select("doc_id", "source", (F.col("start") + F.col("number")).alias("number"))
+    return joined.select("doc_id", "source", "k", "t", (F.col("start") + F.col("number")).alias("number"))
+
+
+def _planned(counted, weights, period, temperature):
+    """(sizes, parts, period) of the sources of `counted`, which are listed on the driver, as weights
+    given by hand would be."""
+    sizes = {r["source"]: r["n"] for r in
+             counted.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    wanted = {s: (weights or {}).get(s, 0.0) if weights else n**temperature
+              for s, n in sizes.items()}
+    period = max(period, SLOTS_PER_SOURCE * len(sizes))
+    return sizes, quanta(wanted, period) if sizes else {}, period
 
 
 def mix(docs, weights=None, block=BLOCK, period=PERIOD, temperature=TEMPERATURE):
     """One row per document: doc_id, source, weight, block, release, deadline, slot, place.
 
     Reading by (slot, place) gives the mixture; the deviation from the weights is below one block
-    until a source runs out, and its later slots stay empty. Every document is placed once; rows
-    that share source and doc_id take one place together. Null is a source of its own.
-    `weights` is {source: weight}; a source without one gets the least. By default a source weighs
-    its number of documents to the power `temperature`. The sources are listed on the driver, as
-    weights given by hand would be. An empty table gives an empty result.
+    until a source runs out, and its later slots stay empty. Every row is placed once, repeated rows
+    each for themselves. Null is a source of its own. `weights` is {source: weight}; a source without
+    one gets the least. By default a source weighs its number of documents to the power `temperature`.
+    Texts and other columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    counted = stored(numbered(docs.withColumn("source", F.col("source").cast("string"))), "mix-rows")
-    sizes = {r["source"]: r["n"] for r in
-             counted.groupBy("source").agg(F.count("*").alias("n")).collect()}
-    wanted = {s: (weights or {}).get(s, 0.0) if weights else n**temperature
-              for s, n in sizes.items()}
-    period = max(period, SLOTS_PER_SOURCE * len(sizes))
-    parts = quanta(wanted, period) if sizes else {}
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"))
+    counted = stored(numbered(rows), "mix-rows")
+    _, parts, period = _planned(counted, weights, period, temperature)
     plan = [(s, parts[s], k, r, d, at) for s, k, r, d, at in schedule(parts)] if parts else []
     table = spark.createDataFrame(plan, "s string, a long, k long, r long, d long, at long")
     shares = spark.createDataFrame(list(parts.items()), "s string, a long")
@@ -147,25 +161,118 @@ def mix(docs, weights=None, block=BLOCK, period=PERIOD, temperature=TEMPERATURE)
     )
 
 
-def placed(docs, **options):
-    """All rows of `docs` with their columns, and `_ff_slot` and `_ff_place`, sorted by these across
-    partitions."""
-    places = mix(docs, **options).select(
-        F.col("doc_id").alias("_ff_id"), F.col("source").alias("_ff_source"),
-        F.col("slot").alias("_ff_slot"), F.col("place").alias("_ff_place"),
+class _Slots:
+    """The slots of every source's blocks, and how many of its rows come before a slot."""
+
+    def __init__(self, sizes, parts, period, block):
+        self.names = sorted(parts, key=lambda s: (s is None, str(s)))
+        at = {s: [] for s in self.names}
+        for s, _, _, _, slot in schedule(parts):
+            at[s].append(slot)
+        self.at = {s: np.array(x, np.int64) for s, x in at.items()}
+        self.sizes, self.period, self.block = sizes, period, block
+
+    def before(self, slot):
+        """Rows of each source, in the order of `names`, in front of `slot`."""
+        rounds, rest = divmod(slot, self.period)
+        return [
+            min(self.sizes[s], (rounds * len(self.at[s]) + int(np.searchsorted(self.at[s], rest))) * self.block)
+            for s in self.names
+        ]
+
+    def bounds(self, count):
+        """`before` of slots that cut the mixture in `count` parts of about as many rows."""
+        total, out = sum(self.sizes.values()), []
+        last = self.period * (1 + max(self.sizes[s] // (len(self.at[s]) * self.block) for s in self.names))
+        for i in range(1, count):
+            low, high = 0, last
+            while low < high:
+                middle = (low + high) // 2
+                if sum(self.before(middle)) * count < total * i:
+                    low = middle + 1
+                else:
+                    high = middle
+            out.append(self.before(low))
+        return out
+
+    def places(self, source, number):
+        """(slot, place) of rows of one source by their numbers."""
+        blocks, at = number // self.block, self.at[source]
+        return blocks // len(at) * self.period + at[blocks % len(at)], number % self.block
+
+
+def _with_places(slots):
+    """Rows sorted by source and key, (doc, source, start), to (doc, slot, place). `start` counts the rows
+    of the source in all partitions before this one."""
+    def run(batches):
+        for batch in _number(batches):
+            numbers = batch["start"].to_numpy() + batch["number"].to_numpy()
+            names = batch["source"].to_pylist()
+            cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+            found = [slots.places(names[a], numbers[a:b]) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
+            slot, place = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (numbers, numbers)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc"], pa.array(slot), pa.array(place)], ["doc", "slot", "place"]
+            )
+
+    return run
+
+
+def placed(docs, weights=None, block=BLOCK, period=PERIOD, temperature=TEMPERATURE):
+    """(doc, slot, place): all rows of `docs` as structs, sorted by slot and place across partitions.
+
+    A partition holds the rows between two slots. Which row opens a source's share of it is known from
+    the numbered keys, so each row finds its partition by its own key: rows are exchanged once, and
+    neither joined with their places nor sampled. `docs` is read twice, and rows that repeat a doc_id
+    must then stand in the same order, as those of a stored table do. Other options, nulls, repeated
+    rows and empty tables as in `mix`; columns of any names come along.
+    """
+    spark = docs.sparkSession
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"))
+    counted = stored(numbered(rows), "mix-rows")
+    sizes, parts, period = _planned(counted, weights, period, temperature)
+    long = T.LongType()
+    whole = F.struct("*").alias("doc")
+    if not parts:
+        nothing = F.lit(0).cast("long")
+        return docs.select(whole, nothing.alias("slot"), nothing.alias("place"))
+    slots = _Slots(sizes, parts, period, block)
+    count = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, BOUNDS // len(parts)))
+    starts = np.array([[0] * len(parts), *slots.bounds(count)]).T.tolist()
+    # Both tables are bounded by BOUNDS.
+    openers = spark.createDataFrame(
+        [(s, i, n) for s, ns in zip(slots.names, starts, strict=True)
+         for i, n in enumerate(ns) if i and n < sizes[s]],
+        "s string, i int, n long",
     )
-    places = stored(places, "mix-places")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_ff_id")) & docs["source"].cast(
-        "string"
-    ).eqNullSafe(F.col("_ff_source"))
-    joined = docs.join(small_side(places), same)
-    ordered = joined.repartitionByRange("_ff_slot", "_ff_place").sortWithinPartitions(
-        "_ff_slot", "_ff_place"
+    first = (F.col("source").eqNullSafe(F.col("s"))) & (F.col("number") == F.col("n"))
+    keys = counted.join(F.broadcast(openers), first).groupBy("source").agg(
+        F.sort_array(F.collect_list(F.struct("i", F.struct("k", "t").alias("key")))).alias("keys")
     )
-    return ordered.drop("_ff_id", "_ff_source")
+    known = spark.createDataFrame(list(zip(slots.names, starts, strict=True)), "s string, starts array<long>")
+    limits = known.join(keys, F.col("source").eqNullSafe(F.col("s")), "left").select(
+        "s", "starts", F.col("keys.key").alias("keys")
+    )
+    # A binary search for the last partition whose first key of the source is not above the row's.
+    bits = F.array(*[F.lit(1 << b) for b in reversed(range(count.bit_length()))])
+
+    def step(low, bit):
+        there = F.get("keys", low + bit - 1) <= F.struct("k", "t")
+        return F.when(F.coalesce(there, F.lit(False)), low + bit).otherwise(low)
+
+    found = keyed(docs, whole).join(F.broadcast(limits), F.col("source").eqNullSafe(F.col("s")))
+    found = found.withColumn("i", F.aggregate(bits, F.lit(0), step))
+    dealt = found.select("doc", "source", "k", "t", "i", F.get("starts", "i").alias("start"))
+    dealt = dealt.repartitionById(count, "i").sortWithinPartitions("source", "k", "t")
+    schema = T.StructType([
+        T.StructField("doc", dealt.schema["doc"].dataType), T.StructField("slot", long),
+        T.StructField("place", long),
+    ])
+    located = map_arrow(dealt.select("doc", "source", "start"), _with_places(slots), schema)
+    return located.sortWithinPartitions("slot", "place")
 
 
 def in_mixed_order(docs, **options):
     """All rows of `docs` with their columns, sorted by slot and place across partitions, so that
-    files written from it hold the mixture in order."""
-    return placed(docs, **options).drop("_ff_slot", "_ff_place")
+    files written from it hold the mixture in order. See `placed`."""
+    return placed(docs, **options).select("doc.*")

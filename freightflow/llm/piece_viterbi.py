@@ -265,8 +265,9 @@ def round_trip(docs, model_file):
 def training_rows(docs, model_file, also=()):
     """(doc_id, ids as an array, n_pieces) of each whole text, each decoded and compared with it.
 
-    The columns `also`, longs, follow as they are, and rows stay in their order.
+    The columns `also` follow as they are, and rows stay in their order.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
-    schema = ", ".join(["doc_id long, ids array<int>, n_pieces long", *[f"{n} long" for n in also]])
+    kinds = [f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in also]
+    schema = ", ".join(["doc_id long, ids array<int>, n_pieces long", *kinds])
     return map_arrow(rows, _training_rows(model_file, also), schema)

@@ -165,7 +165,7 @@ def links(docs, rows, width, similarity, block=BLOCK):
     # One text of each candidate set is read again for its shingles.
     named = stored(distinct.select("fp", "first", "size").join(small_side(near), "fp"), "sets-named")
     ids = stored(named.select(F.col("first").alias("_ff_id")).distinct(), "sets-ids")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_ff_id"))
+    same = docs["doc_id"].cast("long").eqNullSafe(ids["_ff_id"])
     texts = docs.join(small_side(ids), same, "left_semi").select("text")
     sets = stored(map_arrow(texts, _members(width), "fp long, hashes binary"), "sets-members")
 

@@ -273,5 +273,5 @@ def keep_one(docs, words=None, similarity=None):
         .select(F.col("doc_id").alias("_ff_id")),
         "simhash-gone",
     )
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_ff_id"))
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["_ff_id"])
     return docs.join(small_side(gone), same, "left_anti")

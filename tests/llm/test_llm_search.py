@@ -162,7 +162,8 @@ def test_mix(spark, odd_docs, no_docs):
         assert slots.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block)
     weight = {r.source: r.weight for r in rows}
     assert abs(sum(weight.values()) - 1) < 1e-9 and weight["src0"] > weight["src1"] > weight["src2"]
-    assert pfair.mix(odd_docs).count() == 10  # two rows repeat source and doc_id
+    odd = pfair.mix(odd_docs).collect()  # two rows repeat source and doc_id
+    assert len(odd) == odd_docs.count() and len({(r.slot, r.place) for r in odd}) == len(odd)
     assert pfair.mix(no_docs).count() == 0
 
 
@@ -172,11 +173,25 @@ def test_mixed_order(spark, odd_docs, no_docs):
     ordered = pfair.in_mixed_order(docs, block=4)
     got = [slot[r.doc_id] for r in ordered.collect()]
     assert ordered.columns == docs.columns and got == sorted(got) and len(got) == len(slot)
+    assert [(r.slot, r.place) for r in pfair.placed(docs, block=4).collect()] == got
     mixed = pfair.in_mixed_order(odd_docs)
-    assert mixed.count() == odd_docs.count() and mixed.columns == odd_docs.columns
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, odd_docs.collect()))
+    assert mixed.columns == odd_docs.columns and pfair.in_mixed_order(no_docs).columns == no_docs.columns
     assert pfair.in_mixed_order(no_docs).count() == 0
 
 
+def test_repeated_rows_have_places_of_their_own(spark):
+    rows = [(None if i % 3 else i, "same", "ab"[i % 4 == 0], i % 2, i) for i in range(0, 3000, 3)]
+    rows += [(None, "same", "a", 1, 2)] * 1000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, slot int, place int").repartition(7)
+    docs = pfair.stored(docs, "test-rows")  # a hot null id, and columns named as those of the result
+    for block in (1, 16):
+        mixed, found = pfair.mix(docs, block=block).collect(), pfair.placed(docs, block=block).collect()
+        places = sorted((r.slot, r.place) for r in mixed)
+        assert len(set(places)) == len(rows) and [(r.slot, r.place) for r in found] == places
+        assert sorted(map(str, (tuple(r.doc) for r in found))) == sorted(map(str, rows))
+
+
 def test_warc_query(spark):
     df = QUERIES["op6_warc_fixity"](spark, SF)
     assert differences(df, connect(SF), ORACLE["op6_warc_fixity"]) is None

@@ -10,7 +10,6 @@ from conftest_values import union_find
 from freightflow.llm import pfair, piece_viterbi, token_shards, toxicity
 from freightflow.llm.queries import QUERIES
 from freightflow.session import work_folder
-from test_llm_dedup import plain_simhash
 from tokenizers import Tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -116,6 +115,12 @@ def test_pieces_come_back(spark, odd_docs, no_docs, monkeypatch):
     assert [code.decode(x) for x in code.encode(texts)] == texts
 
 
+def plain_shingles(text):
+    """The set of runs of five words, or all words where there are fewer."""
+    words = "".join(c.lower() if c.isascii() else c for c in text).encode().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
@@ -125,15 +130,28 @@ def test_pipeline(spark):
     for d in sorted(kept):
         largest[text[d]] = d
     kept = sorted(largest.values())
-    values = np.array([plain_simhash(text[d]) for d in kept], np.uint64)
+    sets = [plain_shingles(text[d]) for d in kept]
     links = [
-        (i, int(j)) for i, v in enumerate(values) for j in np.flatnonzero(np.bitwise_count(values ^ v) <= 3)
+        (i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i])
+        if a == b or len(a & b) >= 0.8 * len(a | b)
     ]
     kept = {kept[r] for r in union_find(len(kept), links)}
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in rows} == kept and len(rows) == len(kept) < len(text)
     code = piece_viterbi.Coder(PIECES)
     assert all(code.decode(np.array(r.ids, "<u4").tobytes()) == text[r.doc_id] for r in rows)
+    order = [(r.slot, r.place) for r in rows]
+    assert order == sorted(set(order))
+
+
+def test_stages_take_any_columns(spark):
+    names = "slot int, place int, doc string, k long, t long, i int, ids string, _ff_slot int, _ff_id long"
+    rows = [(i, f"text number {i}", "ab"[i % 2], 1, 2, "x", 3, 4, 5, "y", 6, 7) for i in range(40)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, source string, {names}")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.count() == 40, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 40
 
 
 def test_pipeline_of_an_empty_table(spark, no_docs):
