@@ -11,6 +11,7 @@ is one document's ids, and the line separator is the end id.
 import re
 import zlib
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -244,24 +245,27 @@ class Encoder:
     def _new_words(self, words):
         """Ids of distinct words. Stops behind a letter or digit are pre-tokens of their own, and
         ASCII capitals are read as small letters, so such words are encoded once."""
-        parts, cores, others = [], set(), []
-        for w in words:
+        letters = [w for w in words if w.isascii() and w.isalpha()]
+        small = [w.lower() for w in letters]
+        parts, cores, others = [], set(small), []
+        for w in words if len(letters) < len(words) else ():
             if w.isascii() and w.isalpha():
-                core, tail = w.lower(), ""
-            elif self.PLAIN.fullmatch(w):
-                core = w.rstrip(self.STOPS)
-                core, tail = (core, w[len(core) :]) if core and core[-1].isalnum() else (w, "")
-                core = core.lower() if core.isascii() else core
-            else:
+                continue
+            if not self.PLAIN.fullmatch(w):
                 others.append(w)
                 continue
+            core = w.rstrip(self.STOPS)
+            core, tail = (core, w[len(core) :]) if core and core[-1].isalnum() else (w, "")
+            core = core.lower() if core.isascii() else core
             parts.append((w, core, tail))
             cores.add(core)
             if tail:
                 cores.add(tail)
         coded = self._together([p for p in cores if p not in self.known])
         coded |= {p: self.known[p] for p in cores if p in self.known}
-        out = {}
+        out = dict(zip(letters, map(coded.get, small), strict=True))
+        if len(coded) < len(cores):  # some could not be cut apart
+            others += [w for w, x in out.items() if x is None]
         for w, core, tail in parts:
             if core not in coded or (tail and tail not in coded):
                 others.append(w)
@@ -277,11 +281,15 @@ class Encoder:
                 text = text.replace(space, " ")
             split.append(text.split(" "))
         words = set().union(*split)
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, new = {}, words
-        self.known |= self._new_words([w for w in new if w]) | {"": b""}
-        get = self.known.__getitem__
+        found = self._new_words([w for w in words.difference(self.known) if w]) | {"": b""}
+        room = CACHE_WORDS - len(self.known)
+        if len(found) <= room:
+            self.known |= found
+            found = self.known
+        else:  # words seen first are the frequent ones; they stay
+            found |= {w: self.known[w] for w in words if w in self.known}
+            self.known |= dict(islice(found.items(), max(0, room)))
+        get = found.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
 
