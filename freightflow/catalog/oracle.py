@@ -537,6 +537,33 @@ ORACLE = {
     "stream_late_rows": LATE,
     "stream_trade_order_cargo": f"SELECT * EXCLUDE (o_totalprice) FROM ({CARGO_FACT})",
     "stream_trade_order_org": f"SELECT * EXCLUDE (o_totalprice) FROM ({ORG_FACT})",
+    "stream_trade_order_cargo_open": """
+        SELECT 'order_cargo' AS side, CAST(l_orderkey AS VARCHAR) AS order_id
+        FROM lineitem WHERE l_orderkey % 10 = 3 GROUP BY l_orderkey
+        UNION ALL
+        SELECT 'order_info', CAST(o_orderkey AS VARCHAR)
+        FROM orders WHERE o_orderkey % 10 <> 3
+          AND (o_orderkey % 10 = 7 OR NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey))""",
+    "stream_trade_order_org_expired": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS order_id, count(*) AS bounds FROM lineitem
+        WHERE l_orderkey % 10 = 3 OR l_orderkey NOT IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey""",
+    "stream_dws_transport_truck": f"""
+        WITH fact AS (SELECT * FROM ({TRUCK_FACT})),
+        span AS (SELECT (min(ts) + max(ts)) // 2000 * 1000 AS renamed,
+                        (min(ts) + 3 * max(ts)) // 4000 * 1000 AS deleted FROM fact),
+        keyed AS (
+            SELECT f.*, CASE WHEN p_partkey % 11 = 0 AND ts >= deleted THEN NULL
+                             WHEN p_partkey % 50 <> 7
+                             THEN p_brand || CASE WHEN p_partkey % 7 = 0 AND ts >= renamed THEN '_v2' ELSE '' END
+                        END AS model
+            FROM fact f CROSS JOIN span LEFT JOIN part ON truck_id = CAST(p_partkey AS VARCHAR))
+        SELECT {_window("ts")}, model AS truck_mode_id,
+               CASE WHEN model LIKE '%_v2' THEN NULL WHEN model < 'Brand#2' THEN 'S'
+                    WHEN model IS NOT NULL THEN 'L' END AS truck_mode_type,
+               CASE WHEN model NOT LIKE '%_v2' THEN model END AS truck_mode_name,
+               count(*) AS trans_count, round(sum(distance), 2) AS trans_distance,
+               CAST(sum(diff_time) AS BIGINT) AS trans_time
+        FROM keyed GROUP BY stt, edt, cur_date, model""",
     "stream_transport_task_detail": TASK_DETAIL,
     "stream_dim_apply_changes": f"""
         SELECT dim, id, label, type, CAST(ts AS VARCHAR) AS ts

@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixtures as fx
 from .. import functions as fn
@@ -19,6 +20,7 @@ from ..operators import (
     key_changes,
     project_columns,
     route,
+    versions,
     window_rollup,
 )
 from ..plans import facts, rollups
@@ -47,6 +49,7 @@ from ..streaming import (
     upsert_rows,
     upsert_sink,
 )
+from ..streaming import attach_sink, enrich_once, pair_sink, read_batches
 from ..streaming.replay import time_slices
 
 QUERIES = {}
@@ -562,6 +565,64 @@ def stream_dws_transport_org(spark, sf):
     return _rounded(out, "trans_distance")
 
 
+@query
+def stream_dws_transport_truck(spark, sf):
+    """Trucks get another model, or are deleted, between two arrivals of their transports. The log of the
+    trucks is landed, a first job gives each fact the model of its time, a second one has the windows.
+    """
+    root = work_folder(spark, "stream_dws_transport_truck")
+    facts_ = _stored(spark, "dwd_truck_task", dwd_truck_task(spark, sf))
+    low, high = facts_.agg(F.min("ts"), F.max("ts")).first()
+    if low is None:
+        return dws_transport_truck(spark, sf)
+    renamed, deleted = (low + high) // 2000, (low + 3 * high) // 4000
+    log = fx.truck_changes(spark, sf, renamed, deleted)
+    loaded = F.col("type") == "bootstrap-insert"
+    schema = FACTS["dwd_transport_truck_task"]
+    models = fx.truck_model(spark, sf)
+    store = DimensionStore(spark, f"{root}/store")
+    store.write("dim_truck_model", models)
+    names = {"truck_model": ("dim_truck_model", models.schema.simpleString()[7:-1].replace(":", " "))}
+    keyed_schema = T.StructType([*schema.fields, T.StructField("truck_mode_id", T.StringType())])
+
+    def trucks():
+        return versions(clean(spark.read.parquet(f"{root}/log")), "truck_info", ["truck_model_id"])
+
+    def start(name, source, transform, sink):
+        return run_stream(
+            name, source, transform, sink, f"{root}/{name}-checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
+        )
+
+    def landing():
+        return start("truck_log", read_files(spark, f"{root}/trucks"), parse_changes, file_sink(f"{root}/log"))
+
+    def keying():
+        return start(
+            "truck_keys", read_files(spark, f"{root}/in"), lambda raw: raw,
+            enrich_once(
+                lambda raw, history: rollups.transport_truck_keyed(parse_facts(raw, schema), history),
+                {"history": trucks}, f"{root}/keyed",
+            ),
+        )
+
+    def windows():
+        return start(
+            "truck_windows", read_batches(spark, f"{root}/keyed", keyed_schema),
+            rollups.transport_truck_windows,
+            enrich_latest(rollups.transport_truck_named, store, names, f"{root}/out"),
+        )
+
+    cut = time_slices(facts_, 2)
+    arrivals = zip((log.where(loaded), log.where(~loaded)), _with_sentinel(spark, cut), strict=True)
+    for changes, lines in arrivals:
+        replay([fx.raw(changes)], f"{root}/trucks", landing)
+        replay([lines], f"{root}/in", keying)
+        windows().awaitTermination()
+    out = spark.read.parquet(f"{root}/out").drop("run", "batch_id").where("stt < '2100-01-01'")
+    return _rounded(out, "trans_distance")
+
+
 @query
 def stream_dws_trade_order_cargo(spark, sf):
     out = _stream_rollup(
@@ -657,14 +718,61 @@ def _cargo_arrivals(changes):
     return [numbered.where(F.col("_arrival") == i).drop("_order", "_arrival") for i in range(3)]
 
 
+def _cargo_pairs(spark, name, changes):
+    """The folder that the pairs of orders and cargos, and what waits, were written to."""
+    root = work_folder(spark, name)
+
+    def start():
+        return run_stream(
+            name, read_files(spark, f"{root}/in"),
+            lambda raw: facts.cargo_sides(parse_changes(raw, ["order_info", "order_cargo"])),
+            pair_sink(root), f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
+        )
+
+    replay([fx.raw(rows) for rows in _cargo_arrivals(changes)], f"{root}/in", start)
+    return root
+
+
 @query
 def stream_trade_order_cargo(spark, sf):
     """Cargos of odd orders arrive after their order, in a later run."""
     changes = _stored(spark, "cargo_log", _log(spark, sf, "order_info", "order_cargo"))
-    return _replay(
-        spark, "stream_trade_order_cargo", [fx.raw(rows) for rows in _cargo_arrivals(changes)],
-        lambda raw: facts.trade_order_cargo(parse_changes(raw, ["order_info", "order_cargo"])),
-    )
+    root = _cargo_pairs(spark, "stream_trade_order_cargo", changes)
+    return spark.read.parquet(f"{root}/out").drop("run", "batch_id")
+
+
+def _order_number():
+    """The number of the order that a change belongs to."""
+    return F.coalesce(F.col("data")["order_id"], F.col("data")["id"]).cast("bigint")
+
+
+@query
+def stream_trade_order_cargo_open(spark, sf):
+    """What waits at the end when some orders and the cargos of others never come: nothing else."""
+    changes = _stored(spark, "cargo_log", _log(spark, sf, "order_info", "order_cargo"))
+    lost = F.when(F.col("table") == "order_info", 3).otherwise(7)
+    root = _cargo_pairs(spark, "stream_trade_order_cargo_open", changes.where(_order_number() % 10 != lost))
+    last = spark.read.parquet(f"{root}/open").agg(F.max("batch_id")).first()[0]
+    waiting = spark.read.parquet(f"{root}/open").where(F.col("batch_id") == last)
+    side = F.when(F.col("one").isNull(), "order_cargo").otherwise("order_info")
+    return waiting.select(side.alias("side"), F.col("key").alias("order_id"))
+
+
+def _bound_pairs(spark, name, arrivals, keep_ms=None):
+    """The folder that bounds with their orders, and what waits or expired, were written to."""
+    root = work_folder(spark, name)
+
+    def start():
+        return run_stream(
+            name, read_files(spark, f"{root}/in"),
+            lambda raw: facts.org_sides(parse_changes(raw, ["order_info", "order_org_bound"])),
+            attach_sink(root, keep_ms, compact=2), f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
+        )
+
+    replay(arrivals, f"{root}/in", start)
+    return root
 
 
 @query
@@ -672,10 +780,21 @@ def stream_trade_order_org(spark, sf):
     """Odd orders arrive after some of their bounds, in a later run."""
     changes = _log(spark, sf, "order_info", "order_org_bound")
     late = (F.col("table") == "order_info") & _odd_key("order_no")
-    return _replay(
-        spark, "stream_trade_order_org", _raw_slices(changes, 2, late),
-        lambda raw: facts.trade_order_org(parse_changes(raw, ["order_info", "order_org_bound"])),
-    )
+    root = _bound_pairs(spark, "stream_trade_order_org", _raw_slices(changes, 2, late))
+    return spark.read.parquet(f"{root}/out").drop("run", "batch_id")
+
+
+@query
+def stream_trade_order_org_expired(spark, sf):
+    """Bounds given up, by order: every tenth order never comes, and its bounds wait for a year."""
+    changes = _log(spark, sf, "order_info", "order_org_bound")
+    lost = (F.col("table") == "order_info") & (_order_number() % 10 == 3)
+    end = fx.raw(fx.last_change(spark))
+    slices = _raw_slices(changes.where(~lost), 2)
+    year = 365 * 86_400_000
+    root = _bound_pairs(spark, "stream_trade_order_org_expired", [*slices, end], year)
+    given_up = spark.read.parquet(f"{root}/expired").groupBy(F.col("key").alias("order_id"))
+    return given_up.agg(F.count("*").alias("bounds"))
 
 
 def _task_details(raw, positions=False):

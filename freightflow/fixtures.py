@@ -232,6 +232,13 @@ def raw(changes):
     return changes.select(F.explode(F.array(json_row(ENVELOPE.fieldNames()))).alias("value"))
 
 
+def last_change(spark):
+    """One change of the far future, an order without cargos or bounds, which moves every clock on."""
+    far = F.lit(4102444800)
+    data = {"id": F.lit("last"), "amount": F.lit("0"), "cargo_num": F.lit("0"), "create_time": _at(far)}
+    return _changes(spark.range(1), "order_info", "insert", far, F.lit(0), data)
+
+
 def dirty_raw(changes):
     """JSON text in which fixed residues of `offset` are spoiled, to exercise rejection."""
     text, database = F.col("value"), F.lit(f'"{BUSINESS_DATABASE}"')
@@ -342,6 +349,28 @@ def dimension_changes(spark, sf_dir, names=tuple(DIMENSIONS)):
     return _union(feeds)
 
 
+def truck_changes(spark, sf_dir, renamed, deleted):
+    """The change feed of the trucks: all are loaded, then every seventh gets another model at `renamed`
+    and every eleventh is deleted at `deleted`, both in seconds."""
+    phases = F.filter(
+        F.array(
+            F.struct(F.lit(EPOCH).cast("bigint").alias("at"), F.lit("bootstrap-insert").alias("kind")),
+            F.when(F.col("p_partkey") % 7 == 0,
+                   F.struct(F.lit(renamed).cast("bigint").alias("at"), F.lit("update").alias("kind"))),
+            F.when(F.col("p_partkey") % 11 == 0,
+                   F.struct(F.lit(deleted).cast("bigint").alias("at"), F.lit("delete").alias("kind"))),
+        ),
+        lambda p: p.isNotNull(),
+    )
+    rows = table(spark, sf_dir, "part").withColumn("p", F.explode(phases))
+    model = F.when(F.col("p_partkey") % 50 != 7, F.col("p_brand"))
+    later = F.when((F.col("p_partkey") % 7 == 0) & (F.col("p.kind") != "bootstrap-insert"), "_v2").otherwise("")
+    return _changes(
+        rows, "truck_info", F.col("p.kind"), F.col("p.at"), F.col("p_partkey"),
+        {"id": F.col("p_partkey"), "truck_model_id": F.concat(model, later)},
+    )
+
+
 # ---------------------------------------------------------------- configuration
 
 # Which columns of each dimension are kept.

@@ -1,7 +1,7 @@
 from .clean import clean, count_types, normalise_type
 from .dedupe import first_per_key, latest_per_key
-from .dimension import apply_changes, keep_current_epoch, key_changes
-from .lookup import flatten_regions, join_region, lookup_join
+from .dimension import apply_changes, keep_current_epoch, key_changes, versions
+from .lookup import flatten_regions, join_region, lookup_as_of, lookup_join
 from .rollup import window_rollup
 from .routing import project_columns, route
 
@@ -15,9 +15,11 @@ __all__ = [
     "keep_current_epoch",
     "key_changes",
     "latest_per_key",
+    "lookup_as_of",
     "lookup_join",
     "normalise_type",
     "project_columns",
     "route",
+    "versions",
     "window_rollup",
 ]

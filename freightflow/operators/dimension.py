@@ -13,6 +13,16 @@ def key_changes(projected):
     return latest_per_key(keyed, ["sink_table", "row_key"], CHANGE_ORDER)
 
 
+def versions(changes, table, columns, key="id"):
+    """The history of a dimension from its cleaned changes, for `lookup_as_of`: id, since, seq, gone and
+    the columns. Versions of one moment are ordered by `seq`, the position of the change."""
+    rows = changes.where(F.col("table") == table)
+    return rows.select(
+        F.col("data")[key].alias("id"), F.col("ts").alias("since"), F.col("offset").alias("seq"),
+        (F.col("type") == "delete").alias("gone"), *[F.col("data")[c].alias(c) for c in columns],
+    )
+
+
 def keep_current_epoch(changes, epochs):
     """Drop changes of dimensions that were emptied or dropped after the change had come.
 

@@ -1,5 +1,6 @@
 """Left-outer lookups of dimension attributes."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..schemas import REGION_ATTRIBUTES, REGION_ROOT
@@ -18,6 +19,27 @@ def lookup_join(df, dim, key, columns, dim_key="id"):
     return df.join(picked, F.col(key) == F.col("_lookup"), "left").drop("_lookup")
 
 
+def lookup_as_of(df, history, key, columns, time="ts"):
+    """Add attributes of the version of the dimension row that was in force at `time`; null without one.
+
+    `history` has the versions of every `id` (see `dimension.versions`): `since` in milliseconds, `seq`
+    to order those of one moment, `gone` for deletes. The first version also holds before its time,
+    because an initial load tells when a row was read and not since when it was so, unless it is a
+    delete. Every row meets one version at most, so the join neither repeats rows nor needs a sort of
+    them; adaptive execution splits hot keys. Null keys and null times find nothing.
+    """
+    order = Window.partitionBy("id").orderBy("since", "seq")
+    spans = history.where("id IS NOT NULL").select(
+        F.col("id").alias("_lookup"), "gone", F.lead("since").over(order).alias("_until"),
+        F.when(F.lag("since").over(order).isNotNull(), F.col("since")).alias("_since"),
+        *[F.col(src).alias(new) for new, src in columns.items()],
+    ).where("NOT gone")
+    at = F.col(time)
+    found = (F.col(key) == F.col("_lookup")) & at.isNotNull()
+    found &= F.coalesce(F.col("_since") <= at, F.lit(True)) & F.coalesce(at < F.col("_until"), F.lit(True))
+    return df.join(spans, found, "left").drop("_lookup", "gone", "_since", "_until")
+
+
 def flatten_regions(regions):
     """City and province of every region: (region_id, city_id, city_name, province_id, ...).
 

@@ -234,6 +234,37 @@ def trade_order_org(changes, within=None, salts=4, order_changes=None, columns=B
     return _joined(bounds, orders, matches, ("bound_et", "order_et"), within).select(*names)
 
 
+def _sides(many, key, many_columns, one, one_columns):
+    """Rows of both inputs of a join as one table: key, arrived, and a struct for either side."""
+    left, right = F.struct(*many_columns), F.struct(*one_columns)
+    kinds = [df.select(s.alias("s")).schema["s"].dataType for df, s in ((many, left), (one, right))]
+    nothing = [F.lit(None).cast(k) for k in kinds]
+    return many.select(F.col(key).alias("key"), "arrived", left.alias("many"), nothing[1].alias("one")).unionByName(
+        one.select(F.col("id").alias("key"), "arrived", nothing[0].alias("many"), right.alias("one"))
+    )
+
+
+def cargo_sides(changes, within="1 day", salts=4, columns=CARGO_COLUMNS, order_columns=CARGO_ORDER):
+    """The cargos and orders of `trade_order_cargo` as rows for `streaming.pair_sink`.
+
+    On a stream further copies of an order, and further cargos of it, are dropped `within` that time
+    after the first: they would wait for a partner that is paired already. A change that is older by
+    more than `within` than the newest of its kind is dropped as late; its partner stays open or expires.
+    """
+    cargo = _once(cargo_inserts(changes, columns), "order_id", "cargo_et", within, salts)
+    orders = _once(order_inserts(changes, *order_columns), "id", "order_et", within, salts)
+    return _sides(cargo, "order_id", (*columns, "ts"), orders, ("id", *order_columns))
+
+
+def org_sides(changes, within="1 day", salts=4, columns=BOUND_COLUMNS, order_columns=ORG_ORDER):
+    """The bounds and orders of `trade_order_org` as rows for `streaming.attach_sink`. On a stream further
+    copies of an order are dropped `within` that time after the first, and so are late orders, as in
+    `cargo_sides`."""
+    bounds = bound_inserts(changes, columns)
+    orders = _once(order_inserts(changes, *order_columns), "id", "order_et", within, salts)
+    return _sides(bounds, "order_id", (*columns, "ts"), orders, ("id", *order_columns))
+
+
 def split_cargo_and_info(changes):
     """The two inputs of `trade_order_cargo`."""
     return (

@@ -2,7 +2,8 @@
 
 Each builder gives the columns of `schemas.ROLLUP_COLUMNS` after stt, edt and cur_date. All
 aggregate first and look attributes up afterwards, except by truck model, where the lookup
-gives the key. The two halves of those with lookups are functions of their own (`*_windows`,
+gives the key: a stream looks that up in the history of the trucks, in a job of its own before the
+windows. The two halves of those with lookups are functions of their own (`*_windows`,
 `*_named`), so that a stream can aggregate and then name each micro-batch of closed windows by the
 newest dimensions (`streaming.enrich_latest`).
 """
@@ -10,7 +11,7 @@ newest dimensions (`streaming.enrich_latest`).
 from pyspark.sql import functions as F
 
 from ..functions import as_double, as_long, json_row, whole_div
-from ..operators.lookup import join_region, lookup_join
+from ..operators.lookup import join_region, lookup_as_of, lookup_join
 from ..operators.rollup import STAMPS, window_rollup
 from ..schemas import (
     IN_TRANSIT,
@@ -79,17 +80,29 @@ def transport_org(facts, organ, regions):
     return transport_org_named(transport_org_windows(facts), organ, regions)
 
 
-def transport_truck(facts, truck_info, truck_model):
-    """Finished transports by truck model; durations in milliseconds."""
-    keyed = lookup_join(facts, truck_info, "truck_id", {"truck_mode_id": "truck_model_id"})
-    out = _transport(keyed, ["truck_mode_id"], in_seconds=False)
+def transport_truck_keyed(facts, truck_history):
+    """Facts with the model that their truck had at the time; see `operators.lookup_as_of`."""
+    return lookup_as_of(facts, truck_history, "truck_id", {"truck_mode_id": "truck_model_id"})
+
+
+def transport_truck_windows(keyed):
+    return _transport(keyed, ["truck_mode_id"], in_seconds=False)
+
+
+def transport_truck_named(windows, truck_model):
     out = lookup_join(
-        out, truck_model, "truck_mode_id",
+        windows, truck_model, "truck_mode_id",
         {"truck_mode_type": "model_type", "truck_mode_name": "model_name"},
     )
     return _shape(out, "dws_transport_truck_view_window")
 
 
+def transport_truck(facts, truck_info, truck_model):
+    """Finished transports by truck model; durations in milliseconds."""
+    keyed = lookup_join(facts, truck_info, "truck_id", {"truck_mode_id": "truck_model_id"})
+    return transport_truck_named(transport_truck_windows(keyed), truck_model)
+
+
 def trade_order_cargo_windows(facts):
     return window_rollup(
         facts, ["cargo_type"], count="order_count", sums={"total_amount": as_double("amount")}

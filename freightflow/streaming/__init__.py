@@ -1,18 +1,32 @@
 from .dimension_job import DimensionJob, enrich_latest, lookup_latest, upsert_sink
+from .pairing import attach_sink, pair_sink
 from .replay import land, replay
 from .runner import run_sql_stream, run_stream
-from .sinks import batch_folders, fan_out, file_sink, kafka_rows, kafka_sink, upsert_rows
+from .sinks import (
+    batch_folders,
+    enrich_once,
+    fan_out,
+    file_sink,
+    kafka_rows,
+    kafka_sink,
+    read_batches,
+    upsert_rows,
+)
 
 __all__ = [
     "DimensionJob",
+    "attach_sink",
     "batch_folders",
     "enrich_latest",
+    "enrich_once",
     "fan_out",
     "file_sink",
     "kafka_rows",
     "kafka_sink",
     "land",
     "lookup_latest",
+    "pair_sink",
+    "read_batches",
     "replay",
     "run_sql_stream",
     "run_stream",

@@ -68,6 +68,35 @@ def batch_folders(path, fmt="parquet", shape=None):
     return lambda writer: writer.outputMode("append").foreachBatch(write)
 
 
+def enrich_once(transform, tables, path):
+    """A sink for the first of two chained streams: each micro-batch goes to `transform` together with the
+    tables that `tables` ({name: function without arguments}) gives at that moment, and the result to
+    a folder of its own, from which `read_batches` streams on.
+
+    A folder that is complete stays as it is when its batch is repeated, so the second stream, which
+    may have read it already, sees every row once.
+    """
+
+    def write(df, batch_id):
+        folder = batch_path(path, df, batch_id)
+        if not exists(df.sparkSession, f"{folder}/_SUCCESS"):
+            out = transform(df, **{name: table() for name, table in tables.items()})
+            out.write.mode("overwrite").parquet(folder)
+
+    return lambda writer: writer.outputMode("append").foreachBatch(write)
+
+
+def read_batches(spark, path, schema):
+    """The batches of `enrich_once` below `path` as a stream with the columns of `schema`, a StructType."""
+    return spark.readStream.schema(schema).parquet(path).select(*schema.names)
+
+
+def exists(spark, path):
+    """Whether there is a file or folder, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def fan_out(branches):
     """Several outputs from one pass over each micro-batch.
 
