@@ -332,17 +332,19 @@ CITY_ROLLUP = f"""
 """
 
 # Arrival slices of `stream_late_rows`: three equal spans, every 17th order one slice late.
-LATE = f"""
+_LATE_ROWS = f"""
     WITH rows AS (SELECT o_orderkey, ({ORDER_AT} + 60) * 1000 AS ts FROM orders),
     span AS (SELECT min(ts) AS low, (max(ts) - min(ts) + 1 + 2) // 3 AS step FROM rows),
     arrived AS (
-        SELECT ts, least(2, (ts - low) // step
+        SELECT o_orderkey, ts, least(2, (ts - low) // step
                             + CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END) AS slice
         FROM rows, span),
     latest AS (SELECT slice, max(ts) AS high FROM arrived GROUP BY slice),
     before AS (
         SELECT l.slice, (SELECT max(high) FROM latest e WHERE e.slice < l.slice) AS seen
         FROM latest l)
+"""
+LATE = f"""{_LATE_ROWS}
     SELECT {_t("ts // 5000 * 5")} AS stt,
            count(*) FILTER (WHERE seen IS NULL OR ts // 5000 * 5000 + 5000 > seen - 5000) AS counted,
            count(*) FILTER (WHERE ts // 5000 * 5000 + 5000 <= seen - 5000) AS late
@@ -537,6 +539,27 @@ ORACLE = {
     "stream_late_rows": LATE,
     "stream_trade_order_cargo": f"SELECT * EXCLUDE (o_totalprice) FROM ({CARGO_FACT})",
     "stream_trade_order_org": f"SELECT * EXCLUDE (o_totalprice) FROM ({ORG_FACT})",
+    "stream_late_rows_caught": _LATE_ROWS + """
+        SELECT 'NO' || o_orderkey AS order_no, ts
+        FROM arrived JOIN before USING (slice) WHERE ts // 5000 * 5000 + 5000 <= seen - 5000""",
+    "stream_idle_source": f"""
+        WITH rows AS (
+            SELECT CASE WHEN event_type IN ('click', 'view') THEN 'express_task_collect'
+                        ELSE 'express_task_delivery' END AS "table", {EVENT_AT} * 1000 AS ts
+            FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup')),
+        span AS (SELECT min(ts) AS low, (max(ts) - min(ts) + 2) // 2 AS step,
+                        max(ts) FILTER (WHERE "table" = 'express_task_collect') AS high FROM rows)
+        SELECT {_t("ts // 5000 * 5")} AS stt, {_t("ts // 5000 * 5 + 5")} AS edt, "table", count(*) AS changes
+        FROM rows, span
+        WHERE ("table" = 'express_task_collect' OR (ts - low) // step = 0)
+          AND ts // 5000 * 5000 + 5000 <= high - 5000
+        GROUP BY "table", ts // 5000""",
+    "stream_sql_window": f"""
+        SELECT {_t("sec // 60 * 60")} AS stt, "table", count(*) AS changes
+        FROM ({_rows_of_change_log(ALL_TABLES)}) WHERE "table" IN ('order_info', 'transport_task')
+        GROUP BY "table", sec // 60""",
+    "stream_supervised": f"SELECT {TRUCK_FACT_COLUMNS} FROM ({TRUCK_FACT})",
+    "stream_read_once": f"SELECT {TRUCK_FACT_COLUMNS} FROM ({TRUCK_FACT})",
     "stream_trade_order_cargo_open": """
         SELECT 'order_cargo' AS side, CAST(l_orderkey AS VARCHAR) AS order_id
         FROM lineitem WHERE l_orderkey % 10 = 3 GROUP BY l_orderkey

@@ -35,7 +35,9 @@ from ..sources import (
     ods_table,
     parse_changes,
     parse_facts,
+    POSITION,
     read_files,
+    read_once,
     reject_reason,
 )
 from ..streaming import (
@@ -49,8 +51,18 @@ from ..streaming import (
     upsert_rows,
     upsert_sink,
 )
-from ..streaming import attach_sink, enrich_once, pair_sink, read_batches
-from ..streaming.replay import time_slices
+from ..streaming import (
+    attach_sink,
+    enrich_once,
+    kafka_rows,
+    pair_sink,
+    read_batches,
+    run_sql_stream,
+    run_supervised,
+    window_sink,
+)
+from ..streaming.pairing import put
+from ..streaming.replay import land, time_slices
 
 QUERIES = {}
 
@@ -699,6 +711,125 @@ def stream_late_rows(spark, sf):
     )
 
 
+@query
+def stream_late_rows_caught(spark, sf):
+    """The rows that came after their window, themselves."""
+    rows = dwd_order_status(spark, sf)
+    number = F.substring("order_no", 3, 20).cast("bigint")
+    root = work_folder(spark, "stream_late_rows_caught")
+
+    def start():
+        return run_stream(
+            "stream_late_rows_caught", read_files(spark, f"{root}/in"),
+            lambda raw: parse_facts(raw, FACTS["dwd_order_status_count"]),
+            window_sink(root, ["status"], count="orders"), f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
+        )
+
+    slices = time_slices(_stored(spark, "dwd_order_status", rows), 3, late=number % 17 == 0)
+    replay([_fact_lines(s) for s in slices], f"{root}/in", start)
+    return spark.read.parquet(f"{root}/late").select("order_no", "ts")
+
+
+@query
+def stream_idle_source(spark, sf):
+    """Changes of two tables by window. The deliveries fall silent after half of the time, and the windows
+    of the pickups close all the same."""
+    changes = _log(spark, sf, "express_task_collect", "express_task_delivery")
+    root = work_folder(spark, "stream_idle_source")
+
+    def start():
+        return run_stream(
+            "stream_idle_source", read_files(spark, f"{root}/in"), parse_changes,
+            window_sink(root, ["table"], count="changes", source="table", idle_after_ms=1),
+            f"{root}/checkpoint", available_now=True, state_partitions=_partitions(spark),
+        )
+
+    slices = time_slices(changes, 2)
+    slices[1:] = [s.where("table = 'express_task_collect'") for s in slices[1:]]
+    replay([fx.raw(s) for s in slices], f"{root}/in", start)
+    return spark.read.parquet(f"{root}/out").select("stt", "edt", "table", "changes")
+
+
+@query
+def stream_sql_window(spark, sf):
+    """Changes by table and window, by SQL over the view of the change log."""
+    root = work_folder(spark, "stream_sql_window")
+    changes = _log(spark, sf, "order_info", "transport_task")
+
+    def start():
+        view = ods_table(read_files(spark, f"{root}/in"))
+        return run_sql_stream(
+            "stream_sql_window", {"ods_db": view},
+            "SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt, `table`, count(*) AS changes"
+            " FROM ods_db GROUP BY window(et, '1 minute'), `table`",
+            file_sink(f"{root}/out"), f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
+        )
+
+    slices = _raw_slices(changes, 2)
+    replay([*slices[:-1], slices[-1].unionByName(fx.raw(fx.last_change(spark)))], f"{root}/in", start)
+    return spark.read.parquet(f"{root}/out").where("stt < '2100-01-01'")
+
+
+@query
+def stream_supervised(spark, sf):
+    """Truck tasks through a job whose second batch fails twice, once before and once after it has
+    written, and is started again."""
+    root = work_folder(spark, "stream_supervised")
+    tries = {}
+
+    def sink(writer):
+        def write(df, batch_id):
+            tries[batch_id] = tries.get(batch_id, 0) + 1
+            if batch_id == 1 and tries[1] == 1:
+                raise RuntimeError("before the write")
+            put(df, f"{root}/out", df, batch_id)
+            if batch_id == 1 and tries[1] == 2:
+                raise RuntimeError("after the write")
+
+        return writer.outputMode("append").foreachBatch(write)
+
+    def start():
+        return run_stream(
+            "stream_supervised", read_files(spark, f"{root}/in"),
+            lambda raw: facts.truck_task(parse_changes(raw, ["transport_task"])), sink,
+            f"{root}/checkpoint", available_now=True, state_partitions=_partitions(spark),
+        )
+
+    for rows in _raw_slices(_log(spark, sf, "transport_task"), 2):
+        land(rows, f"{root}/in")
+        run_supervised(start, pause=0)
+    return spark.read.parquet(f"{root}/out").drop("run", "batch_id")
+
+
+@query
+def stream_read_once(spark, sf):
+    """Truck tasks from messages of which the first half is delivered twice."""
+    root = work_folder(spark, "stream_read_once")
+    log = fx.raw(_log(spark, sf, "transport_task")).withColumns({
+        "topic": F.lit("ods"), "partition": F.lit(0), "offset": F.monotonically_increasing_id(),
+    })
+    changes = parse_changes(_stored(spark, "ods_messages", log), ["transport_task"], positions=True)
+    columns = [POSITION, *FACTS["dwd_transport_truck_task"].names]
+    rows = facts.truck_task(changes, columns=[POSITION])
+    messages = _stored(spark, "fact_messages", kafka_rows(rows.select(*columns), identity=[POSITION]))
+
+    def start():
+        source = spark.readStream.schema(messages.schema).parquet(f"{root}/in")
+        return run_stream(
+            "stream_read_once", source, lambda m: read_once(m, FACTS["dwd_transport_truck_task"]),
+            file_sink(f"{root}/out"), f"{root}/checkpoint", available_now=True,
+            state_partitions=_partitions(spark),
+        )
+
+    first = F.pmod(F.hash("value"), F.lit(2)) == 0
+    for part in (messages.where(first), messages):
+        part.write.mode("append").parquet(f"{root}/in")
+        start().awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 def _odd_key(*names):
     """Changes that arrive one slice late in the join streams."""
     key = F.coalesce(*[F.col("data")[n] for n in names])

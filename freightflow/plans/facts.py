@@ -53,9 +53,10 @@ def order_status(changes):
     return _timed(counted, "update_time", *names).select("ts", *names)
 
 
-def truck_task(changes):
-    """Finished transport tasks with their duration in milliseconds."""
+def truck_task(changes, columns=()):
+    """Finished transport tasks with their duration in milliseconds; `columns` are kept besides."""
     names = [n for n in FACTS["dwd_transport_truck_task"].names if n not in ("ts", "diff_time")]
+    names += columns
     rows = of_table(changes, "transport_task").select(*_fields(*names, "status", "update_time"))
     start, end = datetime_to_ms("actual_start_time"), datetime_to_ms("actual_end_time")
     finished = rows.where(F.col("status") == TRANSPORT_FINISHED)

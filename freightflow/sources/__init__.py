@@ -5,6 +5,7 @@ from .changelog import (
     parse_facts,
     read_files,
     read_kafka,
+    read_once,
     reject_reason,
 )
 from .config import (
@@ -29,6 +30,7 @@ __all__ = [
     "read_files",
     "read_jdbc_config",
     "read_kafka",
+    "read_once",
     "reject_reason",
     "snapshot_events",
 ]

@@ -1,7 +1,7 @@
 from .dimension_job import DimensionJob, enrich_latest, lookup_latest, upsert_sink
 from .pairing import attach_sink, pair_sink
 from .replay import land, replay
-from .runner import run_sql_stream, run_stream
+from .runner import Progress, run_sql_stream, run_stream, run_supervised
 from .sinks import (
     batch_folders,
     enrich_once,
@@ -12,9 +12,11 @@ from .sinks import (
     read_batches,
     upsert_rows,
 )
+from .windows import window_sink
 
 __all__ = [
     "DimensionJob",
+    "Progress",
     "attach_sink",
     "batch_folders",
     "enrich_latest",
@@ -30,6 +32,8 @@ __all__ = [
     "replay",
     "run_sql_stream",
     "run_stream",
+    "run_supervised",
     "upsert_rows",
     "upsert_sink",
+    "window_sink",
 ]

@@ -20,18 +20,20 @@ COMPACT = 64
 _BATCH = T.StructType([T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
 
 
-class _State:
+class State:
     """Versions of a table, one for each micro-batch of a query; a repeated batch starts from the version
     before it. The version that a batch started from stays until the next batch is through."""
 
     def __init__(self, path):
         self.path = path
 
-    def before(self, df, batch_id):
-        """The table as the batch before left it; empty at the start of a checkpoint."""
+    def before(self, like, batch_id, df=None):
+        """The table, with the columns of `like`, as the batch before `df` left it; empty at the start of a
+        checkpoint."""
         if batch_id == 0:
-            return df.sparkSession.createDataFrame([], df.schema)
-        return df.sparkSession.read.schema(df.schema).parquet(batch_path(self.path, df, batch_id - 1))
+            return like.sparkSession.createDataFrame([], like.schema)
+        path = batch_path(self.path, df if df is not None else like, batch_id - 1)
+        return like.sparkSession.read.schema(like.schema).parquet(path)
 
     def replace(self, df, rows, batch_id):
         rows.write.mode("overwrite").parquet(batch_path(self.path, df, batch_id))
@@ -44,7 +46,8 @@ def _clock(rows):
     return rows.agg(F.max("arrived")).first()[0]
 
 
-def _put(out, path, df, batch_id):
+def put(out, path, df, batch_id):
+    """Write what a micro-batch gave to its folder below `path`, replacing an earlier attempt."""
     out.write.mode("overwrite").parquet(batch_path(path, df, batch_id))
 
 
@@ -53,8 +56,8 @@ def _settle(waiting, root, df, batch_id, keep_ms, clock):
     old = F.lit(False)
     if keep_ms is not None and clock is not None:
         old = F.coalesce(F.col("arrived") < clock - keep_ms, F.lit(False))
-        _put(waiting.where(old), f"{root}/expired", df, batch_id)
-    _State(f"{root}/open").replace(df, waiting.where(~old), batch_id)
+        put(waiting.where(old), f"{root}/expired", df, batch_id)
+    State(f"{root}/open").replace(df, waiting.where(~old), batch_id)
 
 
 def pair_sink(root, keep_ms=None):
@@ -67,7 +70,7 @@ def pair_sink(root, keep_ms=None):
     """
 
     def write(df, batch_id):
-        rows = df.unionByName(_State(f"{root}/open").before(df, batch_id)).where("key IS NOT NULL")
+        rows = df.unionByName(State(f"{root}/open").before(df, batch_id)).where("key IS NOT NULL")
 
         def first(side):
             return F.min(F.when(F.col(side).isNotNull(), F.struct("arrived", side))).alias(side)
@@ -75,7 +78,7 @@ def pair_sink(root, keep_ms=None):
         keys = rows.groupBy("key").agg(first("many"), first("one")).persist()
         try:
             paired = keys.where("many IS NOT NULL AND one IS NOT NULL")
-            _put(paired.select("many.many.*", "one.one.*"), f"{root}/out", df, batch_id)
+            put(paired.select("many.many.*", "one.one.*"), f"{root}/out", df, batch_id)
             waiting = keys.where("many IS NULL OR one IS NULL").select(
                 "key", F.coalesce("many.arrived", "one.arrived").alias("arrived"),
                 F.col("many.many").alias("many"), F.col("one.one").alias("one"),
@@ -120,12 +123,12 @@ def attach_sink(root, keep_ms=None, compact=COMPACT):
             known = _known(root, df, batch_id).unionByName(fresh).groupBy("key").agg(first).select(
                 F.col("key").alias("_key"), F.col("first.one").alias("_one")
             )
-            early = _State(f"{root}/open").before(df, batch_id)
+            early = State(f"{root}/open").before(df, batch_id)
             asked = df.where("many IS NOT NULL AND key IS NOT NULL").unionByName(early)
             joined = asked.join(known, F.col("key") == F.col("_key"), "left").persist()
             try:
                 met = joined.where("_key IS NOT NULL")
-                _put(met.select("many.*", "_one.*"), f"{root}/out", df, batch_id)
+                put(met.select("many.*", "_one.*"), f"{root}/out", df, batch_id)
                 waiting = joined.where("_key IS NULL").select(*df.columns)
                 clock = _clock(df.unionByName(early))
                 _settle(waiting, root, df, batch_id, keep_ms, clock)
@@ -136,7 +139,7 @@ def attach_sink(root, keep_ms=None, compact=COMPACT):
                 rows = _known(root, df, batch_id).unionByName(rows)
                 if keep_ms is not None and clock is not None:
                     rows = rows.where(F.col("arrived") >= clock - keep_ms)
-            _put(rows, f"{root}/one", df, batch_id)
+            put(rows, f"{root}/one", df, batch_id)
             if batch_id % compact == 0 and batch_id:  # the batch before holds all of these
                 for old in range(max(0, batch_id - compact - 1), batch_id - 1):
                     remove(df.sparkSession, batch_path(f"{root}/one", df, old))
