@@ -614,6 +614,7 @@ ORACLE = {
     "stream_express_sorting": _renamed(SORTING_FACT, f"SELECT {BOUND_ARRIVAL} AS moment FROM lineitem",
                                        f"({BOUND_ARRIVED})"),
 }
+ORACLE["stream_dws_json_rows"] = ORACLE["dws_json_rows"]
 # A stream gives what a batch gives.
 for _name in (
     "order_status", "transport_total", "transport_org", "trade_order_cargo", "trade_order_org",

@@ -57,9 +57,12 @@ from ..streaming import (
     kafka_rows,
     pair_sink,
     read_batches,
+    read_open,
+    read_windows,
     run_sql_stream,
     run_supervised,
     window_sink,
+    windows_to,
 )
 from ..streaming.pairing import put
 from ..streaming.replay import land, time_slices
@@ -522,7 +525,7 @@ def stream_split(spark, sf):
     )
 
 
-def _stream_rollup(spark, name, rows, fact, windows, named=None, dims=None):
+def _stream_rollup(spark, name, rows, fact, windows, named=None, dims=None, derived=None):
     """A rollup of facts that arrive in two slices. The windows that a micro-batch closes get their
     names from the dimension store as it is then; the store is replaced between the arrivals, so a
     reader that held on to old files would fail."""
@@ -531,7 +534,8 @@ def _stream_rollup(spark, name, rows, fact, windows, named=None, dims=None):
     dims = dims or {}
     schemas = {n: d.schema.simpleString()[7:-1].replace(":", " ") for n, d in dims.items()}
     sink = enrich_latest(
-        named or (lambda df: df), store, {n: (f"dim_{n}", schemas[n]) for n in dims}, f"{root}/out"
+        named or (lambda df: df), store, {n: (f"dim_{n}", schemas[n]) for n in dims}, f"{root}/out",
+        derived,
     )
 
     def start():
@@ -572,7 +576,7 @@ def stream_dws_transport_org(spark, sf):
     out = _stream_rollup(
         spark, "stream_dws_transport_org", dwd_truck_task(spark, sf), "dwd_transport_truck_task",
         rollups.transport_org_windows, rollups.transport_org_named,
-        {"organ": organ, "regions": regions},
+        {"organ": organ, "regions": regions}, {"regions": flatten_regions},
     )
     return _rounded(out, "trans_distance")
 
@@ -731,6 +735,49 @@ def stream_late_rows_caught(spark, sf):
     return spark.read.parquet(f"{root}/late").select("order_no", "ts")
 
 
+@query
+def stream_dws_json_rows(spark, sf):
+    """Pickups by organisation as they are loaded. The job loses its checkpoint after the first arrival and
+    begins anew, so the windows it had written come again, and a batch of the second run fails once
+    after it has written."""
+    root = work_folder(spark, "stream_dws_json_rows")
+    stored = _stored(spark, "dwd_express_pickup", dwd_express_pickup(spark, sf))
+    failed = []
+
+    def sink(writer):
+        def once(write):
+            def run(df, batch_id):
+                write(df, batch_id)
+                if len(failed) == 1:
+                    failed.append(batch_id)
+                    raise RuntimeError("after the write")
+
+            return run
+
+        class Failing:
+            def outputMode(self, mode):
+                return self
+
+            def foreachBatch(self, write):
+                return writer.outputMode("append").foreachBatch(once(write))
+
+        return windows_to(f"{root}/out")(Failing())
+
+    def start(checkpoint):
+        return lambda: run_stream(
+            "stream_dws_json_rows", read_files(spark, f"{root}/in"),
+            lambda raw: rollups.express(parse_facts(raw, FACTS["dwd_express_pickup"]), "pickup"), sink,
+            f"{root}/{checkpoint}", available_now=True, state_partitions=_partitions(spark),
+        )
+
+    for lines, checkpoint in zip(_with_sentinel(spark, time_slices(stored, 2)), ("lost", "second"), strict=True):
+        land(lines, f"{root}/in")
+        run_supervised(start(checkpoint), pause=0)
+        failed.append("next run")
+    windows = read_windows(spark, f"{root}/out", ["org_id"]).where("stt < '2100-01-01'")
+    return rollups.json_rows(windows)
+
+
 @query
 def stream_idle_source(spark, sf):
     """Changes of two tables by window. The deliveries fall silent after half of the time, and the windows
@@ -884,8 +931,7 @@ def stream_trade_order_cargo_open(spark, sf):
     changes = _stored(spark, "cargo_log", _log(spark, sf, "order_info", "order_cargo"))
     lost = F.when(F.col("table") == "order_info", 3).otherwise(7)
     root = _cargo_pairs(spark, "stream_trade_order_cargo_open", changes.where(_order_number() % 10 != lost))
-    last = spark.read.parquet(f"{root}/open").agg(F.max("batch_id")).first()[0]
-    waiting = spark.read.parquet(f"{root}/open").where(F.col("batch_id") == last)
+    waiting = read_open(spark, root)
     side = F.when(F.col("one").isNull(), "order_cargo").otherwise("order_info")
     return waiting.select(side.alias("side"), F.col("key").alias("order_id"))
 
@@ -1061,7 +1107,7 @@ def _enriched(spark, sf, name, table, build):
     store.write("dim_base_region_info", regions)
     sink = enrich_latest(
         lambda raw, organ, regions: build(parse_changes(raw, [table]), organ, regions),
-        store, tables, f"{root}/out",
+        store, tables, f"{root}/out", {"regions": flatten_regions},
     )
 
     def start():

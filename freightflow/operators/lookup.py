@@ -82,6 +82,8 @@ def flatten_regions(regions):
 
 
 def join_region(df, regions, key="region_id"):
-    """Add the city and the province of `key`; null where the tree does not have them."""
-    flat = flatten_regions(regions).withColumnRenamed("region_id", "_region")
+    """Add the city and the province of `key`; null where the tree does not have them. `regions` is the
+    tree, or the table that `flatten_regions` made of it."""
+    flat = regions if "region_id" in regions.columns else flatten_regions(regions)
+    flat = flat.withColumnRenamed("region_id", "_region")
     return df.join(flat, F.col(key) == F.col("_region"), "left").drop("_region")

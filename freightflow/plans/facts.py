@@ -245,24 +245,15 @@ def _sides(many, key, many_columns, one, one_columns):
     )
 
 
-def cargo_sides(changes, within="1 day", salts=4, columns=CARGO_COLUMNS, order_columns=CARGO_ORDER):
-    """The cargos and orders of `trade_order_cargo` as rows for `streaming.pair_sink`.
-
-    On a stream further copies of an order, and further cargos of it, are dropped `within` that time
-    after the first: they would wait for a partner that is paired already. A change that is older by
-    more than `within` than the newest of its kind is dropped as late; its partner stays open or expires.
-    """
-    cargo = _once(cargo_inserts(changes, columns), "order_id", "cargo_et", within, salts)
-    orders = _once(order_inserts(changes, *order_columns), "id", "order_et", within, salts)
+def cargo_sides(changes, columns=CARGO_COLUMNS, order_columns=CARGO_ORDER):
+    """The cargos and orders of `trade_order_cargo` as rows for `streaming.pair_sink`."""
+    cargo, orders = cargo_inserts(changes, columns), order_inserts(changes, *order_columns)
     return _sides(cargo, "order_id", (*columns, "ts"), orders, ("id", *order_columns))
 
 
-def org_sides(changes, within="1 day", salts=4, columns=BOUND_COLUMNS, order_columns=ORG_ORDER):
-    """The bounds and orders of `trade_order_org` as rows for `streaming.attach_sink`. On a stream further
-    copies of an order are dropped `within` that time after the first, and so are late orders, as in
-    `cargo_sides`."""
-    bounds = bound_inserts(changes, columns)
-    orders = _once(order_inserts(changes, *order_columns), "id", "order_et", within, salts)
+def org_sides(changes, columns=BOUND_COLUMNS, order_columns=ORG_ORDER):
+    """The bounds and orders of `trade_order_org` as rows for `streaming.attach_sink`."""
+    bounds, orders = bound_inserts(changes, columns), order_inserts(changes, *order_columns)
     return _sides(bounds, "order_id", (*columns, "ts"), orders, ("id", *order_columns))
 
 

@@ -1,5 +1,5 @@
 from .dimension_job import DimensionJob, enrich_latest, lookup_latest, upsert_sink
-from .pairing import attach_sink, pair_sink
+from .pairing import attach_sink, pair_sink, read_open
 from .replay import land, replay
 from .runner import Progress, run_sql_stream, run_stream, run_supervised
 from .sinks import (
@@ -12,7 +12,7 @@ from .sinks import (
     read_batches,
     upsert_rows,
 )
-from .windows import window_sink
+from .windows import read_windows, window_sink, windows_to
 
 __all__ = [
     "DimensionJob",
@@ -29,6 +29,8 @@ __all__ = [
     "lookup_latest",
     "pair_sink",
     "read_batches",
+    "read_open",
+    "read_windows",
     "replay",
     "run_sql_stream",
     "run_stream",
@@ -36,4 +38,5 @@ __all__ = [
     "upsert_rows",
     "upsert_sink",
     "window_sink",
+    "windows_to",
 ]

@@ -114,16 +114,25 @@ def upsert_sink(store, table, schema, key, order=("ts",)):
     return lambda writer: writer.outputMode("append").foreachBatch(write)
 
 
-def enrich_latest(transform, store, tables, path):
+def enrich_latest(transform, store, tables, path, derived=None):
     """A sink that hands every micro-batch to `transform` together with the dimensions as they are
     at that moment.
 
-    `tables` maps names to (table, schema); `transform` takes the rows and a frame per name.
+    `tables` maps names to (table, schema); `transform` takes the rows and a frame per name. `derived`
+    maps names to what is made of a dimension first, as `flatten_regions` makes a flat table of the
+    tree: that is done once for each version of the dimension and kept until there is a newer one.
     """
+    made = {}
 
     def write(df, batch_id):
         pointers = store.pointers()
         dims = {n: store.open(pointers.get(t), schema) for n, (t, schema) in tables.items()}
+        for name, build in (derived or {}).items():
+            pointer = pointers.get(tables[name][0])
+            version = pointer and pointer["seq"]
+            if name not in made or made[name][0] != version:
+                made[name] = version, build(dims[name])
+            dims[name] = made[name][1]
         out = transform(df, **dims)
         out.write.mode("overwrite").parquet(batch_path(path, df, batch_id))
 

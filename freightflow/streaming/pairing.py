@@ -2,7 +2,9 @@
 
 A streaming join remembers both sides until a watermark says otherwise. Here a micro-batch joins its rows
 with those that earlier ones left open: a complete pair leaves the state at once, and a row that waited
-too long moves to a table of its own, so that nothing vanishes unseen. All of it is plain DataFrames.
+too long moves to a table of its own, so that nothing vanishes unseen. What must be remembered longer,
+the keys of complete pairs and the one row that many others need, is appended by batch. All of it is
+plain DataFrames; nothing is kept in a state store, and no row is dropped for coming late.
 
 Rows have `key`, `arrived` (when the change was made, in milliseconds) and two structs of which one is
 null: `many` and `one`, the two sides (see `facts.cargo_sides` and `facts.org_sides`).
@@ -41,6 +43,40 @@ class State:
             remove(df.sparkSession, batch_path(self.path, df, batch_id - 2))
 
 
+class Log:
+    """Rows that every batch appends to; a repeated batch replaces what it appended.
+
+    Every `compact` batches the files of those before are written together, without the rows that are
+    older than `keep_ms` by the clock, and removed one batch later, when no repeat can need them.
+    """
+
+    def __init__(self, path, compact=COMPACT, keep_ms=None):
+        self.path, self.compact, self.keep_ms = path, compact, keep_ms
+
+    def before(self, like, batch_id, df):
+        """The rows, with the columns of `like`, of all batches before `df`."""
+        schema = T.StructType([*like.schema.fields, *_BATCH.fields])
+        try:
+            rows = like.sparkSession.read.schema(schema).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return like.sparkSession.createDataFrame([], like.schema)
+        since = (batch_id - 1) // self.compact * self.compact - 1  # earlier ones are in this one's files
+        mine = (F.col("run") == run_of(df)) & (F.col("batch_id") < batch_id) & (F.col("batch_id") >= since)
+        return rows.where(mine).select(*like.columns)
+
+    def append(self, rows, df, batch_id, clock):
+        if batch_id % self.compact == self.compact - 1:
+            rows = self.before(rows, batch_id, df).unionByName(rows)
+            if self.keep_ms is not None and clock is not None:
+                rows = rows.where(F.col("arrived") >= clock - self.keep_ms)
+        put(rows, self.path, df, batch_id)
+        if batch_id % self.compact == 0 and batch_id:
+            for old in range(max(0, batch_id - self.compact - 1), batch_id - 1):
+                remove(df.sparkSession, batch_path(self.path, df, old))
+
+
 def _clock(rows):
     """The latest change that the rows have seen, in milliseconds."""
     return rows.agg(F.max("arrived")).first()[0]
@@ -60,67 +96,74 @@ def _settle(waiting, root, df, batch_id, keep_ms, clock):
     State(f"{root}/open").replace(df, waiting.where(~old), batch_id)
 
 
-def pair_sink(root, keep_ms=None):
+def read_open(spark, root):
+    """The rows that wait in `root`/open after the last batch: key, arrived, many, one."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/open/run=*/batch_id=*/_SUCCESS")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    newest = max(files, key=lambda f: (f.getModificationTime(), f.getPath().toString()))
+    return spark.read.parquet(newest.getPath().getParent().toString())
+
+
+def pair_sink(root, keep_ms=None, compact=COMPACT):
     """Pair every key's first row of `many` with its first of `one`, by arrival.
 
     Writes the pairs to `root`/out, (many fields, one fields), and what waits to `root`/open. Of the rows
-    of a key on one side only the first can pair, so a key holds one open row at most. With `keep_ms`
-    rows that waited longer go to `root`/expired. Rows without a key can have no partner and are left
-    out. All is one aggregate by key, which shrinks the copies of a hot key before its shuffle.
+    of a key on one side only the first can pair, so a key holds one open row at most; rows of a key
+    that is paired are dropped, and only its name is remembered, in `root`/closed. With `keep_ms` rows
+    that waited longer go to `root`/expired, and names are forgotten as long after the pair was complete.
+    Rows without a key can have no partner and are left out. The pairs are one aggregate by key, which
+    shrinks the copies of a hot key before its shuffle.
     """
+    closed = Log(f"{root}/closed", compact, keep_ms)
 
     def write(df, batch_id):
-        rows = df.unionByName(State(f"{root}/open").before(df, batch_id)).where("key IS NOT NULL")
+        fresh = df.where("key IS NOT NULL").persist()
+        # The few names that came again are looked up, not all that are remembered.
+        names = closed.before(df.select("key", "arrived"), batch_id, df)
+        again = names.join(fresh.select("key").distinct(), "key", "left_semi").select("key").distinct()
+        rows = fresh.join(again, "key", "left_anti")
+        rows = rows.unionByName(State(f"{root}/open").before(df, batch_id))
 
         def first(side):
             return F.min(F.when(F.col(side).isNotNull(), F.struct("arrived", side))).alias(side)
 
         keys = rows.groupBy("key").agg(first("many"), first("one")).persist()
         try:
+            clock = _clock(fresh.select("arrived").unionByName(keys.select(
+                F.greatest("many.arrived", "one.arrived").alias("arrived"))))
             paired = keys.where("many IS NOT NULL AND one IS NOT NULL")
             put(paired.select("many.many.*", "one.one.*"), f"{root}/out", df, batch_id)
             waiting = keys.where("many IS NULL OR one IS NULL").select(
                 "key", F.coalesce("many.arrived", "one.arrived").alias("arrived"),
                 F.col("many.many").alias("many"), F.col("one.one").alias("one"),
             )
-            last = keys.select(F.greatest("many.arrived", "one.arrived").alias("arrived"))
-            _settle(waiting, root, df, batch_id, keep_ms, _clock(last))
+            _settle(waiting, root, df, batch_id, keep_ms, clock)
+            done = paired.select("key", F.greatest("many.arrived", "one.arrived").alias("arrived"))
+            closed.append(done, df, batch_id, clock)
         finally:
             keys.unpersist()
+            fresh.unpersist()
 
     return lambda writer: writer.outputMode("append").foreachBatch(write)
 
 
-def _known(root, df, batch_id):
-    """All rows of `one` that batches before this one have seen."""
-    run = run_of(df)
-    schema = T.StructType([*df.schema.fields, *_BATCH.fields])
-    try:
-        rows = df.sparkSession.read.schema(schema).parquet(f"{root}/one")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return df.sparkSession.createDataFrame([], df.schema)
-    return rows.where((F.col("run") == run) & (F.col("batch_id") < batch_id)).select(*df.columns)
-
-
 def attach_sink(root, keep_ms=None, compact=COMPACT):
     """Give every row of `many` the first row of `one` with its key, whichever of them comes first.
 
     Writes (many fields, one fields) to `root`/out. Rows of `many` that come early wait in `root`/open;
     with `keep_ms` those that waited longer go to `root`/expired, and rows of `one` are forgotten as
-    long after they came. Each row of `one` is stored once, by the batch that brought it; every
-    `compact` batches the small files are written together. The join is a plain one, which adaptive
-    execution broadcasts by its size or splits at a hot key. Rows of `many` without a key stay out.
+    long after they came. Each row of `one` is stored once, in `root`/one, by the batch that brought it,
+    however many partners it has. The join is a plain one, which adaptive execution broadcasts by its
+    size or splits at a hot key. Rows without a key can have no partner and are left out.
     """
+    log = Log(f"{root}/one", compact, keep_ms)
 
     def write(df, batch_id):
         df.persist()
         try:
-            first = F.min(F.struct("arrived", "one")).alias("first")
-            fresh = df.where("one IS NOT NULL AND key IS NOT NULL")
-            nothing = F.lit(None).cast(df.schema["many"].dataType).alias("many")
-            known = _known(root, df, batch_id).unionByName(fresh).groupBy("key").agg(first).select(
+            fresh = df.where("one IS NOT NULL AND key IS NOT NULL").select("key", "arrived", "one")
+            known = log.before(fresh, batch_id, df).unionByName(fresh)
+            known = known.groupBy("key").agg(F.min(F.struct("arrived", "one")).alias("first")).select(
                 F.col("key").alias("_key"), F.col("first.one").alias("_one")
             )
             early = State(f"{root}/open").before(df, batch_id)
@@ -130,19 +173,11 @@ def attach_sink(root, keep_ms=None, compact=COMPACT):
                 met = joined.where("_key IS NOT NULL")
                 put(met.select("many.*", "_one.*"), f"{root}/out", df, batch_id)
                 waiting = joined.where("_key IS NULL").select(*df.columns)
-                clock = _clock(df.unionByName(early))
+                clock = _clock(df.select("arrived").unionByName(early.select("arrived")))
                 _settle(waiting, root, df, batch_id, keep_ms, clock)
+                log.append(fresh, df, batch_id, clock)
             finally:
                 joined.unpersist()
-            rows = fresh.select("key", "arrived", nothing, "one")
-            if batch_id % compact == compact - 1:
-                rows = _known(root, df, batch_id).unionByName(rows)
-                if keep_ms is not None and clock is not None:
-                    rows = rows.where(F.col("arrived") >= clock - keep_ms)
-            put(rows, f"{root}/one", df, batch_id)
-            if batch_id % compact == 0 and batch_id:  # the batch before holds all of these
-                for old in range(max(0, batch_id - compact - 1), batch_id - 1):
-                    remove(df.sparkSession, batch_path(f"{root}/one", df, old))
         finally:
             df.unpersist()
 

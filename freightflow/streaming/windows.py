@@ -41,6 +41,25 @@ class _Clocks:
         return [(s, ts, seen, self.mark) for s, (ts, seen) in self.of.items()]
 
 
+def windows_to(path, now=wall_clock):
+    """A sink for closed windows that may come again, as after a restart without its checkpoint: every
+    batch is stamped with the time of its writing, and `read_windows` takes the last of each."""
+
+    def write(df, batch_id):
+        put(df.withColumn("_written", F.lit(now())), path, df, batch_id)
+
+    return lambda writer: writer.outputMode("append").foreachBatch(write)
+
+
+def read_windows(spark, path, keys):
+    """The windows of `windows_to`, the one that was written last for every `stt` and keys."""
+    rows = spark.read.parquet(path).drop("run", "batch_id")
+    names = [c for c in rows.columns if c != "_written"]
+    rest = [c for c in names if c not in ("stt", *keys)]
+    last = F.max_by(F.struct(*rest), "_written").alias("_last")
+    return rows.groupBy("stt", *keys).agg(last).select("stt", *keys, "_last.*").select(*names)
+
+
 def window_sink(root, keys=(), count=None, sums=None, firsts=(), window="5 seconds", delay_ms=5000,
                 source=None, sources=(), idle_after_ms=None, now=wall_clock):
     """Roll rows with `ts` up in windows, as `operators.window_rollup` does.
