@@ -1,137 +1,119 @@
-"""Dimension tables as versioned snapshots, read once per batch and joined."""
+"""Dimension tables kept as appended changes in Parquet, read as the latest row of every key."""
 
 import time
-import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-_POINTER = (
-    "seq long, run string, batch long, reset long, buckets int, written double, "
-    "paths map<string,string>"
-)
-_STAMPS = "_ts long, _offset long, _gone boolean"
+_STAMPS = "_ts long, _offset long, _gone boolean, _key string, _at long"
 
 
 class DimensionStore:
-    """Versions of dimension tables; every change of a dimension adds one.
-
-    The rows of a table are hashed into buckets by key. A change writes the buckets it touches to
-    a new folder and then a pointer that lists the folder of every bucket, so an untouched bucket
-    is never rewritten and folders never change once written. A reader keeps what it has opened;
-    versions that a newer one has replaced are removed after `keep_seconds`.
-
-    Versions are ordered by a sequence that only grows. The run (the query of a checkpoint) and
-    batch that wrote one serve to recognise a repeat, which starts from the version before it.
-    Deleted keys stay as marked rows, so that an older change that comes later cannot revive them.
+    """Dimension tables in plain Parquet folders.
+
+    A micro-batch appends its changes, one folder and no more, and a reader takes the latest row of each
+    key with one aggregate. So a change costs what it is large, and the order in which batches bring
+    changes does not matter. After `compact` folders the next change first writes the latest rows
+    together, as the base of a new generation; a snapshot, and a dimension that is emptied, begin one
+    too. A folder counts once its write is complete, a generation once it has such a folder, and the
+    newest is the table. Readers keep the folders they have opened; older generations are removed after
+    `keep_seconds`. Deleted keys stay as marked rows, so that an older change that comes later cannot
+    revive them.
     """
 
-    def __init__(self, spark, root, buckets=16, keep_seconds=86_400):
+    def __init__(self, spark, root, compact=32, keep_seconds=86_400):
         self.spark, self.root = spark, root
-        self.buckets, self.keep_seconds = buckets, keep_seconds
-
-    def _versions(self):
-        """All pointer rows that are still kept; a few for each table."""
-        reader = self.spark.read.schema(f"{_POINTER}, table string")
-        try:
-            return reader.option("ignoreMissingFiles", "true").json(f"{self.root}/pointer").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-
-    def pointers(self, repeat=None):
-        """The newest pointer of every table; with `repeat` (run, batch) those of it do not count."""
-        newest = {}
-        for row in self._versions():
-            if (row["run"], row["batch"]) != repeat:
-                old = newest.get(row["table"])
-                if old is None or row["seq"] > old["seq"]:
-                    newest[row["table"]] = row
-        return newest
-
-    def _open(self, paths, schema):
-        physical = f"{schema}, {_STAMPS}"
-        if not paths:
-            return self.spark.createDataFrame([], physical)
-        return self.spark.read.schema(physical).parquet(*paths)
+        self.compact, self.keep_seconds = compact, keep_seconds
+
+    def _found(self, pattern):
+        """(path, time of modification in ms) of what a pattern matches, on whatever file system."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        files = target.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(target)
+        return [(f.getPath().toString(), f.getModificationTime()) for f in files or ()]
+
+    def _generations(self, table="*"):
+        """{table: {generation: its pointer}} of all complete folders; few, as they are compacted."""
+        out = {}
+        for path, at in self._found(f"{table}/*/*/_SUCCESS"):
+            _, name, generation, _, _ = path.rsplit("/", 4)
+            number, reset = map(int, generation.split("_"))
+            pointer = out.setdefault(name, {}).setdefault(
+                number, {"generation": number, "reset": reset, "paths": [], "written": 0}
+            )
+            pointer["paths"].append(path.rsplit("/", 1)[0])
+            pointer["written"] = max(pointer["written"], at)
+        for generations in out.values():
+            for pointer in generations.values():
+                pointer["paths"].sort()
+                pointer["version"] = (pointer["generation"], pointer["written"], tuple(pointer["paths"]))
+        return out
+
+    def pointers(self):
+        """{table: its newest generation}: `reset`, the folders `paths`, and `version`, which is equal as
+        long as the table has not changed."""
+        return {t: g[max(g)] for t, g in self._generations().items()}
+
+    def _latest(self, pointer, schema):
+        """The latest row of every key, deleted ones included. Of equal times the later write wins."""
+        rows = self.spark.read.schema(f"{schema}, {_STAMPS}").parquet(*pointer["paths"])
+        last = F.max_by(F.struct(*rows.columns), F.struct("_ts", "_offset", "_at")).alias("last")
+        return rows.groupBy(F.col("_key").alias("_by")).agg(last).select("last.*")
 
     def open(self, pointer, schema):
         """The rows of a pointer; none without one."""
-        rows = self._open(sorted(pointer["paths"].values()) if pointer else [], schema)
-        return rows.where("NOT _gone").drop("_ts", "_offset", "_gone")
+        if not pointer:
+            return self.spark.createDataFrame([], schema)
+        return self._latest(pointer, schema).where("NOT _gone").drop("_ts", "_offset", "_gone", "_key", "_at")
 
     def read(self, table, schema):
         """The current rows; none when the dimension does not exist."""
         return self.open(self.pointers().get(table), schema)
 
-    def _bucket(self, key, count):
-        return F.pmod(F.xxhash64(key), F.lit(count)).cast("int")
-
     def merge(self, table, schema, key, changes, batch=0, run="", reset=-1):
-        """Apply the last change of every key and make the result current.
+        """Append the last change of every key.
 
-        `changes` have the columns of `schema` and `_ts`, `_offset`, `_gone`. The later of a key's
-        row and its change by (_ts, _offset) stays, the change when they are equal; so the order
-        in which batches bring changes does not matter. When `reset` is not that of the current
-        version, the table starts anew. Keys must not be null. Empty changes to a table that
-        exists with this `reset` write nothing.
+        `changes` have the columns of `schema` and `_ts`, `_offset`, `_gone`. The later of a key's row and
+        its change by (_ts, _offset) stays, the change when they are equal. The run (the query of a
+        checkpoint) and batch name the folder, so a repeat replaces what it wrote before. When `reset` is
+        not that of the table, the table starts anew. Keys must not be null. Empty changes to a table
+        that exists with this `reset` write nothing.
         """
-        versions = [v for v in self._versions() if v["table"] == table]
-        known = [v for v in versions if (v["run"], v["batch"]) != (run, batch)]
-        pointer = max(known, key=lambda v: v["seq"], default=None)
-        seq = max((v["seq"] for v in versions), default=-1) + 1
-        anew = pointer is None or pointer["reset"] != reset
-        count = self.buckets if pointer is None else pointer["buckets"]
-        rows = changes.withColumn("_bucket", self._bucket(key, count))
-        touched = sorted(r[0] for r in rows.select("_bucket").distinct().collect())
-        if not touched and not anew and len(known) == len(versions):
+        generations = self._generations(table).get(table, {})
+        last = generations[max(generations)] if generations else None
+        anew = last is None or last["reset"] != reset
+        if not anew and changes.isEmpty():
             return
-        paths = {} if anew else dict(pointer["paths"])
-        if touched:
-            old = self._open([paths[str(b)] for b in touched if str(b) in paths], schema)
-            old = old.withColumn("_bucket", self._bucket(key, count))
-            both = old.withColumn("_new", F.lit(False)).unionByName(rows.withColumn("_new", F.lit(True)))
-            last = F.max_by(F.struct(*old.columns), F.struct("_ts", "_offset", "_new")).alias("last")
-            folder = f"{self.root}/data/{table}/{seq}-{uuid.uuid4().hex}"
-            merged = both.groupBy(F.col(key).alias("_key")).agg(last).select("last.*")
-            merged.repartition("_bucket").write.partitionBy("_bucket").parquet(folder)
-            paths |= {str(b): f"{folder}/_bucket={b}" for b in touched}
-        self._point(table, seq, run, batch, reset, count, paths)
-        self._expire([v for v in versions if v["seq"] < seq], paths)
+        number = max(generations, default=-1)
+        if anew or len(last["paths"]) >= self.compact:
+            number += 1
+        folder = f"{self.root}/{table}/{number}_{reset}"
+        if not anew and number > last["generation"]:
+            self._latest(last, schema).write.mode("overwrite").parquet(f"{folder}/base")
+        self._put(changes, key, f"{folder}/{run or 'none'}-{batch}")
+        self._expire(generations, number)
 
     def write(self, table, snapshot, batch=0, run="", reset=-1, key=None):
         """Make `snapshot` all of the table. `key` is its first column unless given."""
-        versions = [v for v in self._versions() if v["table"] == table]
-        seq = max((v["seq"] for v in versions), default=-1) + 1
-        folder = f"{self.root}/data/{table}/{seq}-{uuid.uuid4().hex}"
+        generations = self._generations(table).get(table, {})
+        number = max(generations, default=-1) + 1
         nothing = F.lit(None).cast("long")
         rows = snapshot.select(
-            "*", nothing.alias("_ts"), nothing.alias("_offset"), F.lit(False).alias("_gone"),
-            self._bucket(key or snapshot.columns[0], self.buckets).alias("_bucket"),
+            "*", nothing.alias("_ts"), nothing.alias("_offset"), F.lit(False).alias("_gone")
+        )
+        self._put(rows, key or snapshot.columns[0], f"{self.root}/{table}/{number}_{reset}/base")
+        self._expire(generations, number)
+
+    def _put(self, rows, key, folder):
+        named = rows.select(
+            "*", F.col(key).cast("string").alias("_key"), F.lit(time.time_ns() // 1000).alias("_at")
         )
-        rows.repartition("_bucket").write.partitionBy("_bucket").parquet(folder)
-        stored = self.spark.read.schema("_gone boolean, _bucket int").parquet(folder)
-        buckets = [r[0] for r in stored.select("_bucket").distinct().collect()]
-        paths = {str(b): f"{folder}/_bucket={b}" for b in buckets}
-        self._point(table, seq, run, batch, reset, self.buckets, paths)
-        self._expire(versions, paths)
-
-    def _point(self, table, seq, run, batch, reset, buckets, paths):
-        row = (seq, run, batch, reset, buckets, time.time(), paths)
-        frame = self.spark.createDataFrame([row], _POINTER).coalesce(1)
-        frame.write.mode("overwrite").json(f"{self.root}/pointer/table={table}/version={seq}")
-
-    def _expire(self, versions, current):
-        """Remove replaced versions past their age, and folders that only these use."""
-        limit = time.time() - self.keep_seconds
-        gone = [v for v in versions if v["written"] < limit]
-        used = set(current.values())
-        used.update(p for v in versions if v["written"] >= limit for p in v["paths"].values())
-        for v in gone:
-            for path in [*set(v["paths"].values()).difference(used),
-                         f"{self.root}/pointer/table={v['table']}/version={v['seq']}"]:
-                remove(self.spark, path)
+        named.write.mode("overwrite").parquet(folder)
+
+    def _expire(self, generations, current):
+        """Remove the generations before the current one that are past their age."""
+        limit = (time.time() - self.keep_seconds) * 1000
+        for number, pointer in generations.items():
+            if number < current and pointer["written"] <= limit:
+                remove(self.spark, pointer["paths"][0].rsplit("/", 1)[0])
 
 
 def remove(spark, path):

@@ -49,7 +49,7 @@ class DimensionJob:
         run, events = run_of(raw), self.events()
         state = config_feed(events).join(config_epochs(events), "source_table").persist()
         rows = {r["sink_table"]: r for r in state.collect()}
-        pointers = self.store.pointers((run, batch_id))
+        pointers = self.store.pointers()
         routed, last, touched = None, None, set()
         try:
             if rows:
@@ -129,7 +129,7 @@ def enrich_latest(transform, store, tables, path, derived=None):
         dims = {n: store.open(pointers.get(t), schema) for n, (t, schema) in tables.items()}
         for name, build in (derived or {}).items():
             pointer = pointers.get(tables[name][0])
-            version = pointer and pointer["seq"]
+            version = pointer and pointer["version"]
             if name not in made or made[name][0] != version:
                 made[name] = version, build(dims[name])
             dims[name] = made[name][1]

@@ -145,7 +145,7 @@ def names(store, table="t"):
 
 
 def test_store_orders_by_time_across_batches(spark):
-    store = DimensionStore(spark, work_folder(spark, "test_store"), buckets=4)
+    store = DimensionStore(spark, work_folder(spark, "test_store"), compact=5)
     assert names(store) == {}
     store.merge("t", SCHEMA, "id", stamped(spark, ("a", "1", 200, False), ("b", "1", 200, False)), 0, "run")
     held = store.read("t", SCHEMA)
@@ -153,7 +153,7 @@ def test_store_orders_by_time_across_batches(spark):
     assert names(store) == {"a": "1"}
     store.merge("t", SCHEMA, "id", stamped(spark, ("b", "2", 250, False), ("c", "1", 1, False)), 2, "run")
     assert names(store) == {"a": "1", "c": "1"}
-    # A repeat starts from the version before it; a new checkpoint goes on from the newest one.
+    # A repeat replaces what it wrote before; a new checkpoint goes on from the newest rows.
     store.merge("t", SCHEMA, "id", stamped(spark, ("d", "1", 1, False)), 2, "run")
     assert names(store) == {"a": "1", "d": "1"}
     store.merge("t", SCHEMA, "id", stamped(spark, ("e", "1", 1, False)), 0, "other run")
@@ -165,24 +165,40 @@ def test_store_orders_by_time_across_batches(spark):
     assert names(store) == {}
 
 
-def test_one_row_rewrites_one_bucket(spark):
-    store = DimensionStore(spark, work_folder(spark, "test_buckets"), buckets=8)
+def test_one_row_writes_one_small_file(spark):
+    store = DimensionStore(spark, work_folder(spark, "test_append"), compact=4)
     store.merge("t", SCHEMA, "id", stamped(spark, *[(str(i), "x", 1, False) for i in range(100)]), 0)
-    before = store.pointers()["t"]["paths"]
-    store.merge("t", SCHEMA, "id", stamped(spark, ("5", "y", 2, False)), 1)
-    after = store.pointers()["t"]["paths"]
-    assert sum(before[b] != after[b] for b in after) == 1 and len(after) == 8
+    before = set(store.pointers()["t"]["paths"])
+    store.merge("t", SCHEMA, "id", stamped(spark, ("5", "y", 2, False)).coalesce(1), 1)
+    added = set(store.pointers()["t"]["paths"]) - before
+    assert len(added) == 1 and spark.read.parquet(*added).count() == 1
+    assert len(spark.read.parquet(*added).inputFiles()) == 1
     assert names(store)["5"] == "y" and len(names(store)) == 100
 
 
+def test_folders_do_not_grow_with_time(spark):
+    store = DimensionStore(spark, work_folder(spark, "test_compact"), compact=3, keep_seconds=0)
+    for n in range(11):
+        rows = stamped(spark, (str(n % 4), f"v{n}", n, n == 9), ("all", f"v{n}", -n, False))
+        store.merge("t", SCHEMA, "id", rows, n, "run")
+        assert len(store.pointers()["t"]["paths"]) <= 3
+    assert names(store) == {"0": "v8", "2": "v10", "3": "v7", "all": "v0"}
+    assert len(store._generations()["t"]) == 1
+    version = store.pointers()["t"]["version"]
+    store.merge("t", SCHEMA, "id", stamped(spark), 11, "run")
+    assert store.pointers()["t"]["version"] == version
+
+
 def test_replaced_versions_are_removed_by_age(spark):
-    store = DimensionStore(spark, work_folder(spark, "test_age"), buckets=2, keep_seconds=0)
+    store = DimensionStore(spark, work_folder(spark, "test_age"), keep_seconds=0)
     for n in range(4):
         store.write("t", spark.createDataFrame([("a", str(n)), ("b", "x")], SCHEMA), n)
     store.merge("t", SCHEMA, "id", stamped(spark, ("a", "9", 1, False)), 5)
     assert names(store) == {"a": "9", "b": "x"}
-    kept = spark.read.json(f"{store.root}/pointer").select("version").distinct().count()
-    assert kept <= 2
+    assert len(store._generations()["t"]) == 1
+    kept = DimensionStore(spark, store.root)
+    kept.write("t", spark.createDataFrame([("c", "1")], SCHEMA))
+    assert names(kept) == {"c": "1"} and len(kept._generations()["t"]) == 2
 
 
 def test_broken_pointers_are_no_empty_dimension(spark):
