@@ -243,7 +243,7 @@ def near_groups(docs, block=BLOCK, words=None, similarity=None):
     if similarity is None:
         edges = links(distinct.select("fp"), block)
     else:
-        edges = shingle_sets.links(docs, rows, words, similarity, block)
+        edges = shingle_sets.links(docs, rows, words, similarity, min(block, shingle_sets.BLOCK))
     roots = components(edges)
     joined = distinct.join(roots, F.col("fp") == F.col("vertex"), "left")
     rooted = stored(

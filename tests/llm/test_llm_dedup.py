@@ -227,3 +227,46 @@ def test_pipeline_stage_drops_near_copies_from_similarity_point_eight(spark):
     assert kept == {i for i, r in fits.items() if i == r} | {5000, 5002}
     split = simhash_dedup.near_groups(df, block=2, words=5, similarity=0.8)
     assert {r.doc_id for r in split.collect() if r.doc_id == r.component_id} == kept
+
+
+def five_word_links(texts, near=lambda i, j: True):
+    """Pairs of texts whose sets of runs of five words have Jaccard similarity 0.8 or more."""
+    runs = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for t in texts)]
+    return [
+        (i, j) for i, a in enumerate(runs) for j, b in enumerate(runs[:i])
+        if a and b and 4 * max(len(a), len(b)) <= 5 * min(len(a), len(b)) and len(a & b) >= 0.8 * len(a | b)
+    ]
+
+
+def test_near_copies_of_one_template_and_in_a_chain(spark):
+    """Variants of a template, most linked only through others, a chain of drifting texts, and texts
+    that share keys without being similar enough; blocks are far smaller than the lists."""
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(4000)]
+    base = [words[i] for i in rng.integers(0, 4000, 100)]
+    texts = []
+    for edits in (1, 2, 3, 4):
+        for _ in range(60):
+            variant = list(base)
+            for at in rng.integers(0, 100, edits):
+                variant[at] = words[rng.integers(0, 4000)]
+            texts.append(" ".join(variant))
+    drift = [words[i] for i in rng.integers(0, 4000, 360)]
+    texts += [" ".join(drift[3 * i : 3 * i + 60]) for i in range(100)]
+    texts += [" ".join(drift[12 * i : 12 * i + 50]) + f" end {i}" for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = union_find(len(texts), five_word_links(texts))
+    got = simhash_dedup.near_groups(df, block=7, words=5, similarity=0.8).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(want))
+
+
+def test_recall_of_near_copies(spark):
+    """All links of the documents by brute force end in one group, and no others do."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted({(r.doc_id, r.text or "") for r in docs.collect()})
+    links = five_word_links([t for _, t in rows])
+    want = union_find(len(rows), links)
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_groups(docs, words=5, similarity=0.8).collect()}
+    together = sum(got[rows[i][0]] == got[rows[j][0]] for i, j in links)
+    assert links and together >= 0.9 * len(links)
+    assert together == len(links) and all(got[d] == rows[w][0] for (d, t), w in zip(rows, want, strict=True) if t.split())
