@@ -214,6 +214,11 @@ def _rest(lists, edges, block):
     other and that part, in pairs of blocks."""
     rooted = stored(_with_roots(lists, edges), "sets-rooted")
     keys = _unconnected(rooted)
+    open_lists = rooted.join(small_side(keys), "key")
+    # Texts that share several keys make lists of the same texts, of which one is enough.
+    same = [F.count("*").alias("m"), *(F.bit_xor(F.xxhash64("fp", F.lit(n))).alias(f"x{n}") for n in range(2))]
+    alike = stored(open_lists.groupBy("key").agg(*same), "sets-alike")
+    keys = stored(alike.groupBy("m", "x0", "x1").agg(F.min("key").alias("key")).select("key"), "sets-keys")
     open_lists = stored(rooted.join(small_side(keys), "key"), "sets-open")
     parts = open_lists.groupBy("key", "root").agg(F.count("*").alias("m"))
     largest = stored(
@@ -225,8 +230,9 @@ def _rest(lists, edges, block):
         "sets-sides",
     )
     counts = sides.groupBy("key", "rest").agg(_blocks(block).alias("n"))
-    counts = stored(counts.groupBy("key").agg(
-        F.max(F.when(F.col("rest"), F.col("n"))).alias("small"),
+    counts = stored(counts.join(open_lists.groupBy("key").agg(_blocks(block).alias("all")), "key")
+    .groupBy("key").agg(
+        F.max("all").alias("all"), F.max(F.when(F.col("rest"), F.col("n"))).alias("small"),
         F.max(F.when(~F.col("rest"), F.col("n"))).alias("large"),
     ), "sets-blocks")
     # Blocks from 0 hold the rest, those from `small` the largest part.
@@ -234,6 +240,8 @@ def _rest(lists, edges, block):
         F.col("rest"), F.pmod(F.xxhash64("fp"), F.col("small"))
     ).otherwise(F.col("small") + F.pmod(F.xxhash64("fp"), F.col("large"))).cast("int")
     last = F.when(F.col("rest"), F.col("small") + F.col("large")).otherwise(F.col("small")) - 1
+    # A list that fits one block is compared at once.
+    number, last = (F.when(F.col("all") > 1, x).otherwise(F.lit(0)) for x in (number, last))
     work = sides.join(small_side(counts), "key").withColumn("block", number)
     work = work.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     return stored(work.select(
