@@ -3,12 +3,13 @@
 Words are read as symbols: insult, threat, target, negation, reporting verb, quotation mark, clause
 boundary or other. Small transducers track the scope of a negation, reported speech and whether the
 clause addresses someone; their composition decides in which class each insult or threat of a
-clause counts. A document is scored from the weights matched per class, not from isolated words.
+clause counts. A document is scored from its matched clauses alone, not from isolated words.
 Insult words and stems with their weights, and the weight of each class, are learned from labels.
 """
 
 import math
 import re
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -19,8 +20,6 @@ from .common import crc_mod, map_arrow, sampled, send_package, stored, whole_tex
 
 #: Labelled documents that the model is fitted on at most.
 SAMPLE_ROWS = 12_000
-#: Words and stems of the insult transducer at most.
-LEXICON_ENTRIES = 20_000
 STEM_LETTERS = (3, 12)
 #: Least log-odds of a lexicon entry, less one standard error, and documents it must occur in.
 LEAST_WEIGHT, LEAST_DOCUMENTS = 2.5, 3
@@ -39,15 +38,26 @@ REPORTS = frozenset(
     "said says say wrote writes called calls claimed quoted sagte sagt schrieb nannte dit disait "
     "écrit appelait dijo dice escribió llamó".split()
 )
-THREATS = frozenset(
-    "kill hurt destroy beat punish shoot töten schlagen vernichten tuer frapper détruire matar "
-    "golpear destruir".split()
+# Threats as stem and endings, in English, German, French and Spanish.
+THREATS = (
+    ("kill hurt destroy beat punish shoot", "- s es ed en ing er"),
+    ("töt schlag vernicht", "en e est st et t ete eten"),
+    ("tu frapp", "er ez erai era erons eront ant"),
+    ("détrui", "re s t sez rai ra rons ront"),
+    ("mat golpe", "ar aré ará aremos arán ando aste"),
+    ("destru", "ir iré irá iremos irán yo ye"),
 )
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;\n]|[\"“”„«»]")
 BOUNDARIES, QUOTES = frozenset(".!?;\n"), frozenset("\"“”„«»")
 NEGATION_WORDS = 3
 CLASSES = ("plain", "targeted", "threat", "negated", "reported")
+#: Classes in which the author speaks for themselves.
+OPEN = CLASSES[:3]
+THREAT_WORDS = frozenset(
+    stem + ending.strip("-")
+    for stems, endings in THREATS for stem in stems.split() for ending in endings.split()
+)
 
 
 def _negation(state, symbol):
@@ -85,27 +95,39 @@ def compose(machines, symbols="ITYNRQBO"):
 START, ARCS = compose([(0, _negation), ("", _reported), (False, _target)])
 
 
-def matched(symbols):
-    """Weight per class of a sequence of (symbol, weight)."""
-    totals = dict.fromkeys(CLASSES, 0.0)
-    state, clause = START, []
+def clauses(symbols):
+    """The clauses of a sequence of (symbol, weight): weight per class that it matched, and words."""
+    state, held, words = START, [], 0
 
-    def close(addressed):
-        for kind, weight in clause:
+    def closed(addressed):
+        totals = {}
+        for kind, weight in held:
             if kind == "threat" and not addressed:
                 continue  # a threat needs someone it is directed at
-            totals["targeted" if kind == "plain" and addressed else kind] += weight
-        clause.clear()
+            kind = "targeted" if kind == "plain" and addressed else kind
+            totals[kind] = totals.get(kind, 0.0) + weight
+        return totals, words
 
     for symbol, weight in symbols:
         if symbol == "B":
-            close(state[2])
-        elif symbol in "IT":
+            yield closed(state[2])
+            held, words = [], 0
+        elif symbol != "Q":
+            words += 1
+        if symbol in "IT":
             negation, reported, _ = state
             kind = "negated" if negation else "reported" if reported else None
-            clause.append((kind or ("plain" if symbol == "I" else "threat"), weight))
+            held.append((kind or ("plain" if symbol == "I" else "threat"), weight))
         state = ARCS[state, symbol]
-    close(state[2])
+    yield closed(state[2])
+
+
+def matched(symbols):
+    """Weight per class of a sequence of (symbol, weight)."""
+    totals = dict.fromkeys(CLASSES, 0.0)
+    for clause, _ in clauses(symbols):
+        for kind, weight in clause.items():
+            totals[kind] += weight
     return totals
 
 
@@ -120,35 +142,46 @@ class Grammar:
     def symbol(self, token):
         found = self.known.get(token)
         if found is None:
-            if len(self.known) >= self.CACHE:
-                self.known.clear()
-            found = self.known[token] = self._symbol(token)
+            found = self._symbol(token)
+            if len(self.known) < self.CACHE:
+                self.known[token] = found
         return found
 
     def _symbol(self, token):
         for symbol, words in (("B", BOUNDARIES), ("Q", QUOTES), ("N", NEGATIONS), ("R", REPORTS),
-                              ("Y", TARGETS), ("T", THREATS)):
+                              ("Y", TARGETS)):
             if token in words:
                 return symbol, 1.0
         get, (low, high) = self.lexicon.get, STEM_LETTERS
         stems = [get(token[:k], 0.0) for k in range(low, min(high, len(token)) + 1)]
         weight = max([*stems, get(f"{token}$", 0.0)])
+        if token in THREAT_WORDS:
+            return "T", max(weight, 1.0)
         return ("I", weight) if weight > 0 else ("O", 0.0)
 
     def features(self, text):
-        """Log of the weight of each class, number of insults and of different ones, greatest
-        weight and weight per word."""
+        """Of the clauses that match: log of the weight of each class, number of those that speak
+        for the author and of those that deny or report, greatest weight of one that speaks for
+        the author, and the weight of these per 100 words."""
         tokens = TOKEN.findall(text.lower())
-        hits = {t for t in set(tokens) if self.symbol(t)[0] in "IT"}
-        if not hits:
+        if not any(self.symbol(t)[0] in "IT" for t in set(tokens)):
             return [0.0] * (len(CLASSES) + 4)
-        symbols = [self.symbol(t) for t in tokens]
-        totals = matched(symbols)
-        weights = [w for s, w in symbols if s == "I"]
+        totals = dict.fromkeys(CLASSES, 0.0)
+        spoken = others = words = 0
+        greatest = 0.0
+        for clause, size in clauses(map(self.symbol, tokens)):
+            words += size
+            if not clause:
+                continue
+            for kind, weight in clause.items():
+                totals[kind] += weight
+            own = sum(clause.get(kind, 0.0) for kind in OPEN)
+            spoken += own > 0
+            others += any(kind not in OPEN for kind in clause)
+            greatest = max(greatest, own)
         return [
-            *(math.log1p(totals[c]) for c in CLASSES), math.log1p(len(weights)),
-            math.log1p(len(hits)), max(weights, default=0.0),
-            100 * sum(weights) / (len(tokens) + 20),
+            *(math.log1p(totals[c]) for c in CLASSES), math.log1p(spoken), math.log1p(others),
+            greatest, 100 * sum(totals[c] for c in OPEN) / (words + 20),
         ]
 
 
@@ -158,9 +191,13 @@ class Model:
     def __init__(self, lexicon, mean, scale, weights):
         self.lexicon, self.mean, self.scale, self.weights = lexicon, mean, scale, weights
 
+    @cached_property
+    def grammar(self):
+        """One for each worker, so that its words are kept from batch to batch."""
+        return Grammar(self.lexicon)
+
     def scores(self, texts):
-        grammar = Grammar(self.lexicon)
-        rows = np.array([grammar.features(t) for t in texts]).reshape(-1, len(self.mean))
+        rows = np.array([self.grammar.features(t) for t in texts]).reshape(-1, len(self.mean))
         z = (rows - self.mean) / self.scale @ self.weights[1:] + self.weights[0]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -177,38 +214,60 @@ def _logistic(rows, labels, penalty=1.0, rounds=30):
     return w
 
 
-def lexicon(sample):
-    """{stem or word + '$': weight} from (text, toxic): log-odds of toxic documents, less a
-    standard error, by distinct words of each document."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{3,40}"), 0))
+def lexicons(sample):
+    """Three of {stem or word + '$': weight} from (text, toxic, half): learned without half 0,
+    without half 1, and from all. Weights are log-odds of toxic documents, less a standard error,
+    by distinct words of each document.
+
+    Entries that a shorter stem outweighs are left out, as a word has its greatest weight.
+    """
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), 0))
     toxic = F.col("toxic")
-    counted = sample.select(F.explode(words).alias("word"), "toxic").groupBy("word").agg(
-        F.sum(toxic).alias("t"), F.sum(1 - toxic).alias("c")
+
+    def counts(of):
+        return [
+            F.sum(F.when(of(half), value)).alias(name)
+            for half in (0, 1) for name, value in ((f"t{half}", toxic), (f"c{half}", 1 - toxic))
+        ]
+
+    counted = sample.select(F.explode(words).alias("word"), "toxic", "half").groupBy("word").agg(
+        *counts(lambda half: F.col("half") == half)
     )
     low, high = STEM_LETTERS
     stems = F.expr(
         f"transform(sequence({low}, least(length(word), {high})), k -> left(word, k))"
     )
     parts = F.explode(F.concat(stems, F.array(F.concat("word", F.lit("$")))))
-    sums = counted.select(parts.alias("part"), "t", "c").groupBy("part").agg(
-        F.sum("t").alias("t"), F.sum("c").alias("c")
-    )
-    n_toxic, n_clean = sample.agg(F.sum(toxic), F.sum(1 - toxic)).first()
-    odds = F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 0.5) / (n_clean + 1))
-    error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-    kept = (
-        sums.where(F.col("t") >= LEAST_DOCUMENTS).withColumn("weight", odds - error)
-        .where(F.col("weight") >= LEAST_WEIGHT)
-        .orderBy(F.desc(F.col("weight") * F.sqrt("t")), "part").limit(LEXICON_ENTRIES)
+    names = ["t0", "c0", "t1", "c1"]
+    sums = stored(
+        counted.select(parts.alias("part"), *names).groupBy("part")
+        .agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names))
+        .where(F.col("t0") + F.col("t1") >= LEAST_DOCUMENTS),
+        "toxicity-parts",
     )
-    return {r["part"]: r["weight"] for r in kept.select("part", "weight").collect()}
+    totals = sample.agg(*counts(lambda half: F.col("half") == half)).first()
+    return [_entries(sums, totals, halves) for halves in ((1,), (0,), (0, 1))]
+
 
+def _entries(sums, totals, halves):
+    n_toxic, n_clean = (sum(totals[f"{c}{h}"] or 0 for h in halves) for c in "tc")
+    t, c = (sum((F.col(f"{x}{h}") for h in halves), F.lit(0)) for x in "tc")
+    odds = F.log((t + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1))
+    error = F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
+    kept = sums.where(t >= LEAST_DOCUMENTS).select("part", (odds - error).alias("weight"))
+    found = {r["part"]: r["weight"] for r in kept.where(F.col("weight") >= LEAST_WEIGHT).collect()}
+    return {
+        part: weight for part, weight in found.items()
+        if all(found.get(part[:k], 0.0) < weight for k in range(STEM_LETTERS[0], len(part)))
+    }
 
-def _feature_rows(entries):
+
+def _feature_rows(lexicons):
     def run(batches):
-        grammar = Grammar(entries)
+        grammars = [Grammar(entries) for entries in lexicons]
         for batch in batches:
-            rows = [grammar.features(t.as_py()) for t in batch["text"]]
+            pairs = zip(batch["text"], batch["half"].to_pylist(), strict=True)
+            rows = [grammars[half].features(text.as_py()) for text, half in pairs]
             yield pa.RecordBatch.from_arrays(
                 [batch["toxic"], pa.array(rows, pa.list_(pa.float64()))], ["toxic", "features"]
             )
@@ -220,9 +279,9 @@ def fit(docs, labels, sample_rows=SAMPLE_ROWS):
     """A `Model` from the labels (doc_id, toxic) whose document is not held out.
 
     Labels that are not 0 or 1 are ignored; a document with both counts as toxic. Without toxic or
-    without clean examples there is no model (None). The lexicon is learned from one half of the
-    sample and the class weights from the other, which has not shaped it; samples below 2000
-    documents serve for both.
+    without clean examples there is no model (None). The class weights are learned from features
+    that each half of the sample has under the lexicon of the other, which it has not shaped; the
+    lexicon of the model is learned from both halves.
     """
     modulus, out = HELD_OUT
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -234,18 +293,15 @@ def fit(docs, labels, sample_rows=SAMPLE_ROWS):
     chosen = F.broadcast(sampled(known, "_ff_id", sample_rows, known.count()))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = texts.join(chosen, F.col("doc_id") == F.col("_ff_id"))
-    sample = stored(rows.groupBy("text").agg(F.max("toxic").alias("toxic")), "toxicity-sample")
+    half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half")
+    sample = rows.groupBy("text").agg(F.max("toxic").alias("toxic")).select("text", "toxic", half)
+    sample = stored(sample, "toxicity-sample")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return None
-    half = F.pmod(F.xxhash64("text"), F.lit(2))
-    split = sum(sizes.values()) >= 2000
-    entries = lexicon(sample.where(half == 0) if split else sample)
-    other = sample.where(half == 1) if split else sample
+    *crossed, entries = lexicons(sample)
     schema = "toxic int, features array<double>"
-    found = map_arrow(other.repartition(16), _feature_rows(entries), schema).collect()
-    if len({r["toxic"] for r in found}) < 2:
-        return None
+    found = map_arrow(sample.repartition(16), _feature_rows(crossed), schema).collect()
     found.sort(key=lambda r: (r["toxic"], r["features"]))
     x = np.array([r["features"] for r in found])
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
@@ -269,7 +325,9 @@ def scores(docs, labels):
     """One row per document: doc_id, held_out, score, predicted.
 
     `held_out` is null for a null doc_id. Empty and null texts get the score of a text without any
-    match. Repeated rows are scored each.
+    match, as do texts without a matched clause; texts of any length are read whole. Repeated rows
+    are scored each, equal texts alike; no tie is to be broken. An empty table gives no rows. Other
+    columns of `docs` are not read.
     """
     model = fit(docs, labels)
     modulus, out = HELD_OUT

@@ -83,3 +83,98 @@ def test_stems_are_found():
     assert grammar.symbol("foolish") == ("I", 3.0)
     assert grammar.symbol("bar") == ("I", 2.0) and grammar.symbol("bars")[0] == "O"
     assert grammar.features("Nothing here.") == grammar.features("") == [0.0] * 9
+
+
+def plain_words(text):
+    """Clauses as lists of (word, inside quotation marks), by scanning characters."""
+    found, word, quoted = [[]], "", False
+    for c in text.lower() + "\n":
+        if c.isalpha():
+            word += c
+            continue
+        if word:
+            found[-1].append((word, quoted))
+            word = ""
+        if c in toxicity.QUOTES:
+            quoted = not quoted
+        elif c in toxicity.BOUNDARIES:
+            found.append([])
+    return found[:-1] if not found[-1] else found
+
+
+def plain_features(text, lexicon, threats):
+    """What a clause matches, from the words around each insult instead of transducers."""
+    def weight(word):
+        return max([v for k, v in lexicon.items() if word.startswith(k) or word + "$" == k], default=0.0)
+
+    totals, spoken, others, greatest, words = dict.fromkeys(toxicity.CLASSES, 0.0), 0, 0, 0.0, 0
+    for clause in plain_words(text):
+        words += len(clause)
+        addressed, mine = any(w in toxicity.TARGETS for w, _ in clause), {}
+        for i, (w, quoted) in enumerate(clause):
+            if w in toxicity.TARGETS | toxicity.NEGATIONS | toxicity.REPORTS:
+                continue
+            threat = w in threats
+            value = max(weight(w), 1.0) if threat else weight(w)
+            near = {x for x, _ in clause[max(0, i - toxicity.NEGATION_WORDS): i]}
+            if near & toxicity.NEGATIONS:
+                kind = "negated"
+            elif quoted or any(x in toxicity.REPORTS and not q for x, q in clause[:i]):
+                kind = "reported"
+            elif threat:
+                kind = "threat" if addressed else None
+            else:
+                kind = "targeted" if addressed else "plain"
+            if value and kind:
+                mine[kind] = mine.get(kind, 0.0) + value
+        for kind, value in mine.items():
+            totals[kind] += value
+        own = sum(mine.get(k, 0.0) for k in ("plain", "targeted", "threat"))
+        spoken, greatest = spoken + (own > 0), max(greatest, own)
+        others += any(k in mine for k in ("negated", "reported"))
+    own = totals["plain"] + totals["targeted"] + totals["threat"]
+    return [*np.log1p(list(totals.values())), np.log1p(spoken), np.log1p(others), greatest, 100 * own / (words + 20)]
+
+
+def test_clauses_against_brute_force():
+    rng, lexicon = np.random.default_rng(7), {"foo": 3.0, "bar$": 2.5, "foolis": 4.0}
+    words = ["foo", "foolish", "bar", "bars", "killing", "schlagt", "tuera", "you", "not", "word", "thing"]
+    grammar = toxicity.Grammar(lexicon)
+
+    def clause():
+        chosen = [str(w) for w in rng.choice(words, rng.integers(0, 12))]
+        form = rng.integers(0, 3)
+        if form == 1:
+            chosen.insert(rng.integers(0, len(chosen) + 1), "said")
+        elif form == 2:  # a quotation mark is no word, so negations next to it are left to other tests
+            chosen = [w for w in chosen if w != "not"]
+            a, b = sorted(rng.integers(0, len(chosen) + 1, 2))
+            chosen = [*chosen[:a], '"', *chosen[a:b], '"', *chosen[b:]]
+        return " ".join(chosen)
+
+    for _ in range(400):
+        text = "".join(clause() + rng.choice([". ", "; ", "! "]) for _ in range(rng.integers(1, 8)))
+        want = plain_features(text, lexicon, {"killing", "schlagt", "tuera"})
+        assert np.allclose(grammar.features(text), want), text
+
+
+def test_features_come_from_clauses_alone():
+    grammar = toxicity.Grammar({"foo": 3.0})
+    denied, spoken = (grammar.features(t) for t in ("they are not foo.", "they are just foo."))
+    assert denied[3] > 0 and denied[6] > 0 and denied[0] == denied[5] == denied[7] == denied[8] == 0
+    assert spoken[0] > 0 and spoken[5] > 0 and spoken[7] == 3.0 and spoken[8] > 0
+    assert grammar.features("he kills time.") == [0.0] * 9 and grammar.features("he kills you.")[2] > 0
+    assert toxicity.Grammar({"kill": 3.0}).symbol("killed") == ("T", 3.0)
+
+
+def test_lexicons(spark):
+    long = "x" * 60
+    rows = [(f"foolish{i % 2} {long} calm{i}", 1, i % 2) for i in range(200)]
+    rows += [(f"quiet words{i}", 0, i % 2) for i in range(200)]
+    without0, without1, whole = toxicity.lexicons(spark.createDataFrame(rows, "text string, toxic int, half int"))
+    # A word of any length is learned whole; what a shorter stem says as strongly is left out.
+    for entries in (without0, without1, whole):
+        assert {"foo", "xxx", "cal"} <= set(entries) and "foolish" not in entries
+        grammar = toxicity.Grammar(entries)
+        assert grammar.symbol(long)[0] == "I" and grammar.symbol("quiet")[0] == "O"
+    assert without0["foo"] == without1["foo"] < whole["foo"]
