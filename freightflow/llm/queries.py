@@ -122,7 +122,8 @@ _SECRETS_SQL = "WITH d AS (SELECT row_number() OVER () AS rn, doc_id, source, co
                                                  AND o.a < b.a + b.size)),
     found AS (SELECT * FROM base UNION ALL SELECT * FROM opaque),
     owners AS (
-        SELECT value, count(DISTINCT coalesce('=' || source, '')) < {secret_scan.EXAMPLE_OWNERS} AS live
+        SELECT value, count(DISTINCT coalesce('=' || source, '')) < {secret_scan.EXAMPLE_OWNERS}
+               AND count(DISTINCT coalesce('=' || doc_id, '')) < {secret_scan.EXAMPLE_REPOS} AS live
         FROM found GROUP BY value),
     shown AS (
         SELECT rn, kind, a, live,

@@ -2,10 +2,12 @@
 
 Only native expressions: patterns give the values, the pieces between them give the places, and
 every candidate value is counted over the corpus by distinct repositories and owners. A value that
-many owners share is a copied example; one that stays with few is live-looking. Opaque tokens are
-too common to report wherever they occur, so they become spans only if they are live-looking.
+several owners share, or that is copied through many repositories of one, is an example; one that
+stays with few is live-looking. Opaque tokens are too common to report wherever they occur, so they
+become spans only if they are live-looking.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .common import stored, whole_text
@@ -24,8 +26,9 @@ BASE_KINDS = (
 )
 OPAQUE = ("opaque", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+", 0, 20, None)
 KINDS = tuple(k[0] for k in BASE_KINDS) + (OPAQUE[0],)
-#: A value held by this many owners is an example.
-EXAMPLE_OWNERS = 3
+#: A value held by this many owners, or in this many repositories, is an example.
+EXAMPLE_OWNERS, EXAMPLE_REPOS = 3, 10
+PIECE = "struct<kind: int, number: int, gap: int, size: int, digest: binary>"
 
 
 def _quoted(pattern):
@@ -33,57 +36,60 @@ def _quoted(pattern):
 
 
 def matches(number, kind):
-    """The matches of a kind in column `text`: array of (start, kind, end, value).
+    """The matches of a kind in column `text`, in their order: array of PIECE.
 
-    Places count code points, the end is exclusive. `split` gives the text between the matches,
-    so the lengths of both, summed from the left, are the places.
+    `gap` counts the code points between a match and the one before, `size` its own. The digest of
+    the value is null if the value is too short, or is an opaque token without letters or digits.
     """
     _, pattern, group, least, needs = kind
     p = _quoted(pattern)
+    wanted = f"length(x['2']) >= {least}"
+    if kind is OPAQUE:
+        wanted += " AND x['2'] RLIKE '[0-9]' AND x['2'] RLIKE '[A-Za-z]'"
     found = f"""
-        aggregate(
-            arrays_zip(split(text, {p}, -1), regexp_extract_all(text, {p}, 0),
-                       regexp_extract_all(text, {p}, {group})),
-            named_struct('at', 0, 'out', cast(array() AS
-                array<struct<start: int, kind: int, end: int, value: string>>)),
-            (a, x) -> named_struct(
-                'at', a.at + length(x['0']) + coalesce(length(x['1']), 0),
-                'out', if(length(x['2']) >= {least},
-                    concat(a.out, array(named_struct(
-                        'start', a.at + length(x['0']), 'kind', {number},
-                        'end', a.at + length(x['0']) + length(x['1']), 'value', x['2']))),
-                    a.out)),
-            a -> a.out)"""
+        transform(
+            filter(arrays_zip(split(text, {p}, -1), regexp_extract_all(text, {p}, 0),
+                              regexp_extract_all(text, {p}, {group})), x -> x['1'] IS NOT NULL),
+            (x, i) -> named_struct(
+                'kind', {number}, 'number', i, 'gap', length(x['0']), 'size', length(x['1']),
+                'digest', if({wanted}, unhex(sha2(x['2'], 256)), NULL)))"""
     test = f"lower(text) RLIKE {_quoted(needs)}" if needs else f"text RLIKE {p}"
-    nothing = "cast(array() AS array<struct<start: int, kind: int, end: int, value: string>>)"
-    return F.expr(f"CASE WHEN {test} THEN {found} ELSE {nothing} END")
+    return F.expr(f"CASE WHEN {test} THEN {found} ELSE cast(array() AS array<{PIECE}>) END")
 
 
-def candidates(docs, repo="doc_id", owner="source"):
-    """One row per document: row, doc_id, repo, owner and its candidates by place and kind, as
-    (start, kind, end, digest). Opaque tokens have letters and digits and touch no base match."""
+def pieces(docs, repo="doc_id", owner="source"):
+    """One row per document: row, doc_id, repo, owner and the matches of all kinds."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(repo).cast("string").alias("repo"),
         F.col(owner).cast("string").alias("owner"), whole_text().alias("text"),
     ).withColumn("row", F.monotonically_increasing_id())
+    found = F.concat(*(matches(i, k).cast(f"array<{PIECE}>") for i, k in enumerate((*BASE_KINDS, OPAQUE))))
+    return rows.select("row", "doc_id", "repo", "owner", found.alias("pieces"))
+
+
+def candidates(found):
+    """The candidates of stored `pieces`: row, doc_id, repo, owner, start, kind, end, digest.
+
+    Places count code points, the end is exclusive: running sums over the pieces of a text, in
+    time that grows with their number. Opaque tokens that touch a base match are left out; a match
+    that begins earlier is found by the greatest end so far, a later one by the least start to come.
+    """
     kept = ["row", "doc_id", "repo", "owner"]
-    names = [k[0] for k in BASE_KINDS]
-    found = rows.select(*kept, "text", *[
-        matches(i, k).alias(k[0]) for i, k in enumerate(BASE_KINDS)
-    ])
-    found = found.select(
-        *kept, F.concat(*names).alias("base"), matches(len(BASE_KINDS), OPAQUE).alias("opaque")
+    flat = found.where(F.size("pieces") > 0).select(*kept, F.explode("pieces").alias("p")).select(*kept, "p.*")
+    so_far = Window.partitionBy("row", "kind").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("gap") + F.col("size")).over(so_far).cast("int")
+    # One exchange serves all windows, as each text is one row.
+    placed = flat.repartition("row").withColumn("end", end)
+    placed = placed.where(F.col("digest").isNotNull()).withColumn("start", F.col("end") - F.col("size"))
+    base, text = F.col("kind") < len(BASE_KINDS), Window.partitionBy("row")
+    before = text.orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    after = text.orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    touched = F.coalesce(F.max(F.when(base, F.col("end"))).over(before) > F.col("start"), F.lit(False)) | F.coalesce(
+        F.min(F.when(base, F.col("start"))).over(after) < F.col("end"), F.lit(False)
     )
-    extra = F.expr(
-        "filter(opaque, o -> o.value RLIKE '[0-9]' AND o.value RLIKE '[A-Za-z]'"
-        " AND NOT exists(base, b -> b.start < o.end AND o.start < b.end))"
+    return placed.withColumn("touched", touched).where(base | ~F.col("touched")).select(
+        *kept, "start", "kind", "end", "digest"
     )
-    both = F.sort_array(F.concat("base", extra))
-    digest = F.transform(both, lambda s: F.struct(
-        s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),
-        F.unhex(F.sha2(s["value"], 256)).alias("digest"),
-    ))
-    return found.select(*kept, digest.alias("spans"))
 
 
 def ownership(found):
@@ -94,32 +100,35 @@ def ownership(found):
     each = found.select(
         F.coalesce(F.concat(F.lit("="), "repo"), F.lit("")).alias("repo"),
         F.coalesce(F.concat(F.lit("="), "owner"), F.lit("")).alias("owner"),
-        F.explode("spans.digest").alias("digest"),
+        "digest",
     )
     return each.groupBy("digest").agg(
         F.count_distinct("repo").alias("repos"), F.count_distinct("owner").alias("owners")
     )
 
 
-def scan(docs, repo="doc_id", owner="source", example_owners=EXAMPLE_OWNERS):
+def scan(docs, repo="doc_id", owner="source", example_owners=EXAMPLE_OWNERS, example_repos=EXAMPLE_REPOS):
     """One row per document: doc_id and `spans`, by place and kind, as (start, kind, end, live).
 
     Base matches are always spans; opaque tokens are if they are live-looking. Null texts are
-    empty and have no spans. Repeated rows are scanned each. Other columns are not read.
+    empty and have no spans. Repeated rows are scanned each, and share a repository if they share
+    its name. Texts of any length are read whole. Spans that begin together stand in the order of
+    the kinds. An empty table gives no rows. Other columns are not read.
     """
-    found = stored(candidates(docs, repo, owner), "secret-candidates")
+    rows = stored(pieces(docs, repo, owner), "secret-pieces")
+    found = stored(candidates(rows), "secret-candidates")
     owners = stored(ownership(found), "secret-owners").withColumnRenamed("digest", "_digest")
-    # Rows without candidates keep out of the join, in which they would be one hot null key.
-    some = found.where(F.size("spans") > 0).select("row", "doc_id", F.explode("spans").alias("s"))
-    judged = some.join(owners, F.col("s.digest") == F.col("_digest"))
-    live = F.col("owners") < example_owners
-    span = F.struct("s.start", "s.kind", "s.end", live.alias("live"))
-    shown = F.when((F.col("s.kind") < len(BASE_KINDS)) | live, span)
-    with_spans = judged.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(shown)).alias("spans"))
-    none = found.where(F.size("spans") == 0).select(
-        "row", "doc_id", F.expr("cast(array() AS array<struct<start: int, kind: int, end: int, live: boolean>>)")
-        .alias("spans"),
+    judged = found.join(owners, F.col("digest") == F.col("_digest"))
+    live = (F.col("owners") < example_owners) & (F.col("repos") < example_repos)
+    judged = judged.select("row", "doc_id", F.struct("start", "kind", "end", live.alias("live")).alias("s"))
+    judged = judged.where((F.col("s.kind") < len(BASE_KINDS)) | F.col("s.live"))
+    # Texts without matches keep out of the exchange; those with matches may have none that is shown.
+    span = "struct<start: int, kind: int, end: int, live: boolean>"
+    matching = rows.where(F.size("pieces") > 0).select("row", "doc_id", F.lit(None).cast(span).alias("s"))
+    with_spans = judged.unionByName(matching).groupBy("row", "doc_id").agg(
+        F.sort_array(F.collect_list("s")).alias("spans")
     )
+    none = rows.where(F.size("pieces") == 0).select("row", "doc_id", F.expr(f"cast(array() AS array<{span}>)").alias("spans"))
     return with_spans.unionByName(none).drop("row")
 
 

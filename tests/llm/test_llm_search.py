@@ -120,12 +120,49 @@ def test_secrets(spark):
     assert secret_scan.scan(df.limit(0)).count() == 0
 
 
+def test_secrets_by_ownership(spark):
+    """Copied through many repositories of one owner, or held by several owners: an example."""
+    token = {i: f"Ab{i}Cd2Ef3Gh4Ij5Kl6Mn7Op8" for i in range(4)}
+    rows = [(d, f"x {token[0]}", "a") for d in range(secret_scan.EXAMPLE_REPOS)]
+    rows += [(d, f"x {token[1]}", "a") for d in range(100, 99 + secret_scan.EXAMPLE_REPOS)]
+    rows += [(200 + d, f"x {token[2]}", "abc"[d]) for d in range(secret_scan.EXAMPLE_OWNERS)]
+    rows += [(300, f"x {token[3]}", "a")] * 50  # one repository, whose row is repeated
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [(r.doc_id // 100, r.spans) for r in secret_scan.digests(secret_scan.scan(df)).collect()]
+    assert sorted(got) == sorted(
+        (d // 100, f"opaque:2:{2 + len(token[0])}" if d // 100 in (1, 3) else "") for d, *_ in rows
+    )
+
+
+def test_many_secrets_in_one_text(spark):
+    """Opaque tokens before, after, inside and around base matches; places in a text of 20,000 matches."""
+    rng, parts = np.random.default_rng(3), []
+    for k in range(20_000):
+        token = f"Zq8mT2vLx0RkWn4YbHs{k}"
+        parts.append([f"é{token} ", f"token={token} ", "deadbeefdeadbeef ", f"AKIAABCDEFGHIJKLMN/{token} ", "AKIAX "][rng.integers(5)])
+    text = "".join(parts)
+    base = [(m.start(), m.end()) for _, p, g, n in PATTERNS for m in p.finditer(text) if len(m[g]) >= n]
+    taken = np.zeros(len(text) + 1, bool)
+    for a, b in base:
+        taken[a:b] = True
+    opaque = [
+        f"opaque:{m.start()}:{m.end()}" for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text)
+        if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and not taken[m.start():m.end()].any()
+    ]
+    df = spark.createDataFrame([(1, text, "a"), (2, "short", "a")], "doc_id long, text string, source string")
+    rows = {r.doc_id: r for r in secret_scan.digests(secret_scan.scan(df)).collect()}
+    spans = rows[1].spans.split(",")
+    assert [s for s in spans if s.startswith("opaque")] == opaque and len(opaque) > 2000
+    assert [s for s in spans if not s.startswith("opaque")] == base_spans(text) and rows[2].spans == ""
+
+
 def test_secrets_of_the_documents(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op7_secret_scan"](spark, SF).collect():
         spans = base_spans(texts[r.doc_id] or "")
         assert r.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(s.startswith(k) for s in spans) for k, *_ in PATTERNS]
+    assert differences(QUERIES["op7_secret_scan"](spark, SF), connect(SF), ORACLE["op7_secret_scan"]) is None
 
 
 def test_secret_scan_is_native(spark):
