@@ -1,4 +1,5 @@
 import json
+from importlib import import_module
 
 from freightflow.operators import window_rollup
 from freightflow.plans import facts
@@ -9,6 +10,7 @@ from freightflow.streaming import (
     fan_out,
     file_sink,
     kafka_rows,
+    land,
     replay,
     run_sql_stream,
     run_stream,
@@ -199,3 +201,15 @@ def test_a_new_checkpoint_does_not_replace_old_batches(spark):
         run_stream("test", read_files(spark, f"{root}/{name}"), lambda raw: parse_facts(raw, "ts long, k string"),
                    batch_folders(f"{root}/out"), f"{root}/checkpoint-{name}", available_now=True).awaitTermination()
     assert sorted(r["k"] for r in spark.read.parquet(f"{root}/out").collect()) == ["first", "second"]
+
+
+def test_landed_lines_are_compressed_in_files_of_bounded_length(spark, monkeypatch):
+    monkeypatch.setattr(import_module("freightflow.streaming.replay"), "LINES", 400)
+    folder = work_folder(spark, "test-landed")
+    rows = spark.range(1000).selectExpr("to_json(named_struct('a_name_that_repeats', id)) AS value").coalesce(1)
+    land(rows, folder)
+    files = [(f["path"], f["length"]) for f in spark.read.format("binaryFile").load(folder).collect()]
+    assert len(files) == 3 and all(path.endswith(".lz4") for path, _ in files)
+    plain = rows.selectExpr("sum(length(value) + 1)").first()[0]
+    assert sum(size for _, size in files) * 2 < plain
+    assert sorted(spark.read.text(folder).collect()) == sorted(rows.collect())
