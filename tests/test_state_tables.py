@@ -2,7 +2,10 @@
 
 import json
 
+import duckdb
 import pytest
+from compare import differences
+from freightflow.catalog import ORACLE, QUERIES
 from freightflow.operators import flatten_regions, join_region, lookup_as_of, window_rollup
 from freightflow.plans import facts
 from freightflow.session import work_folder
@@ -314,3 +317,20 @@ def test_windows_that_come_again_replace_the_first(spark):
     got = read_windows(spark, f"{root}/out", ["k"])
     assert got.columns == ["stt", "k", "n"]
     assert sorted(map(tuple, got.collect()), key=str) == [("w1", "a", 5), ("w1", None, 2), ("w2", "a", 4)]
+
+
+def test_a_fact_at_the_moment_of_the_rename_has_the_new_model(spark, tmp_path):
+    """Three transports of one truck; the second ends at the very moment at which its model changes."""
+    orders = [(n, 14, "F", 100.0) for n in (0, 100, 200)]
+    tables = {
+        "orders": spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double"),
+        "part": spark.createDataFrame([(14, "Brand#11")], "p_partkey long, p_brand string"),
+    }
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    got = QUERIES["stream_dws_transport_truck"](spark, str(tmp_path))
+    assert sorted(r["truck_mode_id"] for r in got.collect()) == ["Brand#11", "Brand#11_v2", "Brand#11_v2"]
+    assert differences(got, con, ORACLE["stream_dws_transport_truck"]) is None
