@@ -224,12 +224,12 @@ def changelog(spark, sf_dir, names=tuple(BUSINESS_TABLES)):
     return _union([BUSINESS_TABLES[n](spark, sf_dir) for n in names])
 
 
-def raw(changes):
-    """The change log as JSON text, the way it arrives from the source topic.
+def raw(changes, *columns):
+    """The change log as JSON text, the way it arrives from the source topic; `columns` are kept besides.
 
     From a generator, so that filters on the text do not write it a second time.
     """
-    return changes.select(F.explode(F.array(json_row(ENVELOPE.fieldNames()))).alias("value"))
+    return changes.select(*columns, F.explode(F.array(json_row(ENVELOPE.fieldNames()))).alias("value"))
 
 
 def last_change(spark):

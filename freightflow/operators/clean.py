@@ -34,3 +34,10 @@ def of_table(changes, name, database=BUSINESS_DATABASE, inserts_only=False):
     """Changes of one business table."""
     rows = changes.where((F.col("database") == database) & (F.col("table") == name))
     return rows.where(_plain_type() == "insert") if inserts_only else rows
+
+
+def of_tables(changes, *names, types, database=BUSINESS_DATABASE):
+    """Changes of some business tables, of `types` as they come."""
+    return changes.where(
+        (F.col("database") == database) & F.col("table").isin(*names) & F.col("type").isin(*types)
+    )

@@ -7,7 +7,7 @@ Each builder takes parsed changes, as a batch or as a stream, and gives the colu
 from pyspark.sql import functions as F
 
 from ..functions import as_double, datetime_to_ms
-from ..operators.clean import of_table
+from ..operators.clean import of_table, of_tables
 from ..operators.dedupe import first_per_key
 from ..operators.lookup import join_region, lookup_join
 from ..schemas import (
@@ -235,26 +235,38 @@ def trade_order_org(changes, within=None, salts=4, order_changes=None, columns=B
     return _joined(bounds, orders, matches, ("bound_et", "order_et"), within).select(*names)
 
 
-def _sides(many, key, many_columns, one, one_columns):
-    """Rows of both inputs of a join as one table: key, arrived, and a struct for either side."""
-    left, right = F.struct(*many_columns), F.struct(*one_columns)
-    kinds = [df.select(s.alias("s")).schema["s"].dataType for df, s in ((many, left), (one, right))]
-    nothing = [F.lit(None).cast(k) for k in kinds]
-    return many.select(F.col(key).alias("key"), "arrived", left.alias("many"), nothing[1].alias("one")).unionByName(
-        one.select(F.col("id").alias("key"), "arrived", nothing[0].alias("many"), right.alias("one"))
+def _sides(rows, is_many, key, many_columns, one_columns):
+    """Both inputs of a join as one table, from one pass over `rows`, which have `arrived` and the columns
+    of both: key, arrived, and a struct for either side, of which one is null."""
+    return rows.select(
+        key.alias("key"), "arrived",
+        F.when(is_many, F.struct(*many_columns)).alias("many"),
+        F.when(~is_many, F.struct(*one_columns)).alias("one"),
     )
 
 
+def _inserted_sides(changes, table, columns, order_columns):
+    """Inserts of `table` with the time that their create_time spells, and of their orders; as in
+    `cargo_inserts`, `bound_inserts` and `order_inserts`, which each parse the change log for themselves."""
+    is_many = F.col("_table") == table
+    key = F.when(is_many, F.col("order_id")).otherwise(F.col("id"))
+    names = dict.fromkeys((*columns, "order_id", "create_time", "id", *order_columns))
+    rows = of_tables(changes, table, "order_info", types=("insert", "bootstrap-insert")).select(
+        F.col("table").alias("_table"), *_fields(*names), F.col("ts").alias("arrived")
+    ).where(key.isNotNull())
+    timed = rows.select("*", F.explode(F.array(F.when(is_many, datetime_to_ms("create_time")))).alias("ts"))
+    timed = timed.where(~is_many | F.col("ts").isNotNull())
+    return _sides(timed, is_many, key, (*columns, "ts"), ("id", *order_columns))
+
+
 def cargo_sides(changes, columns=CARGO_COLUMNS, order_columns=CARGO_ORDER):
     """The cargos and orders of `trade_order_cargo` as rows for `streaming.pair_sink`."""
-    cargo, orders = cargo_inserts(changes, columns), order_inserts(changes, *order_columns)
-    return _sides(cargo, "order_id", (*columns, "ts"), orders, ("id", *order_columns))
+    return _inserted_sides(changes, "order_cargo", columns, order_columns)
 
 
 def org_sides(changes, columns=BOUND_COLUMNS, order_columns=ORG_ORDER):
     """The bounds and orders of `trade_order_org` as rows for `streaming.attach_sink`."""
-    bounds, orders = bound_inserts(changes, columns), order_inserts(changes, *order_columns)
-    return _sides(bounds, "order_id", (*columns, "ts"), orders, ("id", *order_columns))
+    return _inserted_sides(changes, "order_org_bound", columns, order_columns)
 
 
 def split_cargo_and_info(changes):
@@ -293,6 +305,19 @@ def transport_task_detail_updates(changes):
     return _updates(changes, "transport_task_detail").select("type", *_fields(*names))
 
 
+def detail_sides(changes):
+    """The details and finished tasks of `transport_task_detail` as rows for `streaming.join_sink`."""
+    is_many = F.col("_table") == "transport_task_detail"
+    names = [n for n in FACTS["dwd_transport_task_detail"].names if n not in ("order_id", "ts")]
+    rows = of_tables(changes, "transport_task_detail", "transport_task", types=("update",)).select(
+        F.col("table").alias("_table"), *_fields(*dict.fromkeys((*names, "order_id", "transport_task_id"))),
+        "ts", F.col("ts").alias("arrived"),
+    )
+    ended = (as_double("order_num") > 0) & F.col("actual_end_time").isNotNull()
+    key = F.when(is_many, F.col("transport_task_id")).otherwise(F.col("id"))
+    return _sides(rows.where(is_many | ended), is_many, key, ("order_id",), (*names, "ts"))
+
+
 def transport_task_detail(changes, within=None, salts=4, detail_changes=None):
     """Finished tasks joined with the updates of their details, many to many.
 

@@ -1,5 +1,5 @@
 from .dimension_job import DimensionJob, enrich_latest, lookup_latest, upsert_sink
-from .pairing import attach_sink, pair_sink, read_open
+from .pairing import attach_sink, join_sink, pair_sink, read_open
 from .replay import land, replay
 from .runner import Progress, run_sql_stream, run_stream, run_supervised
 from .sinks import (
@@ -23,6 +23,7 @@ __all__ = [
     "enrich_once",
     "fan_out",
     "file_sink",
+    "join_sink",
     "kafka_rows",
     "kafka_sink",
     "land",

@@ -16,6 +16,7 @@ from freightflow.streaming import (
     batch_folders,
     enrich_latest,
     enrich_once,
+    join_sink,
     kafka_rows,
     pair_sink,
     read_batches,
@@ -334,3 +335,52 @@ def test_a_fact_at_the_moment_of_the_rename_has_the_new_model(spark, tmp_path):
     got = QUERIES["stream_dws_transport_truck"](spark, str(tmp_path))
     assert sorted(r["truck_mode_id"] for r in got.collect()) == ["Brand#11", "Brand#11_v2", "Brand#11_v2"]
     assert differences(got, con, ORACLE["stream_dws_transport_truck"]) is None
+
+
+def test_details_meet_all_tasks_whichever_come_first(spark):
+    """Three batches; a detail before its two tasks, one after them, and one whose task never comes."""
+
+    def updated(table, ts, **data):
+        return {**change(table, ts, **data), "type": "update"}
+
+    def detail(task, order):
+        return updated("transport_task_detail", S, id=f"d{order}", order_id=order, transport_task_id=task)
+
+    def task(id, ts):
+        return updated("transport_task", ts, id=id, order_num="2", actual_end_time=moment(1))
+
+    batches = [
+        [detail("T1", "1"), detail("T9", "9"), detail(None, "8"), task("T2", S)],
+        [task("T1", S + 1), task("T1", S + 2), detail("T2", "2"), updated("transport_task", S, id="T9", order_num="0")],
+        [detail("T1", "3"), task(None, S)],
+    ]
+    root = run(spark, batches, lambda raw: facts.detail_sides(parse_changes(raw)), join_sink)
+    got = spark.read.parquet(f"{root}/out")
+    rows = sorted((r["order_id"], r["id"], r["ts"] - S) for r in got.collect())
+    assert rows == [("1", "T1", 1), ("1", "T1", 2), ("2", "T2", 0), ("3", "T1", 1), ("3", "T1", 2)]
+    changes = parse_changes(lines(spark, [r for b in batches for r in b]))
+    want = facts.transport_task_detail(changes)
+    assert sorted(got.select(*want.columns).collect()) == sorted(want.collect())
+
+
+def test_both_sides_are_read_in_one_pass(spark):
+    """The log is parsed once, and the sides are those of the builders that parse it for themselves."""
+    order = {"id": "1", "amount": "5", "cargo_num": "1", "sender_city_id": "C", "sender_province_id": "P"}
+    bound = {"id": "b", "order_id": "1", "org_id": "7"}
+    records = [
+        change("order_info", S, **order), change("order_info", S, amount="5"),
+        cargo("1"), {**cargo("2"), "type": "update"}, {**cargo("3"), "type": "bootstrap-insert"}, cargo(None),
+        change("order_cargo", S, order_id="4", create_time="never"), {**cargo("5"), "database": "other"},
+        change("order_org_bound", S, create_time=moment(3), **bound), change("order_org_bound", S, **bound),
+        change("transport_task", S, id="1", order_id="1", create_time=moment(0)),
+    ]
+    changes = parse_changes(lines(spark, records))
+    for sides, many in (
+        (facts.cargo_sides(changes), facts.cargo_inserts(changes).drop("arrived", "offset")),
+        (facts.org_sides(changes), facts.bound_inserts(changes).drop("arrived")),
+    ):
+        assert "Union" not in sides._jdf.queryExecution().optimizedPlan().toString()
+        ones = facts.order_inserts(changes, *(c for c in sides.schema["one"].dataType.names if c != "id"))
+        assert sorted(sides.where("many IS NOT NULL").select("many.*").collect(), key=str) == sorted(many.collect(), key=str)
+        assert sides.where("one IS NOT NULL").select("one.*").collect() == ones.drop("arrived", "offset").collect()
+        assert sides.where("(many IS NULL) = (one IS NULL) OR key IS NULL").count() == 0
