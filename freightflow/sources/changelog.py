@@ -110,8 +110,9 @@ def ods_table(raw, view=None, ts_unit="ms"):
 
 def read_once(messages, schema, within="1 day"):
     """Facts of messages that may come again, each once: `messages` are as `streaming.kafka_rows` made them,
-    (key, value, headers). Repeats of a record id are dropped on a stream `within` that event time of the
-    first, which bounds the state; a message without an id cannot be told from others and is kept."""
+    (key, value, headers). Repeats of a record id are dropped on a stream `within` that time after the first
+    came, which bounds the state; the time of the facts plays no part, so none comes too late. A message
+    without an id cannot be told from others and is kept."""
     named = F.filter("headers", lambda h: h["key"] == "record_id")
     ids = F.hex(F.get(named, 0)["value"])
     facts = messages.select(ids.alias("_id"), _parsed(schema)).where("ts IS NOT NULL")
@@ -120,8 +121,8 @@ def read_once(messages, schema, within="1 day"):
         once = facts.where("_id IS NOT NULL").groupBy("_id").agg(F.min(F.struct(*names)).alias("f")).select("f.*")
         return once.unionByName(facts.where("_id IS NULL").drop("_id"))
     own = F.coalesce("_id", F.uuid())
-    timed = facts.withColumns({"_id": own, "_et": F.timestamp_millis("ts")}).withWatermark("_et", within)
-    return timed.dropDuplicatesWithinWatermark(["_id"]).drop("_id", "_et")
+    timed = facts.withColumns({"_id": own, "_came": F.current_timestamp()}).withWatermark("_came", within)
+    return timed.dropDuplicatesWithinWatermark(["_id"]).drop("_id", "_came")
 
 
 def parse_facts(raw, schema):

@@ -16,6 +16,7 @@ from freightflow.streaming import (
     batch_folders,
     enrich_latest,
     enrich_once,
+    file_sink,
     join_sink,
     kafka_rows,
     pair_sink,
@@ -337,6 +338,21 @@ def test_a_fact_at_the_moment_of_the_rename_has_the_new_model(spark, tmp_path):
     assert differences(got, con, ORACLE["stream_dws_transport_truck"]) is None
 
 
+def test_messages_with_old_facts_are_read_too(spark):
+    """The second run brings a repeat, and a fact that is ten days older than those of the first."""
+    root, schema = work_folder(spark, "test-once"), "ts long, k string, place string"
+    day = 86_400_000
+    for rows in ([(S, "new", "p1")], [(S, "new", "p1"), (S - 10 * day, "old", "p2"), (S + 10 * day, "last", "p3")]):
+        messages = kafka_rows(spark.createDataFrame(rows, schema), identity=["place"])
+        messages.write.mode("append").parquet(f"{root}/in")
+        run_stream(
+            "test-once", spark.readStream.schema(messages.schema).parquet(f"{root}/in"),
+            lambda m: read_once(m, "ts long, k string"), file_sink(f"{root}/out"), f"{root}/checkpoint",
+            available_now=True, state_partitions=2,
+        ).awaitTermination()
+    assert sorted(r["k"] for r in spark.read.parquet(f"{root}/out").collect()) == ["last", "new", "old"]
+
+
 def test_details_meet_all_tasks_whichever_come_first(spark):
     """Three batches; a detail before its two tasks, one after them, and one whose task never comes."""
 
