@@ -58,10 +58,25 @@ def _changes(df, name, kind, seconds, offset, data):
     )
 
 
+def _lines(df, name, kind, seconds, offset, data):
+    """(offset, value): the rows of `_changes` as the JSON text that `raw` makes of them, without a map
+    in between, whose keys would be looked up and copied for every row."""
+    fields = {"ts": (seconds * 1000).cast("bigint"), "offset": offset.cast("bigint")}
+    numbers = [F.coalesce(F.concat(F.lit(f',"{k}":'), v.cast("string")), F.lit("")) for k, v in fields.items()]
+    kind = kind if not isinstance(kind, str) else F.lit(kind)
+    image = F.struct(*[v.cast("string").alias(k) for k, v in data.items()])
+    # Of the envelope nulls are left out, of the row image they are written.
+    text = F.concat(
+        F.lit(f'{{"database":"{BUSINESS_DATABASE}","table":"{name}","type":"'), kind, F.lit('"'), *numbers,
+        F.lit(',"data":'), F.to_json(image, {"ignoreNullFields": "false"}), F.lit("}"),
+    )
+    return df.select(fields["offset"].alias("offset"), F.explode(F.array(text)).alias("value"))
+
+
 # ---------------------------------------------------------------- business tables
 
 
-def _order_info(spark, sf):
+def _order_info(spark, sf, form=_changes):
     nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     df = big_table(spark, sf, "orders").join(
         nation, F.col("o_custkey") % 25 == F.col("n_nationkey"), "left"
@@ -73,7 +88,7 @@ def _order_info(spark, sf):
         .when(F.col("o_orderstatus") == "P", "60060")
     )
     kind = F.when(F.col("o_orderkey") % 5 == 0, "bootstrap-insert").otherwise("insert")
-    return _changes(
+    return form(
         df, "order_info", kind, created, F.col("o_orderkey"),
         {
             "id": F.col("o_orderkey"),
@@ -89,9 +104,9 @@ def _order_info(spark, sf):
     )
 
 
-def _order_cargo(spark, sf):
+def _order_cargo(spark, sf, form=_changes):
     created = _compressed("l_orderkey")
-    return _changes(
+    return form(
         big_table(spark, sf, "lineitem"), "order_cargo", "insert", created, F.col("l_linenumber"),
         {
             "id": F.concat_ws("-", F.col("l_orderkey").cast("string"),
@@ -105,13 +120,13 @@ def _order_cargo(spark, sf):
     )
 
 
-def _order_org_bound(spark, sf):
+def _order_org_bound(spark, sf, form=_changes):
     moment = _compressed("l_orderkey") + F.col("l_linenumber")
     # Every fifth order's bounds are loaded a month after they were made.
     loaded = F.col("l_orderkey") % 5 == 0
     kind = F.when(loaded, "bootstrap-insert").otherwise("insert")
     arrived = moment + F.when(loaded, LOAD_SECONDS).otherwise(0)
-    return _changes(
+    return form(
         big_table(spark, sf, "lineitem"), "order_org_bound", kind, arrived, F.col("l_orderkey"),
         {
             "id": F.concat_ws("-", F.col("l_orderkey").cast("string"),
@@ -129,7 +144,7 @@ def _order_org_bound(spark, sf):
     )
 
 
-def _transport_task(spark, sf):
+def _transport_task(spark, sf, form=_changes):
     start = _compressed("o_orderkey")
     end = start + 600 + F.col("o_orderkey") % 600
     status = (
@@ -139,7 +154,7 @@ def _transport_task(spark, sf):
     )
     finished = F.col("o_orderstatus") != "P"
     org = F.col("o_custkey") % 10
-    return _changes(
+    return form(
         big_table(spark, sf, "orders"), "transport_task", "update",
         F.when(finished, end).otherwise(start), F.col("o_orderkey"),
         {
@@ -161,10 +176,10 @@ def _transport_task(spark, sf):
     )
 
 
-def _transport_task_detail(spark, sf):
+def _transport_task_detail(spark, sf, form=_changes):
     moment = _compressed("l_orderkey") + F.col("l_linenumber")
     kind = F.when(F.col("l_returnflag") == "N", "insert").otherwise("update")
-    return _changes(
+    return form(
         big_table(spark, sf, "lineitem"), "transport_task_detail", kind, moment, F.col("l_orderkey"),
         {
             "id": F.concat_ws("-", F.col("l_orderkey").cast("string"),
@@ -177,7 +192,7 @@ def _transport_task_detail(spark, sf):
     )
 
 
-def _express(spark, sf, name, time_column, done, other, extra=()):
+def _express(spark, sf, form, name, time_column, done, other, extra=()):
     """`done` and `other` are (event type, status) pairs."""
     df = big_table(spark, sf, "events").where(F.col("event_type").isin(done[0], other[0]))
     moment = _compressed("event_id")
@@ -190,20 +205,20 @@ def _express(spark, sf, name, time_column, done, other, extra=()):
         time_column: _at(moment),
     }
     data.update({c: _at(moment) for c in extra})
-    return _changes(df, name, "update", moment, F.col("event_id"), data)
+    return form(df, name, "update", moment, F.col("event_id"), data)
 
 
-def _express_task_collect(spark, sf):
+def _express_task_collect(spark, sf, form=_changes):
     return _express(
-        spark, sf, "express_task_collect", "actual_collected_time",
+        spark, sf, form, "express_task_collect", "actual_collected_time",
         ("click", "63003"), ("view", "63001"),
         ("create_time", "update_time", "estimated_commit_time", "estimated_collected_time"),
     )
 
 
-def _express_task_delivery(spark, sf):
+def _express_task_delivery(spark, sf, form=_changes):
     return _express(
-        spark, sf, "express_task_delivery", "delivered_time",
+        spark, sf, form, "express_task_delivery", "delivered_time",
         ("purchase", "68003"), ("signup", "68001"),
     )
 
@@ -239,8 +254,18 @@ def last_change(spark):
     return _changes(spark.range(1), "order_info", "insert", far, F.lit(0), data)
 
 
+def changelog_lines(spark, sf_dir, names=tuple(BUSINESS_TABLES)):
+    """`raw` of `changelog` with the offsets: (offset, value), written table by table."""
+    return _union([BUSINESS_TABLES[n](spark, sf_dir, _lines) for n in names])
+
+
 def dirty_raw(changes):
     """JSON text in which fixed residues of `offset` are spoiled, to exercise rejection."""
+    return dirty_lines(raw(changes, "offset"))
+
+
+def dirty_lines(lines):
+    """`dirty_raw` of lines that are written already, (offset, value)."""
     text, database = F.col("value"), F.lit(f'"{BUSINESS_DATABASE}"')
     spoiled = {
         13: F.substring(text, 1, 20),
@@ -254,9 +279,6 @@ def dirty_raw(changes):
     value = F
     for residue, bad in spoiled.items():
         value = value.when(F.col("offset") % residue == residue - 1, bad)
-    lines = changes.select(
-        "offset", F.explode(F.array(json_row(ENVELOPE.fieldNames()))).alias("value")
-    )
     return lines.select(F.explode(F.array(value.otherwise(text))).alias("value"))
 
 

@@ -159,3 +159,13 @@ def test_no_python_in_any_batch_plan(spark):
 def test_envelope_is_what_the_fixtures_build(spark):
     df = fx.changelog(spark, SF_DIR)
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in ENVELOPE]
+
+
+def test_log_lines_are_written_without_maps_and_equal_those_of_the_parsed_log(spark):
+    written = fx.raw(fx.changelog(spark, SF_DIR), "offset")
+    lines = fx.changelog_lines(spark, SF_DIR)
+    assert lines.exceptAll(written).isEmpty() and written.exceptAll(lines).isEmpty()
+    for name in ("ods_change_table", "rejected_rows", "dim_clean"):
+        plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert "to_json" in plan.lower() or "structstojson" in plan.lower(), name
+        assert "map(id," not in plan, name
