@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..functions import whole_div
 from .common import map_arrow, small_side, stored
 
 #: Documents of a block.
@@ -195,43 +195,21 @@ class _Slots:
             out.append(self.before(low))
         return out
 
-    def places(self, source, number):
-        """(slot, place) of rows of one source by their numbers."""
-        blocks, at = number // self.block, self.at[source]
-        return blocks // len(at) * self.period + at[blocks % len(at)], number % self.block
-
-
-def _with_places(slots):
-    """Rows sorted by source and key, (doc, source, start), to (doc, slot, place). `start` counts the rows
-    of the source in all partitions before this one."""
-    def run(batches):
-        for batch in _number(batches):
-            numbers = batch["start"].to_numpy() + batch["number"].to_numpy()
-            names = batch["source"].to_pylist()
-            cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
-            found = [slots.places(names[a], numbers[a:b]) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
-            slot, place = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (numbers, numbers)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc"], pa.array(slot), pa.array(place)], ["doc", "slot", "place"]
-            )
-
-    return run
-
 
 def placed(docs, weights=None, block=BLOCK, period=PERIOD, temperature=TEMPERATURE):
     """(doc, slot, place): all rows of `docs` as structs, sorted by slot and place across partitions.
 
     A partition holds the rows between two slots. Which row opens a source's share of it is known from
-    the numbered keys, so each row finds its partition by its own key: rows are exchanged once, and
-    neither joined with their places nor sampled. `docs` is read twice, and rows that repeat a doc_id
-    must then stand in the same order, as those of a stored table do. Other options, nulls, repeated
-    rows and empty tables as in `mix`; columns of any names come along.
+    the numbered keys, so each row finds its partition by its own key: rows are exchanged once, neither
+    joined with their places nor sampled, and numbered there by a window, without a Python worker. `docs`
+    is read twice, and rows that repeat a doc_id must then stand in the same order, as those of a stored
+    table do. Other options, nulls, repeated rows and empty tables as in `mix`; columns of any names come
+    along.
     """
     spark = docs.sparkSession
     rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id"))
     counted = stored(numbered(rows), "mix-rows")
     sizes, parts, period = _planned(counted, weights, period, temperature)
-    long = T.LongType()
     whole = F.struct("*").alias("doc")
     if not parts:
         nothing = F.lit(0).cast("long")
@@ -263,12 +241,18 @@ def placed(docs, weights=None, block=BLOCK, period=PERIOD, temperature=TEMPERATU
     found = keyed(docs, whole).join(F.broadcast(limits), F.col("source").eqNullSafe(F.col("s")))
     found = found.withColumn("i", F.aggregate(bits, F.lit(0), step))
     dealt = found.select("doc", "source", "k", "t", "i", F.get("starts", "i").alias("start"))
-    dealt = dealt.repartitionById(count, "i").sortWithinPartitions("source", "k", "t")
-    schema = T.StructType([
-        T.StructField("doc", dealt.schema["doc"].dataType), T.StructField("slot", long),
-        T.StructField("place", long),
-    ])
-    located = map_arrow(dealt.select("doc", "source", "start"), _with_places(slots), schema)
+    # The window takes the exchange by `i` for its own, as its groups lie within these partitions.
+    within = Window.partitionBy("i", "source").orderBy("k", "t")
+    ranked = dealt.repartitionById(count, "i").select(
+        "doc", "source", (F.col("start") + F.row_number().over(within) - 1).alias("number")
+    )
+    # One row per source with its slots in a period, of which each row takes one.
+    table = spark.createDataFrame([(s, slots.at[s].tolist()) for s in slots.names], "s string, at array<long>")
+    turn = whole_div("number", block)
+    rounds, at = whole_div(turn, F.size("at")), F.get("at", (turn % F.size("at")).cast("int"))
+    located = ranked.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("s"))).select(
+        "doc", (rounds * period + at).alias("slot"), (F.col("number") % block).alias("place")
+    )
     return located.sortWithinPartitions("slot", "place")
 
 

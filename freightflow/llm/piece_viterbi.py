@@ -24,7 +24,7 @@ MARK = "▁"
 #: What a fallback byte scores below the rarest piece.
 BYTE_PENALTY = 2.0
 #: Characters of text whose words are searched together.
-BATCH_CHARACTERS = 1 << 21
+BATCH_CHARACTERS = 1 << 19
 #: Encoded words that are kept for later batches.
 CACHE_WORDS = 120_000
 
@@ -64,14 +64,18 @@ class Vocabulary:
 
 
 def search(words, vocabulary):
-    """Ids of each word of a sorted sequence: {word: [id, ...]}. The best sum of scores wins; of
+    """Ids of each word of a sorted sequence: {word: [id, ...]}; see `searched`."""
+    return dict(searched(words, vocabulary))
+
+
+def searched(words, vocabulary):
+    """(word, [id, ...]) of each word of a sorted sequence, one by one. The best sum of scores wins; of
     equal ones the segmentation with the longer last piece, then the one before it, and so on.
 
     U+2581 counts as a piece's character in front only; elsewhere it is spelt in bytes.
     """
     backwards = vocabulary.backwards
     best, came, before = [0.0], [None], ""
-    out = {}
     for word in words:
         shared, most = 0, min(len(word), len(before))
         while shared < most and word[shared] == before[shared]:
@@ -100,8 +104,8 @@ def search(words, vocabulary):
                 ids.append(part)
             else:
                 ids.extend(reversed(part))
-        out[word], before = ids[::-1], word
-    return out
+        before = word
+        yield word, ids[::-1]
 
 
 class Coder:
@@ -128,22 +132,19 @@ class Coder:
 
     def encode(self, texts):
         """Ids of each text as little-endian unsigned 32-bit bytes. An empty text has none."""
-        split = [t.split(" ") if t else [] for t in texts]
-        new = {w for ws in split for w in ws if w not in self.known}
-        parts = {w: self._parts(w) for w in new}
-        coded = search(sorted({p for ps in parts.values() for p in ps}), self.vocabulary)
-        coded = {p: pack(f"<{len(ids)}I", *ids) for p, ids in coded.items()}
-        found = {w: b"".join([coded[p] for p in ps]) for w, ps in parts.items()}
+        known, new = self.known, set()
+        for text in texts:
+            new.update([w for w in text.split(" ") if w not in known] if text else ())
+        # Texts are split and words cut a second time: to keep the parts would take several times the batch.
+        parts = sorted({p for w in new for p in self._parts(w)})
+        coded = {p: pack(f"<{len(ids)}I", *ids) for p, ids in searched(parts, self.vocabulary)}
+        del parts
+        found = {w: b"".join([coded[p] for p in self._parts(w)]) for w in new}
+        del coded, new
         # Words seen first are the frequent ones; they stay.
-        room = CACHE_WORDS - len(self.known)
-        if len(found) <= room:
-            self.known |= found
-            found = self.known
-        else:
-            self.known |= dict(islice(found.items(), room))
-            found |= self.known
-        get = found.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        known.update(islice(found.items(), CACHE_WORDS - len(known)))
+        get = known.get
+        return [b"".join([get(w) or found[w] for w in t.split(" ")]) if t else b"" for t in texts]
 
     def decode(self, ids):
         """The text of ids given as bytes."""

@@ -1,13 +1,15 @@
 """Token shards, SentencePiece coding and the pipeline."""
 
+import tracemalloc
 import zlib
 
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from conftest_values import union_find
-from freightflow.llm import pfair, piece_viterbi, token_shards, toxicity
+from freightflow.llm import common, pfair, piece_viterbi, token_shards, toxicity
 from freightflow.llm.queries import QUERIES
 from freightflow.session import work_folder
 from tokenizers import Tokenizer
@@ -172,3 +174,39 @@ def test_rows_of_the_last_stage_keep_the_mixture(spark):
         for s in {source[r.doc_id] for r in got if r.slot == slot}:
             taken[s] += 1
         assert all(abs(taken[s] - (slot + 1) * w) < 1 for s, w in weight.items())
+
+
+def test_the_mixture_is_numbered_after_one_exchange_and_without_python(spark):
+    rows = [(i, f"some text {i}", "abc"[(i % 7) // 3]) for i in range(300)]
+    docs = pfair.stored(spark.createDataFrame(rows, "doc_id long, text string, source string"), "test-rows")
+    plan = pfair.placed(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("REPARTITION_BY_NUM") == 1
+    window = plan[plan.index("Window [row_number()"):plan.index("REPARTITION_BY_NUM")]
+    assert window.count("- Exchange") == 1
+
+
+def test_coding_holds_few_times_its_batch():
+    code = piece_viterbi.coder(PIECES)
+    texts = [" ".join(f"{(i * 7919 + j) * 2654435761 % 2**40:x}" for j in range(2000)) for i in range(20)]
+    tracemalloc.start()
+    try:
+        ids = code.encode(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [code.decode(x) for x in ids] == texts
+    assert most < 40 * sum(map(len, texts))  # all words differ; 51 times before, 29 now
+
+
+def test_workers_get_few_texts_at_once(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows, before = spark.range(0, 3000, 1, 1), spark.conf.get(key)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    with common.text_batches(spark):
+        got = common.stored(common.map_arrow(rows, sizes, "n long"), "test-sizes").collect()
+    assert sum(r.n for r in got) == 3000 and max(r.n for r in got) <= common.TEXT_ROWS
+    assert spark.conf.get(key) == before
