@@ -1,10 +1,12 @@
 """Streams whose state is a table: pairs, windows, lookups as of a time, supervised jobs."""
 
+import glob
 import json
 
 import duckdb
 import pytest
 from compare import differences
+from freightflow import session
 from freightflow.catalog import ORACLE, QUERIES
 from freightflow.operators import flatten_regions, join_region, lookup_as_of, window_rollup
 from freightflow.plans import facts
@@ -400,3 +402,15 @@ def test_both_sides_are_read_in_one_pass(spark):
         assert sorted(sides.where("many IS NOT NULL").select("many.*").collect(), key=str) == sorted(many.collect(), key=str)
         assert sides.where("one IS NOT NULL").select("one.*").collect() == ones.drop("arrived", "offset").collect()
         assert sides.where("(many IS NULL) = (one IS NULL) OR key IS NULL").count() == 0
+
+
+def test_the_sorting_windows_pass_no_state_store(spark):
+    base = spark.conf.get("spark.checkpoint.dir", None) or session._local_base()
+    found = lambda: set(glob.glob(f"{base.removeprefix('file:')}/freightflow/stream_restart-*/checkpoint"))
+    before = found()
+    rows = QUERIES["stream_restart"](spark, "/root/testdata/sf0.001")
+    (checkpoint,) = found() - before
+    assert glob.glob(f"{checkpoint}/commits/*") and not glob.glob(f"{checkpoint}/state")
+    expected = QUERIES["dws_express_sorting"](spark, "/root/testdata/sf0.001")
+    assert rows.columns == expected.columns and rows.exceptAll(expected).isEmpty()
+    assert rows.count() == expected.count() > 0
