@@ -18,7 +18,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import shards
-from .common import map_arrow, small_side, stored, whole_text
+from .common import map_arrow, small_side, stored, text_batches, whole_text
 
 FILTERS = "ABCDE"
 #: A: words at least. B: distinct words of a hundred at least. C: capitals of a hundred characters at most.
@@ -26,6 +26,8 @@ LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 200, 50, 2
 SYMBOLS = r"[#$%&*|]"
 #: Bytes of text in a shard.
 SHARD_BYTES = 1 << 24
+#: Bytes of text whose words are split at once.
+SLICE_BYTES = 1 << 20
 
 _LOCAL = (
     "shard long, doc_id long, part string, digest binary, points long, capitals long, symbols boolean, "
@@ -46,9 +48,19 @@ def _capitals(texts):
     return out
 
 
-def _shard(rows, number):
-    """The rows of a shard, and one more with its vocabulary."""
-    texts = rows["text"].combine_chunks()
+def _slices(texts, size):
+    """(start, rows) of runs of neighbours with at most `size` bytes; a larger text stands alone."""
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    start = 0
+    while start < len(texts):
+        end = max(int(np.searchsorted(at, int(at[start]) + size, "right")) - 1, start + 1)
+        yield start, end - start
+        start = end
+
+
+def _cells(texts):
+    """(words, terms, counts, capitals): the distinct words of some texts, their nonzero cells, and the
+    capitals of each text."""
     split = pc.ascii_split_whitespace(texts)
     words, owner = split.flatten(), pc.list_parent_indices(split)
     some = pc.greater(pc.binary_length(words), 0)
@@ -56,12 +68,29 @@ def _shard(rows, number):
     terms, counts = shards.sparse(
         owner.to_numpy().astype(np.int64), coded.indices.to_numpy(), len(texts), len(coded.dictionary)
     )
+    return coded.dictionary, terms, counts, _capitals(texts)
+
+
+def _shard(rows, number):
+    """The rows of a shard, and one more with its vocabulary.
+
+    The occurrences of a few texts are held at once; of the others their cells alone.
+    """
+    texts = rows["text"].combine_chunks()
+    found = [_cells(texts.slice(*s)) for s in _slices(texts, SLICE_BYTES)]
+    words, terms, counts, capitals = zip(*found, strict=True)
+    coded = pa.concat_arrays(words).dictionary_encode()
+    place, before = coded.indices, np.cumsum([0, *map(len, words)]).tolist()
+    terms = [
+        pa.ListArray.from_arrays(t.offsets, place.slice(a, len(w)).take(t.values))
+        for t, w, a in zip(terms, words, before, strict=False)
+    ]
     digests = [hashlib.sha256(t.as_buffer()).digest() for t in texts]
     columns = [
         pa.array(np.full(len(texts), number)), rows["doc_id"].combine_chunks(),
         rows["part"].combine_chunks(), pa.array(digests, pa.binary()),
-        pc.utf8_length(texts).cast(pa.int64()), pa.array(_capitals(texts)),
-        pc.match_substring_regex(texts, SYMBOLS), terms, counts,
+        pc.utf8_length(texts).cast(pa.int64()), pa.array(np.concatenate(capitals)),
+        pc.match_substring_regex(texts, SYMBOLS), pa.concat_arrays(terms), pa.concat_arrays(counts),
         pa.nulls(len(texts), pa.list_(pa.string())),
     ]
     fields = ["shard", "doc_id", "part", "digest", "points", "capitals", "symbols", "terms", "counts", "names"]
@@ -139,7 +168,8 @@ def matrix(docs, part="source", size=SHARD_BYTES):
         F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
         whole_text().alias("text"), F.spark_partition_id().alias("p"),
     )
-    local = stored(map_arrow(rows, _local_shards(size), _LOCAL), "audit-shards")
+    with text_batches(docs.sparkSession):
+        local = stored(map_arrow(rows, _local_shards(size), _LOCAL), "audit-shards")
     encoded = _encoded(local)
     return shards.with_values(local, encoded, "bigint"), encoded.where("word IS NOT NULL").select("value", "word")
 

@@ -21,8 +21,9 @@ def cut(batches, column, size):
         for i, value in enumerate(batch[column]):
             total += len(value.as_buffer()) if value.is_valid else 0
             if total >= size:
-                yield pa.Table.from_batches([*held, batch.slice(start, i + 1 - start)]).combine_chunks()
+                whole = pa.Table.from_batches([*held, batch.slice(start, i + 1 - start)]).combine_chunks()
                 held, total, start = [], 0, i + 1
+                yield whole
         if start < len(batch):
             held.append(batch.slice(start))
     if held:

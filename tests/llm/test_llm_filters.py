@@ -1,6 +1,7 @@
 """The filter audit and the URL filter."""
 
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 from itertools import permutations
 
@@ -87,6 +88,27 @@ def test_shards_are_cut_by_size():
     assert list(shards.cut(iter([]), "text", 12)) == []
 
 
+def test_a_shard_is_split_in_slices(monkeypatch):
+    texts = ["", " ", "a b a", "X" * 50, *(f"w{i % 997} B{i % 13} x\u00e9 " * 9 for i in range(9000)), "a c", "\t"]
+    rows = pa.table({"doc_id": range(len(texts)), "part": ["p"] * len(texts), "text": texts})
+    sizes = []
+    plain = filter_audit._cells
+    monkeypatch.setattr(filter_audit, "_cells", lambda t: sizes.append(t.nbytes) or plain(t))
+    monkeypatch.setattr(filter_audit, "SLICE_BYTES", 1 << 16)
+    tracemalloc.start()
+    documents, listed = filter_audit._shard(rows, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    size = sum(len(t.encode()) for t in texts)
+    assert peak < 4 * size and len(sizes) > size / (1 << 16)
+    names = listed["names"][0].as_py()
+    assert len(set(names)) == len(names)
+    for row, text in zip(documents.to_pylist(), texts, strict=True):
+        cells = {names[t]: n for t, n in zip(row["terms"], row["counts"], strict=True)}
+        assert cells == Counter(text.split()) and len(cells) == len(row["terms"])
+        assert row["capitals"] == sum("A" <= c <= "Z" for c in text)
+
+
 URLS = [
     ("https://a.Example.net/en/x?q=1#f", "a.example.net", "/en/x", "example.net/en/", "allow"),
     ("http://example.net/de/", "example.net", "/de/", "net/", "block"),
