@@ -8,13 +8,13 @@ the rows out, so shards go to any file system that Spark reaches, under its comm
 is one document's ids, and the line separator is the end id.
 """
 
-import re
 import zlib
 from functools import cache
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -27,8 +27,8 @@ MAGIC = 0x5844494E454B4F54
 FINGERPRINT_BITS = 32
 #: Bits per key of a level of the hash, and levels before the last keys are listed.
 GAMMA, LEVELS = 2, 48
-#: Bytes of text that are encoded at once, and encoded words that are kept for later batches.
-BATCH_BYTES, CACHE_WORDS, CHUNK_WORDS = 1 << 21, 600_000, 256
+#: Bytes of text that are encoded at once, and encoded cores of words that are kept for later batches.
+BATCH_BYTES, CACHE_WORDS, CHUNK_WORDS = 1 << 22, 600_000, 256
 
 
 # ---------------------------------------------------------------- keys
@@ -203,8 +203,9 @@ class Encoder:
     """
 
     PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    PLAIN = re.compile(r"[!-;=?-~À-ſ]+")  # no "<" or ">" of special tokens
-    SPACES, STOPS = "\t\n\r\x0b\x0c", ".,;:!?"
+    PLAIN = r"^[!-;=?-~À-ſ]+$"  # no "<" or ">" of special tokens
+    STOPS = ".,;:!?"
+    STOPPED = r"[0-9A-Za-zÀ-ÖØ-öø-įı-ſ][.,;:!?]+$"  # not "İ": its small form ends in a mark
 
     def __init__(self, tokenizer_file, end_id=END_ID):
         from tokenizers import Tokenizer
@@ -242,55 +243,55 @@ class Encoder:
                 out[w] = raw[a * width : b * width]
         return out
 
-    def _new_words(self, words):
-        """Ids of distinct words. Stops behind a letter or digit are pre-tokens of their own, and
-        ASCII capitals are read as small letters, so such words are encoded once."""
-        letters = [w for w in words if w.isascii() and w.isalpha()]
-        small = [w.lower() for w in letters]
-        parts, cores, others = [], set(small), []
-        for w in words if len(letters) < len(words) else ():
-            if w.isascii() and w.isalpha():
-                continue
-            if not self.PLAIN.fullmatch(w):
-                others.append(w)
-                continue
-            core = w.rstrip(self.STOPS)
-            core, tail = (core, w[len(core) :]) if core and core[-1].isalnum() else (w, "")
-            core = core.lower() if core.isascii() else core
-            parts.append((w, core, tail))
-            cores.add(core)
-            if tail:
-                cores.add(tail)
-        coded = self._together([p for p in cores if p not in self.known])
-        coded |= {p: self.known[p] for p in cores if p in self.known}
-        out = dict(zip(letters, map(coded.get, small), strict=True))
-        if len(coded) < len(cores):  # some could not be cut apart
-            others += [w for w, x in out.items() if x is None]
-        for w, core, tail in parts:
-            if core not in coded or (tail and tail not in coded):
-                others.append(w)
-            else:
-                out[w] = coded[core] + coded[tail] if tail else coded[core]
-        return out | {w: x.tobytes() for w, x in zip(others, self._ids(others), strict=True)}
+    def _cores(self, cores):
+        """Ids of distinct cores as binary, null for those that can't be cut apart."""
+        cores = cores.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, cores))
+        missing = [c for c, x in zip(cores, found, strict=True) if x is None]
+        if missing:
+            new = self._together(missing)
+            found = [new.get(c) if x is None else x for c, x in zip(cores, found, strict=True)]
+            # cores seen first are the frequent ones; they stay
+            self.known |= dict(islice(new.items(), max(0, CACHE_WORDS - len(self.known))))
+        return pa.array(found, pa.binary())
+
+    def _words(self, words):
+        """Ids of distinct words as binary. Stops behind a letter or digit are pre-tokens of their own,
+        and ASCII capitals are read as small letters, so such words are encoded once."""
+        plain = pc.match_substring_regex(words, self.PLAIN)
+        stopped = pc.and_(plain, pc.match_substring_regex(words, self.STOPPED))
+        core = pc.if_else(stopped, pc.ascii_rtrim(words, self.STOPS), words)
+        core = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core)
+        at = np.flatnonzero(stopped)
+        tails = pc.replace_substring_regex(words.take(pa.array(at)), "^.*[^" + self.STOPS + "]", "")
+        parts = pa.concat_arrays([core.filter(plain), tails]).dictionary_encode()
+        coded = self._cores(parts.dictionary).take(parts.indices)
+        # per word: the core or null, and behind it the tail or nothing
+        size, plain = len(words), plain.to_numpy(zero_copy_only=False)
+        place = np.zeros(size, np.int64)
+        place[plain] = np.arange(plain.sum())
+        ids = coded.take(pa.array(place, mask=~plain))
+        if len(at):
+            place[:] = 0
+            place[at] = plain.sum() + np.arange(len(at))
+            behind = coded.take(pa.array(place, mask=~stopped.to_numpy(zero_copy_only=False)))
+            behind = pc.if_else(stopped, behind, pa.scalar(b"", pa.binary()))
+            ids = pc.binary_join_element_wise(ids, behind, pa.scalar(b"", pa.binary()))
+        others = ids.is_null()
+        alone = words.filter(others).to_pylist()
+        if alone:
+            ids = pc.replace_with_mask(ids, others, pa.array([x.tobytes() for x in self._ids(alone)], pa.binary()))
+        return ids
 
     def encode(self, texts):
-        """The ids of each text as bytes, without end id."""
-        split = []
-        for text in texts:
-            for space in self.SPACES:
-                text = text.replace(space, " ")
-            split.append(text.split(" "))
-        words = set().union(*split)
-        found = self._new_words([w for w in words.difference(self.known) if w]) | {"": b""}
-        room = CACHE_WORDS - len(self.known)
-        if len(found) <= room:
-            self.known |= found
-            found = self.known
-        else:  # words seen first are the frequent ones; they stay
-            found |= {w: self.known[w] for w in words if w in self.known}
-            self.known |= dict(islice(found.items(), max(0, room)))
-        get = found.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        """The ids of each text of an Arrow array without nulls as binary, without end id."""
+        split = pc.ascii_split_whitespace(texts)
+        limits, words = split.offsets.to_numpy(), split.values
+        coded = words.dictionary_encode()
+        ids = self._words(coded.dictionary).take(coded.indices)
+        starts = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+        starts = starts if len(ids) else np.zeros(1, np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(starts[limits]), ids.buffers()[2]])
 
 
 @cache
@@ -321,9 +322,9 @@ def _shard_rows(tokenizer_file, end_id, width):
             nulls.append(names.is_null().to_numpy(zero_copy_only=False))
             doc_ids.append(names.fill_null(0).to_numpy())
             for a, b in slices(batch["text"]):
-                ids = code.encode([t or "" for t in batch["text"].slice(a, b - a).to_pylist()])
-                lengths.append(np.array([len(x) for x in ids], np.int64) // width + 1)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["value"])
+                ids = code.encode(batch["text"].slice(a, b - a).fill_null(""))
+                lengths.append(pc.binary_length(ids).to_numpy().astype(np.int64) // width + 1)
+                yield pa.RecordBatch.from_arrays([ids], ["value"])
         if shard is not None:
             row = footer(shard, width, *(np.concatenate(x) for x in (doc_ids, nulls, lengths)))
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["value"])

@@ -68,6 +68,25 @@ def test_perfect_hash():
     assert sorted(table.slots(keys).tolist()) == list(range(5000))
 
 
+def test_cores_of_words_are_encoded_once(monkeypatch):
+    code, plain = token_shards.Encoder(WORDS), Tokenizer.from_file(WORDS)
+    texts = ["Some words, SOME more: é. É", "", " ", "don't x<y (a) ...", "İ. ×. ÷, Aİ: ŉ! i̇.", "<|endoftext|> a", "\x85a. 1,"]
+
+    def checked(texts):
+        got = code.encode(pa.array(["cut off", *texts]).slice(1))
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, code.kind).tolist() for x in got.to_pylist()] == want
+
+    checked(texts)
+    sent, ids = [], code._ids
+    monkeypatch.setattr(code, "_ids", lambda texts: sent.extend(texts) or ids(texts))
+    checked(["some, words. MORE", "Words: More."])
+    assert sent == []  # before, a core came again with each other case or stop behind it
+    monkeypatch.setattr(token_shards, "CACHE_WORDS", len(code.known))
+    checked(["new ones, ones some", "new"])
+    assert "ones" not in code.known and not code.encode(pa.array([], pa.string()))
+
+
 def brute_score(word, vocabulary):
     """The best sum of scores of any segmentation of a marked word."""
     best = [0.0] + [-np.inf] * len(word)
