@@ -1,6 +1,7 @@
 import json
 from importlib import import_module
 
+from freightflow.catalog import queries
 from freightflow.operators import window_rollup
 from freightflow.plans import facts
 from freightflow.session import work_folder
@@ -16,6 +17,7 @@ from freightflow.streaming import (
     run_stream,
 )
 
+SF = "/root/testdata/sf0.001"
 S = 1704067200000
 FAR = 4102444800000
 
@@ -213,3 +215,12 @@ def test_landed_lines_are_compressed_in_files_of_bounded_length(spark, monkeypat
     plain = rows.selectExpr("sum(length(value) + 1)").first()[0]
     assert sum(size for _, size in files) * 2 < plain
     assert sorted(spark.read.text(folder).collect()) == sorted(rows.collect())
+
+
+def test_city_stream_stores_what_its_rollup_reads(spark, monkeypatch):
+    seen, plain = [], queries._stored
+    monkeypatch.setattr(queries, "_stored", lambda s, name, df: seen.append(df.columns) or plain(s, name, df))
+    got = queries.QUERIES["stream_dws_trade_order_city"](spark, SF)
+    want = queries.QUERIES["dws_trade_order_city"](spark, SF)
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+    assert seen == [["ts", "sender_city_id", "sender_province_id", "amount"]]
