@@ -4,10 +4,11 @@ At similarity 0.8 two SimHash fingerprints of any width differ in about 15 of 10
 hardly any run of bytes is shared and an inverted index over them either misses pairs or holds
 very long lists. Candidates are therefore found by minima: under one order of the shingles two sets
 have the same least shingle with the probability of their similarity. BANDS keys of ROWS minima
-each miss a pair at 0.8 with probability (1 - 0.8^6)^32, below 0.0001, and fewer above.
+each miss a pair at 0.8 with probability (1 - 0.8^6)^32, below 0.0001, and fewer above. The texts
+that the SimHash index groups (`simhash_dedup.print_lists`) are candidates besides.
 
 All links are verified by the whole sets, and only verified links connect. First every text of a
-list (the texts of one key) meets the centre of the list, ROUNDS times with other centres. Lists
+list (the texts of one key or of one SimHash group) meets the centre of the list, ROUNDS times with other centres. Lists
 whose texts are connected then are done. In the others the largest connected part is not compared
 within itself: only the rest of the list is, with it and among itself, in pairs of blocks.
 """
@@ -68,26 +69,30 @@ def band_keys(hashes):
     return (keys * _MIX[:, 0] + _MIX[:, 1]).view(np.int64)
 
 
-def _set_rows(width):
+def _set_rows(width, simhash):
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t.as_py(), width) for t in batch["text"]]
+            prints = np.array([simhash(t.as_py()) for t in batch["text"]], np.uint64).view(np.int64)
             bands = [band_keys(x) for x in sets]
             offsets = pa.array(np.cumsum([0, *map(len, bands)]), pa.int32())
             flat = pa.array(np.concatenate([np.empty(0, np.int64), *bands]), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array([set_name(x) for x in sets], pa.int64()),
-                 pa.array([len(x) for x in sets], pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
-                ["doc_id", "fp", "size", "bands"],
+                 pa.array([len(x) for x in sets], pa.int64()), pa.ListArray.from_arrays(offsets, flat),
+                 pa.array(prints)],
+                ["doc_id", "fp", "size", "bands", "print"],
             )
 
     return run
 
 
-def set_rows(docs, width):
-    """(doc_id, fp, size, bands) per row; fp names the shingle set, size counts its shingles."""
+def set_rows(docs, width, simhash):
+    """(doc_id, fp, size, bands, print) per row; fp names the shingle set, size counts its shingles,
+    and print is the fingerprint that the function `simhash` gives the text, as a signed long."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_arrow(rows, _set_rows(width), "doc_id long, fp long, size long, bands array<long>")
+    schema = "doc_id long, fp long, size long, bands array<long>, print long"
+    return map_arrow(rows, _set_rows(width, simhash), schema)
 
 
 def _members(width):
@@ -250,15 +255,16 @@ def _rest(lists, edges, block):
     ), "sets-work")
 
 
-def links(docs, rows, width, similarity, block=BLOCK):
+def links(docs, rows, more, width, similarity, block=BLOCK):
     """(a, b): edges between the sets of `docs` which link, enough to connect them.
 
-    `rows` are the stored `set_rows` of docs.
+    `rows` are the stored `set_rows` of docs, `more` further lists of candidates: (key, fp, size).
     """
     distinct = stored(rows.where("size > 0").groupBy("fp").agg(
         F.min("doc_id").alias("first"), F.max("size").alias("size"), F.first("bands").alias("bands")
     ), "sets-distinct")
-    entries = stored(distinct.select(F.explode("bands").alias("key"), "fp", "size"), "sets-entries")
+    banded = distinct.select(F.explode("bands").alias("key"), "fp", "size")
+    entries = stored(banded.unionByName(more), "sets-entries")
     several = stored(
         entries.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
         .where("low <> high").select("key"),

@@ -220,12 +220,24 @@ def links(prints, block=BLOCK):
     return map_arrow(grouped, _link_lists, "a long, b long")
 
 
+def print_lists(rows, block=BLOCK):
+    """(key, fp, size) for each set of `rows`, stored `shingle_sets.set_rows`, that has shingles: sets of
+    equal key have fingerprints which link, directly or through others."""
+    sets = rows.where("size > 0").select("fp", "size", "print").distinct()
+    sets = stored(sets, "simhash-sets")
+    prints = stored(sets.select(F.col("print").alias("fp")).distinct(), "simhash-prints")
+    roots = stored(components(links(prints, block)), "simhash-print-roots")
+    joined = sets.join(small_side(roots), F.col("print") == F.col("vertex"), "left")
+    return joined.select(F.coalesce("root", "print").alias("key"), "fp", "size").distinct()
+
+
 def near_groups(docs, block=BLOCK, words=None, similarity=None):
     """One row per document: doc_id, fp, component_id, group_size.
 
     With `similarity`, texts link when their sets of shingles of `words` words have at least that
-    Jaccard similarity, and fp names the set. Texts without words have the same set. Else, as
-    follows.
+    Jaccard similarity, and fp names the set. Texts without words have the same set. Candidates are
+    the texts whose fingerprints link and those that share minima of their sets; all are verified by
+    the whole sets. Else, as follows.
 
     Fingerprints at three or fewer differing bits link; component_id is the smallest doc_id that
     is reachable, null only if no row reached has one. Texts without words, null included, have
@@ -235,7 +247,7 @@ def near_groups(docs, block=BLOCK, words=None, similarity=None):
     if similarity is None:
         rows = stored(fingerprints(docs), "simhash-rows")
     else:
-        rows = stored(shingle_sets.set_rows(docs, words), "simhash-rows")
+        rows = stored(shingle_sets.set_rows(docs, words, simhash), "simhash-rows")
     distinct = stored(
         rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")),
         "simhash-distinct",
@@ -243,7 +255,8 @@ def near_groups(docs, block=BLOCK, words=None, similarity=None):
     if similarity is None:
         edges = links(distinct.select("fp"), block)
     else:
-        edges = shingle_sets.links(docs, rows, words, similarity, min(block, shingle_sets.BLOCK))
+        alike = print_lists(rows, block)
+        edges = shingle_sets.links(docs, rows, alike, words, similarity, min(block, shingle_sets.BLOCK))
     roots = components(edges)
     joined = distinct.join(roots, F.col("fp") == F.col("vertex"), "left")
     rooted = stored(

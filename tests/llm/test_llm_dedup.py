@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from compare import connect, differences
 from conftest_values import union_find
-from freightflow.llm import exact_dedup, simhash_dedup
+from freightflow.llm import exact_dedup, shingle_sets, simhash_dedup
 from freightflow.llm.components import components
 from freightflow.llm.queries import ORACLE, QUERIES
 from pyspark.sql import functions as F
@@ -270,3 +270,42 @@ def test_recall_of_near_copies(spark):
     together = sum(got[rows[i][0]] == got[rows[j][0]] for i, j in links)
     assert links and together >= 0.9 * len(links)
     assert together == len(links) and all(got[d] == rows[w][0] for (d, t), w in zip(rows, want, strict=True) if t.split())
+
+
+def test_pipeline_stage_runs_the_simhash_index(spark, monkeypatch):
+    """Every text goes through the fingerprints and the index of op2, and what they group is compared."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(5)
+    texts = []
+    for n in range(30):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        texts += [" ".join(words), " ".join([*words[:-1], f"x{n}"])]
+    # Fingerprints that link without similar sets: the words of a run again and again, another end.
+    run = [f"r{x}" for x in range(13)]
+    texts += [" ".join(run * 40), " ".join(run * 40 + [f"t{x}" for x in range(9)])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, links = [], simhash_dedup.links
+
+    def spy(prints, *args):
+        seen.extend(int(r.fp) % (1 << 64) for r in prints.collect())
+        return links(prints, *args)
+
+    monkeypatch.setattr(simhash_dedup, "links", spy)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, None).collect()}
+    prints = [plain_simhash(t) for t in texts]
+    assert sorted(seen) == sorted(set(prints))
+    want = union_find(len(texts), five_word_links(texts))
+    assert kept == set(want) and len(kept) < len(texts)
+
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3]
+    assert (61, 60) in near and want[61] == 61  # grouped by the index, but not similar
+    rows = shingle_sets.set_rows(df, 5, simhash_dedup.simhash)
+    no_minima = F.array().cast("array<long>")
+    rows = simhash_dedup.stored(rows.withColumn("bands", no_minima), "test-rows")
+    alike = simhash_dedup.print_lists(rows)
+    edges = shingle_sets.links(df, rows, alike, 5, 0.8)
+    root = {r.vertex: r.root for r in components(edges).collect()}
+    names = {r.doc_id: r.fp for r in rows.collect()}
+    both = [(i, j) for i, j in near if want[i] == want[j]]
+    assert len(both) > 10 and all(root[names[i]] == root[names[j]] for i, j in both)
