@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json_row
 from ..operators.dedupe import latest_per_key
+from ..session import work_folder
 
 
 def file_sink(path, fmt="parquet", partition_by=()):
@@ -97,20 +98,30 @@ def exists(spark, path):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove(spark, path):
+    """Remove a file or folder, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def fan_out(branches):
     """Several outputs from one pass over each micro-batch.
 
-    `branches` maps folders to transformations; a repeated batch replaces its folders.
+    `branches` maps folders to transformations; a repeated batch replaces its folders. The batch is
+    written once to the work folder and read by every branch, for a cache of it would take memory of the
+    executors in proportion to the batch; what was written goes when the branches are done.
     """
 
     def write(df, batch_id):
-        df.persist()
+        spark, folder = df.sparkSession, work_folder(df.sparkSession, "fan-out")
         try:
+            df.write.parquet(folder)
+            once = spark.read.schema(df.schema).parquet(folder)
             for path, transform in branches.items():
-                out = transform(df)
+                out = transform(once)
                 out.write.mode("overwrite").parquet(batch_path(path, df, batch_id))
         finally:
-            df.unpersist()
+            remove(spark, folder)
 
     return lambda writer: writer.outputMode("append").foreachBatch(write)
 

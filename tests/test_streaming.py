@@ -16,6 +16,7 @@ from freightflow.streaming import (
     run_sql_stream,
     run_stream,
 )
+from freightflow.streaming.sinks import exists
 
 SF = "/root/testdata/sf0.001"
 S = 1704067200000
@@ -224,3 +225,23 @@ def test_city_stream_stores_what_its_rollup_reads(spark, monkeypatch):
     want = queries.QUERIES["dws_trade_order_city"](spark, SF)
     assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
     assert seen == [["ts", "sender_city_id", "sender_province_id", "amount"]]
+
+
+def test_fan_out_holds_no_batch_in_memory(spark):
+    root, seen = work_folder(spark, "test_fan_out_memory"), []
+
+    def branch(df):
+        seen.append((df.storageLevel.useMemory, sorted(df.inputFiles())))
+        return df
+
+    def start():
+        return run_stream("test", read_files(spark, f"{root}/in"), lambda raw: parse_facts(raw, "ts long, k string"),
+                          fan_out({f"{root}/a": branch, f"{root}/b": branch}), f"{root}/checkpoint",
+                          available_now=True)
+
+    replay([lines(spark, [{"ts": 1, "k": "a"}, {"ts": 2, "k": None}])], f"{root}/in", start)
+    (memory, files), again = seen
+    assert not memory and files and again == (memory, files)  # both branches read what was written once
+    assert not any(exists(spark, f) for f in files)
+    for name in "ab":
+        assert sorted(r["ts"] for r in spark.read.parquet(f"{root}/{name}").collect()) == [1, 2]
