@@ -6,21 +6,31 @@ when it is done, so each batch also proves that the query resumes from its check
 
 from pyspark.sql import functions as F
 
+from .sinks import remove
 
 #: Lines of a landed file. One task reads a compressed file whole.
 LINES = 500_000
+#: How lines are compressed: in the least time, or to two thirds of that size.
+FAST, SMALL = {"compression": "lz4"}, {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
-def land(rows, folder):
+def land(rows, folder, options=FAST):
     """Append JSON lines, given as one `value` column; compressed, for they repeat every name."""
-    rows.write.mode("append").option("maxRecordsPerFile", LINES).text(folder, compression="lz4")
+    rows.write.mode("append").option("maxRecordsPerFile", LINES).options(**options).text(folder)
 
 
-def replay(arrivals, folder, start):
-    """Land each batch and run `start()`, which returns a query that stops by itself."""
+def replay(arrivals, folder, start, keep=True):
+    """Land each batch and run `start()`, which returns a query that stops by itself.
+
+    Without `keep` the lines of a batch go once its run has ended without an error, so that the disk
+    holds those of one batch at a time, compressed to a smaller size; the checkpoint never asks for
+    them again.
+    """
     for rows in arrivals:
-        land(rows, folder)
+        land(rows, folder, FAST if keep else SMALL)
         start().awaitTermination()
+        if not keep:
+            remove(rows.sparkSession, folder)
 
 
 def time_slices(rows, count, ts="ts", late=None):

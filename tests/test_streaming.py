@@ -245,3 +245,32 @@ def test_fan_out_holds_no_batch_in_memory(spark):
     assert not any(exists(spark, f) for f in files)
     for name in "ab":
         assert sorted(r["ts"] for r in spark.read.parquet(f"{root}/{name}").collect()) == [1, 2]
+
+
+def test_replay_lets_go_of_lines_that_were_read(spark):
+    root, landed = work_folder(spark, "test_replay_keep"), []
+
+    def start():
+        landed.append(spark.read.text(f"{root}/in").count())
+        return run_stream("test", read_files(spark, f"{root}/in"), lambda raw: parse_facts(raw, "ts long"),
+                          file_sink(f"{root}/out"), f"{root}/checkpoint", available_now=True)
+
+    batches = [[{"ts": i} for i in range(3)], [{"ts": 3}], [{"ts": 4}, {"ts": 5}]]
+    replay([lines(spark, b) for b in batches], f"{root}/in", start, keep=False)
+    assert landed == [3, 1, 2] and not exists(spark, f"{root}/in")
+    assert sorted(r["ts"] for r in spark.read.parquet(f"{root}/out").collect()) == list(range(6))
+
+
+def test_ods_change_stream_keeps_no_landed_lines(spark, monkeypatch):
+    from freightflow.catalog import queries
+
+    roots = []
+
+    def folder(*args):
+        roots.append(work_folder(*args))
+        return roots[-1]
+
+    monkeypatch.setattr(queries, "work_folder", folder)
+    rows = queries.QUERIES["ods_change_stream"](spark, SF)
+    assert len(roots) == 1 and exists(spark, f"{roots[0]}/out") and not exists(spark, f"{roots[0]}/in")
+    assert rows.count() == queries.QUERIES["change_type_counts"](spark, SF).selectExpr("sum(changes)").first()[0]
